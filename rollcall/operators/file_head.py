@@ -22,16 +22,23 @@ def with_position(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_pos", F.monotonically_increasing_id())
 
 
-def first_rows_per_file(rows: DataFrame, n: int) -> DataFrame:
-    """Keep the first ``n`` rows of each file, in file order.
+def block_heads(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of each block, numbered; all that a cap can keep.
 
-    Each block is cut to its own first ``n`` rows before anything moves; then a
-    block keeps what the blocks before it have left over. So a file of any size
-    is never gathered in one task: only one row per block is.
+    Spark cuts each block in the task that reads it, before the shuffle.
     """
     in_block = Window.partitionBy(*ORIGIN).orderBy("_pos")
-    heads = rows.withColumn("_row", F.row_number().over(in_block)).filter(F.col("_row") <= n)
+    numbered = rows.withColumn("_row", F.row_number().over(in_block))
+    return numbered.filter(F.col("_row") <= n).drop("_pos")
 
+
+def cap_files(heads: DataFrame, n: int) -> DataFrame:
+    """From block heads, the first ``n`` rows of each file, in file order.
+
+    A block keeps what the blocks before it have left over. So a file of any
+    size is never gathered in one task: only one row per block is. ``heads`` is
+    used twice; pass written rows rather than a scan.
+    """
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -42,9 +49,5 @@ def first_rows_per_file(rows: DataFrame, n: int) -> DataFrame:
         .filter(F.col("_before") < n)
         .drop("_rows")
     )
-    return (
-        heads.join(blocks, ORIGIN)
-        .filter(F.col("_row") + F.col("_before") <= n)
-        .withColumn("_row", F.col("_row") + F.col("_before"))
-        .drop("_before", "_pos")
-    )
+    in_file = F.col("_row") + F.col("_before")
+    return heads.join(blocks, ORIGIN).filter(in_file <= n).withColumn("_row", in_file).drop("_before")

@@ -27,6 +27,7 @@ def lookup_join(
     fact_key: str,
     dim_key: str,
     *,
+    keys: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
@@ -35,7 +36,10 @@ def lookup_join(
 
     A repeated key in ``dim`` repeats the fact row. A lookup table that measures
     small is broadcast. A larger one is joined by shuffle, and each key held by
-    more than ``rows_per_task`` fact rows (the null key included) is split.
+    more than ``rows_per_task`` rows (the null key included) is split. These are
+    counted in ``keys``, by default ``fact``; pass a frame that is cheaper to
+    read when ``fact`` is itself a join. The counts bear on balance only, never
+    on the result.
     """
     dim = dim.withColumnRenamed(dim_key, "_key")
     if is_small(dim, max_rows, max_bytes):
@@ -43,7 +47,8 @@ def lookup_join(
 
     # One row per hot key, so never more than fact rows / rows_per_task of them.
     hot = (
-        fact.groupBy(F.col(fact_key).alias("_hot"))
+        (fact if keys is None else keys)
+        .groupBy(F.col(fact_key).alias("_hot"))
         .agg(F.ceil(F.count("*") / rows_per_task).alias("_parts"))
         .filter("_parts > 1")
     )
@@ -57,7 +62,7 @@ def lookup_join(
         .drop("_hot", "_parts")
     )
     copied_dim = (
-        dim.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left")
+        dim.join(F.broadcast(hot), F.col("_key").eqNullSafe(F.col("_hot")), "left")
         .withColumn("_dim_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
         .drop("_hot", "_parts")
     )

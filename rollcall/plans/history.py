@@ -52,7 +52,7 @@ def normalise_files(
 
         return [attempt(table, step)]
 
-    return report(spark, for_each_table(found, one))
+    return report(spark, for_each_table(spark, found, one))
 
 
 def ingest(
@@ -90,4 +90,4 @@ def ingest(
             rows.append(dict(table=table, status=SKIPPED, message="no raw table", rows=None))
         return rows
 
-    return report(spark, for_each_table(found, one))
+    return report(spark, for_each_table(spark, found, one))

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.file_head import first_rows_per_file, with_position
+from ..operators.file_head import block_heads, cap_files, with_position
 from ..operators.typed import typed_lines, typed_records
 from ..schemas import TABLES, table_schema
-from ..session import run_dir
+from ..session import written
 from ..sources import csv, files, records, tables
 from .history import NO_SCHEMA
 from .status import SKIPPED, attempt, for_each_table, report
@@ -18,18 +18,30 @@ from .status import SKIPPED, attempt, for_each_table, report
 MAX_ROWS = 1000
 
 
-def capped_lines(lines: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The first rows of each file, typed; ``_good`` is false for a whole file
-    when one of these rows does not fit the table."""
-    head = typed_lines(first_rows_per_file(with_position(lines), max_rows), schema)
+def line_heads(lines: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Typed CSV lines, as many of each block as the cap could keep."""
+    return typed_lines(block_heads(with_position(lines), max_rows), schema)
+
+
+def capped_lines(heads: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The first rows of each file; ``_good`` is false for all rows of a file
+    when one of them does not fit the table."""
     # At most max_rows rows per file are left, so this window stays small.
-    return head.withColumn("_good", F.min("_ok").over(Window.partitionBy("_file")))
+    in_file = Window.partitionBy("_file")
+    return cap_files(heads, max_rows).withColumn("_good", F.min("_ok").over(in_file))
 
 
-def valid_records(rows: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The first accepted records of each file, in the table's columns."""
+def record_heads(rows: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Accepted records, as many of each block as the cap could keep."""
     accepted = typed_records(with_position(rows), schema).filter("_ok")
-    return first_rows_per_file(accepted, max_rows).select(schema.names)
+    return block_heads(accepted, max_rows)
+
+
+def capped_records(
+    heads: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """The first accepted records of each file, in the table's columns."""
+    return cap_files(heads, max_rows).select(schema.names)
 
 
 def rejected_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -37,13 +49,6 @@ def rejected_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return typed_records(rows, schema).filter("NOT _ok").drop("_ok", "_block")
 
 
-def _stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once, so that counting and appending do not read the input again."""
-    path = run_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def append_capped_csv(
     spark: SparkSession,
     src_dir: str,
@@ -66,24 +71,23 @@ def append_capped_csv(
 
         def step():
             lines = csv.read_lines(spark, found[table], schema)
-            staged = _stage(capped_lines(lines, schema, max_rows), f"append-{table}")
-            good = staged.filter("_good")
-            tables.append_table(good.select(schema.names), db, table)
-            bad = staged.filter("NOT _good")
-            if rejects_dir:
-                bad.drop("_block", "_row", "_good").write.mode("append").parquet(
-                    f"{rejects_dir.rstrip('/')}/{table}"
-                )
-            per_file = staged.groupBy("_file", "_good").agg(F.count("*").alias("n"))
-            rows, refused = per_file.agg(
-                F.coalesce(F.sum(F.when(F.col("_good"), F.col("n"))), F.lit(0)),
-                F.count_if(~F.col("_good")),
-            ).first()
+            with written(line_heads(lines, schema, max_rows), "lines") as heads:
+                capped = capped_lines(heads, max_rows)
+                # A good file adds all its rows, a bad one none.
+                per_file = capped.groupBy("_file", "_good").agg(F.count("*").alias("n"))
+                rows, refused = per_file.agg(
+                    F.coalesce(F.sum(F.when(F.col("_good"), F.col("n"))), F.lit(0)),
+                    F.count_if(~F.col("_good")),
+                ).first()
+                tables.append_table(capped.filter("_good").select(schema.names), db, table)
+                if rejects_dir:
+                    bad = capped.filter("NOT _good").drop("_block", "_row", "_good")
+                    bad.write.mode("append").parquet(f"{rejects_dir.rstrip('/')}/{table}")
             return f"files rejected: {refused}", rows
 
         return [attempt(table, step)]
 
-    return report(spark, for_each_table(found, one))
+    return report(spark, for_each_table(spark, found, one))
 
 
 def append_records(
@@ -104,10 +108,12 @@ def append_records(
 
     def step():
         rows = records.read_records(spark, json_dir, schema)
-        staged = _stage(valid_records(rows, schema, max_rows), f"records-{table}")
-        tables.append_table(staged, db, table)
+        with written(record_heads(rows, schema, max_rows), "records") as heads:
+            capped = capped_records(heads, schema, max_rows)
+            count = capped.count()
+            tables.append_table(capped, db, table)
         if rejects_dir:
             rejected_records(rows, schema).write.mode("append").parquet(rejects_dir)
-        return "appended", staged.count()
+        return "appended", count
 
     return report(spark, [attempt(table, step)])

@@ -47,4 +47,4 @@ def refine(
 
         return [attempt(table, step)]
 
-    return report(spark, for_each_table(names, one))
+    return report(spark, for_each_table(spark, names, one))

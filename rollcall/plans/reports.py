@@ -77,7 +77,8 @@ def _named(
     hires: DataFrame, departments: DataFrame, jobs: DataFrame, **limits: int
 ) -> DataFrame:
     with_department = lookup_join(hires, departments, "department_id", "id", **limits)
-    return lookup_join(with_department, jobs, "job_id", "id", **limits).select(
+    named = lookup_join(with_department, jobs, "job_id", "id", keys=hires, **limits)
+    return named.select(
         "id", "name", "hire_date", "department_id", "department", "job"
     )
 

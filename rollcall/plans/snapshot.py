@@ -51,7 +51,7 @@ def backup_tables(
         ]
 
     wanted = tables.list_tables(spark, db) if names is None else names
-    return report(spark, for_each_table(wanted, one), BACKUP_MANIFEST)
+    return report(spark, for_each_table(spark, wanted, one), BACKUP_MANIFEST)
 
 
 def backup_table(spark: SparkSession, db: str, backup_dir: str, table: str) -> DataFrame:
@@ -92,7 +92,7 @@ def restore_tables(
         ]
 
     wanted = files.tables_in(spark, backup_dir, SUFFIX) if names is None else names
-    return report(spark, for_each_table(wanted, one), RESTORE_MANIFEST)
+    return report(spark, for_each_table(spark, wanted, one), RESTORE_MANIFEST)
 
 
 def restore_table(

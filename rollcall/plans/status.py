@@ -12,7 +12,9 @@ OK, ERROR, SKIPPED = "ok", "error", "skipped"
 REPORT = "table STRING, status STRING, message STRING, rows BIGINT"
 
 
-def for_each_table(tables: Iterable[str], job: Callable[[str], list[dict]]) -> list[dict]:
+def for_each_table(
+    spark: SparkSession, tables: Iterable[str], job: Callable[[str], list[dict]]
+) -> list[dict]:
     """Run one job per table at the same time; rows come back in table order.
 
     The jobs share nothing, so a small table need not wait for a large one.
@@ -21,7 +23,7 @@ def for_each_table(tables: Iterable[str], job: Callable[[str], list[dict]]) -> l
     if not names:
         return []
     with ThreadPoolExecutor(max_workers=min(len(names), 8)) as pool:
-        parts = pool.map(inheritable_thread_target(job), names)
+        parts = pool.map(inheritable_thread_target(spark)(job), names)
         return [row for part in parts for row in part]
 
 

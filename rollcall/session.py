@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from .sources.files import remove_folder
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf) -> SparkSession:
@@ -38,3 +42,19 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="rollcall-")
     return f"{base.rstrip('/')}/rollcall/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def written(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The rows of ``df`` from a folder they are written to once.
+
+    For a job that uses costly rows several times: what is written survives the
+    loss of executors. The folder is removed at the end of the job.
+    """
+    spark = df.sparkSession
+    path = run_dir(spark, purpose)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)

@@ -1,4 +1,4 @@
-"""Names in a folder, and replacing a folder by a finished one."""
+"""Names in a folder, replacing a folder by a finished one, and removing one."""
 
 from __future__ import annotations
 
@@ -38,3 +38,8 @@ def replace_folder(spark: SparkSession, finished: str, target: str) -> None:
         fs.delete(destination, True)
     if not fs.rename(source, destination):
         raise OSError(f"could not move {finished} to {target}")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)

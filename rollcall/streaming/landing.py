@@ -10,8 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.landing import MAX_ROWS, capped_lines, rejected_records, valid_records
+from ..plans.landing import (
+    MAX_ROWS,
+    capped_lines,
+    capped_records,
+    line_heads,
+    record_heads,
+    rejected_records,
+)
 from ..schemas import table_schema
+from ..session import written
 from ..sources import csv, records
 
 FILES_PER_BATCH = 10_000
@@ -44,7 +52,8 @@ def land_records(
     schema = table_schema(table)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        _land(valid_records(batch, schema, max_rows), landed_dir, epoch)
+        with written(record_heads(batch, schema, max_rows), "records") as heads:
+            _land(capped_records(heads, schema, max_rows), landed_dir, epoch)
         if rejects_dir:
             _land(rejected_records(batch, schema), rejects_dir, epoch)
 
@@ -65,8 +74,9 @@ def land_capped_csv(
     schema = table_schema(table)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        good = capped_lines(batch, schema, max_rows).filter("_good")
-        _land(good.select(schema.names), landed_dir, epoch)
+        with written(line_heads(batch, schema, max_rows), "lines") as heads:
+            good = capped_lines(heads, max_rows).filter("_good")
+            _land(good.select(schema.names), landed_dir, epoch)
 
     lines = csv.stream_lines(spark, src_dir, schema, files_per_batch)
     return _start(lines, checkpoint_dir, write_batch)

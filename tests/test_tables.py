@@ -1,0 +1,117 @@
+import datetime as dt
+
+import pytest
+
+from conftest import rows
+from rollcall import sample
+from rollcall.plans.refine import refine
+from rollcall.plans.reports import store_departments_above_mean, summarise_year
+from rollcall.plans.snapshot import backup_table, backup_tables, restore_table, restore_tables
+from rollcall.sources import avro, csv, tables
+
+JOBS = "id BIGINT, job STRING"
+
+
+@pytest.fixture
+def jobs(spark):
+    return spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], JOBS)
+
+
+def test_replace_and_append(spark, db, jobs):
+    tables.replace_table(jobs, db, "2021_t")
+    name = tables.table_name(db, "2021_t")
+    tables.replace_table(spark.table(name).distinct(), db, "2021_t")
+    assert rows(spark.table(name)) == [(1, "a"), (2, None), (3, "c")]
+    tables.append_table(jobs.select("job", "id").limit(1), db, "2021_t")
+    assert spark.table(name).count() == 4
+
+
+def test_failed_replace_keeps_the_old_rows(spark, db, jobs):
+    tables.replace_table(jobs, db, "jobs")
+    with pytest.raises(Exception):
+        tables.replace_table(jobs.selectExpr("id", "raise_error('no') AS job"), db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(jobs)
+    assert tables.list_tables(spark, db) == ["jobs"]
+    tables.replace_table(jobs.filter("id = 3"), db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == [(3, "c")]
+
+
+def test_snapshot_keeps_every_type(spark, db, tmp_path):
+    df = spark.sql(
+        "SELECT id, CAST(id AS STRING) AS s, DATE'2021-02-03' AS d,"
+        " TIMESTAMP'2021-02-03 04:05:06.789' AS ts, CAST(NULL AS BIGINT) AS n FROM range(100)"
+    )
+    tables.append_table(df, db, "t")
+    backup_table(spark, db, str(tmp_path), "t")
+    back = avro.read(spark, f"{tmp_path}/t.avro")
+    assert back.dtypes == df.dtypes
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    assert df.first().d == dt.date(2021, 2, 3)
+
+
+def test_backup_and_restore_all(spark, db, tmp_path, jobs):
+    tables.append_table(jobs, db, "jobs")
+    tables.append_table(jobs, db, "other")
+    jobs.createOrReplaceTempView("a_view")
+    manifest = backup_tables(spark, db, str(tmp_path)).drop("message")
+    assert rows(manifest) == [
+        (t, f"{tmp_path}/{t}.avro", "AVRO", "ok") for t in ("jobs", "other")
+    ]
+    target = sample.database(spark, {})
+    manifest = restore_tables(spark, str(tmp_path), target).drop("message")
+    assert rows(manifest) == [
+        (f"{tmp_path}/{t}.avro", f"{target}.{t}", "AVRO", "ok") for t in ("jobs", "other")
+    ]
+    assert rows(spark.table(f"{target}.jobs")) == rows(jobs)
+    restore_table(spark, str(tmp_path), target, "jobs")
+    assert spark.table(f"{target}.jobs").count() == 10
+    restore_table(spark, str(tmp_path), target, "jobs", mode="overwrite")
+    assert rows(spark.table(f"{target}.jobs")) == rows(jobs)
+
+
+def test_failed_backup_keeps_the_older_one(spark, db, tmp_path, jobs):
+    tables.append_table(jobs, db, "jobs")
+    backup_table(spark, db, str(tmp_path / "backup"), "jobs")
+    spark.sql(f"DROP TABLE {db}.jobs")
+    (tmp_path / "jobs.csv").write_text("4,d\nno number,e\n")
+    csv.create_raw_table(spark, f"{db}.jobs", str(tmp_path / "jobs.csv"), jobs.schema)
+    manifest = backup_tables(spark, db, str(tmp_path / "backup"), ["jobs", "missing"]).collect()
+    assert [(r.table_id, r.status) for r in manifest] == [("jobs", "error"), ("missing", "error")]
+    assert rows(avro.read(spark, f"{tmp_path}/backup/jobs.avro")) == rows(jobs)
+
+
+def test_restore_errors_are_reported(spark, db, tmp_path):
+    assert restore_table(spark, str(tmp_path), db, "jobs").first().status == "error"
+    with pytest.raises(ValueError):
+        restore_table(spark, str(tmp_path), db, "jobs", mode="merge")
+
+
+def test_refine(spark, db, jobs):
+    tables.append_table(jobs, db, "jobs")
+    tables.append_table(jobs, db, "not_a_base_table")
+    for _ in range(2):
+        assert [tuple(r) for r in refine(spark, db).collect()] == [("jobs", "ok", "refined", 3)]
+        assert rows(spark.table(f"{db}.jobs_refined")) == [(1, "a"), (2, None), (3, "c")]
+
+
+def test_refine_stores_dates(spark, db, star):
+    fact, _, _ = star([("2021-02-03T01:02:03Z", 1, 1), ("0", 1, 1), (None, 1, 1), ("x", 1, 1)])
+    tables.append_table(fact, db, "hired_employees")
+    refine(spark, db)
+    refined = spark.table(f"{db}.hired_employees_refined")
+    assert rows(refined, "id", "hire_date", "bad_date") == [
+        (1, dt.date(2021, 2, 3), False), (2, None, False), (3, None, False), (4, None, True),
+    ]
+
+
+def test_stored_reports(spark, db, star):
+    fact, dep, jobs = star([("2021-02-01", 1, 1), ("2021-02-01", 1, 1), ("2021-08-01", 2, 2)])
+    for name, df in (("hired_employees", fact), ("departments", dep), ("jobs", jobs)):
+        tables.append_table(df, db, name)
+    refine(spark, db)
+    for _ in range(2):
+        assert rows(summarise_year(spark, db, 2021)) == [
+            ("Law", "Lead", 0, 0, 1, 0), ("Sales", "Clerk", 2, 0, 0, 0),
+        ]
+        assert rows(store_departments_above_mean(spark, db, 2021)) == [(1, "Sales", 2)]
+    assert {"2021_summarize", "higher_hiring"} <= set(tables.list_tables(spark, db))
