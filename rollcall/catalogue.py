@@ -120,6 +120,11 @@ def hires_by_quarter(spark, sf_dir):
     return reports.hires_by_quarter(*sample.star(spark, sf_dir).values(), YEAR)
 
 
+@query("hires_by_quarter_large_lookup", quarter_sql(YEAR))
+def _(spark, sf_dir):
+    return reports.hires_by_quarter(*sample.star(spark, sf_dir).values(), YEAR, max_rows=0)
+
+
 @query(
     "hires_by_quarter_repeated_ids",
     f""", twice AS (
@@ -175,6 +180,12 @@ def _(spark, sf_dir):
     return reports.departments_above_mean(star[FACT], star["departments"], YEAR)
 
 
+@query("departments_above_mean_large_lookup", above_mean_sql(YEAR))
+def _(spark, sf_dir):
+    star = sample.star(spark, sf_dir)
+    return reports.departments_above_mean(star[FACT], star["departments"], YEAR, max_rows=0)
+
+
 @query("above_mean_empty_year", above_mean_sql(EMPTY_YEAR))
 def _(spark, sf_dir):
     star = sample.star(spark, sf_dir)

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-ROWS_PER_TASK = 10_000_000
+ROWS_PER_TASK = 2_000_000
+
+
+def are_small(
+    *dims: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[bool]:
+    """Measure lookup tables in one job: may every executor hold a copy of each?"""
 
+    def size(number: int, dim: DataFrame) -> DataFrame:
+        width = F.lit(0)
+        for field in dim.schema:
+            text = isinstance(field.dataType, T.StringType)
+            width += F.coalesce(F.octet_length(field.name), F.lit(0)) if text else F.lit(8)
+        total = F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
+        return dim.agg(F.lit(number), F.count("*"), total)
 
-def is_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES):
-    """Measure a lookup table: may every executor hold a copy of it?"""
-    width = F.lit(0)
-    for field in dim.schema:
-        text = isinstance(field.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) if text else F.lit(8))
-    rows, size = dim.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    sizes = reduce(DataFrame.unionAll, [size(i, dim) for i, dim in enumerate(dims)])
+    return [rows <= max_rows and width <= max_bytes for _, rows, width in sorted(sizes.collect())]
 
 
 def lookup_join(
@@ -27,22 +36,21 @@ def lookup_join(
     fact_key: str,
     dim_key: str,
     *,
+    small: bool,
     keys: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """All rows of ``fact`` with the matching columns of ``dim``, nulls if none.
 
-    A repeated key in ``dim`` repeats the fact row. A lookup table that measures
-    small is broadcast. A larger one is joined by shuffle, and each key held by
-    more than ``rows_per_task`` rows (the null key included) is split. These are
+    A repeated key in ``dim`` repeats the fact row. ``small`` is what
+    ``are_small`` found: a small lookup table is broadcast. A larger one is
+    joined by shuffle, and each key held by more than ``rows_per_task`` rows (the null key included) is split. These are
     counted in ``keys``, by default ``fact``; pass a frame that is cheaper to
     read when ``fact`` is itself a join. The counts bear on balance only, never
     on the result.
     """
     dim = dim.withColumnRenamed(dim_key, "_key")
-    if is_small(dim, max_rows, max_bytes):
+    if small:
         return fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_key"), "left").drop("_key")
 
     # One row per hot key, so never more than fact rows / rows_per_task of them.

@@ -1,11 +1,15 @@
 """The two yearly reports and the enriched facts below them.
 
 Facts may be a base table or a refined one; a refined table's stored
-``hire_date`` is used if there. Both reports count per id before they look up a
-name: one row per id and task is shuffled instead of one per hire, so a
-department or job with a large share of the hires is no hot key, and the joins
-see only counts. A lookup id that repeats multiplies the counts as it would
-multiply the hires.
+``hire_date`` is used if there.
+
+The reports never shuffle hires, only counts, so a department or job with a
+large share of the hires is no hot key. Lookup tables that measure small are
+broadcast, and hires are counted per name in the tasks that read them. With
+larger ones hires are first counted per id, and the names are joined to the
+counts; an id that repeats in a lookup table multiplies the counts as it would
+multiply the hires. ``limits`` are those of ``are_small`` and, for the enriched
+facts, ``lookup_join``.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import hire_date, in_year
-from ..operators.lookup import lookup_join
+from ..operators.lookup import ROWS_PER_TASK, are_small, lookup_join
 from ..schemas import FACT
 from ..sources import tables
 from .refine import refined_name
@@ -58,29 +62,35 @@ def hires_enriched(
     on_bad_date: str = "raise",
     **limits: int,
 ) -> DataFrame:
-    """Every hire with its date, department and job; nulls where unknown.
-
-    ``limits`` are the size limits of ``lookup_join``.
-    """
+    """Every hire with its date, department and job; nulls where unknown."""
     return _named(dated_hires(fact, on_bad_date), departments, jobs, **limits)
 
 
 def hires_in_year(
-    fact: DataFrame, departments: DataFrame, jobs: DataFrame, year: int, on_bad_date: str = "raise"
+    fact: DataFrame,
+    departments: DataFrame,
+    jobs: DataFrame,
+    year: int,
+    on_bad_date: str = "raise",
+    **limits: int,
 ) -> DataFrame:
     """Enriched hires of one year that have a department."""
-    rows = _named(hires_of_year(fact, year, on_bad_date), departments, jobs)
+    rows = _named(hires_of_year(fact, year, on_bad_date), departments, jobs, **limits)
     return rows.filter(F.col("department").isNotNull())
 
 
 def _named(
-    hires: DataFrame, departments: DataFrame, jobs: DataFrame, **limits: int
+    hires: DataFrame,
+    departments: DataFrame,
+    jobs: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
+    **limits: int,
 ) -> DataFrame:
-    with_department = lookup_join(hires, departments, "department_id", "id", **limits)
-    named = lookup_join(with_department, jobs, "job_id", "id", keys=hires, **limits)
-    return named.select(
-        "id", "name", "hire_date", "department_id", "department", "job"
-    )
+    few_departments, few_jobs = are_small(departments, jobs, **limits)
+    split = dict(keys=hires, rows_per_task=rows_per_task)
+    named = lookup_join(hires, departments, "department_id", "id", small=few_departments, **split)
+    named = lookup_join(named, jobs, "job_id", "id", small=few_jobs, **split)
+    return named.select("id", "name", "hire_date", "department_id", "department", "job")
 
 
 def _known_departments(departments: DataFrame) -> DataFrame:
@@ -90,61 +100,79 @@ def _known_departments(departments: DataFrame) -> DataFrame:
 
 
 def hires_by_quarter(
-    fact: DataFrame, departments: DataFrame, jobs: DataFrame, year: int, on_bad_date: str = "raise"
+    fact: DataFrame,
+    departments: DataFrame,
+    jobs: DataFrame,
+    year: int,
+    on_bad_date: str = "raise",
+    **limits: int,
 ) -> DataFrame:
     """Hires per department name, job name and quarter of one year.
 
     An unknown job is a group of its own; an unknown department is left out.
     """
-    quarter = F.quarter("hire_date")
-    counts = (
-        hires_of_year(fact, year, on_bad_date)
-        .groupBy("department_id", "job_id")
-        .agg(*[F.count_if(quarter == q).alias(f"Q{q}") for q in QUARTERS])
-    )
-    job_names = jobs.select(F.col("id").alias("job_id"), "job")
-    return (
-        counts.join(_known_departments(departments), "department_id")
-        .join(job_names, "job_id", "left")
-        .groupBy("department", "job")
-        .agg(*[F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS])
-        .orderBy("department", "job")
-    )
+    hires = hires_of_year(fact, year, on_bad_date)
+    departments = _known_departments(departments)
+    jobs = jobs.select(F.col("id").alias("job_id"), "job")
+    quarters = [F.count_if(F.quarter("hire_date") == q).alias(f"Q{q}") for q in QUARTERS]
+    if all(are_small(departments, jobs, **limits)):
+        named = hires.join(F.broadcast(departments), "department_id").join(
+            F.broadcast(jobs), "job_id", "left"
+        )
+        matrix = named.groupBy("department", "job").agg(*quarters)
+    else:
+        counts = hires.groupBy("department_id", "job_id").agg(*quarters)
+        named = counts.join(departments, "department_id").join(jobs, "job_id", "left")
+        matrix = named.groupBy("department", "job").agg(
+            *[F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS]
+        )
+    return matrix.orderBy("department", "job")
 
 
 def department_hires(
-    fact: DataFrame, departments: DataFrame, year: int, on_bad_date: str = "raise"
+    fact: DataFrame,
+    departments: DataFrame,
+    year: int,
+    on_bad_date: str = "raise",
+    **limits: int,
 ) -> DataFrame:
     """Hires of one year per department with at least one."""
-    counts = (
-        hires_of_year(fact, year, on_bad_date)
-        .groupBy("department_id")
-        .agg(F.count("*").alias("hires"))
-    )
-    return (
-        counts.join(_known_departments(departments), "department_id")
-        .groupBy(F.col("department_id").alias("id"), "department")
-        .agg(F.sum("hires").alias("hired"))
-    )
+    hires = hires_of_year(fact, year, on_bad_date)
+    departments = _known_departments(departments)
+    group = [F.col("department_id").alias("id"), "department"]
+    if all(are_small(departments, **limits)):
+        named = hires.join(F.broadcast(departments), "department_id")
+        return named.groupBy(*group).agg(F.count("*").alias("hired"))
+    counts = hires.groupBy("department_id").agg(F.count("*").alias("hires"))
+    named = counts.join(departments, "department_id")
+    return named.groupBy(*group).agg(F.sum("hires").alias("hired"))
 
 
 def mean_hires(
-    fact: DataFrame, departments: DataFrame, year: int, on_bad_date: str = "raise"
+    fact: DataFrame,
+    departments: DataFrame,
+    year: int,
+    on_bad_date: str = "raise",
+    **limits: int,
 ) -> DataFrame:
     """Mean hires of a department, over those with at least one; one row."""
-    hired = department_hires(fact, departments, year, on_bad_date)
+    hired = department_hires(fact, departments, year, on_bad_date, **limits)
     return hired.agg(F.avg("hired").alias("mean_hires"))
 
 
 def departments_above_mean(
-    fact: DataFrame, departments: DataFrame, year: int, on_bad_date: str = "raise"
+    fact: DataFrame,
+    departments: DataFrame,
+    year: int,
+    on_bad_date: str = "raise",
+    **limits: int,
 ) -> DataFrame:
     """Departments with more hires than the mean, most hires first.
 
     The mean is a scalar subquery over the same counts, so the facts are read
     once and nothing returns to the driver in between.
     """
-    hired = department_hires(fact, departments, year, on_bad_date)
+    hired = department_hires(fact, departments, year, on_bad_date, **limits)
     mean = hired.agg(F.avg("hired")).scalar()
     return hired.filter(F.col("hired") > mean).orderBy(F.desc("hired"), "id")
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
-from rollcall.operators.lookup import is_small, lookup_join
+from rollcall.operators.lookup import are_small, lookup_join
 
 
 @pytest.fixture
@@ -23,14 +23,14 @@ def plain(fact, dim):
 
 
 def test_small_lookup_is_broadcast(skewed):
-    joined = lookup_join(*skewed, "key", "dim_id")
+    joined = lookup_join(*skewed, "key", "dim_id", small=True)
     assert rows(joined, "id", "key", "label") == rows(plain(*skewed))
     assert "BroadcastHashJoin" in plan_of(joined)
 
 
 def test_large_lookup_is_shuffled_and_hot_keys_split(skewed, conf):
     conf(spark__sql__autoBroadcastJoinThreshold=-1)
-    joined = lookup_join(*skewed, "key", "dim_id", max_rows=10, rows_per_task=500)
+    joined = lookup_join(*skewed, "key", "dim_id", small=False, rows_per_task=500)
     assert joined.columns == ["id", "key", "label"]
     assert rows(joined) == rows(plain(*skewed))
     plan = plan_of(joined)
@@ -42,7 +42,7 @@ def test_no_group_of_the_shuffle_is_hot(skewed, conf):
     """The two keys that hold a third each are spread over many groups."""
     fact, dim = skewed
     conf(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled=False)
-    joined = lookup_join(fact, dim, "key", "dim_id", max_rows=10, rows_per_task=500)
+    joined = lookup_join(fact, dim, "key", "dim_id", small=False, rows_per_task=500)
     sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert sizes < joined.count() / 3
 
@@ -51,14 +51,15 @@ def test_counting_keys_elsewhere_changes_nothing(skewed, conf):
     fact, dim = skewed
     conf(spark__sql__autoBroadcastJoinThreshold=-1)
     joined = lookup_join(
-        fact, dim, "key", "dim_id", max_rows=0, rows_per_task=100, keys=fact.filter("key = 7")
+        fact, dim, "key", "dim_id", small=False, rows_per_task=100, keys=fact.filter("key = 7")
     )
     assert rows(joined) == rows(plain(fact, dim))
 
 
 def test_size_is_measured_in_rows_and_bytes(spark):
     dim = spark.range(100).select("id", F.lit("x" * 1000).alias("label"))
-    assert is_small(dim)
-    assert not is_small(dim, max_rows=99)
-    assert not is_small(dim, max_bytes=50_000)
-    assert is_small(dim.filter("id < 0"), max_rows=0)
+    few = dim.filter("id < 10")
+    assert are_small(dim, few) == [True, True]
+    assert are_small(dim, few, max_rows=99) == [False, True]
+    assert are_small(few, dim, max_bytes=50_000) == [True, False]
+    assert are_small(dim.filter("id < 0"), max_rows=0) == [True]

@@ -42,13 +42,21 @@ def test_lenient_year_reaches_the_scan(spark):
     assert "StringStartsWith(datetime,1997-)" in plan
 
 
-def test_counts_come_before_the_joins(refined):
+def test_small_lookups_are_joined_where_hires_are_read(refined):
     plan = plan_of(reports.hires_by_quarter(*refined, 1997), run=False)
+    assert plan.count("BroadcastHashJoin") == 2
+    assert plan.index("partial_count") < plan.index("Join")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_large_lookups_are_joined_to_counts(refined):
+    plan = plan_of(reports.hires_by_quarter(*refined, 1997, max_rows=0), run=False)
     assert plan.rindex("Join") < plan.index("partial_count")
 
 
-def test_facts_are_read_once_for_mean_and_filter(refined):
-    plan = plan_of(reports.departments_above_mean(refined[0], refined[1], 1997))
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_facts_are_read_once_for_mean_and_filter(refined, limits):
+    plan = plan_of(reports.departments_above_mean(refined[0], refined[1], 1997, **limits))
     final = plan.split("Initial Plan")[0]
     assert "ReusedExchange" in plan
     assert final.count("hired_employees_refined[") <= 1
