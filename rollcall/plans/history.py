@@ -61,11 +61,12 @@ def ingest(
     db: str,
     raw_db: str,
     schemas: dict[str, T.StructType] | None = None,
+    header: bool = False,
 ) -> DataFrame:
     """``{table}.csv`` -> external ``{raw_db}.{table}_raw`` -> distinct ``{db}.{table}``.
 
-    Each step has its report row. Without a raw table the base table is left as
-    it is.
+    A first line counts as data unless ``header`` is set. Each step has its
+    report row. Without a raw table the base table is left as it is.
     """
     known = schemas or {table: table_schema(table) for table in TABLES}
     found = files.tables_in(spark, src_dir, ".csv")
@@ -76,7 +77,7 @@ def ingest(
         raw = tables.table_name(raw_db, f"{table}_raw")
 
         def create_raw():
-            csv.create_raw_table(spark, raw, found[table], known[table])
+            csv.create_raw_table(spark, raw, found[table], known[table], header)
             return "created", None
 
         def create_base():

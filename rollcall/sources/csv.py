@@ -49,10 +49,11 @@ def write(df: DataFrame, path: str, header: bool = False) -> None:
     ).csv(path)
 
 
-def create_raw_table(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+def create_raw_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, header: bool = False
+) -> None:
     """Create or replace a table over CSV files that stay where they are."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    options = dict(FORMAT, **FILES, header="false", mode="FAILFAST")
-    listed = ", ".join(f"'{key}' '{value}'" for key, value in options.items())
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING csv OPTIONS ({listed}) LOCATION '{path}'")
+    spark.catalog.createTable(
+        name, path, "csv", schema, header=str(header).lower(), mode="FAILFAST", **FORMAT, **FILES
+    )

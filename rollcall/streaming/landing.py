@@ -1,7 +1,9 @@
 """The two landing paths as streams that read each file once.
 
 A micro-batch writes its own folder ``epoch=n`` and overwrites it if the batch
-is run again after a failure, so every row lands exactly once.
+is run again after a failure, so every row lands exactly once. A stream ends
+when it has read the files that are there, or with ``every="1 minute"`` looks
+for new ones until it is stopped.
 """
 
 from __future__ import annotations
@@ -25,11 +27,12 @@ from ..sources import csv, records
 FILES_PER_BATCH = 10_000
 
 
-def _start(rows: DataFrame, checkpoint_dir: str, write_batch) -> StreamingQuery:
+def _start(rows: DataFrame, checkpoint_dir: str, write_batch, every: str | None) -> StreamingQuery:
+    when = {"processingTime": every} if every else {"availableNow": True}
     return (
         rows.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
+        .trigger(**when)
         .start()
     )
 
@@ -47,6 +50,7 @@ def land_records(
     rejects_dir: str | None = None,
     max_rows: int = MAX_ROWS,
     files_per_batch: int = FILES_PER_BATCH,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Validated JSON records, up to ``max_rows`` per file."""
     schema = table_schema(table)
@@ -58,7 +62,7 @@ def land_records(
             _land(rejected_records(batch, schema), rejects_dir, epoch)
 
     rows = records.stream_records(spark, json_dir, schema, files_per_batch)
-    return _start(rows, checkpoint_dir, write_batch)
+    return _start(rows, checkpoint_dir, write_batch, every)
 
 
 def land_capped_csv(
@@ -69,6 +73,7 @@ def land_capped_csv(
     checkpoint_dir: str,
     max_rows: int = MAX_ROWS,
     files_per_batch: int = FILES_PER_BATCH,
+    every: str | None = None,
 ) -> StreamingQuery:
     """The first ``max_rows`` rows of each CSV file whose rows all fit."""
     schema = table_schema(table)
@@ -79,7 +84,7 @@ def land_capped_csv(
             _land(good.select(schema.names), landed_dir, epoch)
 
     lines = csv.stream_lines(spark, src_dir, schema, files_per_batch)
-    return _start(lines, checkpoint_dir, write_batch)
+    return _start(lines, checkpoint_dir, write_batch, every)
 
 
 def read_landed(spark: SparkSession, landed_dir: str, schema: T.StructType) -> DataFrame:

@@ -16,7 +16,7 @@ GOOD = {
     "0": None,
     None: None,
 }
-BAD = ["", "2021", "2021-5", "2021-02-30", "yesterday", "2021-13-01"]
+BAD = ["", "2021", "2021-5", "2021-02-30", "yesterday", "2021-13-01", "2021-1-5T0", "12021-01-01"]
 
 
 def dates(spark, texts, mode):

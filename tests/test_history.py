@@ -52,6 +52,10 @@ def test_ingest_keeps_going_and_keeps_the_old_table(spark, tmp_path, db):
     assert rows(spark.table(f"{db}.departments")) == [(2, "Tax")]
     assert tables.list_tables(spark, db) == ["departments", "jobs"]
 
+    report = report_of(ingest(spark, str(tmp_path), db, raw_db, header=True))
+    assert report["jobs"] == "ok"
+    assert rows(spark.table(f"{db}.jobs")) == [(3, "Cook")]
+
 
 def test_no_base_table_from_a_failed_raw_table(spark, tmp_path, db):
     put(tmp_path / "jobs.csv", "1,Clerk\n")

@@ -73,3 +73,16 @@ def test_landed_rows_are_refined_with_the_base_table(spark, db, tmp_path):
     tables.append_table(base, db, "jobs")
     refine(spark, db, landed_dirs={"jobs": landed})
     assert rows(spark.table(f"{db}.jobs_refined")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_running_stream_finds_new_files(spark, tmp_path):
+    source, landed, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    put(tmp_path / "in" / "1.csv", ["1,a"])
+    stream = land_capped_csv(spark, source, "jobs", landed, state, every="1 second")
+    try:
+        stream.processAllAvailable()
+        put(tmp_path / "in" / "2.csv", ["2,b"])
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    assert rows(read_landed(spark, landed, JOBS)) == [(1, "a"), (2, "b")]
