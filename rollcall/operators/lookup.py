@@ -38,7 +38,7 @@ def lookup_join(
     *,
     small: bool,
     keys: DataFrame | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """All rows of ``fact`` with the matching columns of ``dim``, nulls if none.
 
@@ -47,11 +47,14 @@ def lookup_join(
     joined by shuffle, and each key held by more than ``rows_per_task`` rows (the null key included) is split. These are
     counted in ``keys``, by default ``fact``; pass a frame that is cheaper to
     read when ``fact`` is itself a join. The counts bear on balance only, never
-    on the result.
+    on the result. ``rows_per_task=None`` splits nothing, for keys that cannot
+    repeat in ``fact``.
     """
     dim = dim.withColumnRenamed(dim_key, "_key")
     if small:
-        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_key"), "left").drop("_key")
+        dim = F.broadcast(dim)
+    if small or rows_per_task is None:
+        return fact.join(dim, F.col(fact_key) == F.col("_key"), "left").drop("_key")
 
     # One row per hot key, so never more than fact rows / rows_per_task of them.
     hot = (

@@ -19,8 +19,12 @@ MAX_ROWS = 1000
 
 
 def line_heads(lines: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Typed CSV lines, as many of each block as the cap could keep."""
-    return typed_lines(block_heads(with_position(lines), max_rows), schema)
+    """Typed CSV lines, as many of each block as the cap could keep.
+
+    Lines are cut before they are parsed: most of a long file is only read over.
+    """
+    heads = block_heads(with_position(lines), max_rows)
+    return typed_lines(csv.parse_lines(heads, schema), schema)
 
 
 def capped_lines(heads: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -70,7 +74,7 @@ def append_capped_csv(
         schema = table_schema(table)
 
         def step():
-            lines = csv.read_lines(spark, found[table], schema)
+            lines = csv.read_lines(spark, found[table])
             with written(line_heads(lines, schema, max_rows), "lines") as heads:
                 capped = capped_lines(heads, max_rows)
                 # A good file adds all its rows, a bad one none.

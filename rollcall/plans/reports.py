@@ -8,8 +8,8 @@ large share of the hires is no hot key. Lookup tables that measure small are
 broadcast, and hires are counted per name in the tasks that read them. With
 larger ones hires are first counted per id, and the names are joined to the
 counts; an id that repeats in a lookup table multiplies the counts as it would
-multiply the hires. ``limits`` are those of ``are_small`` and, for the enriched
-facts, ``lookup_join``.
+multiply the hires. ``limits`` are those of ``are_small``, ``rows_per_task`` that
+of ``lookup_join``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import hire_date, in_year
 from ..operators.lookup import ROWS_PER_TASK, are_small, lookup_join
 from ..schemas import FACT
+from ..session import checkpointed
 from ..sources import tables
 from .refine import refined_name
 
@@ -60,10 +61,11 @@ def hires_enriched(
     departments: DataFrame,
     jobs: DataFrame,
     on_bad_date: str = "raise",
+    rows_per_task: int = ROWS_PER_TASK,
     **limits: int,
 ) -> DataFrame:
     """Every hire with its date, department and job; nulls where unknown."""
-    return _named(dated_hires(fact, on_bad_date), departments, jobs, **limits)
+    return _enriched(dated_hires(fact, on_bad_date), departments, jobs, rows_per_task, limits)
 
 
 def hires_in_year(
@@ -72,30 +74,28 @@ def hires_in_year(
     jobs: DataFrame,
     year: int,
     on_bad_date: str = "raise",
+    rows_per_task: int = ROWS_PER_TASK,
     **limits: int,
 ) -> DataFrame:
     """Enriched hires of one year that have a department."""
-    rows = _named(hires_of_year(fact, year, on_bad_date), departments, jobs, **limits)
+    hires = hires_of_year(fact, year, on_bad_date)
+    rows = _enriched(hires, departments, jobs, rows_per_task, limits)
     return rows.filter(F.col("department").isNotNull())
 
 
-def _named(
-    hires: DataFrame,
-    departments: DataFrame,
-    jobs: DataFrame,
-    rows_per_task: int = ROWS_PER_TASK,
-    **limits: int,
-) -> DataFrame:
+def _enriched(hires, departments, jobs, rows_per_task, limits) -> DataFrame:
     few_departments, few_jobs = are_small(departments, jobs, **limits)
-    split = dict(keys=hires, rows_per_task=rows_per_task)
-    named = lookup_join(hires, departments, "department_id", "id", small=few_departments, **split)
-    named = lookup_join(named, jobs, "job_id", "id", small=few_jobs, **split)
+    named = _with_department(hires, departments, few_departments, rows_per_task)
+    # Keys are counted in the hires as read, not in the joined rows.
+    named = lookup_join(
+        named, jobs, "job_id", "id", small=few_jobs, keys=hires, rows_per_task=rows_per_task
+    )
     return named.select("id", "name", "hire_date", "department_id", "department", "job")
 
 
-def _known_departments(departments: DataFrame) -> DataFrame:
-    return departments.select(F.col("id").alias("department_id"), "department").filter(
-        F.col("department").isNotNull()
+def _with_department(rows, departments, small, rows_per_task) -> DataFrame:
+    return lookup_join(
+        rows, departments, "department_id", "id", small=small, rows_per_task=rows_per_task
     )
 
 
@@ -105,28 +105,25 @@ def hires_by_quarter(
     jobs: DataFrame,
     year: int,
     on_bad_date: str = "raise",
+    rows_per_task: int = ROWS_PER_TASK,
     **limits: int,
 ) -> DataFrame:
     """Hires per department name, job name and quarter of one year.
 
     An unknown job is a group of its own; an unknown department is left out.
     """
-    hires = hires_of_year(fact, year, on_bad_date)
-    departments = _known_departments(departments)
-    jobs = jobs.select(F.col("id").alias("job_id"), "job")
-    quarters = [F.count_if(F.quarter("hire_date") == q).alias(f"Q{q}") for q in QUARTERS]
-    if all(are_small(departments, jobs, **limits)):
-        named = hires.join(F.broadcast(departments), "department_id").join(
-            F.broadcast(jobs), "job_id", "left"
-        )
-        matrix = named.groupBy("department", "job").agg(*quarters)
-    else:
-        counts = hires.groupBy("department_id", "job_id").agg(*quarters)
-        named = counts.join(departments, "department_id").join(jobs, "job_id", "left")
-        matrix = named.groupBy("department", "job").agg(
-            *[F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS]
-        )
-    return matrix.orderBy("department", "job")
+    rows = hires_of_year(fact, year, on_bad_date)
+    totals = [F.count_if(F.quarter("hire_date") == q).alias(f"Q{q}") for q in QUARTERS]
+    few_departments, few_jobs = are_small(departments, jobs, **limits)
+    if not (few_departments and few_jobs):
+        rows = checkpointed(rows.groupBy("department_id", "job_id").agg(*totals))
+        totals = [F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS]
+    named = _with_department(rows, departments, few_departments, rows_per_task)
+    named = named.filter(F.col("department").isNotNull())
+    named = lookup_join(
+        named, jobs, "job_id", "id", small=few_jobs, keys=rows, rows_per_task=rows_per_task
+    )
+    return named.groupBy("department", "job").agg(*totals).orderBy("department", "job")
 
 
 def department_hires(
@@ -137,15 +134,17 @@ def department_hires(
     **limits: int,
 ) -> DataFrame:
     """Hires of one year per department with at least one."""
-    hires = hires_of_year(fact, year, on_bad_date)
-    departments = _known_departments(departments)
+    rows = hires_of_year(fact, year, on_bad_date).select("department_id")
+    total = F.count("*")
+    (few_departments,) = are_small(departments, **limits)
+    if not few_departments:
+        rows = rows.groupBy("department_id").agg(total.alias("hires"))
+        total = F.sum("hires")
+    # Lookups are broadcast, or joined to one count per key: no key is hot.
+    named = _with_department(rows, departments, few_departments, None)
+    named = named.filter(F.col("department").isNotNull())
     group = [F.col("department_id").alias("id"), "department"]
-    if all(are_small(departments, **limits)):
-        named = hires.join(F.broadcast(departments), "department_id")
-        return named.groupBy(*group).agg(F.count("*").alias("hired"))
-    counts = hires.groupBy("department_id").agg(F.count("*").alias("hires"))
-    named = counts.join(departments, "department_id")
-    return named.groupBy(*group).agg(F.sum("hires").alias("hired"))
+    return named.groupBy(*group).agg(total.alias("hired"))
 
 
 def mean_hires(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from .sources.files import remove_folder
 
 
+# A reduce task's share of a shuffle, and the most tasks worth having.
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Session settings for jobs that shuffle a whole table of this size.
+
+    Adaptive execution merges small partitions but never adds any, so the number
+    to start from has to follow the data.
+    """
+    partitions = min(max(math.ceil(input_bytes / SHUFFLE_BYTES), 200), MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_BYTES),
+    }
+
+
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -44,6 +66,17 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rollcall/{purpose}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and kept in the shared folder.
+
+    For a frame that a lazy result uses several times.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(run_dir(df.sparkSession, "checkpoint"))
+    return df.checkpoint()
+
+
 @contextmanager
 def written(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
     """The rows of ``df`` from a folder they are written to once.

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.file_head import with_origin
 from ..operators.typed import CORRUPT
-from ..schemas import text_schema
 
 FORMAT = {"sep": ",", "quote": '"', "escape": '"'}
 # Every .csv file at any depth below the given path.
@@ -25,19 +25,26 @@ def read_declared(
     )
 
 
-def _lines(reader, path: str, schema: T.StructType) -> DataFrame:
-    columns = text_schema(schema).add(CORRUPT, T.StringType())
-    options = dict(FORMAT, **FILES, header="false", columnNameOfCorruptRecord=CORRUPT)
-    return with_origin(reader.schema(columns).options(**options).csv(path))
+def _lines(reader, path: str) -> DataFrame:
+    lines = with_origin(reader.options(**FILES).text(path))
+    return lines.filter(F.trim("value") != "")
 
 
-def read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All columns as text, with the origin of each line and its misfits marked."""
-    return _lines(spark.read, path, schema)
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines as they are, with their origin; parse the ones that are wanted."""
+    return _lines(spark.read, path)
 
 
-def stream_lines(spark: SparkSession, path: str, schema: T.StructType, files: int) -> DataFrame:
-    return _lines(spark.readStream.option("maxFilesPerTrigger", files), path, schema)
+def stream_lines(spark: SparkSession, path: str, files: int) -> DataFrame:
+    return _lines(spark.readStream.option("maxFilesPerTrigger", files), path)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of each line as text, and the line itself if it does not fit."""
+    columns = ", ".join(f"`{name}` STRING" for name in [*schema.names, CORRUPT])
+    fields = F.from_csv("value", columns, {**FORMAT, "columnNameOfCorruptRecord": CORRUPT})
+    rest = [c for c in lines.columns if c != "value"]
+    return lines.select(fields.alias("_fields"), *rest).select("_fields.*", *rest)
 
 
 def write(df: DataFrame, path: str, header: bool = False) -> None:

@@ -83,7 +83,7 @@ def land_capped_csv(
             good = capped_lines(heads, max_rows).filter("_good")
             _land(good.select(schema.names), landed_dir, epoch)
 
-    lines = csv.stream_lines(spark, src_dir, schema, files_per_batch)
+    lines = csv.stream_lines(spark, src_dir, files_per_batch)
     return _start(lines, checkpoint_dir, write_batch, every)
 
 

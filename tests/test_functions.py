@@ -8,6 +8,7 @@ from conftest import rows
 from rollcall.functions.dates import hire_date, in_year, quarter_label
 from rollcall.operators.normalise import normalise_history
 from rollcall.schemas import TABLES, read_schema, schema_from_text, table_schema
+from rollcall.session import settings_for
 
 GOOD = {
     "2021-11-07T02:48:42Z": dt.date(2021, 11, 7),
@@ -78,3 +79,10 @@ def test_schema_text(spark, tmp_path):
     path.write_text("id INT64,\njob STRING\n")
     assert read_schema(spark, str(path)) == table_schema("jobs")
     assert set(TABLES) == {"hired_employees", "departments", "jobs"}
+
+
+def test_settings_follow_the_size(spark):
+    partitions = [
+        int(settings_for(size)["spark.sql.shuffle.partitions"]) for size in (0, 2**40, 100 * 2**40)
+    ]
+    assert partitions == [200, 4096, 100_000]

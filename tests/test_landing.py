@@ -29,11 +29,11 @@ def test_first_rows_of_each_file_over_many_blocks(spark, tmp_path, conf):
         put(tmp_path / f"{name}.csv", (f"{i},job {name}{i}" for i in range(3000)))
     for size in (2_000, 30_000, 10_000_000):
         conf(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes=0)
-        lines = with_position(csv.read_lines(spark, str(tmp_path), JOBS))
+        lines = with_position(csv.read_lines(spark, str(tmp_path)))
         blocks = lines.select("_file", "_block").distinct().count()
         assert blocks > 20 if size == 2_000 else blocks >= 2
         heads = block_heads(lines, 1000)
-        kept = cap_files(heads, 1000).collect()
+        kept = csv.parse_lines(cap_files(heads, 1000), JOBS).collect()
         expected = [(str(i), f"job {name}{i}", i + 1) for name in "ab" for i in range(1000)]
         assert sorted((r.id, r.job, r._row) for r in kept) == sorted(expected)
 
@@ -41,11 +41,11 @@ def test_first_rows_of_each_file_over_many_blocks(spark, tmp_path, conf):
 def test_one_long_file_is_cut_before_the_shuffle(spark, tmp_path, conf):
     put(tmp_path / "jobs.csv", (f"{i},j" for i in range(5000)))
     conf(spark__sql__files__maxPartitionBytes=4_000, spark__sql__files__openCostInBytes=0)
-    heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path), JOBS)), 10)
+    heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path))), 10)
     plan = heads._jdf.queryExecution().executedPlan().toString()
     below_shuffle = plan[plan.rindex("Exchange") :]
     assert "WindowGroupLimit" in below_shuffle and "Partial" in below_shuffle
-    kept = cap_files(heads, 10)
+    kept = csv.parse_lines(cap_files(heads, 10), JOBS)
     assert sorted(int(r.id) for r in kept.collect()) == list(range(10))
 
 

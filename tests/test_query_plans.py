@@ -51,6 +51,8 @@ def test_small_lookups_are_joined_where_hires_are_read(refined):
 
 def test_large_lookups_are_joined_to_counts(refined):
     plan = plan_of(reports.hires_by_quarter(*refined, 1997, max_rows=0), run=False)
+    assert "hired_employees_refined" not in plan and "ExistingRDD" in plan
+    plan = plan_of(reports.department_hires(*refined[:2], 1997, max_rows=0), run=False)
     assert plan.rindex("Join") < plan.index("partial_count")
 
 

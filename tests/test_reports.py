@@ -156,3 +156,16 @@ def test_reports_agree_with_the_enriched_rows(star, hires):
     per_department = reports.department_hires(fact, dep, 2021)
     assert rows(per_department) == rows(reports.department_hires(fact, dep, 2021, max_rows=0))
     assert (per_department.agg(F.sum("hired")).first()[0] or 0) == found
+
+
+def test_large_lookups_with_hot_keys(spark, conf):
+    """Counts, too, are split by key when one key holds many of them."""
+    conf(spark__sql__autoBroadcastJoinThreshold=-1)
+    fact, dep, jobs = sample.star(spark, "/root/testdata/sf0.001").values()
+    large = dict(max_rows=0, rows_per_task=2)
+    assert rows(reports.hires_by_quarter(fact, dep, jobs, 1997, **large)) == rows(
+        reports.hires_by_quarter(fact, dep, jobs, 1997)
+    )
+    assert rows(reports.departments_above_mean(fact, dep, 1997, max_rows=0)) == rows(
+        reports.departments_above_mean(fact, dep, 1997)
+    )
