@@ -84,6 +84,7 @@ def hires_in_year(
 
 
 def _enriched(hires, departments, jobs, rows_per_task, limits) -> DataFrame:
+    departments, jobs = departments.select("id", "department"), jobs.select("id", "job")
     few_departments, few_jobs = are_small(departments, jobs, **limits)
     named = _with_department(hires, departments, few_departments, rows_per_task)
     # Keys are counted in the hires as read, not in the joined rows.
@@ -114,6 +115,7 @@ def hires_by_quarter(
     """
     rows = hires_of_year(fact, year, on_bad_date)
     totals = [F.count_if(F.quarter("hire_date") == q).alias(f"Q{q}") for q in QUARTERS]
+    departments, jobs = departments.select("id", "department"), jobs.select("id", "job")
     few_departments, few_jobs = are_small(departments, jobs, **limits)
     if not (few_departments and few_jobs):
         rows = checkpointed(rows.groupBy("department_id", "job_id").agg(*totals))
@@ -136,6 +138,7 @@ def department_hires(
     """Hires of one year per department with at least one."""
     rows = hires_of_year(fact, year, on_bad_date).select("department_id")
     total = F.count("*")
+    departments = departments.select("id", "department")
     (few_departments,) = are_small(departments, **limits)
     if not few_departments:
         rows = rows.groupBy("department_id").agg(total.alias("hires"))

@@ -16,7 +16,7 @@ BUILT_IN = "org.apache.spark.sql.avro.AvroFileFormat"
 def avro_format(spark: SparkSession) -> str:
     """``avro`` if its module is deployed, else the class inside Spark."""
     try:
-        spark.read.format("avro").schema("x INT").load("/")
+        spark.read.format("avro").schema("x INT").load([])
     except AnalysisException as error:
         if "Failed to find data source" in str(error):
             return BUILT_IN

@@ -5,7 +5,12 @@ import pytest
 from conftest import rows
 from rollcall import sample
 from rollcall.plans.refine import refine
-from rollcall.plans.reports import store_departments_above_mean, summarise_year
+from rollcall.plans.reports import (
+    hires_by_quarter,
+    hires_enriched,
+    store_departments_above_mean,
+    summarise_year,
+)
 from rollcall.plans.snapshot import backup_table, backup_tables, restore_table, restore_tables
 from rollcall.sources import avro, csv, tables
 
@@ -115,3 +120,39 @@ def test_stored_reports(spark, db, star):
         ]
         assert rows(store_departments_above_mean(spark, db, 2021)) == [(1, "Sales", 2)]
     assert {"2021_summarize", "higher_hiring"} <= set(tables.list_tables(spark, db))
+
+
+def test_empty_tables_survive_every_step(spark, db, star, tmp_path):
+    fact, dep, jobs = star([])
+    for name, df in (("hired_employees", fact), ("departments", dep), ("jobs", jobs)):
+        tables.append_table(df.filter("id < 0"), db, name)
+    backup_tables(spark, db, str(tmp_path))
+    other = sample.database(spark, {})
+    assert {r.status for r in restore_tables(spark, str(tmp_path), other).collect()} == {"ok"}
+    assert {(r.status, r.rows) for r in refine(spark, other).collect()} == {("ok", 0)}
+    assert rows(summarise_year(spark, other, 2021)) == []
+    assert rows(store_departments_above_mean(spark, other, 2021)) == []
+
+
+def test_refined_and_report_tables_are_backed_up_too(spark, db, star, tmp_path):
+    fact, dep, jobs = star([("2021-02-01", 1, 1), ("0", 2, 1)])
+    for name, df in (("hired_employees", fact), ("departments", dep), ("jobs", jobs)):
+        tables.append_table(df, db, name)
+    refine(spark, db)
+    summarise_year(spark, db, 2021)
+    backup_tables(spark, db, str(tmp_path))
+    other = sample.database(spark, {})
+    restore_tables(spark, str(tmp_path), other)
+    names = tables.list_tables(spark, db)
+    assert tables.list_tables(spark, other) == names and "2021_summarize" in names
+    for name in names:
+        ours = spark.table(tables.table_name(other, name))
+        theirs = spark.table(tables.table_name(db, name))
+        assert ours.dtypes == theirs.dtypes and rows(ours) == rows(theirs)
+
+
+def test_lookups_may_have_more_columns(spark, star):
+    fact, dep, jobs = star([("2021-02-01", 1, 1)])
+    dep, jobs = dep.selectExpr("*", "id AS job_id"), jobs.selectExpr("*", "'x' AS name")
+    assert rows(hires_by_quarter(fact, dep, jobs, 2021)) == [("Sales", "Clerk", 1, 0, 0, 0)]
+    assert hires_enriched(fact, dep, jobs).count() == 1
