@@ -56,7 +56,8 @@ def lookup_join(
     if small or rows_per_task is None:
         return fact.join(dim, F.col(fact_key) == F.col("_key"), "left").drop("_key")
 
-    # One row per hot key, so never more than fact rows / rows_per_task of them.
+    # One row per hot key, so never more than fact rows / rows_per_task of them:
+    # with the default, a million for two trillion facts.
     hot = (
         (fact if keys is None else keys)
         .groupBy(F.col(fact_key).alias("_hot"))
