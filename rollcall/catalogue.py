@@ -497,17 +497,20 @@ def _(spark, sf_dir):
     return counts[0].unionAll(counts[1]).unionAll(counts[2])
 
 
-@query("backup_replaces_older", "SELECT * FROM hired_employees WHERE id % 2 = 0")
+@query(
+    "backup_replaces_older",
+    "SELECT id, upper(name) AS name, datetime, department_id, job_id FROM hired_employees",
+)
 def _(spark, sf_dir):
     """A second snapshot takes the first one's place; overwrite restores it alone."""
     hires = sample.star(spark, sf_dir)[FACT]
     folder = run_dir(spark, "backup")
-    whole = sample.database(spark, {FACT: hires})
-    snapshot.backup_table(spark, whole, folder, FACT)
-    half = sample.database(spark, {FACT: hires.filter("id % 2 = 0")})
-    snapshot.backup_table(spark, half, folder, FACT)
-    snapshot.restore_table(spark, folder, whole, FACT, mode="overwrite")
-    return spark.table(tables.table_name(whole, FACT))
+    first = sample.database(spark, {FACT: hires})
+    snapshot.backup_table(spark, first, folder, FACT)
+    second = sample.database(spark, {FACT: hires.withColumn("name", F.upper("name"))})
+    snapshot.backup_table(spark, second, folder, FACT)
+    snapshot.restore_table(spark, folder, first, FACT, mode="overwrite")
+    return spark.table(tables.table_name(first, FACT))
 
 
 @per_table("restore_then_refine", "SELECT DISTINCT * FROM {t}")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ORIGIN = ["_file", "_block"]
+# Above this many rows Spark would not cut the blocks where they are read.
+CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def with_origin(scan: DataFrame) -> DataFrame:
@@ -25,8 +27,12 @@ def with_position(rows: DataFrame) -> DataFrame:
 def block_heads(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of each block, numbered; all that a cap can keep.
 
-    Spark cuts each block in the task that reads it, before the shuffle.
+    Spark cuts each block in the task that reads it, before the shuffle; for a
+    large ``n`` this raises the session's limit on doing so.
     """
+    settings = rows.sparkSession.conf
+    if int(settings.get(CUT_SETTING)) < n:
+        settings.set(CUT_SETTING, str(n))
     in_block = Window.partitionBy(*ORIGIN).orderBy("_pos")
     numbered = rows.withColumn("_row", F.row_number().over(in_block))
     return numbered.filter(F.col("_row") <= n).drop("_pos")

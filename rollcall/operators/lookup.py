@@ -22,7 +22,8 @@ def are_small(
         width = F.lit(0)
         for field in dim.schema:
             text = isinstance(field.dataType, T.StringType)
-            width += F.coalesce(F.octet_length(field.name), F.lit(0)) if text else F.lit(8)
+            length = F.octet_length(field.name) if text else F.lit(8)
+            width += F.coalesce(length, F.lit(0))
         total = F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
         return dim.agg(F.lit(number), F.count("*"), total)
 

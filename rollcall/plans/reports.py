@@ -28,7 +28,7 @@ QUARTERS = (1, 2, 3, 4)
 
 
 def _is_stored(fact: DataFrame) -> bool:
-    return "hire_date" in fact.columns
+    return {"hire_date", "bad_date"} <= set(fact.columns)
 
 
 def dated_hires(fact: DataFrame, on_bad_date: str = "raise") -> DataFrame:

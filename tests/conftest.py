@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = local_session(
         "*",
-        8,
+        4,
         spark__checkpoint__dir=base / "shared",
         spark__sql__warehouse__dir=base / "warehouse",
     )

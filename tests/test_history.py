@@ -25,7 +25,11 @@ def test_normalise_files(spark, tmp_path):
     )
     report = normalise_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert report_of(report) == {"hired_employees": "ok", "jobs": "ok", "people": "skipped"}
-    read = lambda t: csv.read_declared(spark, str(tmp_path / "out" / f"{t}.csv"), table_schema(t))
+
+    def read(table):
+        path = str(tmp_path / "out" / f"{table}.csv")
+        return csv.read_declared(spark, path, table_schema(table))
+
     assert rows(read("hired_employees")) == [
         (1, "Ann", "2021-01-01T00:00:00Z", 3, 0), (2, "0", "0", 0, 4),
     ]

@@ -49,6 +49,14 @@ def test_one_long_file_is_cut_before_the_shuffle(spark, tmp_path, conf):
     assert sorted(int(r.id) for r in kept.collect()) == list(range(10))
 
 
+@pytest.mark.parametrize("n", [1000, 50_000])
+def test_blocks_are_cut_whatever_the_cap(spark, tmp_path, conf, n):
+    conf(spark__sql__optimizer__windowGroupLimitThreshold=1000)
+    put(tmp_path / "jobs.csv", ["1,a"])
+    heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path))), n)
+    assert "Partial" in heads._jdf.queryExecution().executedPlan().toString()
+
+
 def test_append_capped(spark, tmp_path, db):
     put(tmp_path / "jobs.csv" / "x" / "1.csv", (f"{i},one" for i in range(5)))
     put(tmp_path / "jobs.csv" / "2.csv", (f"{i},two" for i in range(2)))

@@ -29,7 +29,8 @@ def test_same_rows_as_sql(spark, con, key):
     df = entry_point.queries()[key](spark, SF_DIR)
     columns = sorted(df.columns)
     ours = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
-    result = con.execute(f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({entry_point.oracle_sql()[key]})")
+    names = ", ".join(f'"{c}"' for c in columns)
+    result = con.execute(f"SELECT {names} FROM ({entry_point.oracle_sql()[key]})")
     assert ours == sorted(repr(r) for r in result.fetchall())
 
 
