@@ -45,11 +45,12 @@ def lookup_join(
 
     A repeated key in ``dim`` repeats the fact row. ``small`` is what
     ``are_small`` found: a small lookup table is broadcast. A larger one is
-    joined by shuffle, and each key held by more than ``rows_per_task`` rows (the null key included) is split. These are
-    counted in ``keys``, by default ``fact``; pass a frame that is cheaper to
-    read when ``fact`` is itself a join. The counts bear on balance only, never
-    on the result. ``rows_per_task=None`` splits nothing, for keys that cannot
-    repeat in ``fact``.
+    joined by shuffle, and each key held by more than ``rows_per_task`` rows (the
+    null key included) is split. These are counted in ``keys``, by default
+    ``fact``; pass a frame that is cheaper to read when ``fact`` is itself a
+    join. The counts bear on balance only, never on the result.
+    ``rows_per_task=None`` splits nothing, for keys that cannot repeat in
+    ``fact``.
     """
     dim = dim.withColumnRenamed(dim_key, "_key")
     if small:

@@ -63,3 +63,11 @@ def test_size_is_measured_in_rows_and_bytes(spark):
     assert are_small(dim, few, max_rows=99) == [False, True]
     assert are_small(few, dim, max_bytes=50_000) == [True, False]
     assert are_small(dim.filter("id < 0"), max_rows=0) == [True]
+
+
+def test_the_split_is_the_same_when_run_again(skewed, conf):
+    """A task that runs again after a loss sends its rows where they went before."""
+    conf(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled=False)
+    joined = lookup_join(*skewed, "key", "dim_id", small=False, rows_per_task=500)
+    placed = joined.withColumn("at", F.spark_partition_id())
+    assert rows(placed) == rows(placed)
