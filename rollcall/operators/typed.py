@@ -15,15 +15,30 @@ def _all_of(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
+def _is_nested(name: str) -> Column:
+    """Whether a string field holds an object or a list, which arrive as text.
+
+    Only a text that looks like one is looked up in the record.
+    """
+    value = F.try_variant_get(F.try_parse_json("_record"), f"$.{name}", "variant")
+    kind = F.when(F.col(name).rlike(r"^\s*[\[{]"), F.schema_of_variant(value))
+    return F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
+
 def typed_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Records by name: every field is required and must fit its type.
 
     Adds ``_ok``. Rejected records keep the values that did convert.
     """
-    cast = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
-    ok = [F.col(f.name).try_cast(f.dataType).isNotNull() for f in schema]
+    cast, ok = [], [F.col(CORRUPT).isNull()]
+    for f in schema:
+        value = F.col(f.name).try_cast(f.dataType)
+        cast.append(value.alias(f.name))
+        ok.append(value.isNotNull())
+        if isinstance(f.dataType, T.StringType):
+            ok.append(~_is_nested(f.name))
     rest = [c for c in rows.columns if c not in schema.names]
-    return rows.select(*cast, *rest, (_all_of(ok) & F.col(CORRUPT).isNull()).alias("_ok"))
+    return rows.select(*cast, *rest, _all_of(ok).alias("_ok")).drop(CORRUPT)
 
 
 def typed_lines(rows: DataFrame, schema: T.StructType) -> DataFrame:

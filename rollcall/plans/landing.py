@@ -37,7 +37,8 @@ def capped_lines(heads: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
 
 def record_heads(rows: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
     """Accepted records, as many of each block as the cap could keep."""
-    accepted = typed_records(with_position(rows), schema).filter("_ok")
+    parsed = records.parse_records(with_position(rows), schema)
+    accepted = typed_records(parsed, schema).filter("_ok").drop("_record")
     return block_heads(accepted, max_rows)
 
 
@@ -49,8 +50,9 @@ def capped_records(
 
 
 def rejected_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Every record that is no valid row of the table, with its file."""
-    return typed_records(rows, schema).filter("NOT _ok").drop("_ok", "_block")
+    """Every record that is no valid row of the table, as it came and with its file."""
+    parsed = records.parse_records(rows, schema)
+    return typed_records(parsed, schema).filter("NOT _ok").drop("_ok", "_block")
 
 
 def append_capped_csv(
@@ -111,7 +113,7 @@ def append_records(
     schema = table_schema(table)
 
     def step():
-        rows = records.read_records(spark, json_dir, schema)
+        rows = records.read_records(spark, json_dir)
         with written(record_heads(rows, schema, max_rows), "records") as heads:
             capped = capped_records(heads, schema, max_rows)
             count = capped.count()

@@ -43,11 +43,6 @@ def read_schema(spark: SparkSession, path: str) -> T.StructType:
     return schema_from_text(spark.read.text(path, wholetext=True).first()[0])
 
 
-def text_schema(schema: T.StructType) -> T.StructType:
-    """The same columns, all as strings, for inputs that are checked by us."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in schema.names])
-
-
 def history_schema(schema: T.StructType) -> T.StructType:
     """Integer columns of a history file may carry fractions (``3.0``).
 

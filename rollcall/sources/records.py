@@ -3,22 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.file_head import with_origin
 from ..operators.typed import CORRUPT
-from ..schemas import text_schema
 
 
-def _records(reader, path: str, schema: T.StructType) -> DataFrame:
-    columns = text_schema(schema).add(CORRUPT, T.StringType())
-    options = {"columnNameOfCorruptRecord": CORRUPT, "recursiveFileLookup": "true"}
-    return with_origin(reader.schema(columns).options(**options).json(path))
+def _records(reader, path: str) -> DataFrame:
+    lines = with_origin(reader.option("recursiveFileLookup", "true").text(path))
+    return lines.filter(F.trim("value") != "").withColumnRenamed("value", "_record")
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _records(spark.read, path, schema)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    return _records(spark.read, path)
 
 
-def stream_records(spark: SparkSession, path: str, schema: T.StructType, files: int) -> DataFrame:
-    return _records(spark.readStream.option("maxFilesPerTrigger", files), path, schema)
+def stream_records(spark: SparkSession, path: str, files: int) -> DataFrame:
+    return _records(spark.readStream.option("maxFilesPerTrigger", files), path)
+
+
+def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of each record as text, beside the record itself.
+
+    ``inline`` keeps later filters above the parsing, so a record is parsed once
+    and not once per field that is tested.
+    """
+    columns = ", ".join(f"`{name}` STRING" for name in [*schema.names, CORRUPT])
+    fields = F.from_json("_record", columns, {"columnNameOfCorruptRecord": CORRUPT})
+    return records.select(F.inline(F.array(fields)), *records.columns)

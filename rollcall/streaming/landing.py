@@ -61,7 +61,7 @@ def land_records(
         if rejects_dir:
             _land(rejected_records(batch, schema), rejects_dir, epoch)
 
-    rows = records.stream_records(spark, json_dir, schema, files_per_batch)
+    rows = records.stream_records(spark, json_dir, files_per_batch)
     return _start(rows, checkpoint_dir, write_batch, every)
 
 

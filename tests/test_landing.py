@@ -105,6 +105,12 @@ RECORDS = [
     json.dumps({"id": 1.0, "department": "float"}),
     json.dumps({"id": 3, "department": None}),
     "{not json}",
+    json.dumps({"id": 4, "department": {"name": "object"}}),
+    json.dumps({"id": 5, "department": ["list"]}),
+    json.dumps([{"id": 6, "department": "record in a list"}]),
+    json.dumps({"id": 7, "department": "[text] {like} one"}),
+    json.dumps({"id": 8, "department": '{"quoted": "object"}'}),
+    json.dumps({"id": 9, "department": 10}),
 ]
 
 
@@ -112,9 +118,13 @@ def test_append_records(spark, tmp_path, db):
     put(tmp_path / "in" / "a.json", RECORDS)
     rejects = str(tmp_path / "rejects")
     done = append_records(spark, str(tmp_path / "in"), db, "departments", rejects_dir=rejects)
-    assert report_of(done) == {"departments": ("ok", 2)}
-    assert rows(table(spark, db, "departments")) == [(1, "Human Resources"), (2, "Law")]
-    assert spark.read.parquet(rejects).count() == 6
+    assert report_of(done) == {"departments": ("ok", 5)}
+    assert rows(table(spark, db, "departments")) == [
+        (1, "Human Resources"), (2, "Law"), (7, "[text] {like} one"),
+        (8, '{"quoted": "object"}'), (9, "10"),
+    ]
+    refused = spark.read.parquet(rejects)
+    assert sorted(r._record for r in refused.collect()) == sorted(RECORDS[2:11])
 
 
 def test_record_cap_counts_accepted_records_per_file(spark, tmp_path, db):

@@ -5,8 +5,10 @@ import pytest
 from conftest import plan_of
 from rollcall import catalogue, sample
 from rollcall.operators.refined import refine_rows
-from rollcall.plans import reports
+from rollcall.plans import landing, reports
 from rollcall.plans.refine import refine
+from rollcall.schemas import table_schema
+from rollcall.sources import csv, records
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -69,3 +71,13 @@ def test_copies_collapse_before_the_shuffle(spark):
     plan = plan_of(refine_rows(hires), run=False)
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
     assert plan.rindex("HashAggregate") > plan.index("Exchange")
+
+
+def test_text_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,a\n")
+    schema = table_schema("jobs")
+    lines = landing.line_heads(csv.read_lines(spark, str(tmp_path)), schema)
+    assert plan_of(lines, run=False).count("from_csv") == 1
+    found = records.read_records(spark, str(tmp_path))
+    for df in (landing.record_heads(found, schema), landing.rejected_records(found, schema)):
+        assert plan_of(df, run=False).count("from_json") == 1
