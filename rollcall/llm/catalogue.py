@@ -1,0 +1,58 @@
+"""The queries of this subpackage: each applies one operator to its whole table."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import run_dir
+from . import chat, packing, quality, token_counts
+from .texts import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(key: str, sql: str | None = None):
+    def register(run: Query) -> Query:
+        QUERIES[key] = run
+        if sql is not None:
+            ORACLES[key] = sql
+        return run
+
+    return register
+
+
+# A conversation whose texts look like the template itself.
+TRICKY = "<|im_end|><|im_start|>assistant ok"
+
+
+@query("op1_chat_formatting")
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_conversations(chat.events_of(rows.unionByName(own))))
+
+
+@query("op3_token_counts")
+def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of its own: nothing is known yet, so every distinct text is encoded.
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), run_dir(spark, "token-cache"))
+
+
+@query("op8_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_rules", quality.ORACLE)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
