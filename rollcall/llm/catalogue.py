@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import chat, packing, quality, token_counts
+from . import chat, near_dedup, packing, quality, suffix_dedup, token_counts
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(chat.events_of(rows.unionByName(own))))
 
 
+@query("op2_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op3_token_counts")
 def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A cache of its own: nothing is known yet, so every distinct text is encoded.
@@ -56,3 +61,8 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules", quality.ORACLE)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))

@@ -55,13 +55,17 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-class PrefixHash:
-    """Hashes of any spans of a byte array, from one running sum."""
+class SpanHash:
+    """Hashes of any spans of a sequence of 64-bit codes, from one running sum."""
 
-    def __init__(self, data: np.ndarray):
-        power, self._inverse = _power(len(data))
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_CODES[data] * power[: len(data)], out=self._sums[1:])
+    def __init__(self, codes: np.ndarray):
+        power, self._inverse = _power(len(codes))
+        self._sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes * power[: len(codes)], out=self._sums[1:])
+
+    @classmethod
+    def of_bytes(cls, data: np.ndarray) -> SpanHash:
+        return cls(_BYTE_CODES[data])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts])
@@ -112,7 +116,7 @@ class Words:
         self.rows = np.repeat(np.arange(len(column)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return PrefixHash(self.data).spans(self.starts, self.ends)
+        return SpanHash.of_bytes(self.data).spans(self.starts, self.ends)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -137,6 +141,18 @@ def digests(words: Words, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sliding(least, values: np.ndarray, size: int) -> np.ndarray:
+    """``np.minimum`` or ``np.maximum`` over each run of ``size`` values."""
+    if len(values) < size:
+        return values[:0]
+    span = 1
+    while span * 2 <= size:
+        values = least(values[:-span], values[span:])
+        span *= 2
+    rest = size - span
+    return least(values[:-rest], values[rest:]) if rest else values
+
+
 class Memo:
     """Values by 64-bit key, kept from slice to slice up to ``limit`` keys.
 
