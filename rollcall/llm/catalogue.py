@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import chat, near_dedup, packing, quality, suffix_dedup, token_counts
-from .texts import table
+from . import (
+    chat,
+    decontamination,
+    html_extraction,
+    language_id,
+    near_dedup,
+    packing,
+    quality,
+    suffix_dedup,
+    token_counts,
+)
+from .texts import in_training, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +63,23 @@ def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), run_dir(spark, "token-cache"))
 
 
+@query("op4_html_extraction")
+def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op6_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_language_id")
+def identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    split = docs.withColumn("held_out", ~in_training(docs, 4, 2))
+    return language_id.predict(split, language_id.train(split.where("NOT held_out")))
+
+
 @query("op8_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
