@@ -13,6 +13,7 @@ from . import (
     decontamination,
     html_extraction,
     language_id,
+    lm_scoring,
     near_dedup,
     packing,
     quality,
@@ -68,6 +69,12 @@ def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
 
+@query("op5_lm_scoring")
+def score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score_documents(docs.withColumn("held_out", ~in_training(docs, 7, 2)))
+
+
 @query("op6_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
