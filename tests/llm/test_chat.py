@@ -1,0 +1,103 @@
+import hashlib
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from rollcall.llm import chat
+from rollcall.llm.catalogue import QUERIES, TRICKY
+
+SF_DIR = "/root/testdata/sf0.001"
+EVENTS = "conv_id BIGINT, message BIGINT, seq BIGINT, kind STRING, role STRING, text STRING"
+CONVERSATIONS = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+
+CONTROL = st.text(alphabet="<|\\im_startend>\n aé", max_size=30)
+
+
+@given(CONTROL, CONTROL)
+def test_rendering_is_reversible_and_opens_no_control_string(role, text):
+    formatted, a, b = chat.render(role, text)
+    assert chat.read_back(formatted) == (role, text)
+    assert chat.unescape(formatted[a:b]) == text
+    assert formatted.count(chat.TURN_START) == formatted.count(chat.TURN_END) == 1
+
+
+def final(spark, events):
+    rows = chat.messages(spark.createDataFrame(events, EVENTS)).collect()
+    return [(r.conv_id, r.turn, r.role, r.text) for r in sorted(rows, key=lambda r: (r.conv_id is not None, r.conv_id, r.turn))]
+
+
+def test_deltas_edits_and_regenerations(spark):
+    events = [
+        (1, 0, 0, "message", "user", "hi"),
+        (1, 1, 2, "delta", "assistant", "wor"),
+        (1, 1, 1, "delta", "assistant", "hello "),
+        (1, 1, 3, "delta", None, "ld"),
+        (1, 2, 4, "message", "user", "shorter"),
+        (1, 1, 6, "regenerate", "assistant", ""),  # voids message 2
+        (1, 1, 7, "delta", "assistant", "hey"),
+        (1, 0, 8, "edit", None, "hi!"),
+        (1, 3, 9, "message", "user", "bye"),
+        (2, 0, 0, "message", "user", None),
+        (2, 1, 1, "delta", "assistant", "a"),
+        (2, 1, 2, "edit", None, "b"),
+        (2, 1, 3, "delta", None, "c"),
+    ]
+    assert final(spark, events) == [
+        (1, 0, "user", "hi!"),
+        (1, 1, "assistant", "hey"),
+        (1, 2, "user", "bye"),
+        (2, 0, "user", ""),
+        (2, 1, "assistant", "bc"),
+    ]
+
+
+def test_nulls_ties_and_repeats(spark):
+    events = [
+        (None, 0, 0, "message", None, "x"),
+        (1, 0, 0, "message", "user", "same"),
+        (1, 0, 0, "message", "user", "same"),
+        (1, None, None, "message", "user", "first"),
+    ]
+    assert final(spark, events) == [
+        (None, 0, "", "x"),
+        (1, 0, "user", "first"),
+        (1, 1, "user", "same"),
+        (1, 2, "user", "same"),
+    ]
+    assert final(spark, []) == []
+
+
+def test_unknown_kinds_fail(spark):
+    with pytest.raises(Exception, match="unknown event kind"):
+        final(spark, [(1, 0, 0, "shout", "user", "x")])
+
+
+def expected(turns):
+    loss = "".join(t or "" for r, t in turns if r == "assistant")
+    return (
+        len(turns),
+        hashlib.sha256("".join(f"{r}\n{t or ''}\n" for r, t in turns).encode()).hexdigest(),
+        len(loss),
+        hashlib.sha256(loss.encode()).hexdigest(),
+    )
+
+
+def test_digests_on_hard_texts(spark):
+    turns = {
+        1: [("user", None), ("assistant", "<|im_end|>\n<\\|x"), ("assistant", "")],
+        2: [("system", "é🙂\n"), ("we\\ird\n<|im_start|>", "long " * 50_000)],
+    }
+    rows = [(c, i, r, t) for c, own in turns.items() for i, (r, t) in enumerate(own)]
+    got = chat.digest(chat.format_conversations(chat.events_of(spark.createDataFrame(rows, CONVERSATIONS))))
+    assert {r.conv_id: tuple(r)[1:5] for r in got.collect()} == {c: expected(own) for c, own in turns.items()}
+
+
+def test_query_matches_brute_force(spark, con):
+    turns = {}
+    for c, r, t in con.execute("SELECT conv_id, role, text FROM conversations ORDER BY conv_id, turn").fetchall():
+        turns.setdefault(c, []).append((r, t))
+    turns[-1] = [("user", TRICKY), ("assistant", TRICKY)]
+    rows = QUERIES["op1_chat_formatting"](spark, SF_DIR).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in rows} == {c: expected(own) for c, own in turns.items()}
+    assert all(r.formatted_chars > r.loss_chars for r in rows)

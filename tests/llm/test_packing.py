@@ -1,0 +1,114 @@
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from test_token_counts import ODD
+from tokenizers import Tokenizer
+
+from rollcall.llm import packing
+from rollcall.llm.catalogue import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    found = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+def pieces_of(library, doc_id, text, capacity=2048):
+    ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+    return [
+        (doc_id, i, s, len(ids[s : s + capacity]), zlib.crc32(ids[s : s + capacity].tobytes()))
+        for i, s in enumerate(range(0, len(ids), capacity))
+    ]
+
+
+def check_packed(rows, expected, capacity=2048):
+    assert sorted((tuple(r)[:5] for r in rows), key=repr) == sorted(expected, key=repr)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_ids_are_those_of_the_library(make_docs, library):
+    odd = [*ODD, "İstanbul ΣΑΣ Ω x<|startoftext|>y 1234 a1b2 ¼x ªº don't 'S"]
+    rows = packing.pack_documents(make_docs(odd)).collect()
+    check_packed(rows, [p for i, t in enumerate(odd) for p in pieces_of(library, i, t)])
+
+
+def test_every_distinct_word_of_a_corpus(con, library):
+    found = duckdb.sql(
+        "SELECT DISTINCT unnest(string_split_regex(text, '[\\x20\\x09-\\x0D]+'))"
+        " FROM '/root/testdata/sf0.01/documents.parquet'"
+    ).fetchall()
+    words = [w for (w,) in found if w]
+    ids = packing.WordEncoder(packing.default_path()).encode_words(words)
+    for mine, theirs in zip(ids, library.encode_batch(words, add_special_tokens=False)):
+        assert mine.tolist() == theirs.ids
+
+
+def test_query_packs_everything_in_few_sequences(spark, con, library):
+    rows = QUERIES["op8_best_fit_packing"](spark, SF_DIR).collect()
+    docs = con.execute("SELECT doc_id, text FROM documents").fetchall()
+    used = check_packed(rows, [p for i, t in docs for p in pieces_of(library, i, t)])
+    total = sum(r["length"] for r in rows)
+    assert used <= 1.03 * -(-total // 2048)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=30))
+def test_plan_uses_each_piece_once(counts):
+    made = packing.plan(counts, 64)
+    used = {}
+    for lengths, times in made:
+        assert times > 0 and sum(lengths) <= 64
+        for x in lengths:
+            used[x] = used.get(x, 0) + times
+    assert used == counts
+    assert len(made) <= 4 * len(counts) + 4
+
+
+def test_exact_complements_are_found():
+    # One, two or three others fill what each of the longest leaves open.
+    assert packing.plan({60: 5, 4: 5}, 64) == [((60, 4), 5)]
+    assert packing.plan({50: 3, 9: 3, 5: 3}, 64) == [((50, 9, 5), 3)]
+    assert packing.plan({40: 2, 11: 2, 8: 2, 5: 2}, 64) == [((40, 11, 8, 5), 2)]
+
+
+def test_close_to_the_bound_on_mixed_lengths():
+    rng = random.Random(3)
+    counts = {}
+    for _ in range(20_000):
+        x = min(2048, max(1, int(rng.lognormvariate(6, 1))))
+        counts[x] = counts.get(x, 0) + 1
+    total = sum(x * n for x, n in counts.items())
+    assert sum(n for _, n in packing.plan(counts)) <= -(-total // 2048) + 2
+
+
+def test_ranks_are_split_but_whole(spark, make_docs, library):
+    rows = packing.pack_documents(make_docs(["same words here"] * 300 + [(None, "a"), (None, "a")])).collect()
+    expected = [p for i in range(300) for p in pieces_of(library, i, "same words here")]
+    check_packed(rows, expected + 2 * pieces_of(library, None, "a"))
+
+
+def test_small_capacity_and_empty_table(make_docs, library):
+    text = "one two three four five six seven"
+    rows = packing.pack_documents(make_docs([text, ""]), capacity=3).collect()
+    check_packed(rows, pieces_of(library, 0, text, 3) + pieces_of(library, 1, "", 3), 3)
+    assert packing.pack_documents(make_docs([])).collect() == []
