@@ -1,0 +1,119 @@
+import math
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rollcall.llm import language_id as G
+from rollcall.llm.catalogue import QUERIES
+
+
+@pytest.fixture(scope="module")
+def vocab():
+    return G.vocabulary(G.default_path())
+
+
+def sum_of_segmentations(word, vocab, probabilities):
+    """By recursion over the first piece; long words in parts, as the operator does."""
+    total = 0.0
+    whole = b" " + word
+    for at in range(0, len(whole), G.PART):
+        part = whole[at : at + G.PART]
+
+        @lru_cache(maxsize=None)
+        def rest(start, part=part):
+            if start == len(part):
+                return 1.0
+            out = 0.0
+            for end in range(start + 1, min(len(part), start + G.LONGEST_PIECE) + 1):
+                code = vocab._code(part[start:end])
+                i = int(np.searchsorted(vocab.codes, np.uint64(code)))
+                if i < vocab.size and int(vocab.codes[i]) == code:
+                    out += probabilities[i] * rest(end)
+            return out
+
+        total += math.log(rest(0))
+    return total
+
+
+def test_forward_sums_all_segmentations(vocab):
+    rng = np.random.default_rng(1)
+    table = rng.random((vocab.size, 3))
+    table /= table.sum(0)
+    words = ["the", "naïve", "x", "中文", "supercalifragilisticexpialidocious" * 3, "🙂", "a" * 33]
+    words = [w.encode() for w in words]
+    got = G.word_scores(words, vocab, np.vstack([table, np.zeros((1, 3))]))
+    for i, word in enumerate(words):
+        for j in range(3):
+            assert got[i, j] == pytest.approx(sum_of_segmentations(word, vocab, table[:, j]))
+
+
+def test_expected_counts_spell_the_words(vocab):
+    words = [b"hello", b"world" * 10, "é".encode()]
+    times = np.array([3.0, 1.0, 2.0])
+    used = G._expected(words, times, vocab, np.full(vocab.size, 1 / vocab.size))
+    sizes = {}
+    for length in range(1, 3):
+        pass
+    # All bytes are spelled: lengths of the pieces used add up to those of the words.
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=G.default_path())
+    pieces = {bytes([b]) for b in range(256)}
+    for i in range(processor.get_piece_size()):
+        if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)):
+            piece = processor.id_to_piece(i).replace("▁", " ").encode()
+            if len(piece) <= G.LONGEST_PIECE and b"  " not in piece:
+                pieces.add(piece)
+    for p in pieces:
+        sizes[vocab._code(p)] = len(p)
+    spelled = sum(used[i] * sizes[int(c)] for i, c in enumerate(vocab.codes) if used[i])
+    assert spelled == pytest.approx(sum(n * (len(w) + 1) for w, n in zip(words, times)))
+
+
+def test_held_out_accuracy(spark):
+    rows = QUERIES["op7_language_id"](spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    got = rows.join(docs, "doc_id").collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.lang_pred in ("en", "de", "fr", "es", "und")
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang_pred == r.lang for r in held) > 0.98 * len(held)
+
+
+LABELLED = [("the house and the garden of the king", "en"), ("das haus und der garten des königs", "de")] * 10
+
+
+def test_hard_texts(spark, make_docs):
+    labelled = spark.createDataFrame([*LABELLED, (None, "xx"), ("text", None)], "text STRING, lang STRING")
+    model = G.train(labelled)
+    assert model[0] == ["de", "en"]
+    assert np.allclose(model[1].sum(1), 1)
+    texts = [None, "", " \n", "12 34 !!", "the garden", "der garten und", "the king " * 50_000, "x" * 100_000]
+    rows = make_docs([*enumerate(texts), (None, "the house"), (4, "the garden")])
+    rows = rows.withColumn("held_out", F.lit(True)).withColumnRenamed("source", "score")
+    got = [(r.doc_id, r.lang_pred, r.score) for r in G.predict(rows, model).collect()]
+    by_id = {i: (p, s) for i, p, s in got}
+    assert [by_id[i] for i in range(4)] == [("und", 0.0)] * 4
+    assert (by_id[4][0], by_id[5][0], by_id[6][0], by_id[None][0]) == ("en", "de", "en", "en")
+    assert len(got) == 10 and 0 < by_id[7][1] <= 1
+
+
+def test_no_labels_and_no_rows(spark, make_docs):
+    model = G.train(spark.createDataFrame([], "text STRING, lang STRING"))
+    rows = make_docs(["the house", None]).withColumn("held_out", F.lit(False))
+    assert {(r.lang_pred, r.score) for r in G.predict(rows, model).collect()} == {("und", 0.0)}
+    model = G.train(spark.createDataFrame(LABELLED, "text STRING, lang STRING"))
+    assert G.predict(rows.limit(0), model).collect() == []
+
+
+def test_other_columns_are_no_inputs(spark, make_docs):
+    model = G.train(spark.createDataFrame(LABELLED, "text STRING, lang STRING"))
+    rows = make_docs(["the garden"]).withColumn("held_out", F.lit(False))
+    first = G.predict(rows, model).collect()
+    other = rows.withColumn("lang", F.lit("de")).withColumn("source", F.lit("de"))
+    assert G.predict(other, model).collect() == first
