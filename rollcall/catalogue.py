@@ -298,6 +298,18 @@ def _(spark, sf_dir):
     return csv.read_declared(spark, f"{target}/{FACT}.csv", table_schema(FACT))
 
 
+@query("normalise_two_formats", NORMALISED)
+def _(spark, sf_dir):
+    """One table's history, half of it CSV and half Parquet."""
+    hires = _history(spark, sf_dir)[FACT]
+    half = F.coalesce(F.col("id") % 2 == 0, F.lit(False))
+    source = sample.csv_folder(spark, {FACT: hires.filter(half)}, header=True)
+    hires.filter(~half).write.parquet(f"{source}/{FACT}.parquet")
+    target = run_dir(spark, "normalised")
+    history.normalise_files(spark, source, target)
+    return csv.read_declared(spark, f"{target}/{FACT}.csv", table_schema(FACT))
+
+
 @query("history_to_summary", quarter_sql(YEAR))
 def _(spark, sf_dir):
     """Files to report: normalise, ingest, refine, summarise."""
@@ -376,7 +388,7 @@ def _(spark, sf_dir, table):
 def _(spark, sf_dir):
     source = sample.landed_csv(spark, sample.star(spark, sf_dir))
     report = landing.append_capped_csv(spark, source, sample.database(spark, {}))
-    return report.drop("message")
+    return report.select("table", "status", "rows")
 
 
 BAD_BATCH = f"(id // {sample.BATCH_ROWS}) % 2 = 1"
@@ -406,9 +418,60 @@ def _(spark, sf_dir):
     return spark.table(tables.table_name(db, FACT))
 
 
-RECORDS_OK = CAPPED.replace(
-    "{t}", "(SELECT * FROM hired_employees WHERE id % 10 NOT IN (2, 3, 4, 5, 6)) AS v"
+# Which batches have a spoilt row, and how a file of a batch is cut.
+BATCHES = f"""(SELECT id // {sample.BATCH_ROWS} AS b, COUNT(*) AS n,
+    LEAST(COUNT(*), {landing.MAX_ROWS}) AS kept,
+    (id // {sample.BATCH_ROWS}) % 2 = 1 AND bool_or(id % {sample.BATCH_ROWS} = 17) AS bad
+  FROM hired_employees GROUP BY id // {sample.BATCH_ROWS})"""
+REFUSED_REPORT = f"""SELECT 'hired_employees' AS "table",
+  CASE WHEN SUM(CASE WHEN bad THEN kept ELSE 0 END) = 0 THEN 'ok'
+       WHEN SUM(CASE WHEN bad THEN 0 ELSE kept END) = 0 THEN 'error' ELSE 'partial' END AS status,
+  CAST(SUM(CASE WHEN bad THEN 0 ELSE kept END) AS BIGINT) AS rows,
+  CAST(SUM(CASE WHEN bad THEN kept ELSE 0 END) AS BIGINT) AS rows_refused,
+  CAST(SUM(n - kept) AS BIGINT) AS rows_left_out FROM {BATCHES}"""
+
+
+@query("append_refused_report", REFUSED_REPORT)
+def _(spark, sf_dir):
+    source = sample.landed_csv(spark, _with_bad_batches(sample.star(spark, sf_dir)))
+    return landing.append_capped_csv(spark, source, sample.database(spark, {})).drop("message")
+
+
+@query(
+    "append_left_out_counts",
+    f"""SELECT 'hired_employees' AS "table", CAST(SUM(kept) AS BIGINT) AS rows,
+        CAST(SUM(n - kept) AS BIGINT) AS rows_left_out FROM {BATCHES}""",
+)
+def _(spark, sf_dir):
+    source = sample.landed_csv(spark, {FACT: sample.star(spark, sf_dir)[FACT]})
+    report = landing.append_capped_csv(spark, source, sample.database(spark, {}))
+    return report.select("table", "rows", "rows_left_out")
+
+
+BLANKED = "SELECT id, CASE WHEN id % 5 = 0 THEN '' ELSE department END AS department FROM departments"
+
+
+@query(
+    "ingest_equals_append",
+    f"SELECT 'ingest' AS path, * FROM ({BLANKED}) UNION ALL SELECT 'append', * FROM ({BLANKED})",
 )
+def _(spark, sf_dir):
+    """An empty text is the same by both ways into a table."""
+    rows = sample.star(spark, sf_dir)["departments"]
+    blanked = rows.withColumn("department", F.expr("CASE WHEN id % 5 = 0 THEN '' ELSE department END"))
+    source = run_dir(spark, "blank")
+    csv.write(blanked, f"{source}/departments.csv", False)
+    by_ingest, raw, by_append = (sample.database(spark, {}) for _ in range(3))
+    history.ingest(spark, source, by_ingest, raw)
+    landing.append_capped_csv(spark, source, by_append)
+    tagged = [
+        spark.table(tables.table_name(db, "departments")).select(F.lit(path).alias("path"), "*")
+        for path, db in (("ingest", by_ingest), ("append", by_append))
+    ]
+    return tagged[0].unionByName(tagged[1])
+
+
+RECORDS_OK = "SELECT * FROM hired_employees WHERE id % 10 NOT IN (2, 3, 4, 5, 6)"
 RECORDS_REJECTED = """
 SELECT CASE WHEN id % 10 <> 6 THEN id END AS id,
        CASE WHEN id % 10 NOT IN (5, 6) THEN name END AS name,
@@ -464,6 +527,39 @@ def _(spark, sf_dir):
     return streams.read_landed(spark, landed, table_schema(FACT))
 
 
+@query(
+    "stream_rejected",
+    f"""SELECT id, name, datetime, job_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY id // {sample.BATCH_ROWS} ORDER BY id) AS place
+      FROM hired_employees) JOIN {BATCHES} ON b = id // {sample.BATCH_ROWS}
+      WHERE bad AND place <= {landing.MAX_ROWS}""",
+)
+def _(spark, sf_dir):
+    """Rows of the files that a stream refuses; their department may be a word."""
+    source = sample.landed_csv(spark, _with_bad_batches(sample.star(spark, sf_dir)))
+    landed, checkpoint, rejects = (run_dir(spark, x) for x in ("landed", "checkpoint", "rejects"))
+    streams.land_capped_csv(
+        spark, f"{source}/{FACT}.csv", FACT, landed, checkpoint, rejects_dir=rejects
+    ).awaitTermination()
+    kept = streams.read_landed(spark, rejects, table_schema(FACT))
+    return kept.select("id", "name", "datetime", "job_id")
+
+
+@query(
+    "stream_two_into_one",
+    "SELECT * FROM jobs UNION ALL SELECT * FROM jobs",
+)
+def _(spark, sf_dir):
+    """Two streams with checkpoints of their own land in one folder."""
+    source = sample.landed_csv(spark, {"jobs": sample.star(spark, sf_dir)["jobs"]})
+    landed = run_dir(spark, "landed")
+    for _ in range(2):
+        streams.land_capped_csv(
+            spark, f"{source}/jobs.csv", "jobs", landed, run_dir(spark, "checkpoint")
+        ).awaitTermination()
+    return streams.read_landed(spark, landed, table_schema("jobs"))
+
+
 # ---- snapshots and refined tables ------------------------------------------
 
 
@@ -545,6 +641,28 @@ def _(spark, sf_dir):
     return reports.store_departments_above_mean(spark, db, YEAR)
 
 
+@query(
+    "snapshot_manifests",
+    """SELECT 'backup' AS step, t AS "table", 'AVRO' AS format, 'ok' AS status
+       FROM (SELECT unnest(['departments', 'hired_employees', 'jobs']) AS t)
+       UNION ALL SELECT 'restore', t, 'AVRO', 'ok'
+       FROM (SELECT unnest(['departments', 'hired_employees', 'jobs']) AS t)""",
+)
+def _(spark, sf_dir):
+    """What a backup of all tables and their restore report."""
+    db, other = sample.database(spark, sample.star(spark, sf_dir)), sample.database(spark, {})
+    folder = run_dir(spark, "backup")
+    written = snapshot.backup_tables(spark, db, folder)
+    loaded = snapshot.restore_tables(spark, folder, other)
+    return written.select(
+        F.lit("backup").alias("step"), F.col("table_id").alias("table"), "format", "status"
+    ).union(
+        loaded.select(
+            F.lit("restore"), F.substring_index("destination_table", ".", -1), "format_file", "status"
+        )
+    )
+
+
 @query("schema_from_text", "SELECT * FROM hired_employees")
 def _(spark, sf_dir):
     """CSV under a schema that is read from a definition text."""

@@ -25,17 +25,20 @@ def decode_missing(text: Column) -> Column:
 def hire_date(text: Column, on_bad_date: str = "raise") -> Column:
     """Calendar date of an ISO-8601 text; ``'0'`` and null give null.
 
-    With ``on_bad_date="raise"`` any other text fails the query (this relies on
-    ANSI mode, Spark's default); with ``"null"`` it gives null.
+    With ``on_bad_date="raise"`` any other text fails the query, whatever the
+    session's ANSI mode; with ``"null"`` it gives null.
     """
+    if on_bad_date not in ("raise", "null"):
+        raise ValueError(f"on_bad_date must be 'raise' or 'null', not {on_bad_date!r}")
     part = F.substring(text, 1, DATE_CHARS)
-    full = text.rlike(FULL_DATE)
     short = decode_missing(part)
-    if on_bad_date == "raise":
-        return F.when(full, part.cast("date")).otherwise(F.to_date(short, DATE_FORMAT))
+    date = F.when(text.rlike(FULL_DATE), part.try_cast("date")).otherwise(
+        F.try_to_date(short, DATE_FORMAT)
+    )
     if on_bad_date == "null":
-        return F.when(full, part.try_cast("date")).otherwise(F.try_to_date(short, DATE_FORMAT))
-    raise ValueError(f"on_bad_date must be 'raise' or 'null', not {on_bad_date!r}")
+        return date
+    refuse = F.raise_error(F.concat(F.lit("not a calendar date: "), text)).cast("date")
+    return F.when(short.isNotNull() & date.isNull(), refuse).otherwise(date)
 
 
 def quarter_label(date: Column) -> Column:

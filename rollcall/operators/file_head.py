@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ORIGIN = ["_file", "_block"]
@@ -24,15 +28,41 @@ def with_position(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_pos", F.monotonically_increasing_id())
 
 
+_cutting = threading.Lock()
+_wanted: list[int] = []
+_before: str | None = None
+
+
+@contextmanager
+def cutting(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let Spark cut blocks to ``n`` rows where they are read, for a while.
+
+    The session's setting is put back once the last of the jobs that run at the
+    same time is done.
+    """
+    global _before
+    with _cutting:
+        if not _wanted:
+            _before = spark.conf.getAll.get(CUT_SETTING)
+        _wanted.append(n)
+        spark.conf.set(CUT_SETTING, str(max(int(spark.conf.get(CUT_SETTING)), n)))
+    try:
+        yield
+    finally:
+        with _cutting:
+            _wanted.remove(n)
+            if not _wanted and _before is None:
+                spark.conf.unset(CUT_SETTING)
+            elif not _wanted:
+                spark.conf.set(CUT_SETTING, _before)
+
+
 def block_heads(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of each block, numbered; all that a cap can keep.
 
-    Spark cuts each block in the task that reads it, before the shuffle; for a
-    large ``n`` this raises the session's limit on doing so.
+    Spark cuts each block in the task that reads it, before the shuffle; run it
+    within :func:`cutting` if ``n`` may be large.
     """
-    settings = rows.sparkSession.conf
-    if int(settings.get(CUT_SETTING)) < n:
-        settings.set(CUT_SETTING, str(n))
     in_block = Window.partitionBy(*ORIGIN).orderBy("_pos")
     numbered = rows.withColumn("_row", F.row_number().over(in_block))
     return numbered.filter(F.col("_row") <= n).drop("_pos")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -34,11 +36,13 @@ def normalise_files(
 ) -> DataFrame:
     """``{table}.csv`` / ``{table}.parquet`` -> normalised ``{table}.csv``.
 
-    The message of each report row is the path written.
+    A table that has both formats gets the rows of both. The message of each
+    report row is the path written.
     """
-    found = {}
+    found: dict[str, list[str]] = {}
     for suffix in HISTORY_FORMATS:
-        found.update(files.tables_in(spark, src_dir, suffix))
+        for table, path in files.tables_in(spark, src_dir, suffix).items():
+            found.setdefault(table, []).append(path)
 
     def one(table: str) -> list[dict]:
         if table not in TABLES:
@@ -46,8 +50,9 @@ def normalise_files(
         target = f"{dst_dir.rstrip('/')}/{table}.csv"
 
         def step():
-            rows = read_history(spark, found[table], table_schema(table), read_header)
-            csv.write(normalise_history(rows), target, write_header)
+            schema = table_schema(table)
+            parts = [normalise_history(read_history(spark, p, schema, read_header)) for p in found[table]]
+            csv.write(reduce(DataFrame.unionByName, parts), target, write_header)
             return target, None
 
         return [attempt(table, step)]
@@ -77,11 +82,12 @@ def ingest(
         raw = tables.table_name(raw_db, f"{table}_raw")
 
         def create_raw():
+            csv.refuse_open_quotes(spark, found[table])
             csv.create_raw_table(spark, raw, found[table], known[table], header)
             return "created", None
 
         def create_base():
-            tables.replace_table(refine_rows(spark.table(raw)), db, table)
+            tables.replace_table(refine_rows(csv.text_for_null(spark.table(raw))), db, table)
             return "created", spark.table(tables.table_name(db, table)).count()
 
         rows = [attempt(f"{table}_raw", create_raw)]

@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.file_head import block_heads, cap_files, with_position
+from ..operators.file_head import block_heads, cap_files, cutting, with_position
 from ..operators.typed import typed_lines, typed_records
 from ..schemas import TABLES, table_schema
 from ..session import written
 from ..sources import csv, files, records, tables
 from .history import NO_SCHEMA
-from .status import SKIPPED, attempt, for_each_table, report
-
-# Fixed value: rows taken from one file, or records from one request.
+from .status import (
+    APPEND_REPORT,
+    SKIPPED,
+    append_result,
+    attempt_append,
+    for_each_table,
+    report,
+)
+
+# Fixed value: rows taken from one CSV file.
 MAX_ROWS = 1000
 
 
@@ -30,29 +37,27 @@ def line_heads(lines: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS)
 def capped_lines(heads: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """The first rows of each file; ``_good`` is false for all rows of a file
     when one of them does not fit the table."""
-    # At most max_rows rows per file are left, so this window stays small.
-    in_file = Window.partitionBy("_file")
-    return cap_files(heads, max_rows).withColumn("_good", F.min("_ok").over(in_file))
+    capped = cap_files(heads, max_rows)
+    bad = capped.filter("NOT _ok").select(F.col("_file").alias("_bad")).distinct()
+    joined = capped.join(bad, F.col("_file") == F.col("_bad"), "left")
+    return joined.withColumn("_good", F.col("_bad").isNull()).drop("_bad")
 
 
-def record_heads(rows: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Accepted records, as many of each block as the cap could keep."""
-    parsed = records.parse_records(with_position(rows), schema)
-    accepted = typed_records(parsed, schema).filter("_ok").drop("_record")
-    return block_heads(accepted, max_rows)
+def checked_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every record as the table's columns and as it came, with ``_ok``."""
+    return typed_records(records.parse_records(with_position(rows), schema), schema)
 
 
-def capped_records(
-    heads: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS
-) -> DataFrame:
-    """The first accepted records of each file, in the table's columns."""
-    return cap_files(heads, max_rows).select(schema.names)
+def bounded_records(checked: DataFrame, max_rows: int) -> DataFrame:
+    """Of written checked records, the first accepted ones of each file."""
+    in_file = Window.partitionBy("_file").orderBy("_block", "_pos")
+    accepted = checked.filter("_ok").withColumn("_row", F.row_number().over(in_file))
+    return accepted.filter(F.col("_row") <= max_rows).drop("_row")
 
 
-def rejected_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def refused_records(checked: DataFrame) -> DataFrame:
     """Every record that is no valid row of the table, as it came and with its file."""
-    parsed = records.parse_records(rows, schema)
-    return typed_records(parsed, schema).filter("NOT _ok").drop("_ok", "_block")
+    return checked.filter("NOT _ok").drop("_ok", "_block", "_pos")
 
 
 def append_capped_csv(
@@ -72,28 +77,31 @@ def append_capped_csv(
 
     def one(table: str) -> list[dict]:
         if table not in TABLES:
-            return [dict(table=table, status=SKIPPED, message=NO_SCHEMA, rows=None)]
+            nothing = dict(rows=None, rows_refused=None, rows_left_out=None)
+            return [dict(table=table, status=SKIPPED, message=NO_SCHEMA, **nothing)]
         schema = table_schema(table)
 
         def step():
             lines = csv.read_lines(spark, found[table])
-            with written(line_heads(lines, schema, max_rows), "lines") as heads:
+            with cutting(spark, max_rows), written(line_heads(lines, schema, max_rows), "lines") as heads:
                 capped = capped_lines(heads, max_rows)
                 # A good file adds all its rows, a bad one none.
-                per_file = capped.groupBy("_file", "_good").agg(F.count("*").alias("n"))
-                rows, refused = per_file.agg(
-                    F.coalesce(F.sum(F.when(F.col("_good"), F.col("n"))), F.lit(0)),
+                rows, refused, bad_files = capped.agg(
+                    F.count_if("_good"),
                     F.count_if(~F.col("_good")),
+                    F.count_distinct(F.when(~F.col("_good"), F.col("_file"))),
                 ).first()
-                tables.append_table(capped.filter("_good").select(schema.names), db, table)
+                # Rejects first: if they cannot be kept, nothing has been appended.
                 if rejects_dir:
                     bad = capped.filter("NOT _good").drop("_block", "_row", "_good")
                     bad.write.mode("append").parquet(f"{rejects_dir.rstrip('/')}/{table}")
-            return f"files rejected: {refused}", rows
+                left_out = lines.count() - rows - refused
+                tables.append_table(capped.filter("_good").select(schema.names), db, table)
+            return append_result(rows, refused, left_out, f"files rejected: {bad_files}")
 
-        return [attempt(table, step)]
+        return [attempt_append(table, step)]
 
-    return report(spark, for_each_table(spark, found, one))
+    return report(spark, for_each_table(spark, found, one), APPEND_REPORT)
 
 
 def append_records(
@@ -101,25 +109,27 @@ def append_records(
     json_dir: str,
     db: str,
     table: str,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
     rejects_dir: str | None = None,
 ) -> DataFrame:
     """Append the valid JSON records of a folder to a table, by column name.
 
-    ``max_rows`` bounds the records taken from one file (one request). Rejected
-    records go to ``rejects_dir`` if it is given. The report counts the rows
-    appended.
+    Rejected records go to ``rejects_dir`` if it is given. ``max_rows``, if
+    given, bounds the records taken from one file. The report counts the rows
+    appended, those refused, and those beyond the bound.
     """
     schema = table_schema(table)
 
     def step():
         rows = records.read_records(spark, json_dir)
-        with written(record_heads(rows, schema, max_rows), "records") as heads:
-            capped = capped_records(heads, schema, max_rows)
-            count = capped.count()
-            tables.append_table(capped, db, table)
-        if rejects_dir:
-            rejected_records(rows, schema).write.mode("append").parquet(rejects_dir)
-        return "appended", count
-
-    return report(spark, [attempt(table, step)])
+        with written(checked_records(rows, schema), "records") as checked:
+            valid, refused = checked.agg(F.count_if("_ok"), F.count_if(~F.col("_ok"))).first()
+            taken = checked.filter("_ok") if max_rows is None else bounded_records(checked, max_rows)
+            count = valid if max_rows is None else taken.count()
+            # Rejects first: if they cannot be kept, nothing has been appended.
+            if rejects_dir:
+                refused_records(checked).write.mode("append").parquet(rejects_dir)
+            tables.append_table(taken.select(schema.names), db, table)
+        return append_result(count, refused, valid - count, "appended")
+
+    return report(spark, [attempt_append(table, step)], APPEND_REPORT)

@@ -8,8 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-OK, ERROR, SKIPPED = "ok", "error", "skipped"
+OK, PARTIAL, ERROR, SKIPPED = "ok", "partial", "error", "skipped"
 REPORT = "table STRING, status STRING, message STRING, rows BIGINT"
+# What came and was not appended: rows that do not fit (with all of their file,
+# for CSV), and rows beyond a bound.
+APPEND_REPORT = f"{REPORT}, rows_refused BIGINT, rows_left_out BIGINT"
 
 
 def for_each_table(
@@ -36,5 +39,19 @@ def attempt(table: str, step: Callable[[], tuple[str, int | None]]) -> dict:
         return {"table": table, "status": ERROR, "message": str(error), "rows": None}
 
 
+def append_result(rows: int, refused: int, left_out: int, message: str) -> dict:
+    """Outcome of an append: an error if all that came was refused, partial if some was."""
+    status = OK if not refused else PARTIAL if rows else ERROR
+    return dict(status=status, message=message, rows=rows, rows_refused=refused, rows_left_out=left_out)
+
+
+def attempt_append(table: str, step: Callable[[], dict]) -> dict:
+    try:
+        return {"table": table} | step()
+    except Exception as error:  # noqa: BLE001 - whatever Spark raises is reported
+        nothing = dict(rows=None, rows_refused=None, rows_left_out=None)
+        return {"table": table, "status": ERROR, "message": str(error)} | nothing
+
+
 def report(spark: SparkSession, rows: list[dict], schema: str = REPORT) -> DataFrame:
     return spark.createDataFrame(rows, schema)

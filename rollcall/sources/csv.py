@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,10 +14,39 @@ FORMAT = {"sep": ",", "quote": '"', "escape": '"'}
 FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
 
 
+def has_open_quote(line: Column) -> Column:
+    """Whether a quote of the line does not close: files are split by line."""
+    return F.char_length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+
+
+def refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    """Fail if a line opens a quote that it does not close.
+
+    Spark's reader would take such a line and the next one as two rows.
+    """
+    bad = read_lines(spark, path).filter(has_open_quote(F.col("value"))).select("_file", "value").head()
+    if bad is not None:
+        raise ValueError(f"a quote does not close in {bad['_file']}: {bad['value'][:200]}")
+
+
+def text_for_null(rows: DataFrame) -> DataFrame:
+    """Text columns with an empty text where the reader gave null.
+
+    The reader cannot tell them apart; a landed line gives the same.
+    """
+    return rows.select(
+        *[
+            F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) if kind == "string" else F.col(f"`{name}`")
+            for name, kind in rows.dtypes
+        ]
+    )
+
+
 def read_declared(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = False
 ) -> DataFrame:
     """Rows under a declared schema; a line that does not fit fails the query."""
+    refuse_open_quotes(spark, path)
     return (
         spark.read.schema(schema)
         .options(**FORMAT, **FILES, header=header, mode="FAILFAST")
@@ -44,7 +73,10 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     columns = ", ".join(f"`{name}` STRING" for name in [*schema.names, CORRUPT])
     fields = F.from_csv("value", columns, {**FORMAT, "columnNameOfCorruptRecord": CORRUPT})
     rest = [c for c in lines.columns if c != "value"]
-    return lines.select(fields.alias("_fields"), *rest).select("_fields.*", *rest)
+    corrupt = F.when(has_open_quote(F.col("value")), F.col("value")).otherwise(F.col(f"_fields.{CORRUPT}"))
+    return lines.select(fields.alias("_fields"), "value", *rest).select(
+        *[F.col(f"_fields.`{name}`") for name in schema.names], corrupt.alias(CORRUPT), *rest
+    )
 
 
 def write(df: DataFrame, path: str, header: bool = False) -> None:

@@ -10,11 +10,21 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+# What a folder is called while a new one takes its place.
+OLD = ".rollcall_old"
+
+
 def child_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names directly below a folder: one per table, whatever the data size."""
+    """Names directly below a folder: one per table, whatever the data size.
+
+    Replacements that were interrupted are finished first.
+    """
     fs, path = _file_system(spark, folder)
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return sorted(name for name in names if name[0] not in "._")
+    names = {status.getPath().getName() for status in fs.listStatus(path)}
+    for name in sorted(n for n in names if n.startswith(".") and n.endswith(OLD)):
+        names.add(name[1:].removesuffix(OLD))
+        _finish_replacement(spark, f"{folder.rstrip('/')}/{name[1:].removesuffix(OLD)}")
+    return sorted(name for name in names if name[0] != ".")
 
 
 def tables_in(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
@@ -30,14 +40,40 @@ def tables_in(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
 
 
 def replace_folder(spark: SparkSession, finished: str, target: str) -> None:
-    """Put a completely written folder in the place of ``target``."""
+    """Put a completely written folder in the place of ``target``.
+
+    The old folder moves aside first and comes back if the new one cannot be
+    moved, also when the next listing or replacement finds it aside.
+    """
     fs, source = _file_system(spark, finished)
     _, destination = _file_system(spark, target)
+    if not fs.exists(source):
+        raise OSError(f"nothing to move: {finished}")
     fs.mkdirs(destination.getParent())
-    if fs.exists(destination):
-        fs.delete(destination, True)
+    _finish_replacement(spark, target)
+    _, aside = _file_system(spark, _aside(target))
+    if fs.exists(destination) and not fs.rename(destination, aside):
+        raise OSError(f"could not move {target} aside")
     if not fs.rename(source, destination):
+        _finish_replacement(spark, target)
         raise OSError(f"could not move {finished} to {target}")
+    fs.delete(aside, True)
+
+
+def _aside(target: str) -> str:
+    folder, _, name = target.rstrip("/").rpartition("/")
+    return f"{folder}/.{name}{OLD}"
+
+
+def _finish_replacement(spark: SparkSession, target: str) -> None:
+    fs, destination = _file_system(spark, target)
+    _, aside = _file_system(spark, _aside(target))
+    if not fs.exists(aside):
+        return
+    if fs.exists(destination):
+        fs.delete(aside, True)
+    elif not fs.rename(aside, destination):
+        raise OSError(f"could not move {target} back")
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-NEXT = "__next"
+from .files import remove_folder
+
+# Names of a replacement under way; a table of one's own may not end like this.
+NEXT, OLD = "__rollcall_next", "__rollcall_old"
 
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -17,11 +20,17 @@ def table_name(db: str, table: str) -> str:
 
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:
-    """Names of the stored tables of a database, temporary views left out."""
+    """Names of the stored tables of a database, temporary views left out.
+
+    Replacements that were interrupted are finished first.
+    """
+    for t in spark.catalog.listTables(db):
+        if t.name.endswith(OLD):
+            finish_replacement(spark, db, t.name.removesuffix(OLD))
     return sorted(
         t.name
         for t in spark.catalog.listTables(db)
-        if t.tableType in ("MANAGED", "EXTERNAL") and not t.name.endswith(NEXT)
+        if t.tableType in ("MANAGED", "EXTERNAL") and not t.name.endswith((NEXT, OLD))
     )
 
 
@@ -29,14 +38,38 @@ def replace_table(df: DataFrame, db: str, table: str) -> None:
     """Create or replace a table as the rows of ``df``.
 
     The rows are written to a second table first, so a failed job leaves the old
-    one as it was, and ``df`` may read the table it replaces.
+    one as it was, and ``df`` may read the table it replaces. Then the old table
+    moves aside, the new one takes its place, and the old one is dropped: at
+    every moment one of them is whole, and :func:`finish_replacement` finds it.
     """
+    if table.endswith((NEXT, OLD)):
+        raise ValueError(f"reserved table name: {table}")
     spark = df.sparkSession
-    staged, name = table_name(db, table + NEXT), table_name(db, table)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    finish_replacement(spark, db, table)
+    name, staged, aside = (table_name(db, table + end) for end in ("", NEXT, OLD))
     df.write.format("parquet").mode("errorifexists").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+
+
+def finish_replacement(spark: SparkSession, db: str, table: str) -> None:
+    """Bring a replacement that was interrupted to its end.
+
+    The old table moves aside only once the new one is complete, so if it is
+    aside and its place is empty, the new one goes there.
+    """
+    name, staged, aside = (table_name(db, table + end) for end in ("", NEXT, OLD))
+    exists = spark.catalog.tableExists
+    if exists(aside):
+        if not exists(name):
+            spark.sql(f"ALTER TABLE {staged if exists(staged) else aside} RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    # A write that failed can leave files of a table that never came to be.
+    where = spark.sql(f"DESCRIBE DATABASE {db}").where("lower(info_name) = 'location'").first()
+    remove_folder(spark, f"{where['info_value'].rstrip('/')}/{(table + NEXT).lower()}")
 
 
 def append_table(df: DataFrame, db: str, table: str) -> None:

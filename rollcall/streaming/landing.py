@@ -1,7 +1,9 @@
 """The two landing paths as streams that read each file once.
 
-A micro-batch writes its own folder ``epoch=n`` and overwrites it if the batch
-is run again after a failure, so every row lands exactly once. A stream ends
+A micro-batch writes its own folder ``stream=id/epoch=n`` and overwrites it if
+the batch is run again after a failure, so every row lands exactly once. The id
+is kept in the checkpoint: streams with checkpoints of their own, and a stream
+whose checkpoint is renewed, do not meet in one folder. A stream ends
 when it has read the files that are there, or with ``every="1 minute"`` looks
 for new ones until it is stopped.
 """
@@ -14,13 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.landing import (
     MAX_ROWS,
+    bounded_records,
     capped_lines,
-    capped_records,
+    checked_records,
     line_heads,
-    record_heads,
-    rejected_records,
+    refused_records,
 )
 from ..schemas import table_schema
+from ..operators.file_head import cutting
 from ..session import written
 from ..sources import csv, records
 
@@ -38,7 +41,8 @@ def _start(rows: DataFrame, checkpoint_dir: str, write_batch, every: str | None)
 
 
 def _land(df: DataFrame, folder: str, epoch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/epoch={epoch}")
+    stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/stream={stream}/epoch={epoch}")
 
 
 def land_records(
@@ -48,18 +52,19 @@ def land_records(
     landed_dir: str,
     checkpoint_dir: str,
     rejects_dir: str | None = None,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
     files_per_batch: int = FILES_PER_BATCH,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Validated JSON records, up to ``max_rows`` per file."""
+    """Validated JSON records; ``max_rows``, if given, bounds those of one file."""
     schema = table_schema(table)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        with written(record_heads(batch, schema, max_rows), "records") as heads:
-            _land(capped_records(heads, schema, max_rows), landed_dir, epoch)
-        if rejects_dir:
-            _land(rejected_records(batch, schema), rejects_dir, epoch)
+        with written(checked_records(batch, schema), "records") as checked:
+            if rejects_dir:
+                _land(refused_records(checked), rejects_dir, epoch)
+            taken = checked.filter("_ok") if max_rows is None else bounded_records(checked, max_rows)
+            _land(taken.select(schema.names), landed_dir, epoch)
 
     rows = records.stream_records(spark, json_dir, files_per_batch)
     return _start(rows, checkpoint_dir, write_batch, every)
@@ -71,22 +76,29 @@ def land_capped_csv(
     table: str,
     landed_dir: str,
     checkpoint_dir: str,
+    rejects_dir: str | None = None,
     max_rows: int = MAX_ROWS,
     files_per_batch: int = FILES_PER_BATCH,
     every: str | None = None,
 ) -> StreamingQuery:
-    """The first ``max_rows`` rows of each CSV file whose rows all fit."""
+    """The first ``max_rows`` rows of each CSV file whose rows all fit.
+
+    With ``rejects_dir`` the rows of the other files are kept there.
+    """
     schema = table_schema(table)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        with written(line_heads(batch, schema, max_rows), "lines") as heads:
-            good = capped_lines(heads, max_rows).filter("_good")
-            _land(good.select(schema.names), landed_dir, epoch)
+        heads = line_heads(batch, schema, max_rows)
+        with cutting(spark, max_rows), written(heads, "lines") as kept:
+            capped = capped_lines(kept, max_rows)
+            if rejects_dir:
+                _land(capped.filter("NOT _good").drop("_block", "_row", "_good"), rejects_dir, epoch)
+            _land(capped.filter("_good").select(schema.names), landed_dir, epoch)
 
     lines = csv.stream_lines(spark, src_dir, files_per_batch)
     return _start(lines, checkpoint_dir, write_batch, every)
 
 
 def read_landed(spark: SparkSession, landed_dir: str, schema: T.StructType) -> DataFrame:
-    """All rows landed so far, without the epoch."""
-    return spark.read.schema(schema).parquet(f"{landed_dir.rstrip('/')}/epoch=*")
+    """All rows landed so far by any stream, or those kept as rejects."""
+    return spark.read.schema(schema).parquet(f"{landed_dir.rstrip('/')}/stream=*/epoch=*")

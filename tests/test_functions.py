@@ -86,3 +86,12 @@ def test_settings_follow_the_size(spark):
         int(settings_for(size)["spark.sql.shuffle.partitions"]) for size in (0, 2**40, 100 * 2**40)
     ]
     assert partitions == [200, 4096, 100_000]
+
+
+def test_strict_dates_do_not_depend_on_the_session(spark, conf):
+    conf(spark__sql__ansi__enabled="false")
+    frame = spark.createDataFrame([("2021-02-03T00:00:00Z",), ("0",), (None,)], "t STRING")
+    assert [r[0] for r in frame.select(hire_date(F.col("t")).cast("string")).collect()] == ["2021-02-03", None, None]
+    for bad in ("2021-13-45", "", "x", "2021-02-30T01"):
+        with pytest.raises(Exception, match="not a calendar date"):
+            spark.createDataFrame([(bad,)], "t STRING").select(hire_date(F.col("t"))).collect()

@@ -82,3 +82,10 @@ def test_csv_round_trip_of_awkward_text(spark, tmp_path):
         path = str(tmp_path / f"{header}.csv")
         csv.write(df, path, header)
         assert rows(csv.read_declared(spark, path, table_schema("jobs"), header)) == rows(df)
+
+
+def test_an_open_quote_is_refused(spark, tmp_path):
+    (tmp_path / "jobs.csv").write_text('1,"x\n2,y"\n')
+    db, raw = sample.database(spark, {}), sample.database(spark, {})
+    report = {r.table: r.status for r in ingest(spark, str(tmp_path), db, raw).collect()}
+    assert report == {"jobs_raw": "error", "jobs": "skipped"}

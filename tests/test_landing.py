@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql.types import StructType
 
 from conftest import rows
-from rollcall.operators.file_head import block_heads, cap_files, with_position
+from rollcall.operators.file_head import block_heads, cap_files, cutting, with_position
 from rollcall.plans.landing import append_capped_csv, append_records
 from rollcall.sources import csv, tables
 
@@ -53,8 +53,52 @@ def test_one_long_file_is_cut_before_the_shuffle(spark, tmp_path, conf):
 def test_blocks_are_cut_whatever_the_cap(spark, tmp_path, conf, n):
     conf(spark__sql__optimizer__windowGroupLimitThreshold=1000)
     put(tmp_path / "jobs.csv", ["1,a"])
-    heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path))), n)
-    assert "Partial" in heads._jdf.queryExecution().executedPlan().toString()
+    with cutting(spark, n):
+        heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path))), n)
+        assert "Partial" in heads._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_setting_differs_after_a_job(spark, tmp_path, db):
+    put(tmp_path / "jobs.csv", ["1,a"])
+    before = spark.conf.getAll
+    append_capped_csv(spark, str(tmp_path), db, max_rows=50_000)
+    assert spark.conf.getAll == before
+
+
+def test_rows_beyond_the_bound_are_counted(spark, tmp_path, db):
+    put(tmp_path / "a" / "jobs.csv" / "1.csv", (f"{i},j" for i in range(10)))
+    put(tmp_path / "a" / "jobs.csv" / "2.csv", ["x,j"] * 5)
+    done = append_capped_csv(spark, str(tmp_path / "a"), db, max_rows=4).first()
+    assert (done.status, done.rows, done.rows_refused, done.rows_left_out) == ("partial", 4, 4, 7)
+    good = [json.dumps({"id": i, "job": "j"}) for i in range(5000)]
+    put(tmp_path / "b" / "a.json", [*good, "{no"])
+    done = append_records(spark, str(tmp_path / "b"), db, "jobs").first()
+    assert (done.status, done.rows, done.rows_refused, done.rows_left_out) == ("partial", 5000, 1, 0)
+    done = append_records(spark, str(tmp_path / "b"), db, "jobs", max_rows=100).first()
+    assert (done.rows, done.rows_refused, done.rows_left_out) == (100, 1, 4900)
+
+
+def test_a_refused_batch_is_an_error(spark, tmp_path, db):
+    put(tmp_path / "a" / "jobs.csv", ["x,j"])
+    put(tmp_path / "b" / "a.json", ["{no"])
+    assert append_capped_csv(spark, str(tmp_path / "a"), db).first().status == "error"
+    assert append_records(spark, str(tmp_path / "b"), db, "jobs").first().status == "error"
+
+
+def test_rejects_that_cannot_be_kept_append_nothing(spark, tmp_path, db):
+    put(tmp_path / "a" / "jobs.csv" / "1.csv", ["1,a"])
+    put(tmp_path / "a" / "jobs.csv" / "2.csv", ["x,a"])
+    put(tmp_path / "b" / "a.json", [json.dumps({"id": 1, "job": "a"}), "{no"])
+    (tmp_path / "file").write_text("in the way")
+    blocked = str(tmp_path / "file")
+    assert append_capped_csv(spark, str(tmp_path / "a"), db, rejects_dir=blocked).first().status == "error"
+    assert append_records(spark, str(tmp_path / "b"), db, "jobs", rejects_dir=blocked).first().status == "error"
+    assert not spark.catalog.tableExists(tables.table_name(db, "jobs")) or table(spark, db).count() == 0
+
+
+def test_an_open_quote_is_refused(spark, tmp_path, db):
+    put(tmp_path / "jobs.csv", ['1,"x', '2,y"'])
+    assert append_capped_csv(spark, str(tmp_path), db).first().status == "error"
 
 
 def test_append_capped(spark, tmp_path, db):
@@ -79,8 +123,9 @@ def test_a_row_that_does_not_fit_refuses_its_file_only(spark, tmp_path, db, bad)
     put(tmp_path / "in" / "jobs.csv" / "good.csv", ["3,fine", "4,"])
     rejects = str(tmp_path / "rejects")
     report = append_capped_csv(spark, str(tmp_path / "in"), db, rejects_dir=rejects)
-    assert report_of(report) == {"jobs": ("ok", 2)}
+    assert report_of(report) == {"jobs": ("partial", 2)}
     assert report.first().message == "files rejected: 1"
+    assert (report.first().rows_refused, report.first().rows_left_out) == (3, 0)
     assert rows(table(spark, db)) == [(3, "fine"), (4, "")]
     assert spark.read.parquet(f"{rejects}/jobs").count() == 3
 
@@ -118,7 +163,8 @@ def test_append_records(spark, tmp_path, db):
     put(tmp_path / "in" / "a.json", RECORDS)
     rejects = str(tmp_path / "rejects")
     done = append_records(spark, str(tmp_path / "in"), db, "departments", rejects_dir=rejects)
-    assert report_of(done) == {"departments": ("ok", 5)}
+    assert report_of(done) == {"departments": ("partial", 5)}
+    assert (done.first().rows_refused, done.first().rows_left_out) == (9, 0)
     assert rows(table(spark, db, "departments")) == [
         (1, "Human Resources"), (2, "Law"), (7, "[text] {like} one"),
         (8, '{"quoted": "object"}'), (9, "10"),
@@ -132,7 +178,7 @@ def test_record_cap_counts_accepted_records_per_file(spark, tmp_path, db):
     put(tmp_path / "a.json", ["{bad", *good])
     put(tmp_path / "b.json", good[:2])
     assert report_of(append_records(spark, str(tmp_path), db, "jobs", max_rows=4)) == {
-        "jobs": ("ok", 6)
+        "jobs": ("partial", 6)
     }
     assert sorted(r.id for r in table(spark, db).collect()) == [0, 0, 1, 1, 2, 3]
 

@@ -30,7 +30,7 @@ def test_records_land_once(spark, tmp_path):
     assert run() == first
     put(tmp_path / "in" / "2.json", [json.dumps({"id": "9", "job": "b"})])
     assert run() == [*first, (9, "b")]
-    assert spark.read.parquet(f"{rejects}/epoch=*").count() == 1
+    assert spark.read.parquet(f"{rejects}/stream=*/epoch=*").count() == 1
 
 
 def test_csv_lands_once_in_several_batches(spark, tmp_path):
@@ -45,7 +45,7 @@ def test_csv_lands_once_in_several_batches(spark, tmp_path):
         assert sorted(r.id for r in read_landed(spark, landed, JOBS).collect()) == [
             0, 1, 10, 11, 20, 21, 30, 31,
         ]
-    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("epoch=")]) == 3
+    assert len(list((tmp_path / "out").glob("stream=*/epoch=*"))) == 3
 
 
 def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
@@ -86,3 +86,23 @@ def test_a_running_stream_finds_new_files(spark, tmp_path):
     finally:
         stream.stop()
     assert rows(read_landed(spark, landed, JOBS)) == [(1, "a"), (2, "b")]
+
+
+def test_refused_files_are_kept(spark, tmp_path):
+    source, landed, state, rejects = (str(tmp_path / d) for d in ("in", "out", "state", "rejects"))
+    put(tmp_path / "in" / "bad.csv", ["1,a", "x,b"])
+    put(tmp_path / "in" / "good.csv", ["3,c"])
+    land_capped_csv(spark, source, "jobs", landed, state, rejects_dir=rejects).awaitTermination()
+    assert rows(read_landed(spark, landed, JOBS)) == [(3, "c")]
+    assert len(read_landed(spark, rejects, JOBS).collect()) == 2
+
+
+def test_streams_do_not_meet_in_one_folder(spark, tmp_path):
+    landed = str(tmp_path / "out")
+    for n in (1, 2, 2):  # the third run has the second's files and a checkpoint of its own
+        put(tmp_path / f"in{n}" / "1.csv", [f"{n},j"])
+        state = str(tmp_path / f"state{len(list(tmp_path.iterdir()))}-{n}")
+        while (tmp_path / state).exists():
+            state += "x"
+        land_capped_csv(spark, str(tmp_path / f"in{n}"), "jobs", landed, state).awaitTermination()
+    assert rows(read_landed(spark, landed, JOBS)) == [(1, "j"), (2, "j"), (2, "j")]

@@ -12,7 +12,7 @@ from rollcall.plans.reports import (
     summarise_year,
 )
 from rollcall.plans.snapshot import backup_table, backup_tables, restore_table, restore_tables
-from rollcall.sources import avro, csv, tables
+from rollcall.sources import avro, csv, files, tables
 
 JOBS = "id BIGINT, job STRING"
 
@@ -156,3 +156,56 @@ def test_lookups_may_have_more_columns(spark, star):
     dep, jobs = dep.selectExpr("*", "id AS job_id"), jobs.selectExpr("*", "'x' AS name")
     assert rows(hires_by_quarter(fact, dep, jobs, 2021)) == [("Sales", "Clerk", 1, 0, 0, 0)]
     assert hires_enriched(fact, dep, jobs).count() == 1
+
+
+def at_each_step(spark, db, jobs, stop_after):
+    """Replace a table, but stop after some of the statements that swap it."""
+    name, staged, aside = (tables.table_name(db, "jobs" + end) for end in ("", tables.NEXT, tables.OLD))
+    jobs.filter("id = 3").write.format("parquet").saveAsTable(staged)
+    for statement in [
+        f"ALTER TABLE {name} RENAME TO {aside}",
+        f"ALTER TABLE {staged} RENAME TO {name}",
+        f"DROP TABLE {aside}",
+    ][:stop_after]:
+        spark.sql(statement)
+
+
+@pytest.mark.parametrize("stop_after", range(4))
+def test_an_interrupted_replacement_has_old_or_new_rows(spark, db, jobs, stop_after):
+    tables.replace_table(jobs, db, "jobs")
+    at_each_step(spark, db, jobs, stop_after)
+    assert tables.list_tables(spark, db) == ["jobs"]
+    expected = rows(jobs) if stop_after == 0 else [(3, "c")]
+    assert rows(spark.table(f"{db}.jobs")) == expected
+    tables.replace_table(jobs.filter("id = 1"), db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(jobs.filter("id = 1"))
+    assert tables.list_tables(spark, db) == ["jobs"]
+
+
+def test_a_folder_that_cannot_be_moved_leaves_the_old_one(spark, tmp_path):
+    for name in ("old", "new"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x").write_text(name)
+    target = tmp_path / "target"
+    files.replace_folder(spark, str(tmp_path / "old"), str(target))
+    with pytest.raises(OSError):
+        files.replace_folder(spark, str(tmp_path / "missing"), str(target))
+    assert (target / "x").read_text() == "old"
+    # Stopped once the old folder was aside.
+    target.rename(tmp_path / f".target{files.OLD}")
+    assert "target" in files.child_names(spark, str(tmp_path))
+    assert (target / "x").read_text() == "old"
+    files.replace_folder(spark, str(tmp_path / "new"), str(target))
+    assert (target / "x").read_text() == "new"
+    assert files.child_names(spark, str(tmp_path)) == ["target"]
+
+
+def test_no_name_is_left_out(spark, db, tmp_path, jobs):
+    for name in ("_x", "x__next", "plain"):
+        tables.append_table(jobs, db, name)
+    backup_tables(spark, db, str(tmp_path))
+    other = sample.database(spark, {})
+    restore_tables(spark, str(tmp_path), other)
+    assert tables.list_tables(spark, other) == ["_x", "plain", "x__next"]
+    for name in ("_x", "x__next", "plain"):
+        assert rows(spark.table(f"{other}.`{name}`")) == rows(jobs)
