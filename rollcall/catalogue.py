@@ -107,7 +107,7 @@ def _(spark, sf_dir):
 @query("hires_enriched_large_lookup", "SELECT * FROM enriched")
 def _(spark, sf_dir):
     star = sample.star(spark, sf_dir)
-    return reports.hires_enriched(*star.values(), max_rows=0, rows_per_task=500)
+    return reports.hires_enriched(*star.values(), max_rows=0)
 
 
 @query("hires_in_year", f"SELECT * FROM enriched WHERE {in_year_sql(YEAR)}")

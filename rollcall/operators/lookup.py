@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-ROWS_PER_TASK = 2_000_000
 
 
 def are_small(
@@ -31,57 +30,24 @@ def are_small(
     return [rows <= max_rows and width <= max_bytes for _, rows, width in sorted(sizes.collect())]
 
 
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    *,
-    small: bool,
-    keys: DataFrame | None = None,
-    rows_per_task: int | None = ROWS_PER_TASK,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *, small: bool) -> DataFrame:
     """All rows of ``fact`` with the matching columns of ``dim``, nulls if none.
 
     A repeated key in ``dim`` repeats the fact row. ``small`` is what
     ``are_small`` found: a small lookup table is broadcast. A larger one is
-    joined by shuffle, and each key held by more than ``rows_per_task`` rows (the
-    null key included) is split. These are counted in ``keys``, by default
-    ``fact``; pass a frame that is cheaper to read when ``fact`` is itself a
-    join. The counts bear on balance only, never on the result.
-    ``rows_per_task=None`` splits nothing, for keys that cannot repeat in
-    ``fact``.
+    joined by shuffle. Rows without a key match nothing, so they are spread over
+    all tasks; other hot keys are left to adaptive execution, which splits the
+    partitions they make too large. The facts are read once.
     """
     dim = dim.withColumnRenamed(dim_key, "_key")
     if small:
-        dim = F.broadcast(dim)
-    if small or rows_per_task is None:
-        return fact.join(dim, F.col(fact_key) == F.col("_key"), "left").drop("_key")
-
-    # One row per hot key, so never more than fact rows / rows_per_task of them:
-    # with the default, a million for two trillion facts.
-    hot = (
-        (fact if keys is None else keys)
-        .groupBy(F.col(fact_key).alias("_hot"))
-        .agg(F.ceil(F.count("*") / rows_per_task).alias("_parts"))
-        .filter("_parts > 1")
-    )
-    parts = F.coalesce("_parts", F.lit(1))
+        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_key"), "left").drop("_key")
     # Row content plus input partition: the same after a task is run again, and
     # equal rows of different partitions still spread.
     spread = F.xxhash64(F.spark_partition_id(), *fact.columns)
-    split_fact = (
-        fact.join(F.broadcast(hot), F.col(fact_key).eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_part", F.pmod(spread, parts))
-        .drop("_hot", "_parts")
-    )
-    copied_dim = (
-        dim.join(F.broadcast(hot), F.col("_key").eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_dim_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-        .drop("_hot", "_parts")
-    )
-    return split_fact.join(
-        copied_dim,
-        (F.col(fact_key) == F.col("_key")) & (F.col("_part") == F.col("_dim_part")),
+    placed = fact.withColumn("_place", F.when(F.col(fact_key).isNull(), spread).otherwise(0))
+    return placed.join(
+        dim.withColumn("_dim_place", F.lit(0).cast("bigint")),
+        (F.col(fact_key) == F.col("_key")) & (F.col("_place") == F.col("_dim_place")),
         "left",
-    ).drop("_key", "_part", "_dim_part")
+    ).drop("_key", "_place", "_dim_place")

@@ -8,8 +8,8 @@ large share of the hires is no hot key. Lookup tables that measure small are
 broadcast, and hires are counted per name in the tasks that read them. With
 larger ones hires are first counted per id, and the names are joined to the
 counts; an id that repeats in a lookup table multiplies the counts as it would
-multiply the hires. ``limits`` are those of ``are_small``, ``rows_per_task`` that
-of ``lookup_join``.
+multiply the hires. ``limits`` are those of ``are_small``. Whatever the sizes, a
+report is lazy: making one reads lookup tables, but no hire.
 """
 
 from __future__ import annotations
@@ -18,9 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import hire_date, in_year
-from ..operators.lookup import ROWS_PER_TASK, are_small, lookup_join
+from ..operators.lookup import are_small, lookup_join
 from ..schemas import FACT
-from ..session import checkpointed
 from ..sources import tables
 from .refine import refined_name
 
@@ -61,11 +60,10 @@ def hires_enriched(
     departments: DataFrame,
     jobs: DataFrame,
     on_bad_date: str = "raise",
-    rows_per_task: int = ROWS_PER_TASK,
     **limits: int,
 ) -> DataFrame:
     """Every hire with its date, department and job; nulls where unknown."""
-    return _enriched(dated_hires(fact, on_bad_date), departments, jobs, rows_per_task, limits)
+    return _enriched(dated_hires(fact, on_bad_date), departments, jobs, limits)
 
 
 def hires_in_year(
@@ -74,39 +72,28 @@ def hires_in_year(
     jobs: DataFrame,
     year: int,
     on_bad_date: str = "raise",
-    rows_per_task: int = ROWS_PER_TASK,
     **limits: int,
 ) -> DataFrame:
     """Enriched hires of one year that have a department."""
     hires = hires_of_year(fact, year, on_bad_date)
-    rows = _enriched(hires, departments, jobs, rows_per_task, limits)
+    rows = _enriched(hires, departments, jobs, limits)
     return rows.filter(F.col("department").isNotNull())
 
 
-def _enriched(hires, departments, jobs, rows_per_task, limits) -> DataFrame:
+def _enriched(hires, departments, jobs, limits) -> DataFrame:
     departments, jobs = departments.select("id", "department"), jobs.select("id", "job")
     few_departments, few_jobs = are_small(departments, jobs, **limits)
-    named = _with_department(hires, departments, few_departments, rows_per_task)
-    # Keys are counted in the hires as read, not in the joined rows.
-    named = lookup_join(
-        named, jobs, "job_id", "id", small=few_jobs, keys=hires, rows_per_task=rows_per_task
-    )
+    named = lookup_join(hires, departments, "department_id", "id", small=few_departments)
+    named = lookup_join(named, jobs, "job_id", "id", small=few_jobs)
     return named.select("id", "name", "hire_date", "department_id", "department", "job")
 
 
-def _with_department(rows, departments, small, rows_per_task) -> DataFrame:
-    return lookup_join(
-        rows, departments, "department_id", "id", small=small, rows_per_task=rows_per_task
-    )
-
-
 def hires_by_quarter(
     fact: DataFrame,
     departments: DataFrame,
     jobs: DataFrame,
     year: int,
     on_bad_date: str = "raise",
-    rows_per_task: int = ROWS_PER_TASK,
     **limits: int,
 ) -> DataFrame:
     """Hires per department name, job name and quarter of one year.
@@ -118,13 +105,12 @@ def hires_by_quarter(
     departments, jobs = departments.select("id", "department"), jobs.select("id", "job")
     few_departments, few_jobs = are_small(departments, jobs, **limits)
     if not (few_departments and few_jobs):
-        rows = checkpointed(rows.groupBy("department_id", "job_id").agg(*totals))
+        # Counts are joined in place of hires.
+        rows = rows.groupBy("department_id", "job_id").agg(*totals)
         totals = [F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS]
-    named = _with_department(rows, departments, few_departments, rows_per_task)
+    named = lookup_join(rows, departments, "department_id", "id", small=few_departments)
     named = named.filter(F.col("department").isNotNull())
-    named = lookup_join(
-        named, jobs, "job_id", "id", small=few_jobs, keys=rows, rows_per_task=rows_per_task
-    )
+    named = lookup_join(named, jobs, "job_id", "id", small=few_jobs)
     return named.groupBy("department", "job").agg(*totals).orderBy("department", "job")
 
 
@@ -144,7 +130,7 @@ def department_hires(
         rows = rows.groupBy("department_id").agg(total.alias("hires"))
         total = F.sum("hires")
     # Lookups are broadcast, or joined to one count per key: no key is hot.
-    named = _with_department(rows, departments, few_departments, None)
+    named = lookup_join(rows, departments, "department_id", "id", small=few_departments)
     named = named.filter(F.col("department").isNotNull())
     group = [F.col("department_id").alias("id"), "department"]
     return named.groupBy(*group).agg(total.alias("hired"))

@@ -66,17 +66,6 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rollcall/{purpose}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, computed once and kept in the shared folder.
-
-    For a frame that a lazy result uses several times.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(run_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
-
-
 @contextmanager
 def written(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
     """The rows of ``df`` from a folder they are written to once.

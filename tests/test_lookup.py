@@ -28,32 +28,40 @@ def test_small_lookup_is_broadcast(skewed):
     assert "BroadcastHashJoin" in plan_of(joined)
 
 
-def test_large_lookup_is_shuffled_and_hot_keys_split(skewed, conf):
+def test_large_lookup_is_shuffled_and_reads_the_facts_once(skewed, conf):
     conf(spark__sql__autoBroadcastJoinThreshold=-1)
-    joined = lookup_join(*skewed, "key", "dim_id", small=False, rows_per_task=500)
+    joined = lookup_join(*skewed, "key", "dim_id", small=False)
     assert joined.columns == ["id", "key", "label"]
     assert rows(joined) == rows(plain(*skewed))
     plan = plan_of(joined)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    assert "_part" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert plan.split("Initial Plan")[0].count("FileScan parquet") == 1
 
 
-def test_no_group_of_the_shuffle_is_hot(skewed, conf):
-    """The two keys that hold a third each are spread over many groups."""
-    fact, dim = skewed
-    conf(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled=False)
-    joined = lookup_join(fact, dim, "key", "dim_id", small=False, rows_per_task=500)
-    sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert sizes < joined.count() / 3
+def largest_share(joined):
+    sizes = joined.groupBy(F.spark_partition_id()).count()
+    return sizes.agg(F.max("count") / F.sum("count")).first()[0]
 
 
-def test_counting_keys_elsewhere_changes_nothing(skewed, conf):
+def test_rows_without_a_key_are_spread(skewed, conf):
     fact, dim = skewed
-    conf(spark__sql__autoBroadcastJoinThreshold=-1)
-    joined = lookup_join(
-        fact, dim, "key", "dim_id", small=False, rows_per_task=100, keys=fact.filter("key = 7")
+    conf(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled=False)
+    joined = lookup_join(fact.filter("key IS NULL"), dim, "key", "dim_id", small=False)
+    assert largest_share(joined) < 0.4
+
+
+def test_adaptive_execution_splits_other_hot_keys(skewed, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__shuffle__partitions=8,
     )
-    assert rows(joined) == rows(plain(fact, dim))
+    joined = lookup_join(*skewed, "key", "dim_id", small=False)
+    assert "skew=true" in plan_of(joined) and rows(joined) == rows(plain(*skewed))
 
 
 def test_size_is_measured_in_rows_and_bytes(spark):
@@ -68,6 +76,6 @@ def test_size_is_measured_in_rows_and_bytes(spark):
 def test_the_split_is_the_same_when_run_again(skewed, conf):
     """A task that runs again after a loss sends its rows where they went before."""
     conf(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled=False)
-    joined = lookup_join(*skewed, "key", "dim_id", small=False, rows_per_task=500)
+    joined = lookup_join(*skewed, "key", "dim_id", small=False)
     placed = joined.withColumn("at", F.spark_partition_id())
     assert rows(placed) == rows(placed)

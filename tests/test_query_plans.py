@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of
 from rollcall import catalogue, sample
@@ -53,7 +54,8 @@ def test_small_lookups_are_joined_where_hires_are_read(refined):
 
 def test_large_lookups_are_joined_to_counts(refined):
     plan = plan_of(reports.hires_by_quarter(*refined, 1997, max_rows=0), run=False)
-    assert "hired_employees_refined" not in plan and "ExistingRDD" in plan
+    assert plan.count("hired_employees_refined") == 1 and "ExistingRDD" not in plan
+    assert plan.index("Join") < plan.rindex("partial_count") < plan.index("hired_employees_refined")
     plan = plan_of(reports.department_hires(*refined[:2], 1997, max_rows=0), run=False)
     assert plan.rindex("Join") < plan.index("partial_count")
 
@@ -79,5 +81,22 @@ def test_text_is_parsed_once(spark, tmp_path):
     lines = landing.line_heads(csv.read_lines(spark, str(tmp_path)), schema)
     assert plan_of(lines, run=False).count("from_csv") == 1
     found = records.read_records(spark, str(tmp_path))
-    for df in (landing.record_heads(found, schema), landing.rejected_records(found, schema)):
-        assert plan_of(df, run=False).count("from_json") == 1
+    assert plan_of(landing.checked_records(found, schema), run=False).count("from_json") == 1
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_making_a_report_reads_no_hire(spark, tmp_path, limits):
+    _, departments, jobs = sample.star(spark, SF_DIR).values()
+    schema = table_schema("hired_employees")
+    empty = str(tmp_path / "gone")
+    spark.createDataFrame([], schema).write.parquet(empty)
+    fact = spark.read.schema(schema).parquet(empty)
+    fact = fact.withColumn("name", F.raise_error(F.lit("a hire was read")).cast("string"))
+    fact = fact.unionByName(spark.range(1).select(*[
+        F.raise_error(F.lit("a hire was read")).cast(f.dataType).alias(f.name) for f in schema
+    ]))
+    reports.hires_enriched(fact, departments, jobs, **limits)
+    reports.hires_by_quarter(fact, departments, jobs, 1997, **limits)
+    reports.departments_above_mean(fact, departments, 1997, **limits)
+    with pytest.raises(Exception, match="a hire was read"):
+        reports.hires_by_quarter(fact, departments, jobs, 1997, **limits).collect()

@@ -162,7 +162,7 @@ def test_large_lookups_with_hot_keys(spark, conf):
     """Counts, too, are split by key when one key holds many of them."""
     conf(spark__sql__autoBroadcastJoinThreshold=-1)
     fact, dep, jobs = sample.star(spark, "/root/testdata/sf0.001").values()
-    large = dict(max_rows=0, rows_per_task=2)
+    large = dict(max_rows=0)
     assert rows(reports.hires_by_quarter(fact, dep, jobs, 1997, **large)) == rows(
         reports.hires_by_quarter(fact, dep, jobs, 1997)
     )
