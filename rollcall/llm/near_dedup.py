@@ -33,11 +33,11 @@ MOST_IDF = 1.5
 # Counters that find which shingles can be common; exact counts follow.
 COUNTERS = 1 << 20
 COUNTER_BLOCK = 1 << 14
-# Candidates whose samples agree less often than this are not near-duplicates:
-# at a true similarity of 0.8, forty samples agree so little about once in 10^5.
-LEAST_AGREEMENT = 0.5
-# Members of a band's bucket that are compared as one block.
-BLOCK = 2000
+# Pairs whose samples agree less often than this are not worth a look: at a true
+# similarity of 0.8, so few of forty agree about once in ten thousand.
+LEAST_AGREEMENT = 0.55
+# Members of a band's bucket that are compared as one block, with another one.
+BLOCK = 500
 # Members verified against one representative in one task.
 CHUNK = 512
 
@@ -277,44 +277,89 @@ def verified(pairs: DataFrame, rows: DataFrame, common, similarity: float) -> Da
     )
 
 
-def _compare_blocks(frames):
-    """Pairs of different classes within a block of a bucket whose samples agree enough."""
+def _blocks(frames: Iterator, columns: list[str]) -> Iterator[tuple[bool, dict]]:
+    """(whether two blocks meet, columns of their members) from sorted frames."""
     import pandas as pd
 
     group, held = None, []
-
-    def compare():
-        codes = np.frombuffer(b"".join(x[1] for x in held), "<u4").reshape(-1, SAMPLES)
-        ids = np.array([x[0] for x in held])
-        roots = np.array([x[2] for x in held])
-        sides = np.array([x[3] for x in held])
-        out = []
-        for i in range(len(held) - 1):
-            rest = slice(i + 1, None)
-            fits = (roots[rest] != roots[i]) & ((codes[rest] == codes[i]).sum(1) >= LEAST_AGREEMENT * SAMPLES)
-            if group[2] != group[3]:
-                fits &= sides[rest] != sides[i]
-            out += [(min(ids[i], j), max(ids[i], j)) for j in ids[rest][fits]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
     for frame in frames:
-        for row in frame.itertuples(index=False):
-            key = (row.band, row.key, row.low, row.high)
+        for key, part in frame.groupby(["band", "key", "low", "high"], sort=False):
             if key != group:
-                if len(held) > 1:
-                    yield compare()
+                if held:
+                    yield group[2] != group[3], pd.concat(held)[columns]
                 group, held = key, []
-            held.append((row.rep, row.sketch, row.root, row.chunk))
-    if len(held) > 1:
-        yield compare()
+            held.append(part)
+    if held:
+        yield group[2] != group[3], pd.concat(held)[columns]
+
+
+def _others(block, across: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per member, the others of a different class, and the share of samples that agree."""
+    codes = np.frombuffer(b"".join(block["sketch"]), "<u4").reshape(len(block), -1)
+    roots, sides = block["root"].to_numpy(), block["chunk"].to_numpy()
+    for i in range(len(block)):
+        fits = roots != roots[i]
+        if across:
+            fits &= sides != sides[i]
+        at = np.flatnonzero(fits)
+        if len(at):
+            yield i, at, (codes[at] == codes[i]).mean(1)
+
+
+def _nearest(frames):
+    """Each member of a block with the one of another class that agrees with it most."""
+    import pandas as pd
+
+    for across, block in _blocks(frames, ["rep", "sketch", "root", "chunk"]):
+        ids = block["rep"].to_numpy()
+        out = {tuple(sorted((ids[i], ids[at[agreed.argmax()]]))) for i, at, agreed in _others(block, across)}
+        yield pd.DataFrame(sorted(out), columns=["a", "b"]).astype("int64")
 
 
-def _pairs_across(reps: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are still in different classes.
+def _linker(common: tuple[np.ndarray, np.ndarray], similarity: float):
+    """Verified links that join the classes of a block, at most one for each member.
 
-    A bucket is compared in blocks of about ``BLOCK`` members, so none is too
-    large for a task and none is left out.
+    All pairs of different classes are looked at, but for those that the links
+    found so far have joined already.
     """
+
+    def link(frames):
+        import pandas as pd
+
+        for across, block in _blocks(frames, ["rep", "sketch", "root", "chunk", "text"]):
+            ids, roots = block["rep"].to_numpy(), block["root"].to_numpy()
+            joined = {r: r for r in roots}
+
+            def find(r, joined=joined):
+                while joined[r] != r:
+                    joined[r] = r = joined[joined[r]]
+                return r
+
+            bags, sums, out = None, None, []
+            for i, at, agreed in _others(block, across):
+                at = at[agreed >= LEAST_AGREEMENT]
+                for j in at[at > i]:
+                    x, y = find(roots[i]), find(roots[j])
+                    if x == y:
+                        continue
+                    if bags is None:
+                        bags = Bags(Words(pa.array(block["text"], pa.string())), common)
+                        sums = np.concatenate([[0.0], np.cumsum(bags.weights)])
+                    (a, b), (c, d) = bags.bounds[i : i + 2], bags.bounds[j : j + 2]
+                    place = np.minimum(np.searchsorted(bags.keys[a:b], bags.keys[c:d]), b - a - 1)
+                    both = bags.keys[a:b][place] == bags.keys[c:d]
+                    shared = np.minimum(bags.weights[a:b][place], bags.weights[c:d])[both].sum()
+                    whole = sums[b] - sums[a] + sums[d] - sums[c] - shared
+                    if shared >= similarity * whole * (1 - 1e-12):
+                        joined[x] = y
+                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return link
+
+
+def _split_buckets(reps: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several classes, with their class."""
     members = (
         reps.select("rep", "sketch", F.posexplode("bands").alias("band", "key"))
         .join(roots, F.col("rep") == F.col("node"), "left")
@@ -326,18 +371,22 @@ def _pairs_across(reps: DataFrame, roots: DataFrame) -> DataFrame:
         .where("low <> high")
         .select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
     )
-    dealt = members.join(split, ["band", "key"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    )
-    blocks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "band", "key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-        "rep", "sketch", "root", "chunk",
-    )
+    return members.join(split, ["band", "key"])
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members of each bucket in blocks of about ``BLOCK``, every two of which meet.
+
+    So no bucket is too large for a task, and none is left out.
+    """
+    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    blocks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return (
-        blocks.repartition("band", "key", "low", "high")
+        blocks.withColumn("low", F.least("chunk", "other"))
+        .withColumn("high", F.greatest("chunk", "other"))
+        .drop("chunks", "other")
+        .repartition("band", "key", "low", "high")
         .sortWithinPartitions("band", "key", "low", "high", "rep")
-        .mapInPandas(_compare_blocks, "a BIGINT, b BIGINT")
-        .distinct()
     )
 
 
@@ -345,9 +394,10 @@ def near_duplicates(docs: DataFrame, column: str = "text", similarity: float = S
     """One row per document: doc_id and class_id, the least doc_id of its class.
 
     Equal texts (the same words, whatever the case of A to Z) are one node. In
-    each bucket every node is verified against the least one; then all pairs of a
-    bucket that are still in different classes are looked at, so classes are
-    those of all verified links. A text without words is a class of its own, a
+    each bucket every node is verified against the least one, then against the
+    most alike of another class, and at last all pairs of a bucket that are still
+    in different classes are verified where they meet. So classes are those of
+    all links that a bucket shows. A text without words is a class of its own, a
     row without doc_id has none (null). Rows of one doc_id are one document.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("text"))
@@ -368,16 +418,27 @@ def near_duplicates(docs: DataFrame, column: str = "text", similarity: float = S
     pairs = stored(
         banded.join(leaders, ["band", "key"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "pairs"
     )
-    links = stored(verified(pairs, rows, common, similarity), "verified")
+    # The texts are moved once; from here on only those of candidates are.
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = stored(
+        rows.join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), "candidates"
+    )
+    links = stored(verified(pairs, texts, common, similarity), "verified")
+    roots = stored(components(links), "roots")
+    near = _in_blocks(_split_buckets(reps, roots)).mapInPandas(_nearest, "a BIGINT, b BIGINT").distinct()
+    near = stored(near.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(stored(verified(near, texts, common, similarity), "verified"))
     roots = stored(components(links), "roots")
-    more = stored(_pairs_across(reps, roots).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    # What is still in different classes is verified where the bucket's members meet.
+    members = _split_buckets(reps, roots).join(texts, F.col("rep") == F.col("doc_id")).drop("doc_id")
+    more = _in_blocks(members).mapInPandas(_linker(common, similarity), "a BIGINT, b BIGINT")
+    more = stored(more.distinct(), "verified")
     if not more.isEmpty():
-        links = links.unionByName(verified(more, rows, common, similarity))
-        roots = components(links)
-    texts = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
+        roots = stored(components(links.unionByName(more)), "roots")
+    classes = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
         "d0", "d1", F.coalesce("root", "rep").alias("class_id")
     )
-    return sketches.select("doc_id", "d0", "d1").join(texts, ["d0", "d1"], "left").select(
+    return sketches.select("doc_id", "d0", "d1").join(classes, ["d0", "d1"], "left").select(
         "doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")
     )
 
