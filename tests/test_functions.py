@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from rollcall.functions.dates import hire_date, in_year, quarter_label
 from rollcall.operators.normalise import normalise_history
 from rollcall.schemas import TABLES, read_schema, schema_from_text, table_schema

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from rollcall import sample
 from rollcall.plans.history import ingest, normalise_files
 from rollcall.schemas import table_schema

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from helpers import rows
 from rollcall.operators.file_head import block_heads, cap_files, cutting, with_position
 from rollcall.plans.landing import append_capped_csv, append_records
 from rollcall.sources import csv, tables

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from rollcall import catalogue, sample
 from rollcall.operators.refined import refine_rows
 from rollcall.plans import landing, reports

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from rollcall import sample
 from rollcall.operators.refined import refine_rows, with_stored_date
 from rollcall.plans import reports

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from helpers import rows
 from rollcall.plans.refine import refine
 from rollcall.sources import tables
 from rollcall.streaming.landing import land_capped_csv, land_records, read_landed

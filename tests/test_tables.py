@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from rollcall import sample
 from rollcall.plans.refine import refine
 from rollcall.plans.reports import (
