@@ -316,6 +316,16 @@ def _nearest(frames):
         yield pd.DataFrame(sorted(out), columns=["a", "b"]).astype("int64")
 
 
+def _bags_of(texts: list[str], common: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles and weights of each text, worked out a slice at a time."""
+    out = []
+    for part in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]):
+        bags = Bags(Words(part.column("text")), common)
+        for a, z in zip(bags.bounds[:-1], bags.bounds[1:]):
+            out.append((bags.keys[a:z].copy(), bags.weights[a:z].copy()))
+    return out
+
+
 def _linker(common: tuple[np.ndarray, np.ndarray], similarity: float):
     """Verified links that join the classes of a block, at most one for each member.
 
@@ -335,22 +345,19 @@ def _linker(common: tuple[np.ndarray, np.ndarray], similarity: float):
                     joined[r] = r = joined[joined[r]]
                 return r
 
-            bags, sums, out = None, None, []
+            bags, out = None, []
             for i, at, agreed in _others(block, across):
                 at = at[agreed >= LEAST_AGREEMENT]
                 for j in at[at > i]:
                     x, y = find(roots[i]), find(roots[j])
                     if x == y:
                         continue
-                    if bags is None:
-                        bags = Bags(Words(pa.array(block["text"], pa.string())), common)
-                        sums = np.concatenate([[0.0], np.cumsum(bags.weights)])
-                    (a, b), (c, d) = bags.bounds[i : i + 2], bags.bounds[j : j + 2]
-                    place = np.minimum(np.searchsorted(bags.keys[a:b], bags.keys[c:d]), b - a - 1)
-                    both = bags.keys[a:b][place] == bags.keys[c:d]
-                    shared = np.minimum(bags.weights[a:b][place], bags.weights[c:d])[both].sum()
-                    whole = sums[b] - sums[a] + sums[d] - sums[c] - shared
-                    if shared >= similarity * whole * (1 - 1e-12):
+                    bags = bags or _bags_of(block["text"].tolist(), common)
+                    (keys, weights), (others, theirs) = bags[i], bags[j]
+                    place = np.minimum(np.searchsorted(keys, others), len(keys) - 1)
+                    both = keys[place] == others
+                    shared = np.minimum(weights[place], theirs)[both].sum()
+                    if shared >= similarity * (weights.sum() + theirs.sum() - shared) * (1 - 1e-12):
                         joined[x] = y
                         out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
