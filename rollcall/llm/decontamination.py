@@ -174,7 +174,6 @@ def _best_region(index: Index, text: np.ndarray, item: int, places: np.ndarray,
     e = np.append(s[1:], len(by)) - 1
     runs = sorted(zip(dp[s].tolist(), dp[e].tolist(), dd[s].tolist()))
     best = None
-    tries = 0
     for i in range(len(runs)):
         for j in range(len(runs) - 1, i - 1, -1):
             d0, d1 = runs[i][0], runs[j][1] + Q
@@ -188,7 +187,6 @@ def _best_region(index: Index, text: np.ndarray, item: int, places: np.ndarray,
             hits = sum(min(y, d1 - Q) - max(x, d0) + 1 for x, y, _ in runs[i : j + 1])
             if hits < needed_hits(n):
                 continue
-            tries += 1
             edits = banded_distance(own[q0:q1], text[d0:d1], most)
             if edits <= most:
                 best = (d0, d1, q0, q1, edits)

@@ -55,8 +55,6 @@ def test_expected_counts_spell_the_words(vocab):
     times = np.array([3.0, 1.0, 2.0])
     used = G._expected(words, times, vocab, np.full(vocab.size, 1 / vocab.size))
     sizes = {}
-    for length in range(1, 3):
-        pass
     # All bytes are spelled: lengths of the pieces used add up to those of the words.
     import sentencepiece
 
