@@ -27,6 +27,11 @@ SEED_WORDS = 8
 REACH = MIN_WORDS - SEED_WORDS + 1
 
 
+def _key(columns: list[str]) -> list[str]:
+    """What names a document: doc_id, and code where :func:`_keyed` needs it."""
+    return [c for c in ("doc_id", "code") if c in columns]
+
+
 def _choices(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each suffix's beginning, and per run of ``MIN_WORDS`` words the one it retains.
 
@@ -58,10 +63,10 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(keys[new].view(np.int64)),
-                batch.column("doc_id").take(pa.array(rows[new])),
+                *(batch.column(c).take(pa.array(rows[new])) for c in _key(batch.schema.names)),
                 pa.array(np.diff(new, append=len(keys)).astype(np.int32)),
             ],
-            ["suffix", "doc_id", "places"],
+            ["suffix", *_key(batch.schema.names), "places"],
         )
 
 
@@ -85,42 +90,75 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(runs.view(np.int64)),
-                    batch.column("doc_id").take(pa.array(rows[at])),
+                    *(batch.column(c).take(pa.array(rows[at])) for c in _key(batch.schema.names)),
                     pa.array((at - words.bounds[rows[at]]).astype(np.int32)),
                 ],
-                ["run", "doc_id", "start"],
+                ["run", *_key(batch.schema.names), "start"],
             )
 
 
-def repeated_runs(docs: DataFrame, column: str = "text") -> DataFrame:
+def _keyed(docs: DataFrame, column: str) -> DataFrame:
+    """row (all of ``docs``), text, and the doc_id or doc_id and code that name one document.
+
+    Rows equal in id and text are one document; rows of one id with different
+    texts are told by a hash of the text. Rows without id are each a document of
+    its own: they are written once with a number, so that every reading gives
+    them the same. A table without such rows has no code, which would only take
+    disk.
+    """
+    rows = docs.select(F.struct("*").alias("row"))
+    doc_id, text = F.col("row.doc_id").cast("bigint"), F.col(f"row.`{column}`")
+    code = F.xxhash64(text)
+    by_id = rows.select(doc_id.alias("doc_id"), code.alias("code")).groupBy("doc_id")
+    nameless, several = (
+        by_id.agg((F.min("code") < F.max("code")).alias("several"))
+        .agg(F.max(F.col("doc_id").isNull()), F.max("several"))
+        .first()
+    )
+    if nameless or several:
+        named = rows.where(doc_id.isNotNull()).withColumn("code", code)
+        rows = named.unionByName(
+            stored(rows.where(doc_id.isNull()).withColumn("code", F.monotonically_increasing_id()), "nameless")
+        )
+    key = [doc_id.alias("doc_id"), *(F.col(c) for c in rows.columns if c == "code")]
+    return rows.select("row", *key, text.alias("text"))
+
+
+def _same(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join by document."""
+    key = _key(left.columns)
+    named = right.withColumnsRenamed({c: f"__{c}" for c in key})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
+    return left.join(named, same, how).drop(*(f"__{c}" for c in key))
+
+
+def repeated_runs(rows: DataFrame) -> DataFrame:
     """Per document the starts (in words) of runs that occur again, and of those to cut.
 
-    Of equal runs the one with the least (doc_id, start) stays, the others are
-    cut. Copies within one text count too. A run found only in rows of one
-    doc_id at one place stays in all of them; a null doc_id is one id. Texts of
-    fewer than ``MIN_WORDS`` words, null texts and empty tables give no rows.
+    Rows have the key and text of :func:`_keyed`. Of equal runs the one with the
+    least (key, start) stays, null ids first; the others are cut.
+    Copies within one text count too. A run found only in equal rows of one
+    doc_id at one place stays in all of them. Texts of fewer than ``MIN_WORDS``
+    words, null texts and empty tables give no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("text"))
-    suffixes = stored(rows.mapInArrow(_suffixes, "suffix BIGINT, doc_id BIGINT, places INT"), "suffixes")
+    key = _key(rows.columns)
+    types = ", ".join(f"{c} BIGINT" for c in key)
+    rows = rows.select(*key, "text")
+    suffixes = stored(rows.mapInArrow(_suffixes, f"suffix BIGINT, {types}, places INT"), "suffixes")
     shared = suffixes.groupBy("suffix").agg(F.sum("places").alias("n")).where("n > 1").select("suffix")
-    per_doc = suffixes.join(shared, "suffix").groupBy("doc_id").agg(F.collect_set("suffix").alias("suffixes"))
-    candidates = rows.join(per_doc.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")))
-    runs = stored(
-        candidates.select("doc_id", "text", "suffixes").mapInArrow(
-            _extend, "run BIGINT, doc_id BIGINT, start INT"
-        ),
-        "runs",
-    )
+    per_doc = suffixes.join(shared, "suffix").groupBy(*key).agg(F.collect_set("suffix").alias("suffixes"))
+    runs = stored(_same(rows, per_doc).mapInArrow(_extend, f"run BIGINT, {types}, start INT"), "runs")
+    place = F.struct(*key, "start")
     again = (
         runs.groupBy("run")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(place).alias("first"))
         .where("n > 1")
         .select("run", "first")
     )
-    cut = ~F.struct("doc_id", "start").eqNullSafe(F.col("first"))
+    cut = ~place.eqNullSafe(F.col("first"))
     return (
         runs.join(again, "run")
-        .groupBy("doc_id")
+        .groupBy(*key)
         .agg(
             F.collect_set("start").alias("starts"),
             F.collect_set(F.when(cut, F.col("start"))).alias("cuts"),
@@ -154,8 +192,11 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, column: str = "text") -> DataFrame:
-    """One row per maximal repeated span of a document: where, how long, words to cut."""
-    return repeated_runs(docs, column).mapInArrow(
+    """One row per maximal repeated span of a document: where, how long, words to cut.
+
+    Rows without id are documents of their own, with a null doc_id in the result.
+    """
+    return repeated_runs(_keyed(docs.select("doc_id", column), column)).mapInArrow(
         _spans, "doc_id BIGINT, start_word BIGINT, n_words BIGINT, n_cut BIGINT"
     )
 
@@ -183,11 +224,9 @@ def remove_repeats(docs: DataFrame, column: str = "text") -> DataFrame:
 
     All rows and columns stay; ``n_chars``, if there, is counted anew.
     """
-    cuts = repeated_runs(docs, column).select(F.col("doc_id").alias("__id"), "cuts").where(F.size("cuts") > 0)
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("__key"), F.col(column).alias("text")
-    ).join(cuts, F.col("__key").eqNullSafe(F.col("__id")), "left")
-    rows = rows.select("row", "text", "cuts")
+    rows = _keyed(docs, column)
+    cuts = repeated_runs(rows).drop("starts").where(F.size("cuts") > 0)
+    rows = _same(rows, cuts, "left").select("row", "text", "cuts")
     cleaned = rows.mapInArrow(
         _cut, f"row {docs.schema.simpleString()}, text STRING"
     )

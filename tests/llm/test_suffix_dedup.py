@@ -97,3 +97,32 @@ def test_empty_table_and_very_long_text(make_docs):
     words = long.split()
     got = spans(suffix_dedup.repeated_spans(make_docs([long, " ".join(words[70_000:70_060])])))
     assert got == {(0, 70_000, 60, 0), (1, 0, 60, 60)}
+
+
+def test_rows_without_id_or_of_one_id_are_documents_of_their_own(make_docs):
+    lead, clean = prose(20, 21), prose(200, 22)
+    rows = [
+        (None, f"{prose(90, 23)} {P50} {P50} {prose(9, 24)}"),
+        (None, clean),
+        (None, "short"),
+        (None, None),
+        (None, f"{lead} {P120}"),
+        (None, f"{prose(20, 25)} {P120}"),  # the same passage at the same start
+        (None, P51),
+        (None, P51),  # equal rows too
+        (7, f"{prose(150, 26)} {P49} {P50}"),
+        (7, prose(30, 27)),
+        (7, f"{prose(60, 28)} {prose(60, 29)} {prose(60, 29)}"),
+        (7, prose(240, 30)),
+    ]
+    # Every row with an id of its own, in place of the null and the repeated ones.
+    wanted = brute_force(list(enumerate(t for _, t in rows)))
+    got = suffix_dedup.repeated_spans(make_docs(rows)).collect()
+    assert sorted(tuple(r)[1:3] for r in got) == sorted(w[1:3] for w in wanted)
+    assert sum(r.n_cut for r in got) == sum(w[3] for w in wanted)
+    kept = [r.text for r in suffix_dedup.remove_repeats(make_docs(rows)).collect()]
+    assert len(kept) == len(rows) and brute_force(list(enumerate(kept))) == set()
+    for text in (clean, "short", None, P51, rows[9][1], rows[11][1]):
+        assert kept.count(text) == 1
+    assert sum(P50 in (t or "") for t in kept) == sum(P120 in (t or "") for t in kept) == 1
+    assert {lead, prose(20, 25)} & {(t or "").strip() for t in kept}
