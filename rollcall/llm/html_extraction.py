@@ -53,6 +53,8 @@ MAIN_WORDS = set("article articlebody content entry main post story".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL
 )
+# Lower case is longer than its text for some letters, so the end is looked for in the text itself.
+_RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
 _ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -78,7 +80,6 @@ class Page:
         stack, links, at, end = [0], 0, 0, len(source)
         pieces: list[str] = []
         linked = 0
-        lower = None
 
         def flush():
             nonlocal pieces, linked
@@ -106,14 +107,9 @@ class Page:
                 continue
             tag = tag.lower()
             if not found[1] and tag in RAW:
-                if lower is None:
-                    lower = source.lower()
-                close = lower.find(f"</{tag}", at)
-                if close < 0:
-                    at = end
-                else:
-                    close = source.find(">", close)
-                    at = end if close < 0 else close + 1
+                close = _RAW_END[tag].search(source, at)
+                close = source.find(">", close.start()) if close else -1
+                at = end if close < 0 else close + 1
                 continue
             if tag in INLINE:
                 if tag == "a":

@@ -117,3 +117,9 @@ def test_trees_separate_what_features_separate():
     y = ((x[:, 1] > 0.6) ^ (x[:, 3] > 0.5)).astype(float)
     model = H.Boosted(x[:1500], y[:1500])
     assert ((model.score(x[1500:]) > 0) == y[1500:]).mean() > 0.95
+
+
+def test_letters_that_lower_case_lengthens():
+    turkish = "\u0130stanbul " * 300
+    tree = H.Page(f"<p>{turkish}</p><script>a='<p>'</SCRIPT><p>b</p><p>c</p><style>x</\u017ftyle></style><p>d")
+    assert [tree.block(i) for i in range(len(tree.runs))] == [turkish.strip(), "b", "c", "d"]
