@@ -6,12 +6,14 @@ siblings. A decoder then chooses the set of nodes of highest total score in
 which every chosen node has a chosen parent, so a menu inside an article can go
 while the article stays, but nothing stays inside what goes.
 
-The trees learn from pages whose own markup names the article.
+The trees learn from pages whose own markup names the article; if no page of the
+table does, from attribute names, prose and link density.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 
@@ -49,6 +51,10 @@ BOILER_WORDS = set(
     " sidebar signup social sponsor sponsored subscribe tags toolbar topbar widget".split()
 )
 MAIN_WORDS = set("article articlebody content entry main post story".split())
+# Where no page names its article: a block of so many characters with few links is prose.
+PROSE, LINKED = 80, 0.3
+# What may hold a name of an article; the tree tells whether it does.
+_NAMED = r"(?i)<(article|main)[\s/>]"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL
@@ -235,6 +241,41 @@ def labels(page: Page) -> np.ndarray | None:
     return wanted
 
 
+def weak_labels(page: Page, blocks: list[str]) -> np.ndarray | None:
+    """Labels of a page that names no article; None if nothing in it looks like one.
+
+    What attributes call the main text, or else prose and the headings beside it.
+    """
+    n = len(page.tags)
+    own, link = np.zeros(n), np.zeros(n)
+    for (node, _, linked), block in zip(page.runs, blocks):
+        own[node] += len(block)
+        link[node] += min(linked, len(block))
+    few = link <= LINKED * own
+    named = np.array([bool(w & MAIN_WORDS) and t != "body" for t, w in zip(page.tags, page.words)])
+    inside, excluded = named.copy(), np.zeros(n, bool)
+    for i in range(1, n):
+        p = page.parents[i]
+        inside[i] |= inside[p]
+        excluded[i] = excluded[p] or (
+            not named[i]
+            and (page.tags[i] in BOILER_TAGS or page.tags[i] in NOT_TEXT or bool(page.words[i] & BOILER_WORDS))
+        )
+    wanted = inside & ~excluded & (few | (own == 0))
+    if not (own[wanted] >= PROSE).any():
+        wanted = (own >= PROSE) & few & ~excluded
+        beside = {page.parents[i] for i in np.flatnonzero(wanted)}
+        for i in range(1, n):
+            if page.tags[i] in ("h1", "h2", "h3", "h4", "h5", "h6") and page.parents[i] in beside:
+                wanted[i] |= few[i] and not excluded[i]
+    if not wanted.any():
+        return None
+    for i in range(n - 1, 0, -1):
+        if wanted[i]:
+            wanted[page.parents[i]] = True
+    return wanted
+
+
 class Boosted:
     """Boosted regression trees for two classes, on binned features."""
 
@@ -328,27 +369,66 @@ def extract(source: str | None, model: Boosted | None) -> str:
     return "\n".join(b for (node, _, _), b in zip(page.runs, blocks) if b and chosen[node])
 
 
-def train(pages: DataFrame, sample: int = TRAIN_PAGES, column: str = "html") -> Boosted | None:
-    """Fit the trees on about ``sample`` pages, chosen by hash.
-
-    Each node teaches twice, once with the features that tell of an article's
-    markup blanked, so that pages without such markup can be told too. None if
-    no page names its article.
-    """
-    rows = pages.select(F.col(column).alias("html")).where("html IS NOT NULL")
+def _sampled(rows: DataFrame, sample: int) -> list[str]:
+    """About ``sample`` pages, chosen by hash."""
     total = rows.count()
     if not total:
-        return None
+        return []
     share = min(1.0, sample / total)
-    chosen = rows.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < int(share * 1_000_000)).collect()
+    chosen = rows.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).collect()
+    return sorted(source for (source,) in chosen)
+
+
+def _lessons(sources: list[str], label) -> tuple[list[np.ndarray], list[np.ndarray]]:
     x, y = [], []
-    for (source,) in sorted(chosen):
+    for source in sources:
         page = Page(source)
-        wanted = labels(page)
+        blocks = [page.block(i) for i in range(len(page.runs))]
+        wanted = label(page, blocks)
         if wanted is not None:
-            blocks = [page.block(i) for i in range(len(page.runs))]
             x.append(features(page, blocks))
             y.append(wanted)
+    return x, y
+
+
+def _naming(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages whose tree has an article."""
+    for batch in batches:
+        named = [not MAIN_TAGS.isdisjoint(Page(x).tags) for x in batch.column("html").to_pylist()]
+        yield batch.filter(pa.array(named, pa.bool_()))
+
+
+def _prosaic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages that weak labels find a main text in."""
+    for batch in batches:
+        trees = [Page(x) for x in batch.column("html").to_pylist()]
+        found = [weak_labels(t, [t.block(i) for i in range(len(t.runs))]) is not None for t in trees]
+        yield batch.filter(pa.array(found, pa.bool_()))
+
+
+def train(pages: DataFrame, sample: int = TRAIN_PAGES, column: str = "html") -> Boosted | None:
+    """Fit the trees on about ``sample`` of the pages that name their article, chosen by hash.
+
+    Each node teaches twice, once with the features that tell of an article's
+    markup blanked, so that pages without such markup can be told too. If no page
+    of the table names its article, they are fitted on weak labels. None if no
+    page has any text that looks like one.
+    """
+    rows = pages.select(F.col(column).alias("html")).where("html IS NOT NULL")
+    marked = rows.where(F.col("html").rlike(_NAMED))
+
+    def named(page: Page, blocks: list[str]) -> np.ndarray | None:
+        return labels(page)
+
+    sources = _sampled(marked, sample)
+    x, y = _lessons(sources, named)
+    if sources and not x:
+        # The marks of those stand in scripts and comments; others may have real ones.
+        x, y = _lessons(_sampled(marked.mapInArrow(_naming, "html STRING"), sample), named)
+    if not x:
+        x, y = _lessons(_sampled(rows, sample), weak_labels)
+    if not x:
+        x, y = _lessons(_sampled(rows.mapInArrow(_prosaic, "html STRING"), sample), weak_labels)
     if not x:
         return None
     x_all, y_all = np.vstack(x), np.concatenate(y).astype(float)

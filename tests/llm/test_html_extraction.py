@@ -123,3 +123,29 @@ def test_letters_that_lower_case_lengthens():
     turkish = "\u0130stanbul " * 300
     tree = H.Page(f"<p>{turkish}</p><script>a='<p>'</SCRIPT><p>b</p><p>c</p><style>x</\u017ftyle></style><p>d")
     assert [tree.block(i) for i in range(len(tree.runs))] == [turkish.strip(), "b", "c", "d"]
+
+
+def bare(n, body):
+    links = "".join(f'<td><a href="/{i}">{prose(2, n + i)}</a></td>' for i in range(6))
+    return f"<html><body><table><tr>{links}</tr></table>{body}<div><a href='/'>{prose(5, n)}</a></div></body></html>"
+
+
+def test_few_pages_name_their_article(spark):
+    a, b = paragraphs(1, 2)
+    one = page(f"<article><h1>Head</h1><p>{a}</p><p>{b}</p></article>")
+    others = [(n, "u", bare(n, f"<div><p>{prose(3, n)}</p></div>")) for n in range(300)]
+    in_script = [(n, "u", page(f"<script>'<article>'</script><p>{n}</p>")) for n in range(300, 400)]
+    rows = [(999, "u", one), *others, *in_script]
+    got = H.extract_pages(spark.createDataFrame(rows, SCHEMA).repartition(2), sample=5).where("page_id = 999").first()
+    assert got.text == f"Head\n{a}\n{b}"
+
+
+def test_no_page_names_its_article(spark):
+    rows = [
+        (n, "u", bare(7 * n, f"<table><tr><td><h2>{prose(3, n)}</h2><p>{prose(40, 900 + n)}.</p><p>{prose(40, 950 + n)}.</p></td></tr></table>"))
+        for n in range(40)
+    ]
+    got = H.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()
+    for r in got:
+        n = r.page_id
+        assert r.text == f"{prose(3, n)}\n{prose(40, 900 + n)}.\n{prose(40, 950 + n)}."
