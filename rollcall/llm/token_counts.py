@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tokenizer_files import byte_encoding, version_of
+from .tokenizer_files import byte_encoding, library, version_of
 
 CACHE_SCHEMA = "digest BINARY, tokenizer STRING, n_tokens BIGINT"
 LIMIT = 512
@@ -31,14 +31,18 @@ def _keyed(docs: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _count(text: str, path: str) -> int:
+    try:
+        return len(byte_encoding(path).encode(text, allowed_special="all", disallowed_special=()))
+    except ValueError:
+        # The splitting pattern gives up on a million white-space characters in a row.
+        return len(library(path).encode(text, add_special_tokens=False).ids)
+
+
 def _encoder(path: str, version: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = byte_encoding(path)
         for batch in batches:
-            counts = [
-                len(encoding.encode(t, allowed_special="all", disallowed_special=()))
-                for t in batch.column("text").to_pylist()
-            ]
+            counts = [_count(t, path) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("digest"),

@@ -55,6 +55,15 @@ def byte_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("bytes", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+@lru_cache(maxsize=4)
+def library(path: str) -> Tokenizer:
+    """The vocabulary at ``path`` in the ``tokenizers`` library, for whole texts."""
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
 class WordEncoder:
     """Ids of words by a vocabulary with word ends, lower case, white space dropped.
 

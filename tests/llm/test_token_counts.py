@@ -72,3 +72,9 @@ def test_empty_table_and_null_or_repeated_ids(spark, make_docs):
     assert token_counts.count_tokens(make_docs([]), run_dir(spark, "cache")).collect() == []
     rows = make_docs([(None, "a"), (1, "a"), (1, "a")]).withColumnRenamed("source", "digest")
     assert token_counts.count_tokens(rows, run_dir(spark, "cache")).count() == 3
+
+
+def test_very_long_runs_of_white_space(spark, make_docs, library):
+    texts = [f"a{space * 1_200_000}b <|endoftext|>" for space in " \n"] + ["\u3000" * 1_000_000, "c"]
+    rows = token_counts.count_tokens(make_docs(texts), run_dir(spark, "cache")).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: count(library, t) for i, t in enumerate(texts)}
