@@ -5,7 +5,9 @@ place of a document whose next ``Q`` bytes also occur in a benchmark item is a
 hit on the diagonal (place in the document - place in the item). Hits are
 counted in overlapping bands of diagonals. An alignment of n bytes with at most
 k edits has at least n + 1 - Q - k * Q hits and drifts by at most k diagonals,
-so a band with fewer cannot hold it. What remains is aligned within its band.
+so a band with fewer cannot hold it. What remains is aligned from its hits on to
+both ends, as far as the edits go. Items too short for the lemma are looked for
+by pieces of which one must occur unchanged.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .texts import LOWER, SPACE, bytes_of, slices
+from .texts import LOWER, SPACE, SpanHash, bytes_of, slices
 
 Q = 10
 # Edits per byte of the benchmark text.
@@ -27,9 +29,8 @@ EDITS = 0.06
 # the whole item, if that is shorter).
 COVER = 0.5
 LEAST_BYTES = 40
-# Hits of one band further apart than this belong to different regions: so many
-# bytes without a hit need more than the edits of any region.
-GAP = 120
+# Cells of the tables of one round of alignments.
+CELLS = 1 << 20
 # Benchmark text that one pass broadcasts; a larger benchmark takes several passes.
 BLOCK_BYTES = 16 << 20
 _BITS = 22
@@ -74,6 +75,43 @@ class Index:
         self.maybe[self.codes >> np.uint64(64 - _BITS)] = True
         self.edits = math.floor(EDITS * int(self.lengths.max(initial=0)))
         self.band = 2 * (self.edits + 1)
+        self.least = np.array([least_hits(int(n)) for n in self.lengths], np.int64)
+        # An edit spoils Q q-grams and may add a byte: hits further apart are of different regions.
+        self.gaps = (Q + 1) * np.floor(EDITS * self.lengths).astype(np.int64) + 1
+        self.pieces = self._pieces()
+
+    def _pieces(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By length: hashes, items and places of the pieces of items too short for the lemma.
+
+        One piece more than edits, so one of them is unchanged in every leak.
+        """
+        found: dict[int, list[tuple[int, int]]] = {}
+        for item in np.flatnonzero((self.least <= 0) & (self.lengths > 0)):
+            n = int(self.lengths[item])
+            ends = np.linspace(0, n, math.floor(EDITS * n) + 2).astype(int).tolist()
+            for start, end in zip(ends, ends[1:]):
+                found.setdefault(end - start, []).append((int(item), start))
+        out = {}
+        whole = SpanHash.of_bytes(self.data) if found else None
+        for size, own in found.items():
+            items, places = (np.array(x, np.int64) for x in zip(*own))
+            starts = self.offsets[items] + places
+            hashes = whole.spans(starts, starts + size)
+            order = np.argsort(hashes, kind="stable")
+            out[size] = hashes[order], items[order], places[order]
+        return out
+
+    def piece_hits(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """Places in ``data`` of pieces of each length, with item and place there."""
+        whole = SpanHash.of_bytes(data) if self.pieces else None
+        for size, (hashes, items, places) in self.pieces.items():
+            starts = np.arange(max(0, len(data) - size + 1))
+            codes = whole.spans(starts, starts + size)
+            first, last = np.searchsorted(hashes, codes, "left"), np.searchsorted(hashes, codes, "right")
+            at = np.flatnonzero(last > first)
+            sizes = last[at] - first[at]
+            row = np.repeat(first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            yield np.repeat(at, sizes), items[row], places[row], size
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of ``codes``, with item and place there; one row per pair that agrees."""
@@ -99,6 +137,12 @@ def least_cover(length: int) -> int:
     return min(length, max(LEAST_BYTES, math.ceil(COVER * length)))
 
 
+def least_hits(length: int) -> int:
+    """The fewest hits of any leak of an item of so many bytes; 0 or less if it may have none."""
+    n = np.arange(least_cover(length), length + 1)
+    return int((n + 1 - Q - np.floor(EDITS * n).astype(np.int64) * Q).min(initial=length + 1 - Q))
+
+
 def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance of two byte arrays if it is at most ``most``, else ``most + 1``."""
     if abs(len(a) - len(b)) > most:
@@ -130,8 +174,6 @@ def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 def _regions(index: Index, rows: np.ndarray, places: np.ndarray, items: np.ndarray, in_item: np.ndarray):
     """(row, item, from, to in the row, from, to in the item) of what the lemma retains."""
     diagonal = places - in_item
-    least = np.array([needed_hits(least_cover(int(n))) for n in index.lengths], np.int64)
-    least = np.maximum(least, 1)
     half = index.band // 2
     # A diagonal lies in two bands, which overlap by half.
     bands = np.concatenate([diagonal // index.band * 2, (diagonal + half) // index.band * 2 + 1])
@@ -140,7 +182,7 @@ def _regions(index: Index, rows: np.ndarray, places: np.ndarray, items: np.ndarr
     r, t, p, q = (x[order] for x in both)
     b = bands[order]
     new = np.ones(len(r), bool)
-    new[1:] = (np.diff(r) != 0) | (np.diff(t) != 0) | (np.diff(b) != 0) | (np.diff(p) > GAP)
+    new[1:] = (np.diff(r) != 0) | (np.diff(t) != 0) | (np.diff(b) != 0) | (np.diff(p) > index.gaps[t[1:]])
     starts = np.flatnonzero(new)
     if not len(starts):
         return
@@ -148,68 +190,136 @@ def _regions(index: Index, rows: np.ndarray, places: np.ndarray, items: np.ndarr
     # A place counts once per band, however often the item repeats the q-gram.
     fresh = new | (np.diff(p, prepend=-1) != 0)
     counts = np.add.reduceat(fresh.astype(np.int64), starts)
-    for i in np.flatnonzero(counts >= least[t[starts]]):
+    least = index.least[t[starts]]
+    for i in np.flatnonzero((counts >= least) & (least > 0)):
         a, z = starts[i], ends[i]
         item = int(t[a])
         yield int(r[a]), item, p[a:z], q[a:z]
 
 
-def _best_region(index: Index, text: np.ndarray, item: int, places: np.ndarray, in_item: np.ndarray):
-    """The longest stretch of hits that aligns within its edits, as (from, to, from, to, edits).
+def _anchors(places: np.ndarray, in_item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Points that every alignment through a hit passes: each ``Q`` bytes of a run of hits.
 
-    Chance hits may lie around a leak, so ends are trimmed to where hits follow
-    one another closely; the longest stretch goes first.
+    A run is of hits on one diagonal that touch; the points of longer runs come first.
     """
-    own = index.text(item)
-    least = least_cover(len(own))
     diagonal = places - in_item
-    order = np.argsort(places, kind="stable")
-    places, in_item, diagonal = places[order], in_item[order], diagonal[order]
-    # Runs of hits on one diagonal.
     by = np.lexsort((places, diagonal))
-    dp, dd = places[by], diagonal[by]
+    p, d = places[by], diagonal[by]
     new = np.ones(len(by), bool)
-    new[1:] = (np.diff(dd) != 0) | (np.diff(dp) > Q)
-    s = np.flatnonzero(new)
-    e = np.append(s[1:], len(by)) - 1
-    runs = sorted(zip(dp[s].tolist(), dp[e].tolist(), dd[s].tolist()))
+    new[1:] = (np.diff(d) != 0) | (np.diff(p) > Q)
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(by)) - 1
+    sizes = p[ends] + Q - p[starts]
+    points = [(p[s] + np.arange(0, n, Q), n, d[s]) for s, n in zip(starts, sizes)]
+    points.sort(key=lambda x: -x[1])
+    at = np.concatenate([x[0] for x in points])
+    return at, at - np.repeat([x[2] for x in points], [len(x[0]) for x in points])
+
+
+def _reach(own: np.ndarray, text: np.ndarray, q: np.ndarray, d: np.ndarray, most: int):
+    """Fewest edits of the next m bytes of ``own`` from ``q`` on against ``text`` from ``d`` on.
+
+    Per m (rows) and anchor (columns), with the bytes of the text that takes; the
+    end in the text is free. More than ``most`` edits count as ``most + 1``.
+    """
+    far, width, longest = most + 1, 2 * most + 1, int((len(own) - q).max(initial=0))
+    shift = np.arange(width)
+    edits = np.full((longest + 1, len(q)), far, np.int32)
+    taken = np.zeros((longest + 1, len(q)), np.int64)
+    # Beyond the text nothing agrees, and a change there is as dear as a byte left out.
+    room = np.full(longest + 2 * most + 1, 256, np.int16)
+    padded = np.concatenate([np.full(most + 1, 256, np.int16), text.astype(np.int16), room])
+    mine = np.concatenate([own.astype(np.int16), np.full(longest + 1, 257, np.int16)])
+    row = np.tile(np.where(shift >= most, shift - most, far).astype(np.int32), (len(q), 1))
+    last = np.full((len(q), 1), far, np.int32)
+    columns = np.arange(len(q))
+    near = d[:, None] + shift
+    for m in range(longest + 1):
+        if m:
+            # Cell j of row m stands for m + j - most bytes of the text; before its anchor there are none.
+            best = row + (padded[near + m] != mine[q + m - 1][:, None])
+            np.minimum(best, np.concatenate([row[:, 1:], last], axis=1) + 1, out=best)
+            if m <= most:
+                best[:, : most - m] = far
+                best[:, most - m] = m
+            row = np.minimum(np.minimum.accumulate(best - shift, axis=1) + shift, far).astype(np.int32)
+        at = row.argmin(axis=1)
+        edits[m] = np.where(q + m <= len(own), row[columns, at], far)
+        taken[m] = np.clip(m + at - most, 0, len(text) - d)
+        if edits[m].min() >= far:
+            break
+    return edits, taken
+
+
+def _best_region(index: Index, text: np.ndarray, item: int, places: np.ndarray, in_item: np.ndarray):
+    """The longest stretch through one of the points that aligns within its edits.
+
+    As (from, to, from, to, edits). Each point is extended to the right and to the
+    left; of all ways to share the edits the one that takes most of the item counts.
+    """
+    own = index.text(item)
+    least, most = least_cover(len(own)), math.floor(EDITS * len(own))
     best = None
-    for i in range(len(runs)):
-        for j in range(len(runs) - 1, i - 1, -1):
-            d0, d1 = runs[i][0], runs[j][1] + Q
-            q0, q1 = d0 - runs[i][2], d1 - runs[j][2]
-            n = q1 - q0
-            if n < least or d1 <= d0 or (best and n <= best[3] - best[2]):
-                continue
-            most = math.floor(EDITS * n)
-            if abs((d1 - d0) - n) > most:
+    step = max(1, CELLS // ((2 * most + 1) + len(own)))
+    allowed = np.arange(most + 1)
+    for a in range(0, len(places), step):
+        d, q = places[a : a + step], in_item[a : a + step]
+        if best:
+            # Points within what was found would find it again.
+            out = (d < best[0]) | (d >= best[1])
+            d, q = d[out], q[out]
+            if not len(d):
                 continue
-            hits = sum(min(y, d1 - Q) - max(x, d0) + 1 for x, y, _ in runs[i : j + 1])
-            if hits < needed_hits(n):
+        right, to = _reach(own, text, q, d, most)
+        left, back = _reach(own[::-1], text[::-1], len(own) - q, len(text) - d, most)
+        for i in range(len(q)):
+            after = np.searchsorted(np.maximum.accumulate(right[:, i]), allowed, "right") - 1
+            before = np.searchsorted(np.maximum.accumulate(left[:, i]), allowed, "right") - 1
+            n = before[:, None] + after[None, :]
+            fits = (allowed[:, None] + allowed[None, :] <= np.floor(EDITS * n)) & (n >= least)
+            n = np.where(fits, n, -1)
+            x, y = np.unravel_index(n.argmax(), n.shape)
+            if n[x, y] < 1 or (best and n[x, y] <= best[3] - best[2]):
                 continue
-            edits = banded_distance(own[q0:q1], text[d0:d1], most)
-            if edits <= most:
-                best = (d0, d1, q0, q1, edits)
+            b, f = int(before[x]), int(after[y])
+            d0, d1, q0, q1 = int(d[i] - back[b, i]), int(d[i] + to[f, i]), int(q[i] - b), int(q[i] + f)
+            best = (d0, d1, q0, q1, banded_distance(own[q0:q1], text[d0:d1], math.floor(EDITS * (q1 - q0))))
+        if best and best[3] - best[2] == len(own):
+            break
     return best
 
 
+def _points(index: Index, data: np.ndarray, offsets: np.ndarray):
+    """(row, item, places in the data, places in the item) that leaks must pass through."""
+    places, items, in_item = index.hits(_codes(data))
+    rows = np.searchsorted(offsets, places, "right") - 1
+    inside = places + Q <= offsets[rows + 1]
+    for row, item, p, q in _regions(index, rows[inside], places[inside], items[inside], in_item[inside]):
+        yield row, item, *_anchors(p, q)
+    for places, items, in_item, size in index.piece_hits(data):
+        rows = np.searchsorted(offsets, places, "right") - 1
+        inside = places + size <= offsets[rows + 1]
+        rows, items, places, in_item = rows[inside], items[inside], places[inside], in_item[inside]
+        order = np.lexsort((items, rows))
+        rows, items, places, in_item = rows[order], items[order], places[order], in_item[order]
+        starts = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(items, prepend=-1) != 0))
+        for a, z in zip(starts, np.append(starts[1:], len(rows))):
+            yield int(rows[a]), int(items[a]), places[a:z], in_item[a:z]
+
+
 def _finder(index: Index):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "item_id", "start", "length", "item_start", "item_length", "edits"]
         for batch in slices(batches):
             data, offsets = normalised(*bytes_of(batch.column("text")))
-            codes = _codes(data)
-            places, items, in_item = index.hits(codes)
-            rows = np.searchsorted(offsets, places, "right") - 1
-            inside = places + Q <= offsets[rows + 1]
-            places, items, in_item, rows = places[inside], items[inside], in_item[inside], rows[inside]
             found: dict[tuple[int, int], tuple] = {}
-            for row, item, p, q in _regions(index, rows, places, items, in_item):
+            for row, item, p, q in _points(index, data, offsets):
+                known = found.get((row, item), (0, 0, 0, 0))
+                if known[3] - known[2] == index.lengths[item]:
+                    continue
                 text = data[offsets[row] : offsets[row + 1]]
                 region = _best_region(index, text, item, p - offsets[row], q)
-                if region and region[3] - region[2] > (found.get((row, item)) or (0, 0, 0, 0))[3] - (
-                    found.get((row, item)) or (0, 0, 0, 0)
-                )[2]:
+                if region and region[3] - region[2] > known[3] - known[2]:
                     found[row, item] = region
             doc_ids = batch.column("doc_id").to_pylist()
             out = [
@@ -227,8 +337,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, column: str = "text") -> DataFr
 
     ``start`` and ``length`` are in bytes of the document without white space,
     ``item_start`` and ``item_length`` likewise in the item; of several places the
-    longest is given. Items without id or with fewer than ``Q`` bytes cannot be
-    found; null texts hold nothing. Repeated rows give repeated results.
+    longest is given. Items without id or text cannot be found; null texts hold
+    nothing. Repeated rows give repeated results.
 
     The benchmark is read in blocks of at most about ``BLOCK_BYTES``, each of
     which is broadcast and held against all documents.
@@ -247,7 +357,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, column: str = "text") -> DataFr
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
         index = Index([r[0] for r in own], [r[1] for r in own])
-        if not len(index.codes):
+        if not len(index.data):
             continue
         part = rows.mapInArrow(_finder(index), schema)
         found = part if found is None else found.unionByName(part)

@@ -113,3 +113,50 @@ def test_empty_tables(make_docs, items):
     assert D.leaks(make_docs([]), items([prose(40, 1)])).collect() == []
     assert D.leaks(make_docs([prose(40, 1)]), items([])).collect() == []
     assert D.drop_leaks(make_docs(["a"]), items([])).count() == 1
+
+
+def holds(item, text):
+    """Brute force: whether some stretch of the item aligns within its edits anywhere in the text."""
+    n = len(item)
+    for q in range(n - D.least_cover(n) + 1):
+        row = [0] * (len(text) + 1)
+        for m, x in enumerate(item[q:], 1):
+            above, row = row, [m]
+            for j, y in enumerate(text, 1):
+                row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+            if m >= D.least_cover(n) and min(row) <= int(D.EDITS * m):
+                return True
+    return False
+
+
+def changed(text, places):
+    return "".join("#" if i in places else c for i, c in enumerate(text))
+
+
+def test_edits_at_the_ends_and_short_items(make_docs, items):
+    rng = random.Random(5)
+    bench, docs = [], []
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    sizes = [1, 5, 9, 10, 16, 17, 18, 19, 20, 33, 34, 40, 45, 60, 67, 90] * 3
+    for k, n in enumerate(sizes):
+        item = "".join(rng.choice(letters) for _ in range(n))
+        if n == 1:
+            item = "=~@"[k // 16]
+        most = int(D.EDITS * n)
+        places = [set(rng.sample(range(n), most)), set(range(1, n, 9)[:most]), set(range(n - 1, 0, -9)[:most])][k // 16]
+        noise = "".join(rng.choice(letters) for _ in range(30))
+        bench.append(item)
+        docs.append(f"{noise}{changed(item, places)}{noise[::-1]}")
+    bench += [prose(10, 70)[:40], "".join(rng.choice(letters) for _ in range(67))]
+    docs += [changed(squeezed(bench[-2]), {3}), changed(bench[-1], {9, 19, 47, 57})]
+    docs += [changed(docs[n], set(range(30, 90, 4))) for n in range(40)]
+    wanted = {
+        (i, j) for i, t in enumerate(docs) for j, x in enumerate(bench) if holds(squeezed(x), squeezed(t))
+    }
+    assert {(i, i) for i in range(len(bench))} <= wanted
+    rows = D.leaks(make_docs(docs), items(bench)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == wanted
+    for r in rows:
+        a = squeezed(bench[r.item_id])[r.item_start : r.item_start + r.item_length]
+        b = squeezed(docs[r.doc_id])[r.start : r.start + r.length]
+        assert levenshtein(a, b) == r.edits <= D.EDITS * r.item_length
