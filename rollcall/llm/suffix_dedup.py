@@ -1,12 +1,10 @@
-"""Repeated passages by a sparse suffix array.
-
-Of all suffixes (texts from some word on) only those at content-selected places
-are retained: in each run of ``MIN_WORDS`` words, where the hash of eight words
-is least. Two equal runs choose the same place, so a repeated passage shows as
-retained suffixes that begin alike. Spark's shuffle by that beginning brings
-them side by side; only where neighbours agree are matches extended, to the left
-and to the right, until they cover a whole run of ``MIN_WORDS`` words. Repeated
-runs that overlap join into spans.
+"""Repeated passages by fingerprints of runs of words.
+
+No suffixes are sorted. Of all places only content-selected ones are retained:
+in each run of ``MIN_WORDS`` words, where the hash of eight words is least. Two
+equal runs choose the same place, so a repeated passage shows as retained hashes
+that occur more than once. Around those all runs of ``MIN_WORDS`` words are
+hashed and grouped. Repeated runs that overlap join into spans.
 """
 
 from __future__ import annotations
@@ -71,7 +69,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole runs around the suffixes that have equal neighbours."""
+    """Whole runs around the suffixes whose beginning occurs again."""
     for batch in slices(batches):
         words = Words(batch.column("text"))
         hashes = words.hashes()
