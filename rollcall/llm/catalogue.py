@@ -19,6 +19,7 @@ from . import (
     quality,
     suffix_dedup,
     token_counts,
+    url_filters,
 )
 from .texts import in_training, table
 
@@ -100,3 +101,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_array_dedup")
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op12_url_filters", url_filters.oracle())
+def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.filter_urls(table(spark, sf_dir, "pages"))
