@@ -18,6 +18,7 @@ from . import (
     packing,
     quality,
     suffix_dedup,
+    token_alignment,
     token_counts,
     url_filters,
 )
@@ -106,3 +107,8 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_url_filters", url_filters.oracle())
 def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op13_token_alignment")
+def align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_and_score(table(spark, sf_dir, "documents"))
