@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import run_dir
 from . import (
     chat,
+    collocations,
     decontamination,
     html_extraction,
     language_id,
@@ -104,6 +105,11 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+@query("op11_phrase_collocations", collocations.ORACLE)
+def mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op12_url_filters", url_filters.oracle())
 def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"))

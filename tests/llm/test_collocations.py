@@ -1,0 +1,121 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from rollcall.llm import collocations as co
+from rollcall.llm.catalogue import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def pieces_of(text):
+    text = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", text)]
+
+
+def brute_force(docs, least, first=co.FIRST):
+    """Straight from the contract, over (text, lang)."""
+    counts = {}
+    for text, lang in docs:
+        count = counts.setdefault("und" if lang is None else lang, Counter())
+        for words in pieces_of(text):
+            for size in range(1, 5):
+                count.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(a for p, a in f.items() if len(p) == 1)
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        around = Counter()
+        for p, a in candidates.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    around[p[i : i + size]] = max(around[p[i : i + size]], a)
+        rows = []
+        for p, a in candidates.items():
+            if 100 * around[p] >= 80 * a:
+                continue
+            score, k = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:first], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def got(df):
+    return sorted(tuple(r[c] for c in COLUMNS) for r in df.collect())
+
+
+def docs_of(spark, pairs):
+    rows = [(i, t, lang, "s", "k") for i, (t, lang) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, path STRING, key STRING").repartition(3)
+
+
+def random_docs(seed, n, words):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(words)] + ["É", "é", "A", "a", "x\x0by"]
+    marks = [" "] * 12 + ["\t", "  ", ". ", ", ", "\n", "!?", "\r\n", ";"]
+    out = []
+    for _ in range(n):
+        text = "".join(rng.choice(vocabulary) + rng.choice(marks) for _ in range(rng.randrange(60)))
+        out.append((text, rng.choice(["en", "fr", None, ""])))
+    return out
+
+
+@pytest.mark.parametrize("limit", [co.TRIE_PHRASES, 7])
+def test_random_texts(spark, limit):
+    docs = random_docs(3, 60, 6)
+    assert got(co.collocations(docs_of(spark, docs), least=5, limit=limit)) == brute_force(docs, 5)
+
+
+def test_few_held_keys_and_first_ranks(spark, monkeypatch):
+    docs = random_docs(5, 80, 5) + [("a a a a a a", "en"), ("a a a a a a", "en")]
+    df = co.collocations(docs_of(spark, docs), least=3, first=9)
+    assert got(df) == brute_force(docs, 3, first=9)
+
+
+def test_query_matches_brute_force_and_sql(spark, con):
+    docs = con.execute("SELECT text, lang FROM documents").fetchall()
+    rows = got(QUERIES["op11_phrase_collocations"](spark, SF_DIR))
+    assert rows == brute_force(docs, co.LEAST)
+    assert rows == sorted(con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLES['op11_phrase_collocations']})").fetchall())
+    assert {len(r[2].split(" ")) for r in rows} > {2}
+
+
+def test_nothing_frequent(spark):
+    assert got(co.collocations(docs_of(spark, []))) == []
+    assert got(co.collocations(docs_of(spark, [(None, "en"), ("", None), (" .,", "en"), ("one two", "en")]))) == []
+
+
+def test_a_very_long_text_and_repeated_rows(spark):
+    long = " ".join(f"{w} {w}x ," if i % 5 else f"{w} y z" for i, w in enumerate(random_words(400_000)))
+    docs = [(long, "en"), ("p q", "en"), ("p q", "en")] * 2
+    assert got(co.collocations(docs_of(spark, docs), least=4)) == brute_force(docs, 4)
+
+
+def random_words(n):
+    rng = random.Random(8)
+    return [f"v{rng.randrange(300)}" for _ in range(n)]
+
+
+def test_trie_holds_what_was_put_in():
+    rng = np.random.default_rng(2)
+    for words, size, length in ((3, 5, 1), (40, 500, 3), (3000, 20_000, 2), (2, 30, 4)):
+        paths = np.unique(rng.zipf(1.3, (size, length)).astype(np.uint64) % np.uint64(words), axis=0)
+        trie = co.Trie(paths, np.arange(len(paths)))
+        known = {tuple(p) for p in paths.tolist()}
+
+        class Text:
+            keys = (rng.zipf(1.3, 5000) % (words + 2)).astype(np.uint64)
+            room = rng.integers(1, 6, 5000)
+
+        Text.room = np.minimum(Text.room, np.arange(5000, 0, -1))
+        at, phrase = trie.accepted(Text)
+        keys = Text.keys.tolist()
+        expected = [i for i in range(5000) if Text.room[i] >= length and tuple(keys[i : i + length]) in known]
+        assert sorted(at.tolist()) == expected
+        sorted_paths = paths[np.lexsort(paths.T[::-1])].tolist()
+        assert all(sorted_paths[p] == keys[i : i + length] for i, p in zip(at.tolist(), phrase.tolist()))
