@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-import threading
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import own_session
+
 ORIGIN = ["_file", "_block"]
-# Above this many rows Spark would not cut the blocks where they are read.
-CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+# The bits of a row's number that count within its task.
+IN_TASK = (1 << 33) - 1
+
+
+def one_block_a_task(spark: SparkSession) -> SparkSession:
+    """A session of its own whose scans give each task one block (split of a file).
+
+    A place counted along a task is then a place in a block, so blocks are cut
+    by a plain filter. Opening a file is said to cost as much as reading a full
+    block, so no task is given two.
+    """
+    own = own_session(spark)
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.unset("spark.sql.files.maxPartitionNum")
+    return own
 
 
 def with_origin(scan: DataFrame) -> DataFrame:
@@ -28,44 +39,14 @@ def with_position(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_pos", F.monotonically_increasing_id())
 
 
-_cutting = threading.Lock()
-_wanted: list[int] = []
-_before: str | None = None
-
-
-@contextmanager
-def cutting(spark: SparkSession, n: int) -> Iterator[None]:
-    """Let Spark cut blocks to ``n`` rows where they are read, for a while.
-
-    The session's setting is put back once the last of the jobs that run at the
-    same time is done.
-    """
-    global _before
-    with _cutting:
-        if not _wanted:
-            _before = spark.conf.getAll.get(CUT_SETTING)
-        _wanted.append(n)
-        spark.conf.set(CUT_SETTING, str(max(int(spark.conf.get(CUT_SETTING)), n)))
-    try:
-        yield
-    finally:
-        with _cutting:
-            _wanted.remove(n)
-            if not _wanted and _before is None:
-                spark.conf.unset(CUT_SETTING)
-            elif not _wanted:
-                spark.conf.set(CUT_SETTING, _before)
-
-
 def block_heads(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of each block, numbered; all that a cap can keep.
 
-    Spark cuts each block in the task that reads it, before the shuffle; run it
-    within :func:`cutting` if ``n`` may be large.
+    ``rows`` come with their position from a scan of :func:`one_block_a_task`. Each block is
+    cut in the task that reads it, row by row: nothing is sorted or shuffled.
     """
-    in_block = Window.partitionBy(*ORIGIN).orderBy("_pos")
-    numbered = rows.withColumn("_row", F.row_number().over(in_block))
-    return numbered.filter(F.col("_row") <= n).drop("_pos")
+    place = F.col("_pos").bitwiseAND(F.lit(IN_TASK)) + 1
+    return rows.withColumn("_row", place).filter(F.col("_row") <= n).drop("_pos")
 
 
 def cap_files(heads: DataFrame, n: int) -> DataFrame:

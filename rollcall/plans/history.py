@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from ..operators.normalise import normalise_history
 from ..operators.refined import refine_rows
 from ..schemas import TABLES, history_schema, table_schema
+from ..session import bytes_of_plan, sized_session
 from ..sources import csv, files, tables
-from .status import OK, SKIPPED, attempt, for_each_table, report
+from .status import ERROR, OK, SKIPPED, attempt, for_each_table, report
 
 NO_SCHEMA = "no schema for this table"
 HISTORY_FORMATS = (".csv", ".parquet")
@@ -80,21 +81,36 @@ def ingest(
         if table not in known:
             return [dict(table=table, status=SKIPPED, message=NO_SCHEMA, rows=None)]
         raw = tables.table_name(raw_db, f"{table}_raw")
+        staged: list[tables.Staged] = []
+
+        def stage_base():
+            # The only pass over the files: it parses and checks them as well.
+            own = sized_session(spark, bytes_of_plan(csv.read_lines(spark, found[table])))
+            parsed = csv.read_declared(own, found[table], known[table], header)
+            staged.append(tables.stage_table(refine_rows(csv.text_for_null(parsed)), db, table, spark=spark))
+            return "created", None
 
         def create_raw():
-            csv.refuse_open_quotes(spark, found[table])
+            if not spark.catalog.databaseExists(raw_db):
+                raise ValueError(f"no database {raw_db}")
+            base.update(attempt(table, stage_base))
+            if base["status"] == ERROR and csv.OPEN_QUOTE in base["message"]:
+                raise ValueError(base["message"])
             csv.create_raw_table(spark, raw, found[table], known[table], header)
             return "created", None
 
         def create_base():
-            tables.replace_table(refine_rows(csv.text_for_null(spark.table(raw))), db, table)
+            staged[0].publish()
             return "created", spark.table(tables.table_name(db, table)).count()
 
+        base: dict = {}
         rows = [attempt(f"{table}_raw", create_raw)]
-        if rows[0]["status"] == OK:
-            rows.append(attempt(table, create_base))
-        else:
-            rows.append(dict(table=table, status=SKIPPED, message="no raw table", rows=None))
-        return rows
+        if rows[0]["status"] != OK:
+            for version in staged:
+                version.discard()
+            base = dict(table=table, status=SKIPPED, message="no raw table", rows=None)
+        elif base["status"] == OK:
+            base = attempt(table, create_base)
+        return [*rows, base]
 
     return report(spark, for_each_table(spark, found, one))

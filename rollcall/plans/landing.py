@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.file_head import block_heads, cap_files, cutting, with_position
+from ..operators.file_head import block_heads, cap_files, one_block_a_task, with_position
 from ..operators.typed import typed_lines, typed_records
 from ..schemas import TABLES, table_schema
 from ..session import written
@@ -29,6 +29,7 @@ def line_heads(lines: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS)
     """Typed CSV lines, as many of each block as the cap could keep.
 
     Lines are cut before they are parsed: most of a long file is only read over.
+    They come from a scan of :func:`one_block_a_task`.
     """
     heads = block_heads(with_position(lines), max_rows)
     return typed_lines(csv.parse_lines(heads, schema), schema)
@@ -82,8 +83,9 @@ def append_capped_csv(
         schema = table_schema(table)
 
         def step():
-            lines = csv.read_lines(spark, found[table])
-            with cutting(spark, max_rows), written(line_heads(lines, schema, max_rows), "lines") as heads:
+            seen = Observation()
+            lines = csv.read_lines(one_block_a_task(spark), found[table]).observe(seen, F.count("*").alias("lines"))
+            with written(line_heads(lines, schema, max_rows), "lines", spark) as heads:
                 capped = capped_lines(heads, max_rows)
                 # A good file adds all its rows, a bad one none.
                 rows, refused, bad_files = capped.agg(
@@ -95,7 +97,7 @@ def append_capped_csv(
                 if rejects_dir:
                     bad = capped.filter("NOT _good").drop("_block", "_row", "_good")
                     bad.write.mode("append").parquet(f"{rejects_dir.rstrip('/')}/{table}")
-                left_out = lines.count() - rows - refused
+                left_out = seen.get["lines"] - rows - refused
                 tables.append_table(capped.filter("_good").select(schema.names), db, table)
             return append_result(rows, refused, left_out, f"files rejected: {bad_files}")
 
@@ -121,9 +123,11 @@ def append_records(
     schema = table_schema(table)
 
     def step():
-        rows = records.read_records(spark, json_dir)
-        with written(checked_records(rows, schema), "records") as checked:
-            valid, refused = checked.agg(F.count_if("_ok"), F.count_if(~F.col("_ok"))).first()
+        seen = Observation()
+        rows = checked_records(records.read_records(spark, json_dir), schema)
+        rows = rows.observe(seen, F.count_if("_ok").alias("valid"), F.count_if(~F.col("_ok")).alias("refused"))
+        with written(rows, "records") as checked:
+            valid, refused = seen.get["valid"], seen.get["refused"]
             taken = checked.filter("_ok") if max_rows is None else bounded_records(checked, max_rows)
             count = valid if max_rows is None else taken.count()
             # Rejects first: if they cannot be kept, nothing has been appended.

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.refined import refine_rows, with_stored_date
+from ..operators.refined import HIRE_YEAR, gathered_by_year, refine_rows, with_stored_date
 from ..schemas import FACT, TABLES, table_schema
+from ..session import bytes_of_plan, sized_session
 from ..sources import tables
 from ..streaming.landing import read_landed
 from .status import attempt, for_each_table, report
@@ -35,14 +36,18 @@ def refine(
 
     def one(table: str) -> list[dict]:
         def step():
-            rows = spark.table(tables.table_name(db, table))
-            if table in landed_dirs:
-                landed = read_landed(spark, landed_dirs[table], table_schema(table))
-                rows = rows.unionByName(landed)
-            rows = refine_rows(rows)
+            def rows_of(session: SparkSession) -> DataFrame:
+                rows = session.table(tables.table_name(db, table))
+                if table not in landed_dirs:
+                    return rows
+                return rows.unionByName(read_landed(session, landed_dirs[table], table_schema(table)))
+
+            # Shuffles of a whole table have as many partitions as it needs.
+            own = sized_session(spark, bytes_of_plan(rows_of(spark)))
+            rows, partitions = refine_rows(rows_of(own)), []
             if table == FACT:
-                rows = with_stored_date(rows)
-            tables.replace_table(rows, db, refined_name(table))
+                rows, partitions = gathered_by_year(with_stored_date(rows)), [HIRE_YEAR]
+            tables.replace_table(rows, db, refined_name(table), partitions, spark)
             return "refined", spark.table(tables.table_name(db, refined_name(table))).count()
 
         return [attempt(table, step)]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import hire_date, in_year
 from ..operators.lookup import are_small, lookup_join
+from ..operators.refined import BAD_YEAR, HIRE_YEAR
 from ..schemas import FACT
 from ..sources import tables
 from .refine import refined_name
@@ -39,7 +40,7 @@ def dated_hires(fact: DataFrame, on_bad_date: str = "raise") -> DataFrame:
         refuse = F.raise_error(F.lit("a refined hire has a text that is no date")).cast("date")
         date = F.when(F.col("bad_date"), refuse).otherwise(F.col("hire_date"))
         fact = fact.withColumn("hire_date", date)
-    return fact.drop("datetime", "bad_date")
+    return fact.drop("datetime", "bad_date", HIRE_YEAR)
 
 
 def hires_of_year(fact: DataFrame, year: int, on_bad_date: str = "raise") -> DataFrame:
@@ -48,6 +49,10 @@ def hires_of_year(fact: DataFrame, year: int, on_bad_date: str = "raise") -> Dat
         # A condition that file statistics can answer; a bad date of any year
         # has to be met as well if it shall fail the query.
         wanted = in_year(F.col("hire_date"), year)
+        if HIRE_YEAR in fact.columns:
+            # Partitions of other years are not even listed.
+            years = [year, BAD_YEAR] if on_bad_date == "raise" else [year]
+            fact = fact.filter(F.col(HIRE_YEAR).isin(years))
         fact = fact.filter(wanted | F.col("bad_date") if on_bad_date == "raise" else wanted)
     elif on_bad_date == "null":
         # Every parsed date starts with its four year digits; Parquet can skip on it.

@@ -77,7 +77,7 @@ def restore_tables(
         source = snapshot_path(backup_dir, table)
 
         def step():
-            load(avro.read(spark, source), db, table)
+            load(avro.read(spark, files.current(spark, source)), db, table)
             return "loaded", None
 
         done = attempt(table, step)

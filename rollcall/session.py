@@ -34,6 +34,38 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     }
 
 
+def own_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session with the caller's cluster, catalog and settings, but for those given.
+
+    A job that needs other settings runs in one of these: the caller's session,
+    and jobs that run in it at the same time, keep theirs.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in settings.items():
+        own.conf.set(key.replace("__", "."), value)
+    return own
+
+
+def bytes_of_plan(df: DataFrame) -> int:
+    """What the optimizer expects a frame to hold, from the statistics of its scans."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """An own session whose shuffles have a partition for each share of this input.
+
+    Never fewer than the caller's session asks for.
+    """
+    wanted = int(settings_for(input_bytes)["spark.sql.shuffle.partitions"])
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if math.ceil(input_bytes / SHUFFLE_BYTES) <= least:
+        wanted = least
+    return own_session(spark, spark__sql__shuffle__partitions=str(wanted))
+
+
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -67,13 +99,14 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
 
 
 @contextmanager
-def written(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+def written(df: DataFrame, purpose: str, reader: SparkSession | None = None) -> Iterator[DataFrame]:
     """The rows of ``df`` from a folder they are written to once.
 
     For a job that uses costly rows several times: what is written survives the
-    loss of executors. The folder is removed at the end of the job.
+    loss of executors. The folder is removed at the end of the job. Another
+    session may read the rows than the one that makes them.
     """
-    spark = df.sparkSession
+    spark = reader or df.sparkSession
     path = run_dir(spark, purpose)
     df.write.parquet(path)
     try:

@@ -14,19 +14,14 @@ FORMAT = {"sep": ",", "quote": '"', "escape": '"'}
 FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
 
 
-def has_open_quote(line: Column) -> Column:
-    """Whether a quote of the line does not close: files are split by line."""
-    return F.char_length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+# What the error of such a line says.
+OPEN_QUOTE = "a quote does not close"
 
 
-def refuse_open_quotes(spark: SparkSession, path: str) -> None:
-    """Fail if a line opens a quote that it does not close.
-
-    Spark's reader would take such a line and the next one as two rows.
-    """
-    bad = read_lines(spark, path).filter(has_open_quote(F.col("value"))).select("_file", "value").head()
-    if bad is not None:
-        raise ValueError(f"a quote does not close in {bad['_file']}: {bad['value'][:200]}")
+def has_open_quote(line: Column) -> Column:
+    """Whether a quote of the line does not close: files are split by line."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return quotes % 2 == 1
 
 
 def text_for_null(rows: DataFrame) -> DataFrame:
@@ -45,13 +40,28 @@ def text_for_null(rows: DataFrame) -> DataFrame:
 def read_declared(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = False
 ) -> DataFrame:
-    """Rows under a declared schema; a line that does not fit fails the query."""
-    refuse_open_quotes(spark, path)
-    return (
-        spark.read.schema(schema)
-        .options(**FORMAT, **FILES, header=header, mode="FAILFAST")
-        .csv(path)
-    )
+    """Rows under a declared schema; a line that does not fit fails the query.
+
+    So does a line with a quote that it does not close, which a scan would take
+    as a row and go on with the next line. Lines are parsed one by one while they
+    are read: the files are read once, and not before the rows are asked for.
+    """
+    lines = _headed_lines(spark, path) if header else read_lines(spark, path)
+    said = F.concat(F.lit(f"{OPEN_QUOTE} in "), "_file", F.lit(": "), F.substring("value", 1, 200))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    fields = F.from_csv("value", ddl, {**FORMAT, "mode": "FAILFAST"})
+    checked = F.when(has_open_quote(F.col("value")), F.raise_error(said).cast(schema)).otherwise(fields)
+    return lines.select(F.inline(F.array(checked)))
+
+
+# No field separator: what the scan gives for a line is the line.
+_WHOLE_LINE = {"sep": "\x01\x02\x01", "quote": "", "escape": "", "mode": "FAILFAST"}
+
+
+def _headed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their origin, without the first line of each file."""
+    reader = spark.read.schema("value STRING").options(**_WHOLE_LINE, **FILES, header=True)
+    return with_origin(reader.csv(path)).filter(F.trim("value") != "")
 
 
 def _lines(reader, path: str) -> DataFrame:

@@ -1,19 +1,27 @@
 """The two landing paths as streams that read each file once.
 
-A micro-batch writes its own folder ``stream=id/epoch=n`` and overwrites it if
-the batch is run again after a failure, so every row lands exactly once. The id
-is kept in the checkpoint: streams with checkpoints of their own, and a stream
-whose checkpoint is renewed, do not meet in one folder. A stream ends
-when it has read the files that are there, or with ``every="1 minute"`` looks
-for new ones until it is stopped.
+Rows land in a table, or in a folder of their own. In a table each micro-batch
+(epoch) is committed once, see :mod:`.epochs`. In a folder it writes its own
+``stream=id/epoch=n`` and overwrites it if the batch is run again after a
+failure. The id is kept in the checkpoint: streams with checkpoints of their own,
+and a stream whose checkpoint is renewed, do not meet. Either way every row lands
+exactly once, and each epoch has a record of the rows that landed, those that
+were refused, and those beyond a bound.
+
+A stream ends when it has read the files that are there, or with
+``every="1 minute"`` looks for new ones until it is stopped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.file_head import one_block_a_task
 from ..plans.landing import (
     MAX_ROWS,
     bounded_records,
@@ -23,26 +31,125 @@ from ..plans.landing import (
     refused_records,
 )
 from ..schemas import table_schema
-from ..operators.file_head import cutting
 from ..session import written
 from ..sources import csv, records
+from . import epochs
 
 FILES_PER_BATCH = 10_000
+# Where the records of a folder's epochs are.
+RECORDS = "_epochs"
+
+
+class _Sink:
+    """Where the accepted and the refused rows of an epoch go."""
+
+    def __init__(self, spark: SparkSession, table: str, rejects_dir: str | None):
+        self.spark, self.table, self.rejects_dir = spark, table, rejects_dir
+        self.schema = table_schema(table)
+
+    def records(self) -> str:
+        raise NotImplementedError
+
+    def put_rows(self, rows: DataFrame, stream: str, epoch: int) -> None:
+        raise NotImplementedError
+
+    def is_done(self, stream: str, epoch: int) -> bool:
+        return False
+
+    def put(self, rows: DataFrame, refused: DataFrame, stream: str, epoch: int, counts: Callable[[], dict]) -> None:
+        # Rejects first: if they cannot be kept, nothing has landed.
+        if self.rejects_dir:
+            _land(refused, self.rejects_dir, stream, epoch)
+        self.put_rows(rows, stream, epoch)
+        epochs.put_record(self.spark, self.records(), stream, epoch, counts())
+
+
+class _FolderSink(_Sink):
+    def __init__(self, spark, table, rejects_dir, landed_dir: str):
+        super().__init__(spark, table, rejects_dir)
+        self.landed_dir = landed_dir
+
+    def records(self) -> str:
+        return f"{self.landed_dir.rstrip('/')}/{RECORDS}"
+
+    def put_rows(self, rows, stream, epoch):
+        _land(rows.select(self.schema.names), self.landed_dir, stream, epoch)
+
+
+class _TableSink(_Sink):
+    def __init__(self, spark, table, rejects_dir, db: str):
+        super().__init__(spark, table, rejects_dir)
+        self.db = db
+
+    def records(self) -> str:
+        return epochs.records_of(self.spark, self.db, self.table)
 
+    def is_done(self, stream, epoch):
+        return epochs.is_recorded(self.spark, self.records(), stream, epoch)
+
+    def put_rows(self, rows, stream, epoch):
+        epochs.append_epoch(self.spark, rows, self.schema, self.db, self.table, stream, epoch)
+
+
+def _land(df: DataFrame, folder: str, stream: str, epoch: int) -> None:
+    df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/stream={stream}/epoch={epoch}")
+
+
+def _start(rows: DataFrame, checkpoint_dir: str, sink: _Sink, write_batch, every: str | None) -> StreamingQuery:
+    def write_once(batch: DataFrame, epoch: int) -> None:
+        stream = epochs.stream_of(batch)
+        if not sink.is_done(stream, epoch):
+            write_batch(batch, stream, epoch)
 
-def _start(rows: DataFrame, checkpoint_dir: str, write_batch, every: str | None) -> StreamingQuery:
     when = {"processingTime": every} if every else {"availableNow": True}
     return (
-        rows.writeStream.foreachBatch(write_batch)
+        rows.writeStream.foreachBatch(write_once)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(**when)
         .start()
     )
 
 
-def _land(df: DataFrame, folder: str, epoch: int) -> None:
-    stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/stream={stream}/epoch={epoch}")
+def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:
+    def write_batch(batch: DataFrame, stream: str, epoch: int) -> None:
+        seen, done = Observation(), Observation()
+        rows = checked_records(batch, sink.schema)
+        rows = rows.observe(seen, F.count_if("_ok").alias("valid"), F.count_if(~F.col("_ok")).alias("refused"))
+        with written(rows, "records") as checked:
+            taken = checked.filter("_ok") if max_rows is None else bounded_records(checked, max_rows)
+
+            def counts() -> dict:
+                rows, came = done.get["rows"], seen.get
+                return dict(rows=rows, rows_refused=came["refused"], rows_left_out=came["valid"] - rows)
+
+            taken = taken.observe(done, F.count("*").alias("rows"))
+            sink.put(taken, refused_records(checked), stream, epoch, counts)
+
+    rows = records.stream_records(spark, json_dir, files_per_batch)
+    return _start(rows, checkpoint_dir, sink, write_batch, every)
+
+
+def _stream_csv(spark, src_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:
+    def write_batch(batch: DataFrame, stream: str, epoch: int) -> None:
+        seen, done = Observation(), Observation()
+        lines = batch.observe(seen, F.count("*").alias("lines"))
+        with written(line_heads(lines, sink.schema, max_rows), "lines") as heads:
+            capped = capped_lines(heads, max_rows)
+
+            def counts() -> dict:
+                found = done.get
+                left_out = seen.get["lines"] - found["rows"] - found["refused"]
+                return dict(rows=found["rows"], rows_refused=found["refused"], rows_left_out=left_out)
+
+            refused = capped.filter("NOT _good").drop("_block", "_row", "_good")
+            counted = capped.observe(
+                done, F.count_if("_good").alias("rows"), F.count_if(~F.col("_good")).alias("refused")
+            )
+            sink.put(counted.filter("_good"), refused, stream, epoch, counts)
+
+    # The stream keeps the settings of the session it is started from.
+    lines = csv.stream_lines(one_block_a_task(spark), src_dir, files_per_batch)
+    return _start(lines, checkpoint_dir, sink, write_batch, every)
 
 
 def land_records(
@@ -57,17 +164,8 @@ def land_records(
     every: str | None = None,
 ) -> StreamingQuery:
     """Validated JSON records; ``max_rows``, if given, bounds those of one file."""
-    schema = table_schema(table)
-
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        with written(checked_records(batch, schema), "records") as checked:
-            if rejects_dir:
-                _land(refused_records(checked), rejects_dir, epoch)
-            taken = checked.filter("_ok") if max_rows is None else bounded_records(checked, max_rows)
-            _land(taken.select(schema.names), landed_dir, epoch)
-
-    rows = records.stream_records(spark, json_dir, files_per_batch)
-    return _start(rows, checkpoint_dir, write_batch, every)
+    sink = _FolderSink(spark, table, rejects_dir, landed_dir)
+    return _stream_records(spark, json_dir, sink, checkpoint_dir, max_rows, files_per_batch, every)
 
 
 def land_capped_csv(
@@ -85,20 +183,47 @@ def land_capped_csv(
 
     With ``rejects_dir`` the rows of the other files are kept there.
     """
-    schema = table_schema(table)
+    sink = _FolderSink(spark, table, rejects_dir, landed_dir)
+    return _stream_csv(spark, src_dir, sink, checkpoint_dir, max_rows, files_per_batch, every)
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        heads = line_heads(batch, schema, max_rows)
-        with cutting(spark, max_rows), written(heads, "lines") as kept:
-            capped = capped_lines(kept, max_rows)
-            if rejects_dir:
-                _land(capped.filter("NOT _good").drop("_block", "_row", "_good"), rejects_dir, epoch)
-            _land(capped.filter("_good").select(schema.names), landed_dir, epoch)
 
-    lines = csv.stream_lines(spark, src_dir, files_per_batch)
-    return _start(lines, checkpoint_dir, write_batch, every)
+def stream_records_into(
+    spark: SparkSession,
+    json_dir: str,
+    db: str,
+    table: str,
+    checkpoint_dir: str,
+    rejects_dir: str | None = None,
+    max_rows: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Validated JSON records, appended to a table; the table is created if there is none."""
+    sink = _TableSink(spark, table, rejects_dir, db)
+    return _stream_records(spark, json_dir, sink, checkpoint_dir, max_rows, files_per_batch, every)
+
+
+def stream_csv_into(
+    spark: SparkSession,
+    src_dir: str,
+    db: str,
+    table: str,
+    checkpoint_dir: str,
+    rejects_dir: str | None = None,
+    max_rows: int = MAX_ROWS,
+    files_per_batch: int = FILES_PER_BATCH,
+    every: str | None = None,
+) -> StreamingQuery:
+    """The first ``max_rows`` rows of each CSV file whose rows all fit, appended to a table."""
+    sink = _TableSink(spark, table, rejects_dir, db)
+    return _stream_csv(spark, src_dir, sink, checkpoint_dir, max_rows, files_per_batch, every)
 
 
 def read_landed(spark: SparkSession, landed_dir: str, schema: T.StructType) -> DataFrame:
     """All rows landed so far by any stream, or those kept as rejects."""
     return spark.read.schema(schema).parquet(f"{landed_dir.rstrip('/')}/stream=*/epoch=*")
+
+
+def landed_counts(spark: SparkSession, landed_dir: str) -> DataFrame:
+    """stream, epoch, rows, rows_refused and rows_left_out of what landed in a folder."""
+    return epochs.read_records(spark, f"{landed_dir.rstrip('/')}/{RECORDS}")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql.types import StructType
 
 from helpers import rows
-from rollcall.operators.file_head import block_heads, cap_files, cutting, with_position
+from rollcall.operators.file_head import block_heads, cap_files, one_block_a_task, with_position
 from rollcall.plans.landing import append_capped_csv, append_records
 from rollcall.sources import csv, tables
 
@@ -24,38 +24,68 @@ def report_of(df):
     return {r.table: (r.status, r.rows) for r in df.collect()}
 
 
+def heads_of(spark, path, n):
+    return block_heads(with_position(csv.read_lines(one_block_a_task(spark), path)), n)
+
+
 def test_first_rows_of_each_file_over_many_blocks(spark, tmp_path, conf):
     for name in "ab":
         put(tmp_path / f"{name}.csv", (f"{i},job {name}{i}" for i in range(3000)))
     for size in (2_000, 30_000, 10_000_000):
         conf(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes=0)
-        lines = with_position(csv.read_lines(spark, str(tmp_path)))
+        lines = csv.read_lines(one_block_a_task(spark), str(tmp_path))
         blocks = lines.select("_file", "_block").distinct().count()
         assert blocks > 20 if size == 2_000 else blocks >= 2
-        heads = block_heads(lines, 1000)
+        heads = heads_of(spark, str(tmp_path), 1000)
         kept = csv.parse_lines(cap_files(heads, 1000), JOBS).collect()
         expected = [(str(i), f"job {name}{i}", i + 1) for name in "ab" for i in range(1000)]
         assert sorted((r.id, r.job, r._row) for r in kept) == sorted(expected)
 
 
-def test_one_long_file_is_cut_before_the_shuffle(spark, tmp_path, conf):
-    put(tmp_path / "jobs.csv", (f"{i},j" for i in range(5000)))
-    conf(spark__sql__files__maxPartitionBytes=4_000, spark__sql__files__openCostInBytes=0)
-    heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path))), 10)
-    plan = heads._jdf.queryExecution().executedPlan().toString()
-    below_shuffle = plan[plan.rindex("Exchange") :]
-    assert "WindowGroupLimit" in below_shuffle and "Partial" in below_shuffle
-    kept = csv.parse_lines(cap_files(heads, 10), JOBS)
-    assert sorted(int(r.id) for r in kept.collect()) == list(range(10))
+def test_many_small_files_have_a_task_each(spark, tmp_path, conf):
+    conf(spark__sql__files__openCostInBytes=0, spark__sql__files__maxPartitionNum=1)
+    for i in range(40):
+        put(tmp_path / f"{i}.csv", [f"{k},j" for k in range(i % 4)])
+    heads = heads_of(spark, str(tmp_path), 2)
+    assert heads.groupBy("_file").count().filter("count > 2").isEmpty()
+    assert heads.count() == sum(min(i % 4, 2) for i in range(40))
 
 
-@pytest.mark.parametrize("n", [1000, 50_000])
-def test_blocks_are_cut_whatever_the_cap(spark, tmp_path, conf, n):
-    conf(spark__sql__optimizer__windowGroupLimitThreshold=1000)
-    put(tmp_path / "jobs.csv", ["1,a"])
-    with cutting(spark, n):
-        heads = block_heads(with_position(csv.read_lines(spark, str(tmp_path))), n)
-        assert "Partial" in heads._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("n", [10, 50_000])
+def test_blocks_are_cut_where_they_are_read_whatever_the_cap(spark, tmp_path, conf, n):
+    put(tmp_path / "jobs.csv", (f"{i},j" for i in range(5000)))
+    conf(spark__sql__files__maxPartitionBytes=4_000)
+    heads = heads_of(spark, str(tmp_path), n)
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    for word in ("Sort", "Exchange", "Window"):
+        assert word not in plan
+    assert plan.count("FileScan") == 1 and f"<= {n}" in plan
+    kept = csv.parse_lines(cap_files(heads, n), JOBS)
+    assert sorted(int(r.id) for r in kept.collect()) == list(range(min(n, 5000)))
+
+
+def test_landed_files_are_read_once(spark, tmp_path, db):
+    """Lines beyond the cap are counted by the scan that takes the first ones."""
+    put(tmp_path / "jobs.csv", (f"{i},j" for i in range(50)))
+    reads = spark.sparkContext.accumulator(0)
+    read_lines = csv.read_lines
+
+    def counted(*args):
+        reads.add(1)
+        return read_lines(*args)
+
+    csv.read_lines = counted
+    try:
+        done = append_capped_csv(spark, str(tmp_path), db, max_rows=20).first()
+    finally:
+        csv.read_lines = read_lines
+    assert (done.rows, done.rows_left_out, reads.value) == (20, 30, 1)
+
+
+def test_an_empty_folder_appends_nothing(spark, tmp_path, db):
+    (tmp_path / "jobs.csv").mkdir()
+    done = append_capped_csv(spark, str(tmp_path), db).first()
+    assert (done.status, done.rows, done.rows_refused, done.rows_left_out) == ("ok", 0, 0, 0)
 
 
 def test_no_setting_differs_after_a_job(spark, tmp_path, db):

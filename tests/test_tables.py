@@ -1,4 +1,7 @@
 import datetime as dt
+import json
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -158,30 +161,110 @@ def test_lookups_may_have_more_columns(spark, star):
     assert hires_enriched(fact, dep, jobs).count() == 1
 
 
-def at_each_step(spark, db, jobs, stop_after):
-    """Replace a table, but stop after some of the statements that swap it."""
-    name, staged, aside = (tables.table_name(db, "jobs" + end) for end in ("", tables.NEXT, tables.OLD))
-    jobs.filter("id = 3").write.format("parquet").saveAsTable(staged)
+def leave_a_lease(spark, db, until):
+    """As if a writer had died while it held the lease of the table."""
+    path = f"{tables._versions(spark, db, 'jobs')}/{tables.LEASE}"
+    assert files.create_file(spark, path, json.dumps({"owner": "gone", "until": until}))
+    return path
+
+
+@pytest.mark.parametrize("stop_after", range(3))
+def test_an_interrupted_replacement_has_old_or_new_rows(spark, db, jobs, stop_after):
+    tables.replace_table(jobs, db, "jobs")
+    staged = tables.stage_table(jobs.filter("id = 3"), db, "jobs")
+    if stop_after > 0:
+        leave_a_lease(spark, db, 0)
+    if stop_after > 1:
+        spark.sql(f"ALTER TABLE {db}.jobs SET LOCATION '{staged.path}'")
+    assert tables.list_tables(spark, db) == ["jobs"]
+    assert rows(spark.table(f"{db}.jobs")) == ([(3, "c")] if stop_after > 1 else rows(jobs))
+    tables.replace_table(jobs.filter("id = 1"), db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(jobs.filter("id = 1"))
+    assert tables.list_tables(spark, db) == ["jobs"]
+
+
+@pytest.mark.parametrize("stop_after", range(4))
+def test_an_interrupted_exchange_of_columns_is_finished(spark, db, jobs, stop_after):
+    tables.replace_table(jobs, db, "jobs")
+    new = jobs.filter("id = 3").selectExpr("job", "id", "1.5 AS share")
+    staged = tables.stage_table(new, db, "jobs")
+    following = tables.table_name(db, "jobs" + tables.NEXT)
     for statement in [
-        f"ALTER TABLE {name} RENAME TO {aside}",
-        f"ALTER TABLE {staged} RENAME TO {name}",
-        f"DROP TABLE {aside}",
+        f"CREATE TABLE {following} (job STRING, id BIGINT, share DECIMAL(2,1)) USING parquet LOCATION '{staged.path}'",
+        f"DROP TABLE {db}.jobs",
+        f"ALTER TABLE {following} RENAME TO {db}.jobs",
     ][:stop_after]:
         spark.sql(statement)
+    assert tables.list_tables(spark, db) == ([] if stop_after == 2 else ["jobs"])
+    tables.finish_replacement(spark, db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(jobs if stop_after < 2 else new)
+    tables.replace_table(new, db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(new)
+    assert tables.list_tables(spark, db) == ["jobs"]
 
 
-@pytest.mark.parametrize("stop_after", range(4))
-def test_an_interrupted_replacement_has_old_or_new_rows(spark, db, jobs, stop_after):
+def test_listing_and_a_second_writer_in_the_middle_of_a_replacement(spark, db, jobs):
     tables.replace_table(jobs, db, "jobs")
-    at_each_step(spark, db, jobs, stop_after)
+    first = tables.stage_table(jobs.filter("id = 1"), db, "jobs")
     assert tables.list_tables(spark, db) == ["jobs"]
-    expected = rows(jobs) if stop_after == 0 else [(3, "c")]
-    assert rows(spark.table(f"{db}.jobs")) == expected
-    tables.replace_table(jobs.filter("id = 1"), db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(jobs)
+    tables.replace_table(jobs.filter("id = 2"), db, "jobs")
+    assert rows(spark.table(f"{db}.jobs")) == rows(jobs.filter("id = 2"))
+    first.publish()
     assert rows(spark.table(f"{db}.jobs")) == rows(jobs.filter("id = 1"))
+
+
+def test_writers_at_the_same_time_leave_one_whole_table(spark, db, jobs):
+    tables.replace_table(jobs, db, "jobs")
+    parts = [jobs.filter(f"id = {i}") for i in (1, 2, 3)] * 2
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda df: tables.replace_table(df, db, "jobs"), parts))
+    spark.catalog.refreshTable(f"{db}.jobs")
+    assert rows(spark.table(f"{db}.jobs")) in [rows(p) for p in parts]
     assert tables.list_tables(spark, db) == ["jobs"]
 
 
+def test_a_lease_is_waited_for_and_taken_over_when_its_time_is_over(spark, db, jobs):
+    tables.replace_table(jobs, db, "jobs")
+    folder = tables._versions(spark, db, "jobs")
+    path = leave_a_lease(spark, db, time.time() + 60)
+    with pytest.raises(TimeoutError):
+        with tables.lease(spark, folder, "me", wait=0.5):
+            pass
+    assert json.loads(files.read_file(spark, path))["owner"] == "gone"
+    files.remove_folder(spark, path)
+    leave_a_lease(spark, db, time.time() - 1)
+    with tables.lease(spark, folder, "me", wait=0.5):
+        assert json.loads(files.read_file(spark, path))["owner"] == "me"
+    assert not files.exists(spark, path)
+
+
+def test_a_replacement_moves_no_file_and_keeps_one_version_before(spark, db, jobs):
+    tables.replace_table(jobs, db, "jobs")
+    folder, before = tables._versions(spark, db, "jobs"), spark.table(f"{db}.jobs")
+    assert rows(before) == rows(jobs)
+    first = tables.location_of(spark, f"{db}.jobs")
+    tables.replace_table(jobs.filter("id = 1"), db, "jobs")
+    # Whoever still reads the version before can do so to its end.
+    assert rows(before) == rows(jobs) and files.exists(spark, first)
+    for i in (2, 3):
+        tables.replace_table(jobs.filter(f"id = {i}"), db, "jobs")
+    assert not files.exists(spark, first)
+    assert len(files.folders_in(spark, folder)) == 2
+
+
+def test_partitioned_tables_are_replaced_and_appended(spark, db, jobs):
+    rows_of = jobs.selectExpr("CAST(id % 2 AS INT) AS half", "id", "job")
+    for _ in range(2):
+        tables.replace_table(rows_of, db, "halves", ["half"])
+        assert rows(spark.table(f"{db}.halves"), "half", "id", "job") == rows(rows_of)
+    tables.append_table(rows_of.filter("id = 3"), db, "halves")
+    assert spark.table(f"{db}.halves").filter("half = 1").count() == 4
+    assert spark.table(f"{db}.halves").columns == ["id", "job", "half"]
+    with pytest.raises(ValueError):
+        tables.append_table(jobs, db, "halves")
+
+
 def test_a_folder_that_cannot_be_moved_leaves_the_old_one(spark, tmp_path):
     for name in ("old", "new"):
         (tmp_path / name).mkdir()
@@ -192,9 +275,11 @@ def test_a_folder_that_cannot_be_moved_leaves_the_old_one(spark, tmp_path):
         files.replace_folder(spark, str(tmp_path / "missing"), str(target))
     assert (target / "x").read_text() == "old"
     # Stopped once the old folder was aside.
-    target.rename(tmp_path / f".target{files.OLD}")
-    assert "target" in files.child_names(spark, str(tmp_path))
-    assert (target / "x").read_text() == "old"
+    aside = tmp_path / f".target{files.OLD}"
+    target.rename(aside)
+    # Listing finds it, and changes nothing.
+    assert files.child_names(spark, str(tmp_path)) == ["new", "target"]
+    assert files.current(spark, str(target)) == str(aside) and not target.exists()
     files.replace_folder(spark, str(tmp_path / "new"), str(target))
     assert (target / "x").read_text() == "new"
     assert files.child_names(spark, str(tmp_path)) == ["target"]
