@@ -15,7 +15,15 @@ from .plans.reports import (
     summarise_year,
 )
 from .plans.snapshot import backup_table, backup_tables, restore_table, restore_tables
-from .streaming.landing import land_capped_csv, land_records, read_landed
+from .streaming.epochs import epochs_of
+from .streaming.landing import (
+    land_capped_csv,
+    land_records,
+    landed_counts,
+    read_landed,
+    stream_csv_into,
+    stream_records_into,
+)
 
 __all__ = [
     "append_capped_csv",
@@ -23,12 +31,14 @@ __all__ = [
     "backup_table",
     "backup_tables",
     "departments_above_mean",
+    "epochs_of",
     "hires_by_quarter",
     "hires_enriched",
     "hires_in_year",
     "ingest",
     "land_capped_csv",
     "land_records",
+    "landed_counts",
     "mean_hires",
     "normalise_files",
     "normalise_history",
@@ -38,5 +48,7 @@ __all__ = [
     "restore_table",
     "restore_tables",
     "store_departments_above_mean",
+    "stream_csv_into",
+    "stream_records_into",
     "summarise_year",
 ]

@@ -13,9 +13,10 @@ from .operators.normalise import normalise_history
 from .operators.refined import refine_rows
 from .plans import history, landing, reports, snapshot
 from .plans.refine import refine, refined_name
-from .schemas import FACT, schema_from_text, table_schema
+from .schemas import FACT, TABLES, read_schema, schema_from_text, table_schema
 from .session import run_dir
 from .sources import csv, tables
+from .streaming import epochs
 from .streaming import landing as streams
 
 YEAR, EMPTY_YEAR = 1997, 2021
@@ -560,6 +561,73 @@ def _(spark, sf_dir):
     return streams.read_landed(spark, landed, table_schema("jobs"))
 
 
+@query(
+    "stream_into_table",
+    f"SELECT * FROM hired_employees WHERE id % 3 = 0 UNION ALL ({RECORDS_OK})",
+)
+def _(spark, sf_dir):
+    """Records land in a table that has rows; a second run finds nothing new."""
+    hires = sample.star(spark, sf_dir)[FACT]
+    db = sample.database(spark, {FACT: hires.filter("id % 3 = 0")})
+    source, checkpoint = sample.landed_records(spark, hires), run_dir(spark, "checkpoint")
+    for _ in range(2):
+        streams.stream_records_into(
+            spark, source, db, FACT, checkpoint, files_per_batch=3
+        ).awaitTermination()
+    return spark.table(tables.table_name(db, FACT))
+
+
+@query(
+    "stream_csv_into_table",
+    CAPPED.replace("{t}", FACT)
+    + f""" AND NOT ({BAD_BATCH} AND id // {sample.BATCH_ROWS} IN (
+        SELECT id // {sample.BATCH_ROWS} FROM hired_employees
+        WHERE id % {sample.BATCH_ROWS} = 17))""",
+)
+def _(spark, sf_dir):
+    source = sample.landed_csv(spark, _with_bad_batches(sample.star(spark, sf_dir)))
+    db, checkpoint = sample.database(spark, {}), run_dir(spark, "checkpoint")
+    streams.stream_csv_into(
+        spark, f"{source}/{FACT}.csv", db, FACT, checkpoint, files_per_batch=2
+    ).awaitTermination()
+    return spark.table(tables.table_name(db, FACT))
+
+
+@query(
+    "stream_counts",
+    f"""SELECT CAST(SUM(CASE WHEN bad THEN 0 ELSE kept END) AS BIGINT) AS rows,
+        CAST(SUM(CASE WHEN bad THEN kept ELSE 0 END) AS BIGINT) AS rows_refused,
+        CAST(SUM(n - kept) AS BIGINT) AS rows_left_out,
+        CAST(CEIL(COUNT(*) / 2) AS BIGINT) AS epochs FROM {BATCHES}""",
+)
+def _(spark, sf_dir):
+    """What the epochs of a stream say of the rows that came; nothing else is kept."""
+    source = sample.landed_csv(spark, _with_bad_batches(sample.star(spark, sf_dir)))
+    db, checkpoint = sample.database(spark, {}), run_dir(spark, "checkpoint")
+    streams.stream_csv_into(
+        spark, f"{source}/{FACT}.csv", db, FACT, checkpoint, files_per_batch=2
+    ).awaitTermination()
+    sums = [F.sum(c).alias(c) for c in epochs.COUNTS]
+    return epochs.epochs_of(spark, db, FACT).agg(*sums, F.count("*").alias("epochs"))
+
+
+@query(
+    "stream_folder_counts",
+    f"""SELECT COUNT(*) AS rows_seen, COUNT(*) FILTER (WHERE id % 10 IN (2, 3, 4, 5, 6)) AS rows_refused
+        FROM hired_employees""",
+)
+def _(spark, sf_dir):
+    """The same of a stream that lands in a folder."""
+    source = sample.landed_records(spark, sample.star(spark, sf_dir)[FACT])
+    landed, checkpoint = run_dir(spark, "landed"), run_dir(spark, "checkpoint")
+    streams.land_records(spark, source, FACT, landed, checkpoint, files_per_batch=2).awaitTermination()
+    counts = streams.landed_counts(spark, landed)
+    return counts.agg(
+        F.sum(F.col("rows") + F.col("rows_refused") + F.col("rows_left_out")).alias("rows_seen"),
+        F.sum("rows_refused").alias("rows_refused"),
+    )
+
+
 # ---- snapshots and refined tables ------------------------------------------
 
 
@@ -634,6 +702,29 @@ def _(spark, sf_dir):
     return reports.summarise_year(spark, db, YEAR)
 
 
+@query(
+    "refined_by_year",
+    """SELECT CAST(EXTRACT(YEAR FROM hire_date) AS INTEGER) AS hire_year, COUNT(*) AS rows,
+              MIN(hire_date) AS first_hire FROM enriched GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """The partitions of the refined facts; hires without a date have a null one."""
+    db = sample.database(spark, sample.star(spark, sf_dir))
+    refine(spark, db, [FACT])
+    refined = spark.table(tables.table_name(db, refined_name(FACT)))
+    return refined.groupBy("hire_year").agg(F.count("*").alias("rows"), F.min("hire_date").alias("first_hire"))
+
+
+@query("replaced_by_own_rows", "SELECT DISTINCT id, upper(name) AS name FROM hired_employees")
+def _(spark, sf_dir):
+    """A table is replaced by what it holds, then by other columns of itself."""
+    db = sample.database(spark, {FACT: sample.with_even_ids_twice(sample.star(spark, sf_dir)[FACT])})
+    name = tables.table_name(db, FACT)
+    tables.replace_table(refine_rows(spark.table(name)), db, FACT)
+    tables.replace_table(spark.table(name).select("id", F.upper("name").alias("name")), db, FACT)
+    return spark.table(name)
+
+
 @query("refined_above_mean", above_mean_sql(YEAR))
 def _(spark, sf_dir):
     db = sample.database(spark, sample.star(spark, sf_dir))
@@ -666,8 +757,20 @@ def _(spark, sf_dir):
 @query("schema_from_text", "SELECT * FROM hired_employees")
 def _(spark, sf_dir):
     """CSV under a schema that is read from a definition text."""
-    schema = schema_from_text(
-        "id INT64,\nname STRING,\ndatetime STRING,\ndepartment_id INT64,\njob_id INTEGER"
-    )
     source = sample.csv_folder(spark, {FACT: sample.star(spark, sf_dir)[FACT]})
+    return csv.read_declared(spark, f"{source}/{FACT}.csv", schema_from_text(_definition(FACT)))
+
+
+def _definition(table: str) -> str:
+    """A table's definition as a text: one column a line, integers by their other name."""
+    return TABLES[table].replace("BIGINT", "INT64").replace(", ", ",\n")
+
+
+@query("schema_from_file", "SELECT * FROM hired_employees")
+def _(spark, sf_dir):
+    """The definition comes from a file beside the CSV."""
+    source = sample.csv_folder(spark, {FACT: sample.star(spark, sf_dir)[FACT]})
+    definition = spark.range(1).select(F.lit(_definition(FACT)).alias("value"))
+    definition.write.text(f"{source}/{FACT}.txt")
+    schema = read_schema(spark, f"{source}/{FACT}.txt")
     return csv.read_declared(spark, f"{source}/{FACT}.csv", schema)

@@ -1,11 +1,21 @@
 import json
 
+import pytest
 from pyspark.sql.types import StructType
 
 from helpers import rows
 from rollcall.plans.refine import refine
-from rollcall.sources import tables
-from rollcall.streaming.landing import land_capped_csv, land_records, read_landed
+from rollcall.sources import files, tables
+from rollcall.streaming import landing
+from rollcall.streaming.epochs import COUNTS, epochs_of, records_of
+from rollcall.streaming.landing import (
+    land_capped_csv,
+    land_records,
+    landed_counts,
+    read_landed,
+    stream_csv_into,
+    stream_records_into,
+)
 
 JOBS = StructType().add("id", "long").add("job", "string")
 
@@ -106,3 +116,105 @@ def test_streams_do_not_meet_in_one_folder(spark, tmp_path):
             state += "x"
         land_capped_csv(spark, str(tmp_path / f"in{n}"), "jobs", landed, state).awaitTermination()
     assert rows(read_landed(spark, landed, JOBS)) == [(1, "j"), (2, "j"), (2, "j")]
+
+
+def forget_commit(tmp_path, epoch):
+    """As if the driver had died before the stream noted that a batch is done."""
+    for name in (f"{epoch}", f".{epoch}.crc"):
+        (tmp_path / "state" / "commits" / name).rename(tmp_path / f"commit-{len(list(tmp_path.iterdir()))}")
+
+
+def test_an_epoch_is_in_the_table_once(spark, db, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    tables.append_table(spark.createDataFrame([(0, "old")], JOBS), db, "jobs")
+    put(tmp_path / "in" / "1.csv", ["1,a", "2,b"])
+
+    def run():
+        stream_csv_into(spark, source, db, "jobs", state).awaitTermination()
+        return rows(spark.table(f"{db}.jobs"))
+
+    expected = [(0, "old"), (1, "a"), (2, "b")]
+    assert run() == expected and run() == expected
+    # The batch runs again; its record says that its rows are in.
+    forget_commit(tmp_path, 0)
+    assert run() == expected
+    # It runs again and has no record: it was interrupted after its rows were written.
+    forget_commit(tmp_path, 0)
+    folder = records_of(spark, db, "jobs")
+    (record,) = [r for r in epochs_of(spark, db, "jobs").inputFiles()]
+    files.remove_folder(spark, record)
+    assert epochs_of(spark, db, "jobs").count() == 0 and files.exists(spark, folder)
+    assert run() == expected
+    assert rows(epochs_of(spark, db, "jobs"), *COUNTS) == [(2, 0, 0)]
+    put(tmp_path / "in" / "2.csv", ["3,c"])
+    assert run() == [*expected, (3, "c")]
+
+
+def test_epochs_survive_a_replacement_of_their_table(spark, db, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    put(tmp_path / "in" / "1.csv", ["1,a"])
+    stream_csv_into(spark, source, db, "jobs", state).awaitTermination()
+    tables.replace_table(spark.createDataFrame([(9, "z")], JOBS), db, "jobs")
+    forget_commit(tmp_path, 0)
+    stream_csv_into(spark, source, db, "jobs", state).awaitTermination()
+    assert rows(spark.table(f"{db}.jobs")) == [(9, "z")]
+
+
+def test_epochs_say_what_they_refused_and_left_out(spark, db, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    put(tmp_path / "in" / "a.csv", [f"{i},j" for i in range(10)])
+    put(tmp_path / "in" / "b.csv", ["x,j"] * 5)
+    put(tmp_path / "in" / "c.csv", ["", "7,j"])
+    stream_csv_into(spark, source, db, "jobs", state, max_rows=4).awaitTermination()
+    assert rows(epochs_of(spark, db, "jobs"), *COUNTS) == [(5, 4, 7)]
+    landed = str(tmp_path / "out")
+    put(tmp_path / "json" / "a.json", [json.dumps({"id": i, "job": "j"}) for i in range(6)] + ["{no"])
+    land_records(
+        spark, str(tmp_path / "json"), "jobs", landed, str(tmp_path / "state2"), max_rows=4
+    ).awaitTermination()
+    assert rows(landed_counts(spark, landed), *COUNTS) == [(4, 1, 2)]
+    assert read_landed(spark, landed, JOBS).count() == 4
+    assert landed_counts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_records_into_a_table_that_is_not_there_yet(spark, db, tmp_path):
+    put(tmp_path / "in" / "a.json", [json.dumps({"id": i, "job": "j"}) for i in range(3)] + ["{no"])
+    for n in (1, 2):  # two streams with checkpoints of their own
+        stream_records_into(
+            spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / f"state{n}"), rejects_dir=str(tmp_path / "no")
+        ).awaitTermination()
+    assert rows(spark.table(f"{db}.jobs")) == sorted([(i, "j") for i in range(3)] * 2)
+    assert epochs_of(spark, db, "jobs").select("stream").distinct().count() == 2
+    assert spark.read.parquet(f"{tmp_path}/no/stream=*/epoch=*").count() == 2
+
+
+def test_a_table_with_other_columns_takes_no_epoch(spark, db, tmp_path):
+    tables.append_table(spark.createDataFrame([(1, 2)], "id BIGINT, other BIGINT"), db, "jobs")
+    put(tmp_path / "in" / "1.csv", ["1,a"])
+    stream = stream_csv_into(spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "state"))
+    with pytest.raises(Exception, match="no plain Parquet table"):
+        stream.awaitTermination()
+    assert spark.table(f"{db}.jobs").count() == 1
+
+
+@pytest.mark.parametrize("cap", [3, 50_000])
+def test_a_stream_cuts_blocks_where_they_are_read(spark, db, tmp_path, conf, monkeypatch, cap):
+    conf(spark__sql__files__maxPartitionBytes=2_000, spark__sql__files__openCostInBytes=0)
+    put(tmp_path / "in" / "a.csv", [f"{i},j" for i in range(3000)])
+    put(tmp_path / "in" / "b.csv", ["5000,j"])
+    seen = []
+    line_heads = landing.line_heads
+
+    def noted(lines, schema, max_rows):
+        heads = line_heads(lines, schema, max_rows)
+        seen.append((heads._jdf.queryExecution().executedPlan().toString(), heads.rdd.getNumPartitions()))
+        return heads
+
+    monkeypatch.setattr(landing, "line_heads", noted)
+    stream_csv_into(spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "state"), max_rows=cap).awaitTermination()
+    ids = sorted(r.id for r in spark.table(f"{db}.jobs").collect())
+    assert ids == [*range(min(cap, 3000)), 5000]
+    ((plan, tasks),) = seen
+    assert f"<= {cap}" in plan and tasks > 10
+    for word in ("Sort", "Exchange", "Window"):
+        assert word not in plan
