@@ -41,8 +41,9 @@ def own_session(spark: SparkSession, **settings: str) -> SparkSession:
     and jobs that run in it at the same time, keep theirs.
     """
     own = spark.newSession()
+    known = own.conf.getAll
     for key, value in spark.conf.getAll.items():
-        if own.conf.isModifiable(key):
+        if known.get(key) != value and own.conf.isModifiable(key):
             own.conf.set(key, value)
     for key, value in settings.items():
         own.conf.set(key.replace("__", "."), value)

@@ -158,6 +158,11 @@ def _finish_replacement(spark: SparkSession, target: str) -> None:
         raise OSError(f"could not move {target} back")
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.mkdirs(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     fs, path = _file_system(spark, folder)
     fs.delete(path, True)

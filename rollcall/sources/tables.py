@@ -48,8 +48,7 @@ def table_name(db: str, table: str) -> str:
 
 
 def database_folder(spark: SparkSession, db: str) -> str:
-    described = spark.sql(f"DESCRIBE DATABASE {db}").where("lower(info_name) = 'location'").first()
-    return described["info_value"].rstrip("/")
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:
@@ -67,7 +66,7 @@ def location_of(spark: SparkSession, name: str) -> str:
 
 
 def columns_of(spark: SparkSession, name: str) -> list[tuple[str, str]]:
-    return [(c.name, c.dataType) for c in spark.catalog.listColumns(name)]
+    return [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema]
 
 
 def described(spark: SparkSession, name: str) -> dict:
@@ -151,9 +150,11 @@ class Staged:
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
         divided = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in self.partitions)})" if self.partitions else ""
-        # Partitions are found in the folder, so that the pointer says all there is to know.
-        own = own_session(self.spark, spark__sql__hive__manageFilesourcePartitions="false")
-        own.sql(f"CREATE TABLE {staged} ({columns}) USING parquet{divided} LOCATION '{self.path}'")
+        spark = self.spark
+        if self.partitions:
+            # They are found in the folder, so that the pointer says all there is to know.
+            spark = own_session(spark, spark__sql__hive__manageFilesourcePartitions="false")
+        spark.sql(f"CREATE TABLE {staged} ({columns}) USING parquet{divided} LOCATION '{self.path}'")
         if replaces:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self.spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
@@ -224,10 +225,12 @@ def ensure_table(spark: SparkSession, schema: T.StructType, db: str, table: str)
     """The name of a table, created without rows if there is none."""
     name = table_name(db, table)
     if not spark.catalog.tableExists(name):
-        empty = stage_table(spark.createDataFrame([], schema), db, table)
-        with lease(spark, _versions(spark, db, table), empty.path):
+        folder = _versions(spark, db, table)
+        empty = Staged(spark, db, table, f"{folder}/v-{uuid.uuid4().hex}", schema, ())
+        with lease(spark, folder, empty.path):
             _finish(spark, db, table)
             if not spark.catalog.tableExists(name):
+                files.make_folder(spark, empty.path)
                 empty._create(False)
     return name
 
