@@ -19,7 +19,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,12 +111,19 @@ def events_of(conversations: DataFrame) -> DataFrame:
     )
 
 
-def _none(value):
-    """A null in any of pandas' guises as None."""
-    return None if value is None or value != value else value
+def _rows(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
+    """Rows as Python values: whole numbers stay what they are beside nulls."""
+    return zip(*(batch.column(x).to_pylist() for x in names))
 
 
-def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    types = {T.LongType(): pa.int64(), T.StringType(): pa.string()}
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    arrays = [pa.array(list(x), types[f.dataType]) for x, f in zip(columns, schema)]
+    return pa.RecordBatch.from_arrays(arrays, schema.names)
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Messages from events sorted by conversation, message, sequence.
 
     What is kept is one message, and per conversation the last regeneration of
@@ -135,9 +142,9 @@ def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             turn += 1
         alive = False
 
-    for frame in frames:
-        for c, m, s, kind, r, text in zip(*(frame[x].astype(object) for x in EVENT_COLUMNS)):
-            c, m, s, r, text = _none(c), _none(m), _none(s), _none(r) or "", _none(text) or ""
+    for batch in batches:
+        for c, m, s, kind, r, text in _rows(batch, EVENT_COLUMNS):
+            r, text = r or "", text or ""
             if c != conv or conv is start:
                 close()
                 conv, message, turn, void, void_next = c, start, 0, None, None
@@ -163,16 +170,12 @@ def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 raise ValueError(f"unknown event kind: {kind}")
         # Only closed messages are given out; the open one may go on.
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in MESSAGE_SCHEMA]).astype(
-                {"conv_id": "Int64", "turn": "Int64"}
-            )
+            yield _batch(out, MESSAGE_SCHEMA)
             out = []
     if conv is not start:
         close()
     if out:
-        yield pd.DataFrame(out, columns=[f.name for f in MESSAGE_SCHEMA]).astype(
-            {"conv_id": "Int64", "turn": "Int64"}
-        )
+        yield _batch(out, MESSAGE_SCHEMA)
 
 
 def messages(events: DataFrame) -> DataFrame:
@@ -188,22 +191,17 @@ def messages(events: DataFrame) -> DataFrame:
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "message", "seq", "kind", "role", "text")
     )
-    return ordered.mapInPandas(_fold, MESSAGE_SCHEMA)
+    return ordered.mapInArrow(_fold, MESSAGE_SCHEMA)
 
 
-def _render(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        pieces = [render(r, t) for r, t in zip(frame["role"], frame["text"])]
-        loss = (frame["role"] == LOSS_ROLE).to_numpy()
-        yield pd.DataFrame(
-            {
-                "conv_id": frame["conv_id"],
-                "turn": frame["turn"],
-                "formatted": [p[0] for p in pieces],
-                "loss_start": pd.array([p[1] if x else None for p, x in zip(pieces, loss)], "Int64"),
-                "loss_end": pd.array([p[2] if x else None for p, x in zip(pieces, loss)], "Int64"),
-            }
-        )
+def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for c, turn, role, text in _rows(batch, MESSAGE_SCHEMA.names):
+            formatted, a, b = render(role, text)
+            loss = role == LOSS_ROLE
+            out.append((c, turn, formatted, a if loss else None, b if loss else None))
+        yield _batch(out, PIECE_SCHEMA)
 
 
 def format_conversations(events: DataFrame) -> DataFrame:
@@ -213,10 +211,10 @@ def format_conversations(events: DataFrame) -> DataFrame:
     piece, in code points; they are null outside the loss. Pieces rather than
     whole conversations keep rows small however long a conversation is.
     """
-    return messages(events).mapInPandas(_render, PIECE_SCHEMA)
+    return messages(events).mapInArrow(_render, PIECE_SCHEMA)
 
 
-def _digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     start = object()
     conv = start
     state: list = []
@@ -225,12 +223,9 @@ def _digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         turns, all_turns, loss_chars, loss, chars = state
         return (conv, turns, all_turns.hexdigest(), loss_chars, loss.hexdigest(), chars)
 
-    for frame in frames:
+    for batch in batches:
         out = []
-        for c, formatted, a, b in zip(
-            *(frame[x].astype(object) for x in ("conv_id", "formatted", "loss_start", "loss_end"))
-        ):
-            c, a = _none(c), _none(a)
+        for c, formatted, a, b in _rows(batch, ["conv_id", "formatted", "loss_start", "loss_end"]):
             if c != conv or conv is start:
                 if conv is not start:
                     out.append(row())
@@ -240,12 +235,12 @@ def _digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
             state[4] += len(formatted)
             if a is not None:
-                inside = unescape(formatted[int(a) : int(b)])
+                inside = unescape(formatted[a:b])
                 state[2] += len(inside)
                 state[3].update(inside.encode("utf-8", "surrogatepass"))
-        yield pd.DataFrame(out, columns=[f.name for f in DIGEST_SCHEMA]).astype({"conv_id": "Int64"})
+        yield _batch(out, DIGEST_SCHEMA)
     if conv is not start:
-        yield pd.DataFrame([row()], columns=[f.name for f in DIGEST_SCHEMA]).astype({"conv_id": "Int64"})
+        yield _batch([row()], DIGEST_SCHEMA)
 
 
 def digest(pieces: DataFrame) -> DataFrame:
@@ -254,4 +249,4 @@ def digest(pieces: DataFrame) -> DataFrame:
     Takes the frame of :func:`format_conversations` as it is: its pieces come in
     order, so both steps run in one task without another shuffle.
     """
-    return pieces.mapInPandas(_digest, DIGEST_SCHEMA)
+    return pieces.mapInArrow(_digest, DIGEST_SCHEMA)

@@ -68,6 +68,20 @@ def test_nulls_ties_and_repeats(spark):
     assert final(spark, []) == []
 
 
+def test_large_ids_beside_a_null_one(spark):
+    large = 9007199254740993
+    turns = [(None, 0, "user", "x"), (large, 0, "user", "a"), (large - 1, 0, "assistant", "b"), (large, 1, "assistant", "c")]
+    rows = spark.createDataFrame(turns, CONVERSATIONS).coalesce(1)
+    pieces = chat.format_conversations(chat.events_of(rows))
+    assert {(r.conv_id, r.turn) for r in pieces.collect()} == {(None, 0), (large, 0), (large, 1), (large - 1, 0)}
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.digest(pieces).collect()}
+    assert got == {
+        None: expected([("user", "x")]),
+        large: expected([("user", "a"), ("assistant", "c")]),
+        large - 1: expected([("assistant", "b")]),
+    }
+
+
 def test_unknown_kinds_fail(spark):
     with pytest.raises(Exception, match="unknown event kind"):
         final(spark, [(1, 0, 0, "shout", "user", "x")])
