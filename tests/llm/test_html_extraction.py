@@ -149,3 +149,12 @@ def test_no_page_names_its_article(spark):
     for r in got:
         n = r.page_id
         assert r.text == f"{prose(3, n)}\n{prose(40, 900 + n)}.\n{prose(40, 950 + n)}."
+
+
+def test_an_apostrophe_in_an_attribute_without_quotes_opens_nothing(model):
+    a, b = paragraphs(21, 22)
+    body = f"<article><h1>Head</h1><p title=it's class='x'>{a}</p><p data-x='a>b' title = \"c>d\" y=5\">{b} don't</p></article>"
+    assert H.extract(page(body), model) == f"Head\n{a}\n{b} don't"
+    # A quote that does not close ends with its tag.
+    body = f"<article><h1>Head</h1><p title='open>{a}</p><p>{b}</p></article>"
+    assert H.extract(page(body), model) == f"Head\n{a}\n{b}"
