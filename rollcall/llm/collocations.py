@@ -40,6 +40,8 @@ HELD = 1 << 21
 SLICE = 1 << 21
 # Bytes of text whose buckets one task sums.
 PART_BYTES = 16 << 20
+# Shares of a language that are ranked apart before all of it is; each keeps its first ones.
+SHARES = 64
 # Frequent words are looked up in this many bits before a bucket is used.
 FILTER_BITS = 25
 
@@ -455,8 +457,13 @@ def collocations(
         .where(F.col("around").isNull() | (F.col("around") * 100 < F.col("cut.a") * share))
         .select("lang", "phrase", "cut.*")
     )
-    by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(by_score).cast("bigint"))
+    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    if first is not None:
+        # The first of each share of a language, so that no task sorts all of its phrases.
+        kept = kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+        place = F.row_number().over(Window.partitionBy("lang", "share").orderBy(*best))
+        kept = kept.withColumn("rank", place).where(F.col("rank") <= first).drop("share", "rank")
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("bigint"))
     if first is not None:
         ranked = ranked.where(F.col("rank") <= first)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
