@@ -397,17 +397,8 @@ def _in_blocks(members: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id and class_id, the least doc_id of its class.
-
-    Equal texts (the same words, whatever the case of A to Z) are one node. In
-    each bucket every node is verified against the least one, then against the
-    most alike of another class, and at last all pairs of a bucket that are still
-    in different classes are verified where they meet. So classes are those of
-    all links that a bucket shows. A text without words is a class of its own, a
-    row without doc_id has none (null). Rows of one doc_id are one document.
-    """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("text"))
+def _classes(rows: DataFrame, similarity: float) -> DataFrame:
+    """doc_id and class_id of rows (doc_id, text) whose ids differ, null ones aside."""
     common = common_shingles(rows)
     sketches = stored(
         rows.mapInArrow(_sketcher(common), "doc_id BIGINT, d0 BIGINT, d1 BIGINT, bands ARRAY<BIGINT>, sketch BINARY"),
@@ -450,15 +441,57 @@ def near_duplicates(docs: DataFrame, column: str = "text", similarity: float = S
     )
 
 
-def drop_near_duplicates(docs: DataFrame, column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class, the one of least doc_id.
+def _numbered(rows: DataFrame) -> DataFrame | None:
+    """Rows with a number of their own, if ids repeat; none if ids will do.
 
-    Rows without doc_id stay. Of rows with one doc_id any one stays.
+    Numbers go by doc_id, so the least one of a class has its least id. They are
+    written once: every reading gives a row the same one. Rows without id have none.
     """
-    classes = near_duplicates(docs, column, similarity)
-    dropped = classes.where("class_id <> doc_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    left = docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")
-    twice = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    twice = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if twice.isEmpty():
-        return left
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
+        return None
+    # A hot id is spread over tasks by its texts, and equal rows by where they were read.
+    ordered = rows.withColumn("at", F.monotonically_increasing_id()).orderBy("doc_id", F.xxhash64("text"), "at")
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    return stored(ordered.drop("at").withColumn("number", number), "numbered")
+
+
+def near_duplicates(docs: DataFrame, column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """One row per row of ``docs``: doc_id and class_id, the least doc_id of its class.
+
+    Equal texts (the same words, whatever the case of A to Z) are one node. In
+    each bucket every node is verified against the least one, then against the
+    most alike of another class, and at last all pairs of a bucket that are still
+    in different classes are verified where they meet. So classes are those of
+    all links that a bucket shows. A text without words is a class of its own, a
+    row without doc_id has none (null). Rows of one doc_id are judged each by its
+    own text. Columns other than doc_id and the text are not read.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("text"))
+    numbered = _numbered(rows)
+    if numbered is None:
+        return _classes(rows, similarity)
+    found = _classes(numbered.select(F.col("number").alias("doc_id"), "text"), similarity)
+    ids = numbered.select("number", "doc_id")
+    named = found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("number"), "class_id").join(ids, "number")
+    least = ids.select(F.col("number").alias("class_id"), F.col("doc_id").alias("least"))
+    nameless = ids.where("number IS NULL").select("doc_id", F.lit(None).cast("bigint").alias("class_id"))
+    return named.join(least, "class_id").select("doc_id", F.col("least").alias("class_id")).unionByName(nameless)
+
+
+def drop_near_duplicates(docs: DataFrame, column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each class, one of least doc_id; all columns stay.
+
+    Rows without doc_id stay. Of rows of one doc_id with different texts each
+    belongs to the class of its own text; of equal rows one stays.
+    """
+    rows = docs.select(
+        F.struct("*").alias("row"), docs["doc_id"].cast("bigint").alias("doc_id"), docs[column].alias("text")
+    )
+    numbered = _numbered(rows)
+    if numbered is not None:
+        rows = numbered.select("row", F.col("number").alias("doc_id"), "text")
+    found = _classes(rows.select("doc_id", "text"), similarity)
+    dropped = found.where("class_id <> doc_id").select(F.col("doc_id").alias("dropped"))
+    kept = rows.join(dropped, F.col("doc_id") == F.col("dropped"), "left_anti")
+    return kept.select("row.*")

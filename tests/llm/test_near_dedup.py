@@ -105,6 +105,26 @@ def test_null_and_repeated_ids(make_docs):
     assert kept.columns == ["doc_id", "text", "lang", "class_id", "n_chars"]
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, make_docs):
+    a, b, c = prose(80, 31), prose(80, 32), prose(80, 33)
+    rows = [(1, a), (1, b), (2, a), (3, c), (3, c), (4, b), (None, a), (0, None), (0, "")]
+    got = sorted(((r.doc_id, r.class_id) for r in near_dedup.near_duplicates(make_docs(rows)).collect()), key=repr)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 3), (3, 3), (4, 1), (None, None), (0, 0), (0, 0)], key=repr)
+    kept = near_dedup.drop_near_duplicates(make_docs(rows))
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(left, key=repr) == sorted([(1, a), (1, b), (3, c), (None, a), (0, None), (0, "")], key=repr)
+
+
+def test_columns_of_any_name_stay(make_docs):
+    text = prose(80, 34)
+    for ids in ([1, 2, 3], [1, 1, 3]):
+        docs = make_docs(list(zip(ids, [text, text, prose(80, 35)])))
+        for name in ("__dropped", "row", "number"):
+            kept = near_dedup.drop_near_duplicates(docs.withColumnRenamed("source", name))
+            assert kept.columns == ["doc_id", "text", "lang", name, "n_chars"]
+            assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_empty_table(make_docs):
     assert near_dedup.near_duplicates(make_docs([])).collect() == []
     assert near_dedup.drop_near_duplicates(make_docs([])).collect() == []
