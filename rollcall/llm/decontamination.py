@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ COVER = 0.5
 LEAST_BYTES = 40
 # Cells of the tables of one round of alignments.
 CELLS = 1 << 20
+# Repetition of a text within so many bytes is told from other text.
+PERIODS = 16
 # Benchmark text that one pass broadcasts; a larger benchmark takes several passes.
 BLOCK_BYTES = 16 << 20
 _BITS = 22
@@ -75,6 +78,8 @@ class Index:
         self.maybe[self.codes >> np.uint64(64 - _BITS)] = True
         self.edits = math.floor(EDITS * int(self.lengths.max(initial=0)))
         self.band = 2 * (self.edits + 1)
+        # No leak takes more bytes of a text than this, its place in a repetition included.
+        self.reach = int(self.lengths.max(initial=0)) + self.edits + 2 * Q + PERIODS
         self.least = np.array([least_hits(int(n)) for n in self.lengths], np.int64)
         # An edit spoils Q q-grams and may add a byte: hits further apart are of different regions.
         self.gaps = (Q + 1) * np.floor(EDITS * self.lengths).astype(np.int64) + 1
@@ -289,14 +294,44 @@ def _best_region(index: Index, text: np.ndarray, item: int, places: np.ndarray,
     return best
 
 
+def _within_repetition(codes: np.ndarray, offsets: np.ndarray, reach: int) -> np.ndarray:
+    """Places deep inside a stretch of a row that repeats itself every few bytes.
+
+    What aligns there as a whole also aligns at the stretch's begin, moved by
+    whole periods; what passes an end of it stays within ``reach`` of that end.
+    So nothing is lost by not looking at these places, and a text of a million
+    dashes has no more hits than one of some hundred.
+    """
+    inside = np.zeros(len(codes), bool)
+    for period in range(1, PERIODS + 1):
+        same = codes[period:] == codes[:-period]
+        if np.count_nonzero(same) <= 2 * reach:
+            continue
+        # A stretch ends with its row.
+        for end in offsets[1:-1]:
+            same[max(0, end - period - Q + 1) : end] = False
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]])))
+        for a, z in zip(edges[::2], edges[1::2]):
+            if z - a > 2 * reach:
+                inside[a + reach : z - reach] = True
+    return inside
+
+
 def _points(index: Index, data: np.ndarray, offsets: np.ndarray):
     """(row, item, places in the data, places in the item) that leaks must pass through."""
-    places, items, in_item = index.hits(_codes(data))
+    codes = _codes(data)
+    repeated = _within_repetition(codes, offsets, index.reach)
+    looked = np.flatnonzero(~repeated)
+    places, items, in_item = index.hits(codes[looked])
+    places = looked[places]
     rows = np.searchsorted(offsets, places, "right") - 1
     inside = places + Q <= offsets[rows + 1]
     for row, item, p, q in _regions(index, rows[inside], places[inside], items[inside], in_item[inside]):
         yield row, item, *_anchors(p, q)
+    repeated = np.concatenate([repeated, np.zeros(len(data) - len(repeated), bool)])
     for places, items, in_item, size in index.piece_hits(data):
+        fresh = ~repeated[places]
+        places, items, in_item = places[fresh], items[fresh], in_item[fresh]
         rows = np.searchsorted(offsets, places, "right") - 1
         inside = places + size <= offsets[rows + 1]
         rows, items, places, in_item = rows[inside], items[inside], places[inside], in_item[inside]
@@ -307,20 +342,26 @@ def _points(index: Index, data: np.ndarray, offsets: np.ndarray):
             yield int(rows[a]), int(items[a]), places[a:z], in_item[a:z]
 
 
+def _held(index: Index, texts: pa.Array) -> dict[tuple[int, int], tuple]:
+    """The longest region of each item that each text holds, by (row, item)."""
+    data, offsets = normalised(*bytes_of(texts))
+    found: dict[tuple[int, int], tuple] = {}
+    for row, item, p, q in _points(index, data, offsets):
+        known = found.get((row, item), (0, 0, 0, 0))
+        if known[3] - known[2] == index.lengths[item]:
+            continue
+        text = data[offsets[row] : offsets[row + 1]]
+        region = _best_region(index, text, item, p - offsets[row], q)
+        if region and region[3] - region[2] > known[3] - known[2]:
+            found[row, item] = region
+    return found
+
+
 def _finder(index: Index):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "item_id", "start", "length", "item_start", "item_length", "edits"]
         for batch in slices(batches):
-            data, offsets = normalised(*bytes_of(batch.column("text")))
-            found: dict[tuple[int, int], tuple] = {}
-            for row, item, p, q in _points(index, data, offsets):
-                known = found.get((row, item), (0, 0, 0, 0))
-                if known[3] - known[2] == index.lengths[item]:
-                    continue
-                text = data[offsets[row] : offsets[row + 1]]
-                region = _best_region(index, text, item, p - offsets[row], q)
-                if region and region[3] - region[2] > known[3] - known[2]:
-                    found[row, item] = region
+            found = _held(index, batch.column("text"))
             doc_ids = batch.column("doc_id").to_pylist()
             out = [
                 (doc_ids[r], int(index.item_ids[i]), x[0], x[1] - x[0], x[2], x[3] - x[2], x[4])
@@ -332,39 +373,60 @@ def _finder(index: Index):
     return find
 
 
+def _cleaner(index: Index, column: str, id_column: str):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, column):
+            kept = np.ones(batch.num_rows, bool)
+            kept[[row for row, _ in _held(index, batch.column(column))]] = False
+            yield batch.filter(pc.or_(pa.array(kept), pc.is_null(batch.column(id_column))))
+
+    return clean
+
+
+def _indexes(benchmark: DataFrame) -> Iterator[Index]:
+    """The benchmark in blocks of at most about ``BLOCK_BYTES`` of text."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")).where(
+        "item_id IS NOT NULL AND text IS NOT NULL"
+    )
+    total = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / BLOCK_BYTES))
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
+        index = Index([r[0] for r in own], [r[1] for r in own])
+        if len(index.data):
+            yield index
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, column: str = "text") -> DataFrame:
     """One row per document and benchmark item that the document holds.
 
     ``start`` and ``length`` are in bytes of the document without white space,
     ``item_start`` and ``item_length`` likewise in the item; of several places the
     longest is given. Items without id or text cannot be found; null texts hold
-    nothing. Repeated rows give repeated results.
+    nothing. Every row is looked at by itself, whatever its id: repeated rows give
+    repeated results. Columns other than doc_id and the text are not read.
 
     The benchmark is read in blocks of at most about ``BLOCK_BYTES``, each of
     which is broadcast and held against all documents.
     """
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")).where(
-        "item_id IS NOT NULL AND text IS NOT NULL"
-    )
-    total = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / BLOCK_BYTES))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("text"))
     schema = (
         "doc_id BIGINT, item_id BIGINT, start BIGINT, length BIGINT, "
         "item_start BIGINT, item_length BIGINT, edits BIGINT"
     )
     found = None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
-        index = Index([r[0] for r in own], [r[1] for r in own])
-        if not len(index.data):
-            continue
+    for index in _indexes(benchmark):
         part = rows.mapInArrow(_finder(index), schema)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item. Rows without id stay."""
-    ids = leaks(docs, benchmark, column).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("__leak"), "left_anti")
+    """``docs`` without the rows that hold a benchmark item. Rows without id stay.
+
+    Each row is judged by its own text, also beside others of its id. All columns
+    stay, whatever their names; nothing is joined or shuffled.
+    """
+    for index in _indexes(benchmark):
+        docs = docs.mapInArrow(_cleaner(index, column, "doc_id"), docs.schema)
+    return docs

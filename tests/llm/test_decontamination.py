@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -109,6 +110,37 @@ def test_hard_rows(make_docs, items):
     assert sorted((r.doc_id for r in left.collect()), key=repr) == [2, 3, 5, None]
 
 
+def test_rows_are_judged_by_their_own_text_and_keep_all_columns(make_docs, items):
+    item, clean = prose(40, 1), prose(60, 2)
+    docs = make_docs([(1, f"x {item} y"), (1, clean), (2, clean), (2, None)])
+    for name in ("__leak", "item_id", "row"):
+        left = D.drop_leaks(docs.withColumnRenamed("source", name), items([item]))
+        assert left.columns == ["doc_id", "text", "lang", name, "n_chars"]
+        assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+            [(1, clean), (2, clean), (2, None)], key=repr
+        )
+
+
+def test_long_repetitions_take_no_time_and_lose_nothing(make_docs, items):
+    rule, table = "-" * 200, "|---" * 40
+    bench = [f"{prose(30, 3)} {rule} {prose(30, 4)}", f"{table} {prose(40, 5)}", rule]
+    parts = ["-" * 1_000_000, "|---" * 100_000]
+    docs = [
+        parts[0],
+        parts[1],
+        f"{parts[0]} {bench[0]}",
+        f"{bench[1]} {parts[1]}",
+        parts[0] + prose(30, 4) + prose(30, 9),
+        "-" * 150,
+        "-" * 201,
+    ] + ["-" * 60] * 40
+    begun = time.perf_counter()
+    found = {(r.doc_id, r.item_id) for r in D.leaks(make_docs(docs), items(bench)).collect()}
+    assert time.perf_counter() - begun < 60
+    assert {(0, 2), (2, 0), (2, 2), (3, 1), (4, 2), (5, 2), (6, 2)} <= found
+    assert (1, 0) not in found and not {i for i, _ in found} & set(range(7, 47))
+
+
 def test_empty_tables(make_docs, items):
     assert D.leaks(make_docs([]), items([prose(40, 1)])).collect() == []
     assert D.leaks(make_docs([prose(40, 1)]), items([])).collect() == []
