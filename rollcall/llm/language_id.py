@@ -2,13 +2,14 @@
 
 Each language has a probability for every piece of a fixed public vocabulary.
 The probability of a word is the sum, over all ways to write it as pieces, of
-the product of their probabilities; a forward pass gives that sum without
-listing the ways. The probabilities are learned by expectation maximisation over
+the product of their probabilities; a forward pass over the whole word, however
+long, gives that sum without listing the ways. The probabilities are learned by expectation maximisation over
 the words of labelled documents; no tokenizer is trained.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,9 +28,11 @@ from .texts import Memo, Words, mix, slices, stored
 TRAIN_DOCUMENTS = 1500
 ROUNDS = 4
 SMOOTHING = 0.05
-# Longer pieces are not used, longer words are scored in parts of this length.
-LONGEST_PIECE = 16
-PART = 32
+# Words of at most so many bytes are scored in plain numbers; longer ones with a
+# window that moves along the word, and their probabilities in logarithms.
+SHORT = 32
+# Places of a long word whose pieces are looked up at once.
+SEGMENT = 4096
 UNKNOWN = "und"
 MEMO_WORDS = 300_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -51,7 +54,8 @@ class Vocabulary:
             if processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i):
                 continue
             piece = processor.id_to_piece(i).replace("▁", " ").encode()
-            if len(piece) <= LONGEST_PIECE and b"  " not in piece:
+            # A word has one space, at its begin.
+            if b" " not in piece[1:]:
                 pieces.add(piece)
         codes = np.array([self._code(p) for p in sorted(pieces)], np.uint64)
         self.codes = np.sort(codes)
@@ -87,28 +91,99 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _parts(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Words with their leading space, longer ones in parts; which word each part is of."""
-    owner, parts = [], []
-    for i, word in enumerate(words):
-        whole = b" " + word
-        for at in range(0, len(whole), PART):
-            owner.append(i)
-            parts.append(whole[at : at + PART])
-    return np.array(owner, np.int64), parts
+def _blocks(words: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places among the words, letters, lengths) of words of like length, with their leading space.
 
-
-def _blocks(parts: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(places among the parts, letters, lengths) of parts of like length."""
-    lengths = np.array([len(p) for p in parts], np.int64)
+    At most ``size`` words, and fewer of long ones.
+    """
+    lengths = np.array([len(w) + 1 for w in words], np.int64)
     order = np.argsort(lengths, kind="stable")
-    for start in range(0, len(order), size):
-        at = order[start : start + size]
+    start = 0
+    while start < len(order):
+        # Short and long words do not share a block.
+        longest = SHORT if lengths[order[start]] <= SHORT else max(2 * lengths[order[start]], SHORT)
+        room = size if longest == SHORT else max(1, size * SHORT // int(longest))
+        stop = min(start + room, int(np.searchsorted(lengths[order], longest, "right")))
+        at = order[start : max(stop, start + 1)]
         width = int(lengths[at[-1]])
         letters = np.zeros((len(at), width), np.uint8)
         for row, i in enumerate(at):
-            letters[row, : lengths[i]] = np.frombuffer(parts[i], np.uint8)
+            letters[row, : lengths[i]] = np.frombuffer(b" " + words[i], np.uint8)
         yield at, letters, lengths[at]
+        start += len(at)
+
+
+def _pieces_along(letters: np.ndarray, vocab: Vocabulary) -> Iterator[tuple[int, list[tuple[int, np.ndarray]]]]:
+    """Place by place, the (length, piece of each word) that begin there in any of the words."""
+    width = letters.shape[1]
+    for start in range(0, width, SEGMENT):
+        lattice = vocab.lattice(letters[:, start : start + SEGMENT + vocab.longest - 1])
+        places = min(SEGMENT, width - start)
+        begins: list[list] = [[] for _ in range(places)]
+        for length, found in enumerate(lattice, 1):
+            found = found[:, :places]
+            for place in np.flatnonzero((found != vocab.size).any(0)).tolist():
+                begins[place].append((length, found[:, place]))
+        for place, pieces in enumerate(begins):
+            yield start + place, pieces
+
+
+def _long_scores(letters: np.ndarray, lengths: np.ndarray, vocab: Vocabulary, table: np.ndarray) -> np.ndarray:
+    """Log-probability of long words over all their segmentations: words x languages.
+
+    Only the probabilities up to the next places are held, as many as the longest
+    piece has bytes; they are scaled, word by word and language by language.
+    """
+    n, width, around = len(letters), letters.shape[1], vocab.longest + 1
+    ring = np.zeros((around, n, table.shape[1]))
+    ring[0] = 1
+    scale, out = np.zeros((n, table.shape[1])), np.zeros((n, table.shape[1]))
+
+    def take(place):
+        done = lengths == place
+        if done.any():
+            out[done] = np.log(ring[place % around][done]) + scale[done]
+
+    for place, pieces in _pieces_along(letters, vocab):
+        take(place)
+        if place % 8 == 0:
+            most = ring.max(0)
+            most[most == 0] = 1
+            ring /= most
+            scale += np.log(most)
+        here = ring[place % around].copy()
+        ring[place % around] = 0
+        for length, found in pieces:
+            ring[(place + length) % around] += here * table[found]
+    take(width)
+    return out
+
+
+def _long_expected(word: np.ndarray, vocab: Vocabulary, probabilities: np.ndarray) -> np.ndarray:
+    """How often each piece is used in one long word, over all its segmentations."""
+    width = len(word)
+    logs = np.log(np.append(probabilities, 1.0))
+    begins = [[(n, int(f[0])) for n, f in pieces] for _, pieces in _pieces_along(word[None], vocab)]
+    # Logarithms of the summed probabilities of all that leads to a place, and on from it.
+    before, after = [-math.inf] * (width + 1), [-math.inf] * (width + 1)
+    before[0] = after[width] = 0.0
+    for place in range(width):
+        for n, piece in begins[place]:
+            before[place + n] = _log_add(before[place + n], before[place] + logs[piece])
+    for place in range(width - 1, -1, -1):
+        for n, piece in begins[place]:
+            after[place] = _log_add(after[place], logs[piece] + after[place + n])
+    counts = np.zeros(vocab.size + 1)
+    for place in range(width):
+        for n, piece in begins[place]:
+            counts[piece] += math.exp(before[place] + logs[piece] + after[place + n] - before[width])
+    return counts
+
+
+def _log_add(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a + math.log1p(math.exp(b - a)) if b > -math.inf else a
 
 
 def _forward(lattice: list[np.ndarray], width: int, table: np.ndarray) -> np.ndarray:
@@ -123,20 +198,25 @@ def _forward(lattice: list[np.ndarray], width: int, table: np.ndarray) -> np.nda
 
 def word_scores(words: list[bytes], vocab: Vocabulary, table: np.ndarray) -> np.ndarray:
     """Log-probability of each word in each language."""
-    owner, parts = _parts(words)
     scores = np.zeros((len(words), table.shape[1]))
-    for at, letters, lengths in _blocks(parts, max(256, 16384 // max(table.shape[1], 1))):
+    for at, letters, lengths in _blocks(words, max(256, 16384 // max(table.shape[1], 1))):
+        if letters.shape[1] > SHORT:
+            scores[at] = _long_scores(letters, lengths, vocab, table)
+            continue
         alpha = _forward(vocab.lattice(letters), letters.shape[1], table)
-        np.add.at(scores, owner[at], np.log(alpha[np.arange(len(at)), lengths]))
+        scores[at] = np.log(alpha[np.arange(len(at)), lengths])
     return scores
 
 
 def _expected(words: list[bytes], times: np.ndarray, vocab: Vocabulary, probabilities: np.ndarray) -> np.ndarray:
     """How often each piece is used in the words, over all segmentations."""
-    owner, parts = _parts(words)
     table = np.append(probabilities, 0.0)[:, None]
     counts = np.zeros(vocab.size + 1)
-    for at, letters, lengths in _blocks(parts, 8192):
+    for at, letters, lengths in _blocks(words, 8192):
+        if letters.shape[1] > SHORT:
+            for row, i in enumerate(at):
+                counts += times[i] * _long_expected(letters[row, : lengths[row]], vocab, probabilities)
+            continue
         lattice, width = vocab.lattice(letters), letters.shape[1]
         alpha = _forward(lattice, width, table)[:, :, 0]
         beta = np.zeros((len(at), width + 1))
@@ -145,7 +225,7 @@ def _expected(words: list[bytes], times: np.ndarray, vocab: Vocabulary, probabil
         for place in range(width - 1, -1, -1):
             for length in range(1, min(width - place, len(lattice)) + 1):
                 beta[:, place] += table[lattice[length - 1][:, place], 0] * beta[:, place + length]
-        share = times[owner[at]] / alpha[rows, lengths]
+        share = times[at] / alpha[rows, lengths]
         for length, found in enumerate(lattice, 1):
             places = found.shape[1]
             use = alpha[:, :places] * table[found, 0] * beta[:, length : length + places] * share[:, None]

@@ -4,6 +4,7 @@ from functools import lru_cache
 
 import numpy as np
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from rollcall.llm import language_id as G
@@ -15,27 +16,39 @@ def vocab():
     return G.vocabulary(G.default_path())
 
 
-def sum_of_segmentations(word, vocab, probabilities):
-    """By recursion over the first piece; long words in parts, as the operator does."""
-    total = 0.0
-    whole = b" " + word
-    for at in range(0, len(whole), G.PART):
-        part = whole[at : at + G.PART]
+@lru_cache(maxsize=1)
+def places_of_pieces(vocab):
+    """Each public piece as bytes with its place in the vocabulary."""
+    processor = sentencepiece.SentencePieceProcessor(model_file=G.default_path())
+    pieces = {bytes([b]) for b in range(256)}
+    for i in range(processor.get_piece_size()):
+        if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)):
+            pieces.add(processor.id_to_piece(i).replace("▁", " ").encode())
+    pieces = {p for p in pieces if b" " not in p[1:]}
+    assert len(pieces) == vocab.size
+    return {p: int(np.searchsorted(vocab.codes, np.uint64(vocab._code(p)))) for p in pieces}
 
-        @lru_cache(maxsize=None)
-        def rest(start, part=part):
-            if start == len(part):
-                return 1.0
-            out = 0.0
-            for end in range(start + 1, min(len(part), start + G.LONGEST_PIECE) + 1):
-                code = vocab._code(part[start:end])
-                i = int(np.searchsorted(vocab.codes, np.uint64(code)))
-                if i < vocab.size and int(vocab.codes[i]) == code:
-                    out += probabilities[i] * rest(end)
-            return out
 
-        total += math.log(rest(0))
-    return total
+def sum_of_segmentations(word, vocab, probabilities):
+    """Over every piece that a whole word may end with, place by place, in exact fractions of two."""
+    whole = b" " + word
+    places = places_of_pieces(vocab)
+    sums = [(1.0, 0)]  # a number and its power of two
+    for end in range(1, len(whole) + 1):
+        total, power = 0.0, None
+        for start in range(max(0, end - vocab.longest), end):
+            i = places.get(whole[start:end])
+            if i is not None and sums[start][0]:
+                x, p = math.frexp(sums[start][0] * probabilities[i])
+                p += sums[start][1]
+                if power is None:
+                    total, power = x, p
+                else:
+                    total, power = (total + math.ldexp(x, p - power), power) if p <= power else (
+                        math.ldexp(total, power - p) + x, p
+                    )
+        sums.append((total, power or 0))
+    return math.log(sums[-1][0]) + sums[-1][1] * math.log(2)
 
 
 def test_forward_sums_all_segmentations(vocab):
@@ -43,6 +56,7 @@ def test_forward_sums_all_segmentations(vocab):
     table = rng.random((vocab.size, 3))
     table /= table.sum(0)
     words = ["the", "naïve", "x", "中文", "supercalifragilisticexpialidocious" * 3, "🙂", "a" * 33]
+    words += ["donaudampfschifffahrtsgesellschaftskapitän", "x" * 100, "中文字符" * 60, "é" * 16, "é" * 15 + "a", "=" * 5000]
     words = [w.encode() for w in words]
     got = G.word_scores(words, vocab, np.vstack([table, np.zeros((1, 3))]))
     for i, word in enumerate(words):
@@ -51,26 +65,49 @@ def test_forward_sums_all_segmentations(vocab):
 
 
 def test_expected_counts_spell_the_words(vocab):
-    words = [b"hello", b"world" * 10, "é".encode()]
-    times = np.array([3.0, 1.0, 2.0])
+    words = [b"hello", b"world" * 10, "é".encode(), "中文".encode() * 100]
+    times = np.array([3.0, 1.0, 2.0, 2.0])
     used = G._expected(words, times, vocab, np.full(vocab.size, 1 / vocab.size))
-    sizes = {}
     # All bytes are spelled: lengths of the pieces used add up to those of the words.
-    import sentencepiece
-
-    processor = sentencepiece.SentencePieceProcessor(model_file=G.default_path())
-    pieces = {bytes([b]) for b in range(256)}
-    for i in range(processor.get_piece_size()):
-        if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)):
-            piece = processor.id_to_piece(i).replace("▁", " ").encode()
-            if len(piece) <= G.LONGEST_PIECE and b"  " not in piece:
-                pieces.add(piece)
-    for p in pieces:
-        sizes[vocab._code(p)] = len(p)
-    spelled = sum(used[i] * sizes[int(c)] for i, c in enumerate(vocab.codes) if used[i])
+    spelled = sum(used[i] * len(p) for p, i in places_of_pieces(vocab).items())
     assert spelled == pytest.approx(sum(n * (len(w) + 1) for w, n in zip(words, times)))
 
 
+def test_expected_counts_of_long_words_are_those_of_short_ones(vocab, monkeypatch):
+    rng = np.random.default_rng(3)
+    probabilities = rng.random(vocab.size)
+    probabilities /= probabilities.sum()
+    words, times = [b"counting", "übermäßig".encode(), b"a"], np.array([2.0, 1.0, 5.0])
+    plain = G._expected(words, times, vocab, probabilities)
+    scores = G.word_scores(words, vocab, np.append(probabilities, 0.0)[:, None])
+    monkeypatch.setattr(G, "SHORT", 1)
+    monkeypatch.setattr(G, "SEGMENT", 3)
+    assert G._expected(words, times, vocab, probabilities) == pytest.approx(plain)
+    assert G.word_scores(words, vocab, np.append(probabilities, 0.0)[:, None]) == pytest.approx(scores)
+
+
+def test_query_matches_brute_force(spark, con, vocab):
+    """Every prediction is the language of the highest probability, from the model alone."""
+    docs = con.execute("SELECT doc_id, text, lang FROM documents").fetchall()
+    known = [(t, x) for i, t, x in docs if zlib.crc32(str(i).encode()) % 4 != 2]
+    langs, probabilities = G.train(spark.createDataFrame(known, "text STRING, lang STRING"))
+    got = {r.doc_id: r for r in QUERIES["op7_language_id"](spark, "/root/testdata/sf0.001").collect()}
+
+    @lru_cache(maxsize=None)
+    def logs(word):
+        return np.array([sum_of_segmentations(word, vocab, p) for p in probabilities])
+
+    chosen = sorted(docs, key=lambda d: len(d[1] or ""))[:60]
+    for i, text, _ in chosen:
+        if not text or not G._LETTER.search(text):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        total = sum(logs(w) for w in G.re.findall(rb"[^\x20\x09-\x0D]+", text.encode()))
+        shares = np.exp(total - total.max())
+        assert got[i].lang_pred == langs[int(total.argmax())]
+        assert got[i].score == pytest.approx(1 / shares.sum(), rel=1e-6)
+
+
 def test_held_out_accuracy(spark):
     rows = QUERIES["op7_language_id"](spark, "/root/testdata/sf0.01")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
