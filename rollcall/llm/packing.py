@@ -3,8 +3,9 @@
 Only the number of pieces of each length matters for the plan, at most
 ``capacity`` numbers, so the plan is made from a histogram: combinations of one
 to four pieces that fill a sequence exactly are used up as often as their pieces
-last, and what remains is placed best fit first. Pieces are then ranked within
-their length, and a piece's rank says which sequence of the plan it takes.
+last, and what remains is placed best fit first. Pieces are ranked within their
+length by prefix sums of the tasks' counts, and a piece's rank says which sequence
+of the plan it takes.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,11 +25,12 @@ from .texts import Words, slices, stored
 from .tokenizer_files import WordEncoder
 
 CAPACITY = 2048
-# Pieces of one length are ranked in this many groups, so that no length, however
-# common, is ranked by one task.
-RANK_GROUPS = 32
-
 PIECE_SCHEMA = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
+# The task that cut a piece, and how many of its length that task had cut before.
+CUT_SCHEMA = f"{PIECE_SCHEMA}, part INT, place BIGINT"
+
+
+PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
 def default_path() -> str:
@@ -36,7 +39,7 @@ def default_path() -> str:
 
 def _cutter(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder, part_id, cut_before = WordEncoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in slices(batches):
             ids, counts = encoder.encode(Words(batch.column("text"), lower=False))
             out: list[list] = [[], [], [], [], []]
@@ -51,8 +54,15 @@ def _cutter(path: str, capacity: int):
                     for column, value in zip(out, row):
                         column.append(value)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+            lengths = np.array(out[3], np.int64)
+            order = np.argsort(lengths, kind="stable")
+            own = np.bincount(lengths, minlength=capacity + 1)
+            place = np.empty(len(lengths), np.int64)
+            place[order] = np.arange(len(lengths)) - np.repeat(np.cumsum(own) - own - cut_before, own)
+            cut_before += own
+            columns = [pa.array(c, t) for c, t in zip(out, types)]
+            columns += [pa.array(np.full(len(place), part_id, np.int32)), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, [*PIECE_NAMES, "part", "place"])
 
     return cut
 
@@ -61,10 +71,12 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, c
     """The documents' pieces: ids of the whole text, then id 0, cut at ``capacity``.
 
     A null or empty text is the one id 0. Every row is a document, also if its
-    id is null or repeated.
+    id is null or repeated. ``part`` and ``place`` number the pieces of a length
+    within the task that cut them: store the result before it is used, so that
+    they are those of one run.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("text"))
-    return rows.mapInArrow(_cutter(path or default_path(), capacity), PIECE_SCHEMA)
+    return rows.mapInArrow(_cutter(path or default_path(), capacity), CUT_SCHEMA)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -174,17 +186,14 @@ def _intervals(made: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
-def _placer(intervals: np.ndarray, offsets: dict[tuple[int, int], int], shift: int):
+def _placer(intervals: np.ndarray, shift: int):
     starts = (intervals[:, 0] << shift) + intervals[:, 1]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, group, rank = (
-                batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "group", "rank")
-            )
-            rank = rank + np.array([offsets[x] for x in zip(length.tolist(), group.tolist())], np.int64)
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             at = np.searchsorted(starts, (length << shift) + rank, "right") - 1
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            names = PIECE_NAMES
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in names),
@@ -200,28 +209,18 @@ def _placer(intervals: np.ndarray, offsets: dict[tuple[int, int], int], shift: i
 def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give each row of :func:`pieces` its sequence and its place there.
 
-    ``made`` is read twice, so it should be stored. The driver sees one number
-    per length and group (at most ``capacity * RANK_GROUPS``), whatever the
-    number of documents. No pieces give no rows.
+    ``made`` is read twice and has to be stored. A piece's rank among those of
+    its length is its place in its task plus what the tasks before have cut of
+    that length: nothing but these counts is sorted, so no length is too common.
+    The driver sees one number per length. No pieces give no rows.
     """
-    grouped = made.withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_GROUPS)).cast("int")
-    )
-    counted = sorted((r["length"], r["group"], r["n"]) for r in grouped.groupBy("length", "group").agg(F.count("*").alias("n")).collect())
-    totals: dict[int, int] = {}
-    offsets: dict[tuple[int, int], int] = {}
-    for length, group, n in counted:
-        offsets[length, group] = totals.get(length, 0)
-        totals[length] = offsets[length, group] + n
-    ranked = grouped.withColumn(
-        "rank",
-        F.row_number().over(
-            Window.partitionBy("length", "group").orderBy("doc_id", "piece", "start", "ids_crc32")
-        ).cast("bigint")
-        - 1,
-    )
-    placer = _placer(_intervals(plan(totals, capacity)), offsets, 48)
-    return ranked.mapInArrow(placer, f"{PIECE_SCHEMA}, sequence_id BIGINT, offset BIGINT")
+    counts = made.groupBy("length", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = stored(counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "cut-before")
+    totals = {r["length"]: r["n"] for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    ranked = made.join(before.drop("n"), ["length", "part"]).withColumn("rank", F.col("place") + F.col("before"))
+    placer = _placer(_intervals(plan(totals, capacity)), 48)
+    return ranked.select(*PIECE_NAMES, "rank").mapInArrow(placer, f"{PIECE_SCHEMA}, sequence_id BIGINT, offset BIGINT")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
