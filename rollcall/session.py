@@ -56,15 +56,14 @@ def bytes_of_plan(df: DataFrame) -> int:
 
 
 def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
-    """An own session whose shuffles have a partition for each share of this input.
+    """A session whose shuffles have a partition for each share of this input.
 
-    Never fewer than the caller's session asks for.
+    It is the caller's if that asks for as many, and one of its own if not.
     """
-    wanted = int(settings_for(input_bytes)["spark.sql.shuffle.partitions"])
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if math.ceil(input_bytes / SHUFFLE_BYTES) <= least:
-        wanted = least
-    return own_session(spark, spark__sql__shuffle__partitions=str(wanted))
+    if math.ceil(input_bytes / SHUFFLE_BYTES) <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return spark
+    wanted = settings_for(input_bytes)["spark.sql.shuffle.partitions"]
+    return own_session(spark, spark__sql__shuffle__partitions=wanted)
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf) -> SparkSession:
