@@ -397,6 +397,14 @@ def _in_blocks(members: DataFrame) -> DataFrame:
     )
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) with further links. What is known is a star for each class, so few rounds are left."""
+    if links.isEmpty():
+        return roots
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return stored(components(stars.unionByName(links)), "roots")
+
+
 def _classes(rows: DataFrame, similarity: float) -> DataFrame:
     """doc_id and class_id of rows (doc_id, text) whose ids differ, null ones aside."""
     common = common_shingles(rows)
@@ -425,14 +433,11 @@ def _classes(rows: DataFrame, similarity: float) -> DataFrame:
     roots = stored(components(links), "roots")
     near = _in_blocks(_split_buckets(reps, roots)).mapInPandas(_nearest, "a BIGINT, b BIGINT").distinct()
     near = stored(near.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(stored(verified(near, texts, common, similarity), "verified"))
-    roots = stored(components(links), "roots")
+    roots = _joined(roots, stored(verified(near, texts, common, similarity), "verified"))
     # What is still in different classes is verified where the bucket's members meet.
     members = _split_buckets(reps, roots).join(texts, F.col("rep") == F.col("doc_id")).drop("doc_id")
     more = _in_blocks(members).mapInPandas(_linker(common, similarity), "a BIGINT, b BIGINT")
-    more = stored(more.distinct(), "verified")
-    if not more.isEmpty():
-        roots = stored(components(links.unionByName(more)), "roots")
+    roots = _joined(roots, stored(more.distinct(), "verified"))
     classes = reps.join(roots, F.col("rep") == F.col("node"), "left").select(
         "d0", "d1", F.coalesce("root", "rep").alias("class_id")
     )
