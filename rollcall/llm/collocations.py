@@ -35,9 +35,9 @@ FIRST = 2000
 UNKNOWN = "und"
 # Candidates in one trie; more go into further tries, one pass over the texts each.
 TRIE_PHRASES = 1 << 20
-# Words or bucket entries that a task holds before it passes them on.
+# Bucket entries and distinct words that a task holds before it passes them on.
 HELD = 1 << 21
-SLICE = 1 << 21
+HELD_WORDS = 1 << 18
 # Bytes of text whose buckets one task sums.
 PART_BYTES = 16 << 20
 # Shares of a language that are ranked apart before all of it is; each keeps its first ones.
@@ -106,7 +106,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["lang", "word", "key", "n"],
             )
 
-    for batch in slices(batches, limit=SLICE):
+    for batch in slices(batches):
         text = PieceWords(batch)
         if not len(text.keys):
             continue
@@ -126,7 +126,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.concatenate([keys, found[~known]])
         order = np.argsort(keys, kind="stable")
         keys, n, place = keys[order], np.concatenate([n, count[~known]])[order], place[order]
-        if len(keys) >= HELD // 2:
+        if len(keys) >= HELD_WORDS:
             yield from flushed()
             keys, n, place, words, langs = keys[:0], n[:0], place[:0], [], []
     yield from flushed()
@@ -256,7 +256,7 @@ def _scanner(shared, frequent, parts: int, count: bool, extend: bool):
         trie, words = shared.value, frequent.value
         counts = np.zeros(trie.size, np.int64)
         held, waiting = [], 0
-        for batch in slices(batches, limit=SLICE):
+        for batch in slices(batches):
             text = PieceWords(batch)
             at, phrase = trie.accepted(text)
             if count:
