@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import own_session
@@ -49,22 +49,31 @@ def block_heads(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("_row", place).filter(F.col("_row") <= n).drop("_pos")
 
 
-def cap_files(heads: DataFrame, n: int) -> DataFrame:
-    """From block heads, the first ``n`` rows of each file, in file order.
-
-    A block keeps what the blocks before it have left over. So a file of any
-    size is never gathered in one task: only one row per block is. ``heads`` is
-    used twice; pass written rows rather than a scan.
-    """
+def blocks_before(heads: DataFrame, n: int, *measures: Column) -> DataFrame:
+    """One row per block that the cap reaches: what the blocks before it have, and its measures."""
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    blocks = (
+    return (
         heads.groupBy(*ORIGIN)
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.count("*").alias("_rows"), *measures)
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .filter(F.col("_before") < n)
         .drop("_rows")
     )
+
+
+def cap_blocks(heads: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
+    """From block heads and their :func:`blocks_before`, the first ``n`` rows of each file."""
     in_file = F.col("_row") + F.col("_before")
     return heads.join(blocks, ORIGIN).filter(in_file <= n).withColumn("_row", in_file).drop("_before")
+
+
+def cap_files(heads: DataFrame, n: int) -> DataFrame:
+    """From block heads, the first ``n`` rows of each file, in file order.
+
+    A block keeps what the blocks before it have left over. So a file of any
+    size is never gathered in one task: only one row per block is. ``heads`` is
+    used twice; pass written rows rather than a scan.
+    """
+    return cap_blocks(heads, blocks_before(heads, n), n)

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.file_head import block_heads, cap_files, one_block_a_task, with_position
+from ..operators.file_head import (
+    ORIGIN,
+    block_heads,
+    blocks_before,
+    cap_blocks,
+    one_block_a_task,
+    with_position,
+)
 from ..operators.typed import typed_lines, typed_records
 from ..schemas import TABLES, table_schema
 from ..session import written
@@ -35,13 +42,27 @@ def line_heads(lines: DataFrame, schema: T.StructType, max_rows: int = MAX_ROWS)
     return typed_lines(csv.parse_lines(heads, schema), schema)
 
 
+def whole_lines(heads: DataFrame, any_bad: bool) -> DataFrame:
+    """What :func:`capped_lines` gives if every file is one block: its head is what the cap keeps."""
+    heads = heads.select(*ORIGIN, *[c for c in heads.columns if c not in ORIGIN])
+    if not any_bad:
+        return heads.withColumn("_good", F.lit(True))
+    bad = heads.filter("NOT _ok").select(F.col("_file").alias("_bad")).distinct()
+    joined = heads.join(bad, F.col("_file") == F.col("_bad"), "left")
+    return joined.withColumn("_good", F.col("_bad").isNull()).drop("_bad")
+
+
 def capped_lines(heads: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """The first rows of each file; ``_good`` is false for all rows of a file
-    when one of them does not fit the table."""
-    capped = cap_files(heads, max_rows)
-    bad = capped.filter("NOT _ok").select(F.col("_file").alias("_bad")).distinct()
-    joined = capped.join(bad, F.col("_file") == F.col("_bad"), "left")
-    return joined.withColumn("_good", F.col("_bad").isNull()).drop("_bad")
+    when one of them does not fit the table.
+
+    A file's first such row is found with its blocks: heads are joined once.
+    """
+    first_bad = F.min(F.when(~F.col("_ok"), F.col("_row"))).alias("_bad")
+    of_file = F.min(F.col("_bad") + F.col("_before")).over(Window.partitionBy("_file"))
+    good = F.coalesce(of_file > max_rows, F.lit(True))
+    blocks = blocks_before(heads, max_rows, first_bad).withColumn("_good", good).drop("_bad")
+    return cap_blocks(heads, blocks, max_rows)
 
 
 def checked_records(rows: DataFrame, schema: T.StructType) -> DataFrame:

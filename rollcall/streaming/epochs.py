@@ -58,12 +58,20 @@ def epochs_of(spark: SparkSession, db: str, table: str) -> DataFrame:
 
 
 def append_epoch(
-    spark: SparkSession, rows: DataFrame, schema: T.StructType, db: str, table: str, stream: str, epoch: int
+    spark: SparkSession,
+    rows: DataFrame,
+    schema: T.StructType,
+    db: str,
+    table: str,
+    stream: str,
+    epoch: int,
+    may_be_there: bool = True,
 ) -> None:
     """Write the rows of an epoch to its table, in place of those of an interrupted try.
 
     The record is put by the caller afterwards. If the table is replaced
-    meanwhile, the rows are written to the new version as well.
+    meanwhile, the rows are written to the new version as well. The table's files
+    are listed only if such a try ``may_be_there``.
     """
     name = tables.ensure_table(spark, schema, db, table)
     entry = tables.described(spark, name)
@@ -71,10 +79,13 @@ def append_epoch(
     if tables.columns_of(spark, name) != declared or entry.get("partition_columns") or entry["provider"] != "parquet":
         raise ValueError(f"{name} is no plain Parquet table with the columns {declared}")
     begin = f"epoch-{stream}-{epoch}"
-    folder = None
-    while folder != tables.location_of(spark, name):
-        folder = tables.location_of(spark, name)
-        for path in files.files_like(spark, folder, f"{begin}-"):
-            files.remove_folder(spark, path)
+    folder, location = None, entry["location"].rstrip("/")
+    while folder != location:
+        folder = location
+        if may_be_there:
+            for path in files.files_like(spark, folder, f"{begin}-"):
+                files.remove_folder(spark, path)
         rows.select(schema.names).write.mode("append").option(FILE_NAMES, begin).parquet(folder)
+        # A version that is pointed to again has these rows.
+        location, may_be_there = tables.location_of(spark, name), True
     spark.catalog.refreshTable(name)

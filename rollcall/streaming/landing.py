@@ -29,6 +29,7 @@ from ..plans.landing import (
     checked_records,
     line_heads,
     refused_records,
+    whole_lines,
 )
 from ..schemas import table_schema
 from ..session import written
@@ -80,6 +81,9 @@ class _TableSink(_Sink):
     def __init__(self, spark, table, rejects_dir, db: str):
         super().__init__(spark, table, rejects_dir)
         self.db = db
+        # A run ends with the first epoch that fails: only the first it writes may
+        # have been tried before, by an earlier run.
+        self.first = True
 
     def records(self) -> str:
         return epochs.records_of(self.spark, self.db, self.table)
@@ -88,7 +92,8 @@ class _TableSink(_Sink):
         return epochs.is_recorded(self.spark, self.records(), stream, epoch)
 
     def put_rows(self, rows, stream, epoch):
-        epochs.append_epoch(self.spark, rows, self.schema, self.db, self.table, stream, epoch)
+        epochs.append_epoch(self.spark, rows, self.schema, self.db, self.table, stream, epoch, self.first)
+        self.first = False
 
 
 def _land(df: DataFrame, folder: str, stream: str, epoch: int) -> None:
@@ -131,10 +136,17 @@ def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, file
 
 def _stream_csv(spark, src_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:
     def write_batch(batch: DataFrame, stream: str, epoch: int) -> None:
-        seen, done = Observation(), Observation()
+        seen, cut, done = Observation(), Observation(), Observation()
         lines = batch.observe(seen, F.count("*").alias("lines"))
-        with written(line_heads(lines, sink.schema, max_rows), "lines") as heads:
-            capped = capped_lines(heads, max_rows)
+        heads = line_heads(lines, sink.schema, max_rows)
+        of_heads = F.max("_block").alias("last"), F.count_if(~F.col("_ok")).alias("bad")
+        with written(heads.observe(cut, *of_heads), "lines") as heads:
+            found = cut.get
+            # A block that starts beyond a file's begin may owe rows to those before it.
+            if found["last"]:
+                capped = capped_lines(heads, max_rows)
+            else:
+                capped = whole_lines(heads, found["bad"] > 0)
 
             def counts() -> dict:
                 found = done.get

@@ -218,3 +218,61 @@ def test_a_stream_cuts_blocks_where_they_are_read(spark, db, tmp_path, conf, mon
     assert f"<= {cap}" in plan and tasks > 10
     for word in ("Sort", "Exchange", "Window"):
         assert word not in plan
+
+
+def counted(monkeypatch, module, name):
+    """The calls of a function, which still does its work."""
+    calls, real = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *args: calls.append(args) or real(*args))
+    return calls
+
+
+def test_a_run_lists_the_files_of_its_table_once(spark, db, tmp_path, monkeypatch):
+    for i in range(4):
+        put(tmp_path / "in" / f"{i}.csv", [f"{i},j"])
+        put(tmp_path / "json" / f"{i}.json", [json.dumps({"id": 10 + i, "job": "j"})])
+    calls = counted(monkeypatch, files, "files_like")
+    stream_csv_into(spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "s1"), files_per_batch=1).awaitTermination()
+    stream_records_into(
+        spark, str(tmp_path / "json"), db, "jobs", str(tmp_path / "s2"), files_per_batch=1
+    ).awaitTermination()
+    assert len(calls) == 2
+    assert epochs_of(spark, db, "jobs").count() == 8
+    assert sorted(r.id for r in spark.table(f"{db}.jobs").collect()) == [0, 1, 2, 3, 10, 11, 12, 13]
+
+
+def test_a_later_interrupted_epoch_is_written_anew(spark, db, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+
+    def run():
+        stream_csv_into(spark, source, db, "jobs", state, files_per_batch=1).awaitTermination()
+        return rows(spark.table(f"{db}.jobs"))
+
+    for i in range(3):
+        put(tmp_path / "in" / f"{i}.csv", [f"{i},j"])
+    run()
+    forget_commit(tmp_path, 2)
+    (record,) = [f for f in epochs_of(spark, db, "jobs").inputFiles() if "epoch=2/" in f]
+    files.remove_folder(spark, record)
+    for i in (3, 4):
+        put(tmp_path / "in" / f"{i}.csv", [f"{i},j"])
+    assert run() == [(i, "j") for i in range(5)]
+    assert rows(epochs_of(spark, db, "jobs"), *COUNTS) == [(1, 0, 0)] * 5
+
+
+@pytest.mark.parametrize("bad", [False, True])
+def test_files_of_one_block_are_capped_by_their_heads(spark, db, tmp_path, monkeypatch, bad):
+    put(tmp_path / "in" / "a.csv", [f"{i},j" for i in range(5)])
+    # Its third row does not fit; the cap keeps two.
+    put(tmp_path / "in" / "b.csv", ["10,j", "11,j", "x,j"])
+    put(tmp_path / "in" / "c.csv", ["20,j", "x,j"] if bad else ["20,j"])
+    calls = counted(monkeypatch, landing, "capped_lines")
+    no = str(tmp_path / "no")
+    stream_csv_into(
+        spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "state"), rejects_dir=no, max_rows=2
+    ).awaitTermination()
+    assert not calls
+    kept = [0, 1, 10, 11] + [20] * (not bad)
+    assert sorted(r.id for r in spark.table(f"{db}.jobs").collect()) == kept
+    assert rows(epochs_of(spark, db, "jobs"), *COUNTS) == [(len(kept), 2 if bad else 0, 4)]
+    assert sorted(str(r.id) for r in read_landed(spark, no, JOBS).collect()) == (["20", "None"] if bad else [])
