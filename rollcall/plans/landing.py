@@ -65,9 +65,14 @@ def capped_lines(heads: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return cap_blocks(heads, blocks, max_rows)
 
 
-def checked_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Every record as the table's columns and as it came, with ``_ok``."""
-    return typed_records(records.parse_records(with_position(rows), schema), schema)
+    return typed_records(records.parse_records(rows, schema), schema)
+
+
+def checked_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """:func:`typed` with the place of each record in its file; use it right after the scan."""
+    return typed(with_position(rows), schema)
 
 
 def bounded_records(checked: DataFrame, max_rows: int) -> DataFrame:

@@ -29,6 +29,7 @@ from ..plans.landing import (
     checked_records,
     line_heads,
     refused_records,
+    typed,
     whole_lines,
 )
 from ..schemas import table_schema
@@ -57,7 +58,7 @@ class _Sink:
     def is_done(self, stream: str, epoch: int) -> bool:
         return False
 
-    def put(self, rows: DataFrame, refused: DataFrame, stream: str, epoch: int, counts: Callable[[], dict]) -> None:
+    def put(self, rows: DataFrame, refused: DataFrame | None, stream: str, epoch: int, counts: Callable[[], dict]) -> None:
         # Rejects first: if they cannot be kept, nothing has landed.
         if self.rejects_dir:
             _land(refused, self.rejects_dir, stream, epoch)
@@ -117,10 +118,20 @@ def _start(rows: DataFrame, checkpoint_dir: str, sink: _Sink, write_batch, every
 
 def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:
     def write_batch(batch: DataFrame, stream: str, epoch: int) -> None:
-        seen, done = Observation(), Observation()
-        rows = checked_records(batch, sink.schema)
+        seen = Observation()
+        # Places in a file matter to a bound only, and are not known in a stream's own plan.
+        rows = batch if max_rows is None else checked_records(batch, sink.schema)
         rows = rows.observe(seen, F.count_if("_ok").alias("valid"), F.count_if(~F.col("_ok")).alias("refused"))
+        if max_rows is None and not sink.rejects_dir:
+            # Used once: written where they belong while they are read.
+            def all_counts() -> dict:
+                came = seen.get
+                return dict(rows=came["valid"], rows_refused=came["refused"], rows_left_out=0)
+
+            sink.put(rows.filter("_ok"), None, stream, epoch, all_counts)
+            return
         with written(rows, "records") as checked:
+            done = Observation()
             taken = checked.filter("_ok") if max_rows is None else bounded_records(checked, max_rows)
 
             def counts() -> dict:
@@ -131,7 +142,7 @@ def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, file
             sink.put(taken, refused_records(checked), stream, epoch, counts)
 
     rows = records.stream_records(spark, json_dir, files_per_batch)
-    return _start(rows, checkpoint_dir, sink, write_batch, every)
+    return _start(rows if max_rows is not None else typed(rows, sink.schema), checkpoint_dir, sink, write_batch, every)
 
 
 def _stream_csv(spark, src_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:

@@ -276,3 +276,18 @@ def test_files_of_one_block_are_capped_by_their_heads(spark, db, tmp_path, monke
     assert sorted(r.id for r in spark.table(f"{db}.jobs").collect()) == kept
     assert rows(epochs_of(spark, db, "jobs"), *COUNTS) == [(len(kept), 2 if bad else 0, 4)]
     assert sorted(str(r.id) for r in read_landed(spark, no, JOBS).collect()) == (["20", "None"] if bad else [])
+
+
+def test_records_that_are_used_once_are_written_once(spark, tmp_path, monkeypatch):
+    lines = [json.dumps({"id": i, "job": "j"}) for i in range(3)] + ["{no", "", json.dumps({"id": "w", "job": "j"})]
+    put(tmp_path / "in" / "a.json", lines)
+    calls = counted(monkeypatch, landing, "written")
+    for n, rejects in ((1, None), (2, str(tmp_path / "no"))):
+        out = str(tmp_path / f"out{n}")
+        land_records(
+            spark, str(tmp_path / "in"), "jobs", out, str(tmp_path / f"state{n}"), rejects_dir=rejects
+        ).awaitTermination()
+        assert len(calls) == n - 1
+        assert rows(read_landed(spark, out, JOBS)) == [(i, "j") for i in range(3)]
+        assert rows(landed_counts(spark, out), *COUNTS) == [(3, 2, 0)]
+    assert spark.read.parquet(f"{tmp_path}/no/stream=*/epoch=*").count() == 2
