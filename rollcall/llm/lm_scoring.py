@@ -5,15 +5,22 @@ to words not seen after a word, in proportion to the unigram model below, with
 weights that make every distribution sum to one exactly. The unigram model is
 add-one over all training words and one unknown word.
 
-Bigrams are counted over the ``VOCABULARY`` most frequent training words, the
-end of a text, its begin (as a history), and one class of all rarer words. A
-rare word has the probability of its class times its share of the class by the
-unigram model, whose counts are of all words; so the model is normalised over
-all words, rare and unknown ones included.
+Bigrams are counted over all training words, the end of a text and its begin (as
+a history); one unknown word stands for all others. A caller may ask for the most
+frequent words only: then all rarer ones are one class, and such a word has the
+probability of its class times its share of the class by the unigram model, whose
+counts are of all words. Either way the model is normalised over all words.
+
+Every task knows the ``KNOWN_WORDS`` most frequent words by number. All others
+are rare: known by hash, their counts, pairs and weights stay in tables.
 
 Counts live in tables of (space, bucket, keys, counts): unigrams by hash, bigrams
-by pair. Scoring deals the corpus's word pairs and rare words to the same
-buckets, and streams them past each bucket's counts.
+of known words by pair, and the logarithms that rare words add to a score. A pair
+has the weight of its history times the probability of its word, unless it was
+counted; so its logarithm is that of a rare history, by the history's hash, plus
+that of a rare word, plus what counting the pair changes, by the pair's hash.
+Scoring deals the corpus's word pairs and rare words to the same buckets, and
+streams them past each bucket's counts.
 """
 
 from __future__ import annotations
@@ -24,13 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .texts import Words, digests, mix, slices, stored
 
-# Words with bigrams of their own. Their counts are broadcast: 16 bytes each.
-VOCABULARY = 1 << 18
+# Words with bigrams of their own: all, or as many as a caller asks for.
+VOCABULARY = None
+# Words that every task knows, the most frequent ones: 16 bytes each. Memory only: the
+# others have their counts and pairs in tables.
+KNOWN_WORDS = 1 << 18
 # Good-Turing discounts hold for counts up to this.
 DISCOUNTED = 5
 # Words that a task gathers before it sends them on, and text per bucket.
@@ -44,8 +55,9 @@ HOT_PAIRS = 1 << 19
 # Counts from here on are told apart by their size only when hot pairs are chosen.
 EXACT_COUNTS = 1024
 
-UNIGRAM, BIGRAM = 0, 1
+UNIGRAM, BIGRAM, LOGS = 0, 1, 2
 _PLACES = 20  # bits of a word in a pair
+_RARE = np.uint64(1 << _PLACES)  # set in every hash: smaller numbers are known words
 _DOCS = 24  # bits of a document in a flush
 TABLE_SCHEMA = "space INT, bucket INT, keys BINARY, counts BINARY"
 RESULT_SCHEMA = (
@@ -136,7 +148,7 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Flush]:
 
     for batch in slices(batches):
         words = Words(batch.column("text"))
-        hashes = words.hashes()
+        hashes = words.hashes() | _RARE
         held.append(
             Flush(
                 hashes,
@@ -169,10 +181,11 @@ class Unigrams:
     tokens: int  # N, ends included
     types: int  # V, the end included
     documents: int
+    apart: bool = False  # whether rare words have pairs of their own, not those of a class
 
     @property
     def unknown(self) -> int:
-        return len(self.words)  # the class of rare words
+        return len(self.words)  # the class of rare words, or any of them
 
     @property
     def end(self) -> int:
@@ -192,6 +205,11 @@ class Unigrams:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return np.where(self.words[at] == hashes, at, self.unknown)
 
+    def codes(self, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """What words are in pairs: their numbers, and hashes of rare words that are apart."""
+        codes = ids.astype(np.uint64)
+        return np.where(ids == self.unknown, hashes, codes) if self.apart else codes
+
     def probabilities(self) -> np.ndarray:
         """Of each frequent word, the class of rare words, and the end."""
         ones = np.append(self.counts + 1, [0, self.documents + 1]).astype(float)
@@ -204,28 +222,51 @@ class Unigrams:
         return np.append(self.counts, [rare, 0, self.documents]).astype(float)
 
 
-def _pairs(flush: Flush, unigrams: Unigrams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Every (history, word) pair with its document; ids of the words, and their documents."""
+def _pairs(flush: Flush, unigrams: Unigrams) -> tuple[np.ndarray, ...]:
+    """History and word of every pair, and its document; ids of the words, and their documents."""
     distinct, place = np.unique(flush.hashes, return_inverse=True)
-    ids = unigrams.ids(distinct)[place].astype(np.uint64)
+    ids = unigrams.ids(distinct)
+    codes = unigrams.codes(distinct, ids)[place]
     docs = len(flush.counts)
     begins = np.cumsum(flush.counts) - flush.counts + np.arange(docs)
-    chain = np.empty(len(ids) + docs, np.uint64)
+    chain = np.empty(len(codes) + docs, np.uint64)
     is_begin = np.zeros(len(chain), bool)
     is_begin[begins] = True
-    chain[is_begin], chain[~is_begin] = np.uint64(unigrams.begin), ids
+    chain[is_begin], chain[~is_begin] = np.uint64(unigrams.begin), codes
     after = np.empty_like(chain)
     after[:-1] = chain[1:]
     ends = np.append(begins[1:], len(chain)) - 1
     after[ends] = np.uint64(unigrams.end)
     owner = np.repeat(np.arange(docs), flush.counts + 1)
-    return (chain << np.uint64(_PLACES)) | after, owner, ids.astype(np.int64), flush.rows
+    return chain, after, owner, ids[place], flush.rows
+
+
+def _known(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Whether both words of a pair are known ones."""
+    return (history | word) < _RARE
+
+
+def _pair(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of a pair of known words."""
+    return (history << np.uint64(_PLACES)) | word
+
+
+def _owner(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """What has a pair with a rare word: its word if that is rare, else the pair itself."""
+    return np.where(word < _RARE, mix(history + mix(word)), word)
+
+
+def _rare_pair(history: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The key of a pair with a rare word."""
+    return mix(history + mix(owner))
 
 
 def _count_pairs(unigrams: Unigrams, buckets: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flush in _flushes(batches):
-            keys, n = np.unique(_pairs(flush, unigrams)[0], return_counts=True)
+            history, word, *_ = _pairs(flush, unigrams)
+            known = _known(history, word)
+            keys, n = np.unique(_pair(history[known], word[known]), return_counts=True)
             rows = [(b, _pack(keys[at]), _pack_small(n[at])) for b, at in _by_bucket(keys, buckets)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -239,6 +280,31 @@ def _count_pairs(unigrams: Unigrams, buckets: int):
     return count
 
 
+def _count_rare_pairs(unigrams: Unigrams):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs with a rare word by owner; how often their word occurs, if it is a known one."""
+        counts = np.append(unigrams.counts, [0, unigrams.documents])
+        for flush in _flushes(batches):
+            history, word, *_ = _pairs(flush, unigrams)
+            rare = ~_known(history, word)
+            history, word = history[rare], word[rare]
+            owner = _owner(history, word)
+            _, at, n = np.unique(_rare_pair(history, owner), return_index=True, return_counts=True)
+            history, word, owner = history[at], word[at], owner[at]
+            rare = word >= _RARE
+            of_word = counts[np.where(rare, 0, word).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(x.view(np.int64)) for x in (owner, history)),
+                    pa.array(n.astype(np.int64)),
+                    pa.array(of_word.astype(np.int64), mask=rare),
+                ],
+                ["owner", "history", "n", "of_word"],
+            )
+
+    return count
+
+
 def _cells(batch: pa.RecordBatch, name: str) -> Iterator:
     """The bytes of a binary column row by row, where they lie (nothing for null)."""
     column = batch.column(name)
@@ -252,7 +318,7 @@ def _table_rows(space: int, bucket: int, keys: np.ndarray, counts: np.ndarray) -
                 pa.array([space], pa.int32()),
                 pa.array([bucket], pa.int32()),
                 pa.array([_pack(keys[at])], pa.binary()),
-                pa.array([_pack_small(counts[at])], pa.binary()),
+                pa.array([counts[at].astype("<f8").tobytes() if space == LOGS else _pack_small(counts[at])], pa.binary()),
             ],
             ["space", "bucket", "keys", "counts"],
         )
@@ -293,7 +359,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows()
 
 
-def _rare_table(buckets: int):
+def _rare_table(space: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (word, n) of whole buckets, sorted by bucket, packed."""
         bucket, words, counts = None, [], []
@@ -301,7 +367,7 @@ def _rare_table(buckets: int):
         def rows() -> Iterator[pa.RecordBatch]:
             keys, n = np.concatenate(words), np.concatenate(counts)
             order = np.argsort(keys)
-            yield from _table_rows(UNIGRAM, bucket, keys[order], n[order])
+            yield from _table_rows(space, bucket, keys[order], n[order])
 
         for batch in batches:
             own = batch.column("bucket").to_numpy(zero_copy_only=False)
@@ -424,11 +490,106 @@ def _seen_logs(pairs, n, discount, scale, times) -> np.ndarray:
         return np.log10(scale[history] * kept / times[history])
 
 
-def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> Model:
+def _kept(discount: np.ndarray) -> Column:
+    """What its discount leaves of a count ``n``."""
+    small = F.element_at(F.array(*(F.lit(float(x)) for x in discount[1:])), F.col("n").cast("int"))
+    return F.col("n") * F.when(F.col("n") <= DISCOUNTED, small).otherwise(1.0)
+
+
+def _lower(unigrams: Unigrams) -> Column:
+    """The probability of a pair's word by the unigram model."""
+    return (F.col("of_word") + 1) / unigrams.total
+
+
+def _rare_pairs(rows: DataFrame, unigrams: Unigrams) -> DataFrame:
+    """All pairs with a rare word, counted: (owner, history, n, of_word), the last of the word.
+
+    They are dealt by their word if it is rare, and a rare word occurs as often as
+    its pairs; so one exchange counts both.
+    """
+    found = rows.mapInArrow(_count_rare_pairs(unigrams), "owner BIGINT, history BIGINT, n BIGINT, of_word BIGINT")
+    counted = (
+        found.repartition("owner")
+        .groupBy("owner", "history")
+        .agg(F.sum("n").alias("n"), F.max("of_word").alias("of_word"))
+    )
+    of_word = F.coalesce("of_word", F.sum("n").over(Window.partitionBy("owner")))
+    return stored(counted.select("owner", "history", "n", of_word.alias("of_word")), "rare-pairs")
+
+
+def _of_known_history() -> Column:
+    return F.col("history").between(0, int(_RARE) - 1)
+
+
+def _after_known(unigrams: Unigrams, discount: np.ndarray, backoff: np.ndarray, scale: np.ndarray):
+    def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What counting changes of pairs of a known history and a rare word."""
+        factor = scale / np.maximum(unigrams.histories(), 1) / backoff
+        for batch in batches:
+            owner, history, n, of_word = (batch.column(x).to_numpy() for x in ("owner", "history", "n", "of_word"))
+            keys = _rare_pair(history.view(np.uint64), owner.view(np.uint64)).view(np.int64)
+            kept = n * discount[np.where(n <= DISCOUNTED, n, 0)]
+            change = np.log10(factor[history] * kept * unigrams.total / (of_word + 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("bucket"), pa.array(keys), pa.array(change)], ["bucket", "word", "n"]
+            )
+
+    return logs
+
+
+def _after_rare(pairs: DataFrame, unigrams: Unigrams, discount: np.ndarray) -> DataFrame:
+    """The weight of each rare history (without owner), and what counting changes of its pairs.
+
+    The weights are those of :func:`_weights`. All pairs of the history are at hand: it
+    occurs as often as they do. Some word is never seen after it, if only the unknown one.
+    """
+    own = Window.partitionBy("bucket", "history")
+    summed = (
+        pairs.repartition("bucket")
+        .select("bucket", "owner", "history", "n", _kept(discount).alias("kept"), _lower(unigrams).alias("lower"))
+        .select(
+            "bucket", "owner", "history", "lower", "kept",
+            F.sum("n").over(own).alias("times"),
+            (F.sum("kept").over(own) / F.sum("n").over(own)).alias("seen"),
+            F.sum("lower").over(own).alias("below"),
+            (F.row_number().over(own.orderBy("owner")) == 1).alias("first"),
+        )
+    )
+    full = 1 - F.col("seen") < 1e-9
+    factor = F.when(full, F.col("times") / (F.col("times") + 1) / F.col("seen")).otherwise(1.0)
+    weighed = summed.withColumn("factor", factor).withColumn(
+        "backoff", (1 - F.col("factor") * F.col("seen")) / (1 - F.col("below"))
+    )
+    change = F.log10(F.col("factor") * F.col("kept") / F.col("times") / F.col("backoff") / F.col("lower"))
+    of_pair = F.struct("owner", change.alias("n"))
+    of_history = F.struct(F.lit(None).cast("bigint").alias("owner"), F.log10("backoff").alias("n"))
+    entries = F.when(F.col("first"), F.array(of_pair, of_history)).otherwise(F.array(of_pair))
+    return weighed.select("bucket", "history", F.explode(entries).alias("entry")).select(
+        "bucket", "history", "entry.owner", "entry.n"
+    )
+
+
+def _table_after_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            history = batch.column("history").to_numpy().view(np.uint64)
+            owner = batch.column("owner")
+            owners = pc.fill_null(owner, 0).to_numpy(zero_copy_only=False).view(np.uint64)
+            of_pair = owner.is_valid().to_numpy(zero_copy_only=False)
+            keys = np.where(of_pair, _rare_pair(history, owners), history).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("bucket"), pa.array(keys), batch.column("n")], ["bucket", "word", "n"]
+            )
+
+    yield from _rare_table(LOGS)(keyed())
+
+
+def train(rows: DataFrame, vocabulary: int | None = VOCABULARY) -> Model:
     """Fit the model on rows (doc_id, text, held_out), whole texts of all of them.
 
-    The driver sees the ``vocabulary`` most frequent words and one weight for
-    each. Null texts are an end alone; no rows give a model that knows nothing.
+    All words have bigrams of their own, or the ``vocabulary`` most frequent ones and
+    a class of the others. The driver sees the known words and one weight for each.
+    Null texts are an end alone; no rows give a model that knows nothing.
     """
     total = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     buckets = max(1, math.ceil((total[0] or 0) / BUCKET_BYTES))
@@ -436,7 +597,8 @@ def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> Model:
         rows.mapInArrow(_count_words, "word BIGINT, n BIGINT").groupBy("word").agg(F.sum("n").alias("n")), "unigrams"
     )
     sums = counted.agg(F.sum("n"), F.count("*")).first()
-    frequent = counted.orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
+    known = KNOWN_WORDS if vocabulary is None else vocabulary
+    frequent = counted.orderBy(F.desc("n"), "word").limit(known).toArrow()
     words = frequent["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
     unigrams = Unigrams(
@@ -445,6 +607,7 @@ def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> Model:
         (sums[0] or 0) + total[1],
         sums[1] + (total[1] > 0),
         total[1],
+        vocabulary is None and sums[1] > len(words),
     )
     pairs = (
         rows.mapInArrow(_count_pairs(unigrams, buckets), "bucket INT, keys BINARY, counts BINARY")
@@ -455,7 +618,12 @@ def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> Model:
     bigrams = stored(pairs, "bigrams")
     of_counts = bigrams.mapInArrow(_counts_of_counts, "r BIGINT, n BIGINT").groupBy("r").agg(F.sum("n").alias("n"))
     found = {r["r"]: r["n"] for r in of_counts.collect()}
-    discount = discounts({r: n for r, n in found.items() if 0 < r <= DISCOUNTED + 1})
+    low = {r: found.get(r, 0) for r in range(1, DISCOUNTED + 2)}
+    if unigrams.apart:
+        rare_pairs = _rare_pairs(rows, unigrams)
+        for r in rare_pairs.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").agg(F.count("*").alias("of")).collect():
+            low[r["n"]] += r["of"]
+    discount = discounts(low)
     # At most HOT_PAIRS, by the threshold.
     hot = bigrams.mapInArrow(_hot(hot_threshold(found, HOT_PAIRS)), "pair BIGINT, n BIGINT").toArrow()
     hot_keys, hot_counts = hot["pair"].to_numpy().view(np.uint64), hot["n"].to_numpy()
@@ -466,34 +634,56 @@ def train(rows: DataFrame, vocabulary: int = VOCABULARY) -> Model:
         .agg(F.sum("seen").alias("seen"), F.sum("below").alias("below"))
         .toArrow()
     )
-    backoff, scale = _weights(unigrams, mass)
-    # Rare words only: the frequent ones are known to every task.
-    cut = F.pmod(_spark_bucket(), F.lit(buckets)).cast("int")
-    rare = (
-        counted.withColumn("bucket", cut)
-        .repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_rare_table(buckets), TABLE_SCHEMA)
-    )
-    tables = bigrams.unionByName(rare)
+    history, seen, below = (mass[x].to_numpy() for x in ("history", "seen", "below"))
+    if unigrams.apart:
+        mass = (
+            rare_pairs.where(_of_known_history())
+            .groupBy("history")
+            .agg(F.sum(_kept(discount)).alias("seen"), F.sum(_lower(unigrams)).alias("below"))
+            .toArrow()
+        )
+        own = mass["history"].to_numpy()
+        history = np.concatenate([history, own])
+        seen = np.concatenate([seen, mass["seen"].to_numpy() / unigrams.histories()[own]])
+        below = np.concatenate([below, mass["below"].to_numpy()])
+    backoff, scale = _weights(unigrams, history, seen, below)
+    words = counted.withColumn("bucket", _spark_bucket(F.col("word"), buckets)).repartition("bucket")
+    tables = bigrams.unionByName(_built(words, _rare_table(UNIGRAM)))
+    if unigrams.apart:
+        # A rare history's pairs are in its bucket, others in that of their word.
+        of = F.when(_of_known_history(), F.col("owner")).otherwise(F.col("history"))
+        dealt = rare_pairs.withColumn("bucket", _spark_bucket(of, buckets))
+        after_known = dealt.where(_of_known_history()).mapInArrow(
+            _after_known(unigrams, discount, backoff, scale), "bucket INT, word BIGINT, n DOUBLE"
+        )
+        after_rare = _after_rare(dealt.where(~_of_known_history()), unigrams, discount)
+        tables = tables.unionByName(_built(after_known.repartition("bucket"), _rare_table(LOGS)))
+        tables = tables.unionByName(_built(after_rare, _table_after_rare))
     return Model(unigrams, buckets, discount, backoff, scale, tables, (hot_keys[by_key], hot_counts[by_key]))
 
 
-def _spark_bucket():
-    """A bucket by Spark's own hash; tasks compute the same with :func:`_word_bucket`."""
-    return F.shiftrightunsigned("word", 40)
+def _built(rows: DataFrame, build) -> DataFrame:
+    """A table of rows of whole buckets."""
+    return rows.sortWithinPartitions("bucket").mapInArrow(build, TABLE_SCHEMA)
+
+
+def _spark_bucket(word: Column, buckets: int) -> Column:
+    """A word's bucket, as tasks compute it with :func:`_word_bucket`."""
+    return F.pmod(F.shiftrightunsigned(word, 40), F.lit(buckets)).cast("int")
 
 
 def _word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return ((words >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _weights(unigrams: Unigrams, mass) -> tuple[np.ndarray, np.ndarray]:
-    """Backoff weight and scale of each history, so that its probabilities sum to one."""
+def _weights(
+    unigrams: Unigrams, history: np.ndarray, seen: np.ndarray, below: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Backoff weight and scale of each known history, so that its probabilities sum to one."""
     n = len(unigrams.words) + 3
     backoff, scale = np.ones(n), np.ones(n)
-    at = mass["history"].to_numpy()
-    seen, below = mass["seen"].to_numpy(), mass["below"].to_numpy()
+    at = np.unique(history)
+    seen, below = (np.bincount(history, x, minlength=n)[at] for x in (seen, below))
     times = unigrams.histories()[at]
     # Nothing left to back off with: one more occurrence of the history makes room.
     factor = np.where(1 - seen < 1e-9, times / (times + 1) / seen, 1.0)
@@ -505,14 +695,16 @@ def _weights(unigrams: Unigrams, mass) -> tuple[np.ndarray, np.ndarray]:
     return backoff, scale
 
 
-def _occurrences(unigrams: Unigrams, buckets: int, hot: tuple[np.ndarray, np.ndarray]):
+def _occurrences(unigrams: Unigrams, buckets: int, backoff: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
     """Per document the parts of its score that need no table, and what the tables are asked."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = np.log10(unigrams.probabilities())
+        with np.errstate(divide="ignore"):
+            backoff_logs = np.log10(backoff)
         for flush in _flushes(batches):
             for part in _split_docs(flush):
-                yield from _deal_flush(part, unigrams, buckets, logs, hot)
+                yield from _deal_flush(part, unigrams, buckets, logs, backoff_logs, hot)
 
     return deal
 
@@ -545,9 +737,17 @@ def _flush_code(flush: Flush) -> tuple[int, int]:
 
 
 def _deal_flush(
-    flush: Flush, unigrams: Unigrams, buckets: int, logs: np.ndarray, hot: tuple[np.ndarray, np.ndarray]
+    flush: Flush,
+    unigrams: Unigrams,
+    buckets: int,
+    logs: np.ndarray,
+    backoff_logs: np.ndarray,
+    hot: tuple[np.ndarray, np.ndarray],
 ) -> Iterator[pa.RecordBatch]:
-    pairs, owner, ids, rows = _pairs(flush, unigrams)
+    history, word, owner, ids, rows = _pairs(flush, unigrams)
+    both = _known(history, word)
+    rare_history, rare_word, rare_owner = history[~both], word[~both], owner[~both]
+    pairs, owner = _pair(history[both], word[both]), owner[both]
     hot_pairs, hot_logs = hot
     whole = np.zeros(len(flush.counts))
     if len(hot_pairs):
@@ -556,6 +756,10 @@ def _deal_flush(
         whole = np.bincount(owner[answered], hot_logs[at[answered]], minlength=len(whole))
         pairs, owner = pairs[~answered], owner[~answered]
     docs = len(flush.counts)
+    # Known words beside rare ones give their part here.
+    for words, of_words in ((rare_history, backoff_logs), (rare_word, logs)):
+        at = words < _RARE
+        whole += np.bincount(rare_owner[at], of_words[words[at].astype(np.int64)], minlength=docs)
     frequent = ids < unigrams.unknown
     known = np.bincount(rows[frequent], minlength=docs) + (unigrams.documents > 0)
     base = np.bincount(rows[frequent], logs[ids[frequent]], minlength=docs) + logs[unigrams.end]
@@ -573,11 +777,10 @@ def _deal_flush(
             [pa.array([values.get(name)], kind) for name, kind in types], [name for name, _ in types]
         )
 
-    def ask(space: int, keys: np.ndarray, of: np.ndarray, bucket_of) -> Iterator[pa.RecordBatch]:
+    def ask(space: int, keys: np.ndarray, of: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Rows of one space: distinct (key, document) with how often, by bucket."""
         if not len(keys):
             return
-        bucket = bucket_of(keys)
         order = np.lexsort((of, keys, bucket))
         keys, of, bucket = keys[order], of[order], bucket[order]
         new = np.ones(len(keys), bool)
@@ -592,8 +795,15 @@ def _deal_flush(
                 packed = dict(zip(("keys", "counts", "docs"), (f(x) for f, x in zip((_pack, _pack_small, _pack_small), asked))))
                 yield row(space=space, bucket=int(bucket[a]), **packed)
 
-    yield from ask(BIGRAM, pairs, owner, lambda k: _bucket(k, buckets))
-    yield from ask(UNIGRAM, flush.hashes[~frequent], rows[~frequent], lambda k: _word_bucket(k, buckets))
+    yield from ask(BIGRAM, pairs, owner, _bucket(pairs, buckets))
+    apart = rare_history >= _RARE
+    keys = _rare_pair(rare_history, _owner(rare_history, rare_word))
+    asked = np.concatenate([keys, rare_history[apart]])
+    of = np.concatenate([rare_owner, rare_owner[apart]])
+    dealt_by = np.concatenate([np.where(apart, rare_history, rare_word), rare_history[apart]])
+    yield from ask(LOGS, asked, of, _word_bucket(dealt_by, buckets))
+    rare = flush.hashes[~frequent]
+    yield from ask(UNIGRAM, rare, rows[~frequent], _word_bucket(rare, buckets))
     # Any bucket will do for what asks nothing.
     yield row(
         space=-1, bucket=f0 % buckets, doc_ids=flush.doc_ids, held_out=flush.held_out,
@@ -619,7 +829,8 @@ def _scorer(model_parts: tuple):
                     held, known_rows = (space, bucket), []
                     table, table_counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if kind == 0:
-                    known_rows.append((_unpack(keys), _unpack_small(counts)))
+                    values = np.frombuffer(counts, "<f8") if space == LOGS else _unpack_small(counts)
+                    known_rows.append((_unpack(keys), values))
                     continue
                 if known_rows:
                     # The rows of a bucket's table come first, in any order.
@@ -632,7 +843,7 @@ def _scorer(model_parts: tuple):
                     asked, n = _unpack(keys), _unpack_small(counts)
                     # Only documents that ask are answered.
                     present, of = np.unique(_unpack_small(docs), return_inverse=True)
-                    found = np.zeros(len(asked), np.int64)
+                    found = np.zeros(len(asked), table_counts.dtype)
                     if len(table):
                         at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
                         found = np.where(table[at] == asked, table_counts[at], 0)
@@ -641,9 +852,11 @@ def _scorer(model_parts: tuple):
                         history, word = _split(asked)
                         seen = _seen_logs(asked, found, discount, scale, times)
                         logs = np.where(found > 0, seen, backoff_logs[history] + lower_logs[word])
+                    elif space == LOGS:
+                        logs = found
                     else:
                         of_word = np.log10((found + 1) / unigrams.total)
-                        logs = of_word - lower_logs[unigrams.unknown]
+                        logs = of_word if unigrams.apart else of_word - lower_logs[unigrams.unknown]
                         known = np.bincount(of, n * (found > 0)).astype("<i8").tobytes()
                         base = np.bincount(of, n * of_word).astype("<f8").tobytes()
                     numbers = [_pack_small(present), known, base, np.bincount(of, n * logs).astype("<f8").tobytes()]
@@ -702,7 +915,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     """
     unigrams = model.unigrams
     hot = model.hot[0], model.seen(*model.hot)
-    asked = rows.mapInArrow(_occurrences(unigrams, model.buckets, hot), _DEAL_SCHEMA)
+    asked = rows.mapInArrow(_occurrences(unigrams, model.buckets, model.backoff, hot), _DEAL_SCHEMA)
     known = model.tables.select("space", "bucket", F.lit(0).alias("kind"), "keys", "counts")
     parts = (
         known.unionByName(asked, allowMissingColumns=True)
@@ -717,7 +930,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def score_documents(split: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+def score_documents(split: DataFrame, vocabulary: int | None = VOCABULARY) -> DataFrame:
     """Learn from the rows that are not held out, and score all of them."""
     rows = split.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "held_out")
     return score(rows, train(rows.where("NOT held_out"), vocabulary))

@@ -187,3 +187,31 @@ def test_the_threshold_of_hot_pairs():
     assert L.hot_threshold({1: 100, 2: 10, 5: 3}, 1000) == 1
     assert L.hot_threshold({1: 100, -11: 4, -12: 2}, 5) == 4096
     assert L.hot_threshold({1: 5}, 4) > 1
+
+
+@pytest.mark.parametrize("known", [0, 5, 60])
+def test_words_that_tasks_do_not_know_have_bigrams_of_their_own(make_docs, monkeypatch, known):
+    """However few words every task knows, the model is that of all words."""
+    texts = [*TEXTS, "zz qq " * 9, "unheard of b0 zz qq", "zz only1 qq only2"]
+    rows = [*enumerate(texts), (None, "a b"), (2, texts[2]), (50, "a b"), (50, "a b")]
+    split = make_docs(rows).withColumn("held_out", F.coalesce(F.col("doc_id") % 4 == 2, F.lit(False)))
+    model = BruteForce([t for i, t in rows if i is None or i % 4 != 2], None)
+    assert len(model.counts) > 60
+    monkeypatch.setattr(L, "KNOWN_WORDS", known, raising=False)
+    monkeypatch.setattr(L, "BUCKET_BYTES", 300)
+    for hot in (0, 1 << 19):
+        monkeypatch.setattr(L, "HOT_PAIRS", hot)
+        check(
+            L.score_documents(split).collect(),
+            [(i, i is not None and i % 4 == 2, model.score(t)) for i, t in rows],
+            model.tokens,
+        )
+
+
+def test_more_words_than_tasks_know(make_docs):
+    """Words beyond the 262,144 most frequent are scored by their own pairs."""
+    common = " ".join(f"w{i} w{i}" for i in range(1 << 18))
+    split = make_docs([common, " ".join(f"rare{i}" for i in range(12))]).withColumn("held_out", F.lit(False))
+    rows = {r.doc_id: r for r in L.score_documents(split).collect()}
+    # Each pair was seen once, after the begin in one of two texts: half an occurrence is taken off.
+    assert (rows[1].n_known, rows[1].score) == (13, pytest.approx(12 * math.log10(0.5) + math.log10(0.5 / 2)))
