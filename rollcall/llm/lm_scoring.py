@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +45,14 @@ VOCABULARY = None
 KNOWN_WORDS = 1 << 18
 # Good-Turing discounts hold for counts up to this.
 DISCOUNTED = 5
-# Words that a task gathers before it sends them on, and text per bucket.
+# Words that a task gathers before it sends them on, counts of words it gathers before
+# it sums them, and text per bucket.
 FLUSH_WORDS = 300_000
+HELD_COUNTS = 1 << 19
 BUCKET_BYTES = 16 << 20
-# Keys in a row: rows stay below a megabyte.
+# Keys in a row: rows stay below a megabyte. Rows go to Spark by about as much.
 ROW_KEYS = 1 << 16
+BATCH_BYTES = 1 << 20
 # The pairs counted most often, which every task is told: 16 bytes each. The tables
 # are asked for the others only, so no bucket is asked by all documents.
 HOT_PAIRS = 1 << 19
@@ -56,6 +60,7 @@ HOT_PAIRS = 1 << 19
 EXACT_COUNTS = 1024
 
 UNIGRAM, BIGRAM, LOGS = 0, 1, 2
+_PREFIX = 20  # bits of a hash by which known words are looked up
 _PLACES = 20  # bits of a word in a pair
 _RARE = np.uint64(1 << _PLACES)  # set in every hash: smaller numbers are known words
 _DOCS = 24  # bits of a document in a flush
@@ -111,20 +116,34 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places of its keys in their order)."""
-    bucket = _bucket(keys, buckets)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    yield from _dealt(_bucket(keys, buckets), buckets)
+
+
+def _dealt(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of what is in it in their order)."""
+    # Numbers of 16 bits are sorted by their digits.
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
     for b in np.flatnonzero(np.diff(ends)):
         yield int(b), order[ends[b] : ends[b + 1]]
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in their order, and the sums of their counts."""
+    all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(all_keys)
+    all_keys, all_counts = all_keys[order], all_counts[order]
+    new = np.flatnonzero(np.diff(all_keys, prepend=~all_keys[:1]))
+    return all_keys[new], np.add.reduceat(all_counts, new)
+
+
 @dataclass
 class Flush:
     """Words of some whole documents, and the documents."""
 
     hashes: np.ndarray
     counts: np.ndarray
-    codes: np.ndarray
+    codes: np.ndarray | None  # digests of the documents, where they are asked for
     doc_ids: list
     held_out: list
 
@@ -133,7 +152,7 @@ class Flush:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Flush]:
+def _flushes(batches: Iterator[pa.RecordBatch], coded: bool = False) -> Iterator[Flush]:
     held: list[Flush] = []
     size = 0
 
@@ -141,7 +160,7 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Flush]:
         return Flush(
             np.concatenate([f.hashes for f in held]),
             np.concatenate([f.counts for f in held]),
-            np.concatenate([f.codes for f in held]),
+            np.concatenate([f.codes for f in held]) if coded else None,
             [x for f in held for x in f.doc_ids],
             [x for f in held for x in f.held_out],
         )
@@ -153,7 +172,7 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Flush]:
             Flush(
                 hashes,
                 words.counts,
-                digests(words, hashes),
+                digests(words, hashes) if coded else None,
                 batch.column("doc_id").to_pylist(),
                 batch.column("held_out").to_pylist(),
             )
@@ -167,9 +186,22 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[Flush]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words, counts = [], []
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        keys, n = _summed(words, counts)
+        for at in _parts(len(keys)):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(n[at])], ["word", "n"])
+
     for flush in _flushes(batches):
         keys, n = np.unique(flush.hashes, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+        words.append(keys)
+        counts.append(n.astype(np.int64))
+        if sum(map(len, words)) >= HELD_COUNTS:
+            yield from rows()
+            words, counts = [], []
+    if words:
+        yield from rows()
 
 
 @dataclass
@@ -199,11 +231,25 @@ class Unigrams:
     def total(self) -> int:
         return self.tokens + self.types + 1
 
+    @cached_property
+    def _first(self) -> np.ndarray:
+        """Where the words of each prefix begin, and where the last end."""
+        prefixes = (self.words >> np.uint64(64 - _PREFIX)).astype(np.int64)
+        return np.concatenate([[0], np.cumsum(np.bincount(prefixes, minlength=1 << _PREFIX))]).astype(np.int32)
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(hashes), self.unknown)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, self.unknown)
+        prefixes = (hashes >> np.uint64(64 - _PREFIX)).astype(np.int64)
+        at, stop = self._first[prefixes], self._first[prefixes + 1]
+        out = np.full(len(hashes), self.unknown)
+        left = np.flatnonzero(at < stop)
+        # A prefix has few words: all are looked at, one after the other.
+        while len(left):
+            found = self.words[at[left]] == hashes[left]
+            out[left[found]] = at[left[found]]
+            left = left[~found]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        return out
 
     def codes(self, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """What words are in pairs: their numbers, and hashes of rare words that are apart."""
@@ -224,9 +270,8 @@ class Unigrams:
 
 def _pairs(flush: Flush, unigrams: Unigrams) -> tuple[np.ndarray, ...]:
     """History and word of every pair, and its document; ids of the words, and their documents."""
-    distinct, place = np.unique(flush.hashes, return_inverse=True)
-    ids = unigrams.ids(distinct)
-    codes = unigrams.codes(distinct, ids)[place]
+    ids = unigrams.ids(flush.hashes)
+    codes = unigrams.codes(flush.hashes, ids)
     docs = len(flush.counts)
     begins = np.cumsum(flush.counts) - flush.counts + np.arange(docs)
     chain = np.empty(len(codes) + docs, np.uint64)
@@ -238,7 +283,7 @@ def _pairs(flush: Flush, unigrams: Unigrams) -> tuple[np.ndarray, ...]:
     ends = np.append(begins[1:], len(chain)) - 1
     after[ends] = np.uint64(unigrams.end)
     owner = np.repeat(np.arange(docs), flush.counts + 1)
-    return chain, after, owner, ids[place], flush.rows
+    return chain, after, owner, ids, flush.rows
 
 
 def _known(history: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -332,15 +377,8 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     bucket, keys, counts, merged = None, [], [], 0
 
-    def merge() -> tuple[np.ndarray, np.ndarray]:
-        all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(all_keys, kind="stable")
-        all_keys, all_counts = all_keys[order], all_counts[order]
-        new = np.flatnonzero(np.diff(all_keys, prepend=~all_keys[:1]))
-        return all_keys[new], np.add.reduceat(all_counts, new)
-
     def rows() -> Iterator[pa.RecordBatch]:
-        own, n = merge()
+        own, n = _summed(keys, counts)
         yield from _table_rows(BIGRAM, bucket, own, n)
 
     for batch in batches:
@@ -353,7 +391,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(_unpack(k))
             counts.append(_unpack_small(c))
             if sum(map(len, keys)) > 2 * merged + 1_000_000:
-                own, n = merge()
+                own, n = _summed(keys, counts)
                 keys, counts, merged = [own], [n], len(own)
     if keys:
         yield from rows()
@@ -702,7 +740,7 @@ def _occurrences(unigrams: Unigrams, buckets: int, backoff: np.ndarray, hot: tup
         logs = np.log10(unigrams.probabilities())
         with np.errstate(divide="ignore"):
             backoff_logs = np.log10(backoff)
-        for flush in _flushes(batches):
+        for flush in _flushes(batches, coded=True):
             for part in _split_docs(flush):
                 yield from _deal_flush(part, unigrams, buckets, logs, backoff_logs, hot)
 
@@ -747,14 +785,14 @@ def _deal_flush(
     history, word, owner, ids, rows = _pairs(flush, unigrams)
     both = _known(history, word)
     rare_history, rare_word, rare_owner = history[~both], word[~both], owner[~both]
-    pairs, owner = _pair(history[both], word[both]), owner[both]
+    pairs, owner, times = _known_pairs(_pair(history[both], word[both]), owner[both])
     hot_pairs, hot_logs = hot
     whole = np.zeros(len(flush.counts))
     if len(hot_pairs):
         at = np.minimum(np.searchsorted(hot_pairs, pairs), len(hot_pairs) - 1)
         answered = hot_pairs[at] == pairs
-        whole = np.bincount(owner[answered], hot_logs[at[answered]], minlength=len(whole))
-        pairs, owner = pairs[~answered], owner[~answered]
+        whole += np.bincount(owner[answered], times[answered] * hot_logs[at[answered]], minlength=len(whole))
+        pairs, owner, times = pairs[~answered], owner[~answered], times[~answered]
     docs = len(flush.counts)
     # Known words beside rare ones give their part here.
     for words, of_words in ((rare_history, backoff_logs), (rare_word, logs)):
@@ -771,45 +809,71 @@ def _deal_flush(
         ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary()),
     ]
 
-    def row(**values) -> pa.RecordBatch:
-        values = values | {"kind": 1, "f0": f0, "f1": f1, "size": docs}
-        return pa.RecordBatch.from_arrays(
-            [pa.array([values.get(name)], kind) for name, kind in types], [name for name, _ in types]
+    def ask(space: int, asked: tuple[np.ndarray, ...], bucket: np.ndarray) -> Iterator[dict]:
+        """Rows of one space by bucket: distinct (key, document), sorted by key, with how often."""
+        keys, of, times = asked
+        for b, at in _dealt(bucket, buckets):
+            for part in _parts(len(at)):
+                own = at[part]
+                packed = {"keys": _pack(keys[own]), "counts": _pack_small(times[own]), "docs": _pack_small(of[own])}
+                yield {"space": space, "bucket": b, **packed}
+
+    def asking() -> Iterator[dict]:
+        yield from ask(BIGRAM, (pairs, owner, times), _bucket(pairs, buckets))
+        apart = rare_history >= _RARE
+        keys = _rare_pair(rare_history, _owner(rare_history, rare_word))
+        dealt_by = np.concatenate([np.where(apart, rare_history, rare_word), rare_history[apart]])
+        asked, at = _distinct(
+            np.concatenate([keys, rare_history[apart]]), np.concatenate([rare_owner, rare_owner[apart]])
         )
+        yield from ask(LOGS, asked, _word_bucket(dealt_by[at], buckets))
+        asked, _ = _distinct(flush.hashes[~frequent], rows[~frequent])
+        yield from ask(UNIGRAM, asked, _word_bucket(asked[0], buckets))
+        # Any bucket will do for what asks nothing.
+        yield {
+            "space": -1, "bucket": f0 % buckets, "doc_ids": flush.doc_ids, "held_out": flush.held_out,
+            "n_tokens": flush.counts.astype(np.int64) + 1, "known": known.astype("<i8").tobytes(),
+            "base": base.astype("<f8").tobytes(), "score": whole.astype("<f8").tobytes(),
+        }
+
+    of_flush = {"kind": 1, "f0": f0, "f1": f1, "size": docs}
+    held, size = [], 0
+    for row in asking():
+        held.append(row | of_flush)
+        size += sum(len(x) for x in row.values() if isinstance(x, bytes))
+        if size >= BATCH_BYTES:
+            yield _batch(held, types)
+            held, size = [], 0
+    if held:
+        yield _batch(held, types)
 
-    def ask(space: int, keys: np.ndarray, of: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Rows of one space: distinct (key, document) with how often, by bucket."""
-        if not len(keys):
-            return
-        order = np.lexsort((of, keys, bucket))
-        keys, of, bucket = keys[order], of[order], bucket[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (np.diff(keys) != 0) | (np.diff(of) != 0) | (np.diff(bucket) != 0)
-        at = np.flatnonzero(new)
-        times = np.diff(at, append=len(keys))
-        keys, of, bucket = keys[at], of[at], bucket[at]
-        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        for a, z in zip(starts, np.append(starts[1:], len(keys))):
-            for at in _parts(z - a):
-                asked = (x[a:z][at] for x in (keys, times, of))
-                packed = dict(zip(("keys", "counts", "docs"), (f(x) for f, x in zip((_pack, _pack_small, _pack_small), asked))))
-                yield row(space=space, bucket=int(bucket[a]), **packed)
-
-    yield from ask(BIGRAM, pairs, owner, _bucket(pairs, buckets))
-    apart = rare_history >= _RARE
-    keys = _rare_pair(rare_history, _owner(rare_history, rare_word))
-    asked = np.concatenate([keys, rare_history[apart]])
-    of = np.concatenate([rare_owner, rare_owner[apart]])
-    dealt_by = np.concatenate([np.where(apart, rare_history, rare_word), rare_history[apart]])
-    yield from ask(LOGS, asked, of, _word_bucket(dealt_by, buckets))
-    rare = flush.hashes[~frequent]
-    yield from ask(UNIGRAM, rare, rows[~frequent], _word_bucket(rare, buckets))
-    # Any bucket will do for what asks nothing.
-    yield row(
-        space=-1, bucket=f0 % buckets, doc_ids=flush.doc_ids, held_out=flush.held_out,
-        n_tokens=flush.counts.astype(np.int64) + 1, known=known.astype("<i8").tobytes(), base=base.astype("<f8").tobytes(),
-        score=whole.astype("<f8").tobytes(),
-    )
+
+def _batch(rows: list[dict], types: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r.get(name) for r in rows], kind) for name, kind in types], [name for name, _ in types]
+    )
+
+
+def _known_pairs(pairs: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (pair of known words, document), sorted, with how often."""
+    both = np.sort((pairs << np.uint64(_DOCS)) | of.astype(np.uint64))
+    at = np.flatnonzero(np.diff(both, prepend=~both[:1]))
+    times = np.diff(at, append=len(both))
+    both = both[at]
+    return both >> np.uint64(_DOCS), (both & np.uint64((1 << _DOCS) - 1)).astype(np.int64), times
+
+
+def _distinct(keys: np.ndarray, of: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Distinct (key, document), sorted by key, with how often; where each comes first.
+
+    The documents of a key must be in their order.
+    """
+    order = np.argsort(keys, kind="stable")
+    keys, of = keys[order], of[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+    at = np.flatnonzero(new)
+    return (keys[at], of[at], np.diff(at, append=len(keys))), order[at]
 
 
 def _scorer(model_parts: tuple):
@@ -824,6 +888,7 @@ def _scorer(model_parts: tuple):
         for batch in batches:
             names = (batch.column(x).to_pylist() for x in ("space", "bucket", "kind"))
             cells = (_cells(batch, x) for x in ("keys", "counts", "docs"))
+            own, numbers = [], []
             for i, (space, bucket, kind, keys, counts, docs) in enumerate(zip(*names, *cells)):
                 if (space, bucket) != held:
                     held, known_rows = (space, bucket), []
@@ -837,12 +902,13 @@ def _scorer(model_parts: tuple):
                     table, table_counts = (np.concatenate(x) for x in zip(*known_rows))
                     order, known_rows = np.argsort(table), []
                     table, table_counts = table[order], table_counts[order]
-                own = batch.slice(i, 1).select(["f0", "f1", "size", "doc_ids", "held_out", "n_tokens"])
-                numbers = [None, *(batch.column(x)[i].as_py() for x in ("known", "base", "score"))]
-                if space >= 0:
+                own.append(i)
+                if space < 0:
+                    numbers.append((None, *(batch.column(x)[i].as_py() for x in ("known", "base", "score"))))
+                else:
                     asked, n = _unpack(keys), _unpack_small(counts)
                     # Only documents that ask are answered.
-                    present, of = np.unique(_unpack_small(docs), return_inverse=True)
+                    present, of = _present(_unpack_small(docs))
                     found = np.zeros(len(asked), table_counts.dtype)
                     if len(table):
                         at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
@@ -859,15 +925,28 @@ def _scorer(model_parts: tuple):
                         logs = of_word if unigrams.apart else of_word - lower_logs[unigrams.unknown]
                         known = np.bincount(of, n * (found > 0)).astype("<i8").tobytes()
                         base = np.bincount(of, n * of_word).astype("<f8").tobytes()
-                    numbers = [_pack_small(present), known, base, np.bincount(of, n * logs).astype("<f8").tobytes()]
+                    whole = np.bincount(of, n * logs).astype("<f8").tobytes()
+                    numbers.append((_pack_small(present), known, base, whole))
+            if own:
+                flushes = batch.select(["f0", "f1", "size", "doc_ids", "held_out", "n_tokens"]).take(pa.array(own))
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns, *(pa.array([x], pa.binary()) for x in numbers)],
-                    [*own.schema.names, "docs", "known", "base", "score"],
+                    [*flushes.columns, *(pa.array(x, pa.binary()) for x in zip(*numbers))],
+                    [*flushes.schema.names, "docs", "known", "base", "score"],
                 )
 
     return score
 
 
+def _present(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct documents in their order, and the place of each of ``docs`` in them."""
+    most = int(docs.max()) + 1
+    if most > 8 * len(docs):
+        return np.unique(docs, return_inverse=True)
+    there = np.zeros(most, bool)
+    there[docs] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[docs]
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document from the rows of whole flushes, sorted by flush.
 

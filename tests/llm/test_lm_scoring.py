@@ -215,3 +215,79 @@ def test_more_words_than_tasks_know(make_docs):
     rows = {r.doc_id: r for r in L.score_documents(split).collect()}
     # Each pair was seen once, after the begin in one of two texts: half an occurrence is taken off.
     assert (rows[1].n_known, rows[1].score) == (13, pytest.approx(12 * math.log10(0.5) + math.log10(0.5 / 2)))
+
+
+def flush_batch(texts):
+    return pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(len(texts))), "text": texts, "held_out": [False] * len(texts)}
+    )
+
+
+def test_words_are_summed_before_they_are_sent(monkeypatch):
+    """A word is sent once for many flushes, not once a flush."""
+    monkeypatch.setattr(L, "FLUSH_WORDS", 1)
+    batches = [flush_batch(["a b a", None]), flush_batch(["b c"]), flush_batch([""])]
+    for held, most in ((1 << 19, 3), (1, 4)):
+        monkeypatch.setattr(L, "HELD_COUNTS", held, raising=False)
+        sent = [r for b in L._count_words(iter(batches)) for r in b.to_pylist()]
+        assert len(sent) == most
+        found = Counter()
+        for r in sent:
+            found[r["word"]] += r["n"]
+        assert sorted(found.values()) == [1, 2, 2]
+
+
+def small_unigrams(known):
+    words = np.sort(L.Words(pa.array([" ".join(known)])).hashes() | L._RARE)
+    return L.Unigrams(words, np.full(len(words), 2), 1000, 200, 4, True)
+
+
+def test_a_task_sends_few_batches():
+    """What documents ask of many buckets goes to Spark together."""
+    text = " ".join(f"w{i} v{i % 7} u{i * 5 % 11}" for i in range(200))
+    unigrams = small_unigrams([f"w{i}" for i in range(100)] + [f"v{i}" for i in range(7)])
+    no_hot = np.zeros(0, np.uint64), np.zeros(0)
+    deal = L._occurrences(unigrams, 50, np.ones(len(unigrams.words) + 3), no_hot)
+    batches = list(deal(iter([flush_batch([text, text, None])])))
+    assert len(batches) == 1 and batches[0].num_rows > 100
+    rows = [r for r in batches[0].to_pylist() if r["space"] >= 0]
+    for r in rows:
+        keys, docs = L._unpack(r["keys"]), L._unpack_small(r["docs"])
+        assert len(keys) == len(docs) == len(L._unpack_small(r["counts"])) == len(set(zip(keys.tolist(), docs.tolist())))
+
+
+def test_documents_without_a_hot_pair():
+    """Hot pairs that no document of a flush has change nothing."""
+    unigrams = small_unigrams(["a", "b"])
+    ones = np.full(len(unigrams.words) + 3, 0.5)
+    scores = []
+    for hot in (np.zeros(0, np.uint64), np.array([1 << 39], np.uint64)):
+        deal = L._occurrences(unigrams, 3, ones, (hot, np.zeros(len(hot))))
+        rows = [r for b in deal(iter([flush_batch(["a rare b"])])) for r in b.to_pylist()]
+        (own,) = [r for r in rows if r["space"] == -1]
+        scores.append(np.frombuffer(own["score"], "<f8").tolist())
+    assert scores[0] == scores[1] and scores[0][0] < 0
+
+
+def test_known_words_are_found_whatever_their_prefix():
+    prefix = np.uint64(0xABCDE << 44)
+    words = np.sort(np.array([prefix + np.uint64(i << 21) for i in range(5)] + [1 << 20, (1 << 64) - 1], np.uint64))
+    unigrams = L.Unigrams(words, np.ones(len(words), np.int64), 9, 9, 1)
+    asked = np.concatenate([words[::-1], words + np.uint64(1), [prefix]]).astype(np.uint64)
+    place = {int(w): i for i, w in enumerate(words)}
+    assert unigrams.ids(asked).tolist() == [place.get(int(w), unigrams.unknown) for w in asked]
+    none = L.Unigrams(words[:0], np.zeros(0, np.int64), 9, 9, 1)
+    assert none.ids(asked).tolist() == [0] * len(asked)
+
+
+def test_distinct_keys_by_document():
+    rng = np.random.default_rng(5)
+    keys, of = rng.integers(0, 40, 500).astype(np.uint64), np.sort(rng.integers(0, 6, 500))
+    expected = sorted((k, d, n) for (k, d), n in Counter(zip(keys.tolist(), of.tolist())).items())
+    assert list(zip(*(x.tolist() for x in L._known_pairs(keys, of)))) == expected
+    found, at = L._distinct(keys, of)
+    assert list(zip(*(x.tolist() for x in found))) == expected
+    assert keys[at].tolist() == found[0].tolist() and of[at].tolist() == found[1].tolist()
+    for docs in (of, of * 1000):
+        present, place = L._present(docs[:50])
+        assert present[place].tolist() == docs[:50].tolist() and len(set(place)) == len(present)
