@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import run_dir
+from ..session import own_session, run_dir
 from . import (
     chat,
     collocations,
@@ -74,7 +74,9 @@ def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_lm_scoring")
 def score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    # Rows hold up to half a megabyte: tasks get so many at a time as fit a few.
+    own = own_session(spark, spark__sql__execution__arrow__maxBytesPerBatch=str(lm_scoring.TASK_BYTES))
+    docs = table(own, sf_dir, "documents")
     return lm_scoring.score_documents(docs.withColumn("held_out", ~in_training(docs, 7, 2)))
 
 

@@ -50,9 +50,16 @@ DISCOUNTED = 5
 FLUSH_WORDS = 300_000
 HELD_COUNTS = 1 << 19
 BUCKET_BYTES = 16 << 20
+# A flush has a row for each bucket, so with more buckets more of them are dealt together,
+# one for so many buckets and at most as many as a task has room for.
+ROW_BUCKETS = 64
+MOST_TOGETHER = 8
 # Keys in a row: rows stay below a megabyte. Rows go to Spark by about as much.
 ROW_KEYS = 1 << 16
 BATCH_BYTES = 1 << 20
+# What tasks are best given at a time (`spark.sql.execution.arrow.maxBytesPerBatch`): a batch
+# lies in memory on either side.
+TASK_BYTES = 4 << 20
 # The pairs counted most often, which every task is told: 16 bytes each. The tables
 # are asked for the others only, so no bucket is asked by all documents.
 HOT_PAIRS = 1 << 19
@@ -306,21 +313,47 @@ def _rare_pair(history: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return mix(history + mix(owner))
 
 
+def _together(buckets: int) -> int:
+    """How many flushes are dealt to the buckets together."""
+    return max(1, min(MOST_TOGETHER, buckets // ROW_BUCKETS))
+
+
+def _batched(rows: Iterator[dict], types: list[tuple[str, pa.DataType]]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about ``BATCH_BYTES``; a column that a row lacks is null."""
+    names = [name for name, _ in types]
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row.values() if isinstance(x, bytes))
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(x) for r in held], kind) for x, kind in types], names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([r.get(x) for r in held], kind) for x, kind in types], names)
+
+
 def _count_pairs(unigrams: Unigrams, buckets: int):
+    together = _together(buckets)
+    types = [("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+
+    def rows(pairs: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[dict]:
+        keys, n = _summed(pairs, counts) if len(pairs) > 1 else (pairs[0], counts[0])
+        for b, at in _by_bucket(keys, buckets):
+            yield {"bucket": b, "keys": _pack(keys[at]), "counts": _pack_small(n[at])}
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, counts = [], []
         for flush in _flushes(batches):
             history, word, *_ = _pairs(flush, unigrams)
             known = _known(history, word)
             keys, n = np.unique(_pair(history[known], word[known]), return_counts=True)
-            rows = [(b, _pack(keys[at]), _pack_small(n[at])) for b, at in _by_bucket(keys, buckets)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.int32()),
-                    pa.array([r[1] for r in rows], pa.binary()),
-                    pa.array([r[2] for r in rows], pa.binary()),
-                ],
-                ["bucket", "keys", "counts"],
-            )
+            pairs.append(keys)
+            counts.append(n.astype(np.int32))
+            if len(pairs) == together:
+                yield from _batched(rows(pairs, counts), types)
+                pairs, counts = [], []
+        if pairs:
+            yield from _batched(rows(pairs, counts), types)
 
     return count
 
@@ -735,28 +768,35 @@ def _weights(
 
 def _occurrences(unigrams: Unigrams, buckets: int, backoff: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
     """Per document the parts of its score that need no table, and what the tables are asked."""
+    together = _together(buckets)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = np.log10(unigrams.probabilities())
         with np.errstate(divide="ignore"):
             backoff_logs = np.log10(backoff)
+        held: list[Asked] = []
         for flush in _flushes(batches, coded=True):
             for part in _split_docs(flush):
-                yield from _deal_flush(part, unigrams, buckets, logs, backoff_logs, hot)
+                held.append(_asked(part, unigrams, logs, backoff_logs, hot))
+                if len(held) == together:
+                    yield from _batched(_deal_rows(held, buckets), _DEAL_TYPES)
+                    held = []
+        if held:
+            yield from _batched(_deal_rows(held, buckets), _DEAL_TYPES)
 
     return deal
 
 
 def _split_docs(flush: Flush) -> Iterator[Flush]:
-    """At most 2^24 documents at once, so that a pair and its document fit 64 bits."""
-    step = 1 << _DOCS
+    """So few documents at once that a pair and its document fit 64 bits, and what is dealt together has at most 2^24."""
+    step = (1 << _DOCS) // MOST_TOGETHER
     ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(flush.counts)])
     for a in range(0, len(flush.counts), step):
         z = min(a + step, len(flush.counts))
         yield Flush(flush.hashes[ends[a] : ends[z]], flush.counts[a:z], flush.codes[a:z], flush.doc_ids[a:z], flush.held_out[a:z])
 
 
-# A flush is known by a digest of its documents. Its rows ask a bucket for counts
+# Flushes dealt together are one, known by a digest of its documents. Its rows ask a bucket for counts
 # of keys (and say which of its documents has each), or tell the documents' own
 # numbers; what a bucket answers is numbers of documents again.
 _FLUSH = "f0 BIGINT, f1 BIGINT, size INT"
@@ -765,23 +805,45 @@ _DEAL_SCHEMA = f"space INT, bucket INT, kind INT, {_FLUSH}, keys BINARY, counts
 _PART_SCHEMA = f"{_FLUSH}, {_OWN}, docs BINARY, known BINARY, base BINARY, score BINARY"
 
 
-def _flush_code(flush: Flush) -> tuple[int, int]:
-    ids = np.array([-1 if i is None else i for i in flush.doc_ids], np.int64).view(np.uint64)
+_DEAL_TYPES = [
+    ("space", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("f0", pa.int64()), ("f1", pa.int64()),
+    ("size", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("docs", pa.binary()),
+    ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())),
+    ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary()),
+]
+
+
+def _flush_code(codes: np.ndarray, doc_ids: list) -> tuple[int, int]:
+    ids = np.array([-1 if i is None else i for i in doc_ids], np.int64).view(np.uint64)
     place = np.arange(len(ids), dtype=np.uint64)
-    coded = mix(flush.codes[:, 0] + mix(flush.codes[:, 1] + mix(ids + mix(place + np.uint64(1)))))
+    coded = mix(codes[:, 0] + mix(codes[:, 1] + mix(ids + mix(place + np.uint64(1)))))
     first = mix(np.array([coded.sum(dtype=np.uint64)]))
     second = mix(np.array([mix(coded + np.uint64(7)).sum(dtype=np.uint64)]))
     return int(first.view(np.int64)[0]), int(second.view(np.int64)[0])
 
 
-def _deal_flush(
+@dataclass
+class Asked:
+    """What the tables are asked for a flush, and its documents with what needs no table."""
+
+    # By space: distinct (key, document), sorted by key, with how often; for logs also what deals the key.
+    asks: dict[int, tuple[np.ndarray, ...]]
+    codes: np.ndarray
+    doc_ids: list
+    held_out: list
+    n_tokens: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    score: np.ndarray
+
+
+def _asked(
     flush: Flush,
     unigrams: Unigrams,
-    buckets: int,
     logs: np.ndarray,
     backoff_logs: np.ndarray,
     hot: tuple[np.ndarray, np.ndarray],
-) -> Iterator[pa.RecordBatch]:
+) -> Asked:
     history, word, owner, ids, rows = _pairs(flush, unigrams)
     both = _known(history, word)
     rare_history, rare_word, rare_owner = history[~both], word[~both], owner[~both]
@@ -801,57 +863,53 @@ def _deal_flush(
     frequent = ids < unigrams.unknown
     known = np.bincount(rows[frequent], minlength=docs) + (unigrams.documents > 0)
     base = np.bincount(rows[frequent], logs[ids[frequent]], minlength=docs) + logs[unigrams.end]
-    f0, f1 = _flush_code(flush)
-    types = [
-        ("space", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("f0", pa.int64()), ("f1", pa.int64()),
-        ("size", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("docs", pa.binary()),
-        ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())),
-        ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary()),
-    ]
-
-    def ask(space: int, asked: tuple[np.ndarray, ...], bucket: np.ndarray) -> Iterator[dict]:
-        """Rows of one space by bucket: distinct (key, document), sorted by key, with how often."""
-        keys, of, times = asked
+    apart = rare_history >= _RARE
+    keys = _rare_pair(rare_history, _owner(rare_history, rare_word))
+    dealt_by = np.concatenate([np.where(apart, rare_history, rare_word), rare_history[apart]])
+    of_logs, at = _distinct(
+        np.concatenate([keys, rare_history[apart]]), np.concatenate([rare_owner, rare_owner[apart]])
+    )
+    of_words, _ = _distinct(flush.hashes[~frequent], rows[~frequent])
+    asks = {
+        BIGRAM: (pairs, owner.astype(np.int32), times.astype(np.int32)),
+        LOGS: (*of_logs, dealt_by[at]),
+        UNIGRAM: of_words,
+    }
+    n_tokens = flush.counts.astype(np.int64) + 1
+    return Asked(asks, flush.codes, flush.doc_ids, flush.held_out, n_tokens, known, base, whole)
+
+
+def _deal_rows(held: list[Asked], buckets: int) -> Iterator[dict]:
+    """The rows of flushes dealt together."""
+    doc_ids, held_out = [x for a in held for x in a.doc_ids], [x for a in held for x in a.held_out]
+    f0, f1 = _flush_code(np.concatenate([a.codes for a in held]), doc_ids)
+    flush = {"kind": 1, "f0": f0, "f1": f1, "size": len(doc_ids)}
+    firsts = np.cumsum([0, *(len(a.doc_ids) for a in held)])
+    for space in (BIGRAM, LOGS, UNIGRAM):
+        asks = [a.asks.pop(space) for a in held]
+        sizes = [len(x[0]) for x in asks]
+        keys, of, times, *dealt_by = (np.concatenate(x) for x in zip(*asks))
+        del asks
+        if len(held) > 1:
+            of += np.repeat(firsts[:-1], sizes).astype(np.int32)
+            order = np.argsort(keys, kind="stable")
+            keys, of, times, *dealt_by = (x[order] for x in (keys, of, times, *dealt_by))
+            del order
+        bucket = _bucket(keys, buckets) if space == BIGRAM else _word_bucket(*dealt_by or [keys], buckets)
         for b, at in _dealt(bucket, buckets):
             for part in _parts(len(at)):
                 own = at[part]
                 packed = {"keys": _pack(keys[own]), "counts": _pack_small(times[own]), "docs": _pack_small(of[own])}
-                yield {"space": space, "bucket": b, **packed}
-
-    def asking() -> Iterator[dict]:
-        yield from ask(BIGRAM, (pairs, owner, times), _bucket(pairs, buckets))
-        apart = rare_history >= _RARE
-        keys = _rare_pair(rare_history, _owner(rare_history, rare_word))
-        dealt_by = np.concatenate([np.where(apart, rare_history, rare_word), rare_history[apart]])
-        asked, at = _distinct(
-            np.concatenate([keys, rare_history[apart]]), np.concatenate([rare_owner, rare_owner[apart]])
-        )
-        yield from ask(LOGS, asked, _word_bucket(dealt_by[at], buckets))
-        asked, _ = _distinct(flush.hashes[~frequent], rows[~frequent])
-        yield from ask(UNIGRAM, asked, _word_bucket(asked[0], buckets))
-        # Any bucket will do for what asks nothing.
-        yield {
-            "space": -1, "bucket": f0 % buckets, "doc_ids": flush.doc_ids, "held_out": flush.held_out,
-            "n_tokens": flush.counts.astype(np.int64) + 1, "known": known.astype("<i8").tobytes(),
-            "base": base.astype("<f8").tobytes(), "score": whole.astype("<f8").tobytes(),
-        }
-
-    of_flush = {"kind": 1, "f0": f0, "f1": f1, "size": docs}
-    held, size = [], 0
-    for row in asking():
-        held.append(row | of_flush)
-        size += sum(len(x) for x in row.values() if isinstance(x, bytes))
-        if size >= BATCH_BYTES:
-            yield _batch(held, types)
-            held, size = [], 0
-    if held:
-        yield _batch(held, types)
-
-
-def _batch(rows: list[dict], types: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r.get(name) for r in rows], kind) for name, kind in types], [name for name, _ in types]
+                yield {"space": space, "bucket": b, **packed, **flush}
+    n_tokens, known, base, score = (
+        np.concatenate([getattr(a, x) for a in held]) for x in ("n_tokens", "known", "base", "score")
     )
+    # Any bucket will do for what asks nothing.
+    yield {
+        "space": -1, "bucket": f0 % buckets, "doc_ids": doc_ids, "held_out": held_out, "n_tokens": n_tokens,
+        "known": known.astype("<i8").tobytes(), "base": base.astype("<f8").tobytes(),
+        "score": score.astype("<f8").tobytes(), **flush,
+    }
 
 
 def _known_pairs(pairs: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -873,7 +931,8 @@ def _distinct(keys: np.ndarray, of: np.ndarray) -> tuple[tuple[np.ndarray, ...],
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
     at = np.flatnonzero(new)
-    return (keys[at], of[at], np.diff(at, append=len(keys))), order[at]
+    times = np.diff(at, append=len(keys))
+    return (keys[at], of[at].astype(np.int32), times.astype(np.int32)), order[at]
 
 
 def _scorer(model_parts: tuple):

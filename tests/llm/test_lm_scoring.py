@@ -291,3 +291,49 @@ def test_distinct_keys_by_document():
     for docs in (of, of * 1000):
         present, place = L._present(docs[:50])
         assert present[place].tolist() == docs[:50].tolist() and len(set(place)) == len(present)
+
+
+def test_flushes_dealt_together(monkeypatch):
+    """With many buckets a task sends a row a bucket for several flushes, and all scores stay."""
+    monkeypatch.setattr(L, "FLUSH_WORDS", 1)
+    texts = [t for t in TEXTS if t] + [None, "a b", "a b"]
+    batches = [flush_batch([t, "and a rare one"]) for t in texts]
+    unigrams = small_unigrams(sorted({w for t in texts[:6] for w in words_of(t)}))
+    model = unigrams, np.full(L.DISCOUNTED + 1, 0.5), np.full(len(unigrams.words) + 3, 0.5), np.ones(len(unigrams.words) + 3)
+    hot = np.zeros(0, np.uint64), np.zeros(0)
+    found, sent, counted = [], [], []
+    for row_buckets in (64, 1):
+        monkeypatch.setattr(L, "ROW_BUCKETS", row_buckets, raising=False)
+        rows = pa.Table.from_batches(L._occurrences(unigrams, 6, model[2], hot)(iter(batches)))
+        sent.append(rows.num_rows)
+        rows = rows.sort_by([("space", "ascending"), ("bucket", "ascending")])
+        parts = pa.Table.from_batches(L._scorer(model)(iter(rows.combine_chunks().to_batches())))
+        parts = parts.sort_by([("f0", "ascending"), ("f1", "ascending")]).combine_chunks()
+        scored = [r for b in L._gather(iter(parts.to_batches())) for r in b.to_pylist()]
+        found.append(sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in scored))
+        pairs = [r for b in L._count_pairs(unigrams, 6)(iter(batches)) for r in b.to_pylist()]
+        counts = Counter()
+        for r in pairs:
+            counts.update(dict(zip(L._unpack(r["keys"]).tolist(), L._unpack_small(r["counts"]).tolist())))
+        counted.append((len(pairs), counts))
+    assert len(found[0]) == 2 * len(texts)
+    assert all(a == pytest.approx(b, rel=1e-9) for a, b in zip(*found))
+    assert 3 * sent[1] < sent[0] and 3 * counted[1][0] < counted[0][0] and counted[0][1] == counted[1][1]
+
+
+def test_tasks_get_a_few_megabytes_at_a_time(spark, tmp_path):
+    """Whatever a task reads, what lies in memory at once is bounded; the caller's session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    text = "word " * 200_000
+    docs = spark.range(12).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op5_lm_scoring"](spark, str(tmp_path))
+    assert spark.conf.get(key, None) == before and found.count() == 12
+    rows = found.sparkSession.read.parquet(f"{tmp_path}/documents.parquet").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    assert max(r.n for r in rows.mapInArrow(sizes, "n BIGINT").collect()) <= L.TASK_BYTES + 2 * len(text)
