@@ -34,6 +34,11 @@ def with_origin(scan: DataFrame) -> DataFrame:
     )
 
 
+def blocks_of(rows: DataFrame) -> int:
+    """The number of blocks that a scan of :func:`one_block_a_task` reads."""
+    return rows._jdf.queryExecution().toRdd().getNumPartitions()
+
+
 def with_position(rows: DataFrame) -> DataFrame:
     """Add a number that grows along each block; use it right after the scan."""
     return rows.withColumn("_pos", F.monotonically_increasing_id())
@@ -45,8 +50,7 @@ def block_heads(rows: DataFrame, n: int) -> DataFrame:
     ``rows`` come with their position from a scan of :func:`one_block_a_task`. Each block is
     cut in the task that reads it, row by row: nothing is sorted or shuffled.
     """
-    place = F.col("_pos").bitwiseAND(F.lit(IN_TASK)) + 1
-    return rows.withColumn("_row", place).filter(F.col("_row") <= n).drop("_pos")
+    return rows.selectExpr("* EXCEPT (_pos)", f"(_pos & {IN_TASK}) + 1 AS _row").filter(f"_row <= {n}")
 
 
 def blocks_before(heads: DataFrame, n: int, *measures: Column) -> DataFrame:
@@ -69,6 +73,20 @@ def cap_blocks(heads: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     return heads.join(blocks, ORIGIN).filter(in_file <= n).withColumn("_row", in_file).drop("_before")
 
 
+def gathered_files(heads: DataFrame, n: int) -> DataFrame:
+    """From block heads, the first ``n`` rows of each file; ``_good`` is false for all
+    rows of a file when one of them is not ``_ok``.
+
+    Heads are read once, and all of a file's meet in one task: for few rows. More are
+    capped by :func:`blocks_before` and :func:`cap_blocks`.
+    """
+    in_file = heads.selectExpr(
+        "* EXCEPT (_row)", "CAST(row_number() OVER (PARTITION BY _file ORDER BY _block, _row) AS BIGINT) AS _row"
+    )
+    first_bad = "min(CASE WHEN NOT _ok THEN _row END) OVER (PARTITION BY _file)"
+    return in_file.selectExpr("*", f"coalesce({first_bad} > {n}, true) AS _good").filter(f"_row <= {n}")
+
+
 def cap_files(heads: DataFrame, n: int) -> DataFrame:
     """From block heads, the first ``n`` rows of each file, in file order.
 

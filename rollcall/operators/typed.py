@@ -46,13 +46,14 @@ def typed_lines(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
     Adds ``_ok``; a line with too few or too many fields is not ok.
     """
-    cast, ok = [], [F.col(CORRUPT).isNull()]
+    cast, ok = [], [f"{CORRUPT} IS NULL"]
     for f in schema:
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.StringType):
-            cast.append(F.coalesce(F.col(f.name), F.lit("")).alias(f.name))
+            cast.append(f"coalesce({name}, '') AS {name}")
         else:
-            value = F.col(f.name).try_cast(f.dataType)
-            cast.append(value.alias(f.name))
-            ok.append(value.isNotNull())
-    rest = [c for c in rows.columns if c not in schema.names]
-    return rows.select(*cast, *rest, _all_of(ok).alias("_ok"))
+            value = f"try_cast({name} AS {f.dataType.simpleString()})"
+            cast.append(f"{value} AS {name}")
+            ok.append(f"{value} IS NOT NULL")
+    rest = f"* EXCEPT ({', '.join(f'`{name}`' for name in schema.names)})"
+    return rows.selectExpr(*cast, rest, f"{' AND '.join(ok)} AS _ok")

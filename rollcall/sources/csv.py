@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,8 @@ FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
 OPEN_QUOTE = "a quote does not close"
 
 
-def has_open_quote(line: Column) -> Column:
-    """Whether a quote of the line does not close: files are split by line."""
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return quotes % 2 == 1
+# Whether a quote of a line does not close: files are split by line.
+OPEN_QUOTES = """(length(value) - length(replace(value, '"', ''))) % 2 = 1"""
 
 
 def text_for_null(rows: DataFrame) -> DataFrame:
@@ -50,7 +48,7 @@ def read_declared(
     said = F.concat(F.lit(f"{OPEN_QUOTE} in "), "_file", F.lit(": "), F.substring("value", 1, 200))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     fields = F.from_csv("value", ddl, {**FORMAT, "mode": "FAILFAST"})
-    checked = F.when(has_open_quote(F.col("value")), F.raise_error(said).cast(schema)).otherwise(fields)
+    checked = F.when(F.expr(OPEN_QUOTES), F.raise_error(said).cast(schema)).otherwise(fields)
     return lines.select(F.inline(F.array(checked)))
 
 
@@ -81,11 +79,11 @@ def stream_lines(spark: SparkSession, path: str, files: int) -> DataFrame:
 def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """The fields of each line as text, and the line itself if it does not fit."""
     columns = ", ".join(f"`{name}` STRING" for name in [*schema.names, CORRUPT])
-    fields = F.from_csv("value", columns, {**FORMAT, "columnNameOfCorruptRecord": CORRUPT})
-    rest = [c for c in lines.columns if c != "value"]
-    corrupt = F.when(has_open_quote(F.col("value")), F.col("value")).otherwise(F.col(f"_fields.{CORRUPT}"))
-    return lines.select(fields.alias("_fields"), "value", *rest).select(
-        *[F.col(f"_fields.`{name}`") for name in schema.names], corrupt.alias(CORRUPT), *rest
+    options = ", ".join(f"'{k}', '{v}'" for k, v in {**FORMAT, "columnNameOfCorruptRecord": CORRUPT}.items())
+    return lines.selectExpr(f"from_csv(value, '{columns}', map({options})) AS _fields", "*").selectExpr(
+        *[f"_fields.`{name}`" for name in schema.names],
+        f"CASE WHEN {OPEN_QUOTES} THEN value ELSE _fields.{CORRUPT} END AS {CORRUPT}",
+        "* EXCEPT (_fields, value)",
     )
 
 

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import lru_cache
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=1)
+def _path_class(jvm):
+    """Looked up once: each part of the name is a call to the JVM."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path = _path_class(spark._jvm)(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
@@ -68,8 +75,8 @@ def age_of(spark: SparkSession, path: str) -> float:
 def create_file(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file unless there is one; whether this call has made it."""
     fs, hadoop_path = _file_system(spark, path)
-    fs.mkdirs(hadoop_path.getParent())
     try:
+        # Makes the folders above as well.
         out = fs.create(hadoop_path, False)
     except Py4JJavaError as error:
         if "already exists" in str(error.java_exception) or fs.exists(hadoop_path):

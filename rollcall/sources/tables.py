@@ -71,7 +71,16 @@ def columns_of(spark: SparkSession, name: str) -> list[tuple[str, str]]:
 
 def described(spark: SparkSession, name: str) -> dict:
     """What the catalog says of a table."""
-    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").collect()[0][0])
+
+
+def forget_files(spark: SparkSession, name: str) -> None:
+    """Let the session list a table's files anew when it reads the table again.
+
+    ``refreshTable`` lists them at once, twice: too much for those who only write.
+    """
+    state = spark._jsparkSession.sessionState()
+    state.catalog().refreshTable(state.sqlParser().parseTableIdentifier(name))
 
 
 def _versions(spark: SparkSession, db: str, table: str) -> str:

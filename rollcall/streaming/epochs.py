@@ -20,6 +20,10 @@ RECORD = "rows BIGINT, rows_refused BIGINT, rows_left_out BIGINT, stream STRING,
 COUNTS = ["rows", "rows_refused", "rows_left_out"]
 # Spark's writers begin the names of their files with this Hadoop setting.
 FILE_NAMES = "mapreduce.output.basename"
+# Whether a job ends with a file _SUCCESS: a table is not done with one epoch.
+MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+# What must hold of a table's entry for epochs to be appended.
+ENTRY = ["columns", "partition_columns", "provider"]
 
 
 def stream_of(batch: DataFrame) -> str:
@@ -66,18 +70,22 @@ def append_epoch(
     stream: str,
     epoch: int,
     may_be_there: bool = True,
-) -> None:
+    known: dict | None = None,
+) -> dict:
     """Write the rows of an epoch to its table, in place of those of an interrupted try.
 
     The record is put by the caller afterwards. If the table is replaced
     meanwhile, the rows are written to the new version as well. The table's files
-    are listed only if such a try ``may_be_there``.
+    are listed only if such a try ``may_be_there``, or if its entry in the catalog
+    is not like the ``known`` one, which the epoch before has returned.
     """
     name = tables.ensure_table(spark, schema, db, table)
     entry = tables.described(spark, name)
-    declared = [(f.name, f.dataType.simpleString()) for f in schema]
-    if tables.columns_of(spark, name) != declared or entry.get("partition_columns") or entry["provider"] != "parquet":
-        raise ValueError(f"{name} is no plain Parquet table with the columns {declared}")
+    if known is None or any(entry.get(part) != known.get(part) for part in ENTRY):
+        declared = [(f.name, f.dataType.simpleString()) for f in schema]
+        is_plain = not entry.get("partition_columns") and entry["provider"] == "parquet"
+        if not is_plain or tables.columns_of(spark, name) != declared:
+            raise ValueError(f"{name} is no plain Parquet table with the columns {declared}")
     begin = f"epoch-{stream}-{epoch}"
     folder, location = None, entry["location"].rstrip("/")
     while folder != location:
@@ -85,7 +93,9 @@ def append_epoch(
         if may_be_there:
             for path in files.files_like(spark, folder, f"{begin}-"):
                 files.remove_folder(spark, path)
-        rows.select(schema.names).write.mode("append").option(FILE_NAMES, begin).parquet(folder)
+        rows.select(schema.names).write.mode("append").options(**{FILE_NAMES: begin, MARKER: "false"}).parquet(folder)
         # A version that is pointed to again has these rows.
         location, may_be_there = tables.location_of(spark, name), True
-    spark.catalog.refreshTable(name)
+    # The write has refreshed cached frames that read this folder.
+    tables.forget_files(spark, name)
+    return entry

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.file_head import one_block_a_task
+from ..operators.file_head import blocks_of, gathered_files, one_block_a_task
 from ..plans.landing import (
     MAX_ROWS,
     bounded_records,
@@ -38,6 +38,8 @@ from ..sources import csv, records
 from . import epochs
 
 FILES_PER_BATCH = 10_000
+# If an epoch's blocks can keep no more lines than this, a file's are gathered in one task.
+GATHERED_ROWS = 1_000_000
 # Where the records of a folder's epochs are.
 RECORDS = "_epochs"
 
@@ -85,6 +87,7 @@ class _TableSink(_Sink):
         # A run ends with the first epoch that fails: only the first it writes may
         # have been tried before, by an earlier run.
         self.first = True
+        self.entry: dict | None = None
 
     def records(self) -> str:
         return epochs.records_of(self.spark, self.db, self.table)
@@ -93,7 +96,9 @@ class _TableSink(_Sink):
         return epochs.is_recorded(self.spark, self.records(), stream, epoch)
 
     def put_rows(self, rows, stream, epoch):
-        epochs.append_epoch(self.spark, rows, self.schema, self.db, self.table, stream, epoch, self.first)
+        self.entry = epochs.append_epoch(
+            self.spark, rows, self.schema, self.db, self.table, stream, epoch, self.first, self.entry
+        )
         self.first = False
 
 
@@ -117,11 +122,14 @@ def _start(rows: DataFrame, checkpoint_dir: str, sink: _Sink, write_batch, every
 
 
 def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:
+    # Expressions are made once: each is many calls to the JVM.
+    of_records = F.count_if("_ok").alias("valid"), F.count_if(~F.col("_ok")).alias("refused")
+
     def write_batch(batch: DataFrame, stream: str, epoch: int) -> None:
         seen = Observation()
         # Places in a file matter to a bound only, and are not known in a stream's own plan.
         rows = batch if max_rows is None else checked_records(batch, sink.schema)
-        rows = rows.observe(seen, F.count_if("_ok").alias("valid"), F.count_if(~F.col("_ok")).alias("refused"))
+        rows = rows.observe(seen, *of_records)
         if max_rows is None and not sink.rejects_dir:
             # Used once: written where they belong while they are read.
             def all_counts() -> dict:
@@ -146,11 +154,26 @@ def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, file
 
 
 def _stream_csv(spark, src_dir, sink: _Sink, checkpoint_dir, max_rows, files_per_batch, every) -> StreamingQuery:
+    # Expressions are made once: each is many calls to the JVM.
+    of_lines = F.count("*").alias("lines")
+    of_heads = F.max("_block").alias("last"), F.count_if(~F.col("_ok")).alias("bad")
+    of_files = F.count_if("_good").alias("rows"), F.count_if(~F.col("_good")).alias("refused")
+
     def write_batch(batch: DataFrame, stream: str, epoch: int) -> None:
         seen, cut, done = Observation(), Observation(), Observation()
-        lines = batch.observe(seen, F.count("*").alias("lines"))
+
+        def counts() -> dict:
+            found = done.get
+            left_out = seen.get["lines"] - found["rows"] - found["refused"]
+            return dict(rows=found["rows"], rows_refused=found["refused"], rows_left_out=left_out)
+
+        lines = batch.observe(seen, of_lines)
         heads = line_heads(lines, sink.schema, max_rows)
-        of_heads = F.max("_block").alias("last"), F.count_if(~F.col("_ok")).alias("bad")
+        if not sink.rejects_dir and blocks_of(batch) * max_rows <= GATHERED_ROWS:
+            # Used once: written where they belong while they are read.
+            counted = gathered_files(heads, max_rows).observe(done, *of_files)
+            sink.put(counted.filter("_good"), None, stream, epoch, counts)
+            return
         with written(heads.observe(cut, *of_heads), "lines") as heads:
             found = cut.get
             # A block that starts beyond a file's begin may owe rows to those before it.
@@ -159,15 +182,8 @@ def _stream_csv(spark, src_dir, sink: _Sink, checkpoint_dir, max_rows, files_per
             else:
                 capped = whole_lines(heads, found["bad"] > 0)
 
-            def counts() -> dict:
-                found = done.get
-                left_out = seen.get["lines"] - found["rows"] - found["refused"]
-                return dict(rows=found["rows"], rows_refused=found["refused"], rows_left_out=left_out)
-
             refused = capped.filter("NOT _good").drop("_block", "_row", "_good")
-            counted = capped.observe(
-                done, F.count_if("_good").alias("rows"), F.count_if(~F.col("_good")).alias("refused")
-            )
+            counted = capped.observe(done, *of_files)
             sink.put(counted.filter("_good"), refused, stream, epoch, counts)
 
     # The stream keeps the settings of the session it is started from.

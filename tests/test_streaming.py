@@ -291,3 +291,38 @@ def test_records_that_are_used_once_are_written_once(spark, tmp_path, monkeypatc
         assert rows(read_landed(spark, out, JOBS)) == [(i, "j") for i in range(3)]
         assert rows(landed_counts(spark, out), *COUNTS) == [(3, 2, 0)]
     assert spark.read.parquet(f"{tmp_path}/no/stream=*/epoch=*").count() == 2
+
+
+@pytest.mark.parametrize("gathered", [0, 1_000_000])
+def test_files_are_capped_alike_gathered_or_by_blocks(spark, db, tmp_path, conf, monkeypatch, gathered):
+    monkeypatch.setattr(landing, "GATHERED_ROWS", gathered, raising=False)
+    conf(spark__sql__files__maxPartitionBytes=100, spark__sql__files__openCostInBytes=0)
+    put(tmp_path / "in" / "long.csv", [f"{i},j" for i in range(100, 200)])
+    # Their rows that do not fit are the last that the cap keeps, and the first beyond it.
+    put(tmp_path / "in" / "bad.csv", [f"{i},j" for i in range(300, 339)] + ["x,j"] + ["1,j"] * 60)
+    put(tmp_path / "in" / "good.csv", [f"{i},j" for i in range(400, 440)] + ["x,j"] + ["1,j"] * 60)
+    put(tmp_path / "in" / "odd.csv", ['500,"a,b"', "501,"])
+    put(tmp_path / "in" / "quote.csv", ['600,"a'])
+    put(tmp_path / "in" / "empty.csv", ["", " "])
+    calls = counted(monkeypatch, landing, "written")
+    stream_csv_into(spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "state"), max_rows=40).awaitTermination()
+    kept = [(i, "j") for i in [*range(100, 140), *range(400, 440)]] + [(500, "a,b"), (501, "")]
+    assert rows(spark.table(f"{db}.jobs")) == kept
+    assert rows(epochs_of(spark, db, "jobs"), *COUNTS) == [(82, 41, 181)]
+    # Lines that are used once are not written before.
+    assert len(calls) == (gathered == 0)
+
+
+def test_a_run_looks_at_the_columns_of_its_table_once(spark, db, tmp_path, monkeypatch):
+    """It lists the table's files: what an epoch costs would grow with those before it."""
+    for i in range(3):
+        put(tmp_path / "in" / f"{i}.csv", [f"{i},j"])
+    tables.append_table(spark.createDataFrame([(9, "z")], JOBS), db, "jobs")
+    cached = spark.table(f"{db}.jobs").cache()
+    assert rows(spark.table(f"{db}.jobs")) == [(9, "z")]
+    calls = counted(monkeypatch, tables, "columns_of")
+    stream_csv_into(spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "state"), files_per_batch=1).awaitTermination()
+    assert len(calls) == 1
+    # The session that has read the table before sees the new rows, by a cached frame too.
+    assert rows(spark.table(f"{db}.jobs")) == [(0, "j"), (1, "j"), (2, "j"), (9, "z")] == rows(cached)
+    cached.unpersist()
