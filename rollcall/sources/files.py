@@ -21,6 +21,16 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def path_text(spark: SparkSession, uri) -> str:
+    """The path that a Java URI stands for."""
+    return _path_class(spark._jvm)(uri).toString()
+
+
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is in the file system of the machine, or mounted there."""
+    return _file_system(spark, path)[0].getScheme() == "file"
+
+
 # What a folder is called while a new one takes its place.
 OLD = ".rollcall_old"
 

@@ -62,7 +62,7 @@ def list_tables(spark: SparkSession, db: str) -> list[str]:
 
 def location_of(spark: SparkSession, name: str) -> str:
     """The folder that a stored table points to."""
-    return described(spark, name)["location"].rstrip("/")
+    return stored(spark, name).location
 
 
 def columns_of(spark: SparkSession, name: str) -> list[tuple[str, str]]:
@@ -74,6 +74,28 @@ def described(spark: SparkSession, name: str) -> dict:
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").collect()[0][0])
 
 
+@dataclass(frozen=True)
+class Stored:
+    """A table's entry in the catalog; reading it lists no file and runs no query."""
+
+    location: str
+    columns: str
+    partitions: int
+    provider: str | None
+
+
+def stored(spark: SparkSession, name: str) -> Stored:
+    state = spark._jsparkSession.sessionState()
+    entry = state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(name))
+    provider = entry.provider()
+    return Stored(
+        files.path_text(spark, entry.location()).rstrip("/"),
+        entry.schema().catalogString(),
+        entry.partitionColumnNames().size(),
+        provider.get() if provider.isDefined() else None,
+    )
+
+
 def forget_files(spark: SparkSession, name: str) -> None:
     """Let the session list a table's files anew when it reads the table again.
 

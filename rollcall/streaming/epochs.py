@@ -14,16 +14,37 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import own_session
 from ..sources import files, tables
 
 RECORD = "rows BIGINT, rows_refused BIGINT, rows_left_out BIGINT, stream STRING, epoch BIGINT"
 COUNTS = ["rows", "rows_refused", "rows_left_out"]
 # Spark's writers begin the names of their files with this Hadoop setting.
 FILE_NAMES = "mapreduce.output.basename"
-# Whether a job ends with a file _SUCCESS: a table is not done with one epoch.
+# Whether a job ends with a file _SUCCESS: of epochs, the records tell.
 MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-# What must hold of a table's entry for epochs to be appended.
-ENTRY = ["columns", "partition_columns", "provider"]
+# How Spark keeps the files of a stream's checkpoint, and for how long those it has merged.
+MANAGER = "spark.sql.streaming.checkpointFileManagerClass"
+BY_FILE_SYSTEM = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+CLEANUP = "spark.sql.streaming.fileSource.log.cleanupDelay"
+LOCAL = {MANAGER: BY_FILE_SYSTEM, CLEANUP: "0"}
+
+
+def session_for(spark: SparkSession, checkpoint_dir: str, scans: SparkSession | None = None) -> SparkSession:
+    """The session that a stream is started from: the caller's, or that which ``scans`` its files.
+
+    Spark notes an epoch's begin and end in files that it renames. In a local file
+    system its usual way asks for links by starting programs, some 50 ms an epoch; there
+    it shall rename by the other of its two ways, in a session of the stream's own.
+    It also lists its notes of the files seen in each epoch, those of the last ten
+    minutes and more: there they need not wait. A caller's choice is kept.
+    """
+    scans = scans or spark
+    chosen = {key: spark.conf.get(key, None) for key in LOCAL}
+    if files.is_local(spark, checkpoint_dir):
+        chosen = {key: LOCAL[key] if value is None else value for key, value in chosen.items()}
+    to_set = {k: v for k, v in chosen.items() if v is not None and scans.conf.get(k, None) != v}
+    return own_session(scans, **to_set) if to_set else scans
 
 
 def stream_of(batch: DataFrame) -> str:
@@ -70,32 +91,28 @@ def append_epoch(
     stream: str,
     epoch: int,
     may_be_there: bool = True,
-    known: dict | None = None,
-) -> dict:
+) -> None:
     """Write the rows of an epoch to its table, in place of those of an interrupted try.
 
     The record is put by the caller afterwards. If the table is replaced
     meanwhile, the rows are written to the new version as well. The table's files
-    are listed only if such a try ``may_be_there``, or if its entry in the catalog
-    is not like the ``known`` one, which the epoch before has returned.
+    are listed only if such a try ``may_be_there``.
     """
     name = tables.ensure_table(spark, schema, db, table)
-    entry = tables.described(spark, name)
-    if known is None or any(entry.get(part) != known.get(part) for part in ENTRY):
-        declared = [(f.name, f.dataType.simpleString()) for f in schema]
-        is_plain = not entry.get("partition_columns") and entry["provider"] == "parquet"
-        if not is_plain or tables.columns_of(spark, name) != declared:
-            raise ValueError(f"{name} is no plain Parquet table with the columns {declared}")
+    entry = tables.stored(spark, name)
+    columns = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema)
+    if entry.columns != f"struct<{columns}>" or entry.partitions or entry.provider != "parquet":
+        raise ValueError(f"{name} is no plain Parquet table with the columns {columns}")
     begin = f"epoch-{stream}-{epoch}"
-    folder, location = None, entry["location"].rstrip("/")
+    rows = rows.selectExpr(*[f"`{c}`" for c in schema.names])
+    folder, location = None, entry.location
     while folder != location:
         folder = location
         if may_be_there:
             for path in files.files_like(spark, folder, f"{begin}-"):
                 files.remove_folder(spark, path)
-        rows.select(schema.names).write.mode("append").options(**{FILE_NAMES: begin, MARKER: "false"}).parquet(folder)
+        rows.write.mode("append").options(**{FILE_NAMES: begin, MARKER: "false"}).parquet(folder)
         # A version that is pointed to again has these rows.
         location, may_be_there = tables.location_of(spark, name), True
     # The write has refreshed cached frames that read this folder.
     tables.forget_files(spark, name)
-    return entry

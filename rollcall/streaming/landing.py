@@ -77,7 +77,7 @@ class _FolderSink(_Sink):
         return f"{self.landed_dir.rstrip('/')}/{RECORDS}"
 
     def put_rows(self, rows, stream, epoch):
-        _land(rows.select(self.schema.names), self.landed_dir, stream, epoch)
+        _land(rows.selectExpr(*[f"`{c}`" for c in self.schema.names]), self.landed_dir, stream, epoch)
 
 
 class _TableSink(_Sink):
@@ -87,7 +87,6 @@ class _TableSink(_Sink):
         # A run ends with the first epoch that fails: only the first it writes may
         # have been tried before, by an earlier run.
         self.first = True
-        self.entry: dict | None = None
 
     def records(self) -> str:
         return epochs.records_of(self.spark, self.db, self.table)
@@ -96,14 +95,13 @@ class _TableSink(_Sink):
         return epochs.is_recorded(self.spark, self.records(), stream, epoch)
 
     def put_rows(self, rows, stream, epoch):
-        self.entry = epochs.append_epoch(
-            self.spark, rows, self.schema, self.db, self.table, stream, epoch, self.first, self.entry
-        )
+        epochs.append_epoch(self.spark, rows, self.schema, self.db, self.table, stream, epoch, self.first)
         self.first = False
 
 
 def _land(df: DataFrame, folder: str, stream: str, epoch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/stream={stream}/epoch={epoch}")
+    path = f"{folder.rstrip('/')}/stream={stream}/epoch={epoch}"
+    df.write.mode("overwrite").option(epochs.MARKER, "false").parquet(path)
 
 
 def _start(rows: DataFrame, checkpoint_dir: str, sink: _Sink, write_batch, every: str | None) -> StreamingQuery:
@@ -149,7 +147,7 @@ def _stream_records(spark, json_dir, sink: _Sink, checkpoint_dir, max_rows, file
             taken = taken.observe(done, F.count("*").alias("rows"))
             sink.put(taken, refused_records(checked), stream, epoch, counts)
 
-    rows = records.stream_records(spark, json_dir, files_per_batch)
+    rows = records.stream_records(epochs.session_for(spark, checkpoint_dir), json_dir, files_per_batch)
     return _start(rows if max_rows is not None else typed(rows, sink.schema), checkpoint_dir, sink, write_batch, every)
 
 
@@ -187,7 +185,8 @@ def _stream_csv(spark, src_dir, sink: _Sink, checkpoint_dir, max_rows, files_per
             sink.put(counted.filter("_good"), refused, stream, epoch, counts)
 
     # The stream keeps the settings of the session it is started from.
-    lines = csv.stream_lines(one_block_a_task(spark), src_dir, files_per_batch)
+    session = epochs.session_for(spark, checkpoint_dir, one_block_a_task(spark))
+    lines = csv.stream_lines(session, src_dir, files_per_batch)
     return _start(lines, checkpoint_dir, sink, write_batch, every)
 
 

@@ -4,10 +4,20 @@ import pytest
 from pyspark.sql.types import StructType
 
 from helpers import rows
+from rollcall.operators.file_head import one_block_a_task
 from rollcall.plans.refine import refine
 from rollcall.sources import files, tables
 from rollcall.streaming import landing
-from rollcall.streaming.epochs import COUNTS, epochs_of, records_of
+from rollcall.streaming.epochs import (
+    BY_FILE_SYSTEM,
+    CLEANUP,
+    COUNTS,
+    LOCAL,
+    MANAGER,
+    epochs_of,
+    records_of,
+    session_for,
+)
 from rollcall.streaming.landing import (
     land_capped_csv,
     land_records,
@@ -313,8 +323,8 @@ def test_files_are_capped_alike_gathered_or_by_blocks(spark, db, tmp_path, conf,
     assert len(calls) == (gathered == 0)
 
 
-def test_a_run_looks_at_the_columns_of_its_table_once(spark, db, tmp_path, monkeypatch):
-    """It lists the table's files: what an epoch costs would grow with those before it."""
+def test_an_epoch_does_not_look_at_the_rows_of_its_table(spark, db, tmp_path, monkeypatch):
+    """That lists the table's files: what an epoch costs would grow with those before it."""
     for i in range(3):
         put(tmp_path / "in" / f"{i}.csv", [f"{i},j"])
     tables.append_table(spark.createDataFrame([(9, "z")], JOBS), db, "jobs")
@@ -322,7 +332,35 @@ def test_a_run_looks_at_the_columns_of_its_table_once(spark, db, tmp_path, monke
     assert rows(spark.table(f"{db}.jobs")) == [(9, "z")]
     calls = counted(monkeypatch, tables, "columns_of")
     stream_csv_into(spark, str(tmp_path / "in"), db, "jobs", str(tmp_path / "state"), files_per_batch=1).awaitTermination()
-    assert len(calls) == 1
+    assert not calls
     # The session that has read the table before sees the new rows, by a cached frame too.
     assert rows(spark.table(f"{db}.jobs")) == [(0, "j"), (1, "j"), (2, "j"), (9, "z")] == rows(cached)
     cached.unpersist()
+
+
+def test_a_local_checkpoint_needs_no_programs_and_no_delay(spark, conf, tmp_path):
+    """Unless the caller has chosen how; other file systems keep Spark's way."""
+    state = str(tmp_path / "state")
+    own = session_for(spark, state)
+    assert own is not spark and {key: own.conf.get(key) for key in LOCAL} == LOCAL
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    scans = session_for(spark, state, one_block_a_task(spark))
+    settings = [MANAGER, "spark.sql.files.openCostInBytes"]
+    assert [scans.conf.get(s) for s in settings] == [BY_FILE_SYSTEM, spark.conf.get("spark.sql.files.maxPartitionBytes")]
+    other = BY_FILE_SYSTEM.replace("FileSystemBased", "FileContextBased")
+    conf(**{MANAGER: other, CLEANUP: "600000ms"})
+    assert session_for(spark, state) is spark
+    scans = session_for(spark, state, one_block_a_task(spark))
+    assert scans.conf.get(MANAGER) == other and scans.conf.get(CLEANUP) == "600000ms"
+
+
+def test_a_stream_merges_its_notes_of_files(spark, tmp_path):
+    for i in range(115):
+        put(tmp_path / "in" / f"{i:03}.json", [json.dumps({"id": i, "job": "j"})])
+    state, landed = tmp_path / "state", str(tmp_path / "out")
+    for _ in range(2):
+        land_records(spark, str(tmp_path / "in"), "jobs", landed, str(state), files_per_batch=1).awaitTermination()
+        put(tmp_path / "in" / "late.json", [json.dumps({"id": 115, "job": "j"})])
+    assert rows(read_landed(spark, landed, JOBS)) == sorted(((i, "j") for i in range(116)), key=repr)
+    assert rows(landed_counts(spark, landed), *COUNTS) == [(1, 0, 0)] * 116
+    assert len(list((state / "sources" / "0").glob("[0-9]*"))) < 115
